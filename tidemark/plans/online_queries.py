@@ -1 +1,123 @@
-"""Placeholder; filled in below."""
+"""Online (progressively refined) queries: M27 online Q1, M28 online Q14,
+and the online forms of course queries a-d (I1 + I4 + I5 + I7).
+
+Fact rows are split in ten parts by ``orderkey % 10`` (FIXTURES 4); each
+snapshot is the answer over the parts seen so far, the last one exact.
+Dimension sides (part, customer) are complete before the fact side streams
+(C3): in batch form that is simply an ordinary join ahead of the online
+aggregate.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions.exprs import in_range, lit_date, sql_rnd
+from tidemark.operators.online import Agg, Derived, OnlineSpec, online_agg, online_sql
+from tidemark.plans.registry import register
+from tidemark.sources.tpch import tables
+
+c = F.col
+N_PARTS = 10
+DISC = "l_extendedprice * (1 - l_discount)"
+
+Q1_SPEC = OnlineSpec(
+    keys=["l_returnflag", "l_linestatus"],
+    aggs=[Agg("sum_qty", "sum", "l_quantity", 2),
+          Agg("sum_base_price", "sum", "l_extendedprice", 2),
+          Agg("sum_disc_price", "sum", DISC, 2),
+          Agg("sum_charge", "sum", f"{DISC} * (1 + l_tax)", 2),
+          Agg("avg_qty", "avg", "l_quantity", 4),
+          Agg("avg_price", "avg", "l_extendedprice", 4),
+          Agg("avg_disc", "avg", "l_discount", 4),
+          Agg("count_order", "count_star")])
+
+
+@register("online_q1", online_sql(
+    "SELECT * FROM lineitem_d WHERE l_shipdate <= DATE '1998-09-02'", "l_orderkey % 10", N_PARTS, Q1_SPEC, sql_rnd))
+def online_q1(spark, sf_dir):
+    li = tables(spark, sf_dir)["lineitem"].where(c("l_shipdate") <= lit_date("1998-09-02"))
+    return online_agg(li, c("l_orderkey") % N_PARTS, N_PARTS, Q1_SPEC).orderBy("part_idx", *Q1_SPEC.keys)
+
+
+Q14_SPEC = OnlineSpec(
+    keys=[],
+    aggs=[Agg("promo", "sum", f"CASE WHEN p_type LIKE 'PROMO%' THEN {DISC} ELSE 0 END"),
+          Agg("vol", "sum", DISC)],
+    derived=[Derived("promo_revenue", "100.0 * promo / NULLIF(vol, 0)", 4)],
+    hidden=["promo", "vol"])
+
+
+@register("online_q14", online_sql(
+    "SELECT * FROM lineitem_d, part_d WHERE l_partkey = p_partkey AND l_shipdate >= DATE '1995-09-01' "
+    "AND l_shipdate < DATE '1995-10-01'", "l_orderkey % 10", N_PARTS, Q14_SPEC, sql_rnd))
+def online_q14(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    li = t["lineitem"].where(in_range("l_shipdate", "1995-09-01", "1995-10-01"))
+    j = li.join(t["part"].select("p_partkey", "p_type"), c("l_partkey") == c("p_partkey"))
+    return online_agg(j, c("l_orderkey") % N_PARTS, N_PARTS, Q14_SPEC).orderBy("part_idx")
+
+
+A_SPEC = OnlineSpec(keys=[], aggs=[Agg("revenue", "sum", "l_extendedprice * l_discount", 2)])
+
+
+@register("online_a", online_sql(
+    "SELECT * FROM lineitem_d WHERE l_shipdate >= DATE '1996-01-01' AND l_shipdate < DATE '1997-01-01'",
+    "l_orderkey % 10", N_PARTS, A_SPEC, sql_rnd))
+def online_a(spark, sf_dir):
+    li = tables(spark, sf_dir)["lineitem"].where(in_range("l_shipdate", "1996-01-01", "1997-01-01"))
+    return online_agg(li, c("l_orderkey") % N_PARTS, N_PARTS, A_SPEC).orderBy("part_idx")
+
+
+B_SPEC = OnlineSpec(keys=["c_name"], aggs=[Agg("o_totalprice_sum", "sum", "o_totalprice", 2)])
+
+
+@register("online_b", online_sql(
+    "SELECT * FROM orders_d, customer_d WHERE o_custkey = c_custkey AND c_mktsegment = 'AUTOMOBILE'",
+    "o_orderkey % 10", N_PARTS, B_SPEC, sql_rnd))
+def online_b(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    cu = t["customer"].where(c("c_mktsegment") == "AUTOMOBILE").select("c_custkey", "c_name")
+    j = t["orders"].select("o_orderkey", "o_custkey", "o_totalprice").join(cu, c("o_custkey") == c("c_custkey"))
+    return online_agg(j, c("o_orderkey") % N_PARTS, N_PARTS, B_SPEC)
+
+
+C_SPEC = OnlineSpec(keys=["c_custkey", "c_name", "c_acctbal"], aggs=[Agg("revenue", "sum", DISC, 2)])
+
+
+@register("online_c", online_sql(
+    "SELECT * FROM customer_d, orders_d, lineitem_d WHERE c_custkey = o_custkey AND l_orderkey = o_orderkey "
+    "AND o_orderdate >= DATE '1996-10-01' AND o_orderdate < DATE '1997-01-01'",
+    "l_orderkey % 10", N_PARTS, C_SPEC, sql_rnd))
+def online_c(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    o = t["orders"].where(in_range("o_orderdate", "1996-10-01", "1997-01-01")).select("o_orderkey", "o_custkey")
+    cu = t["customer"].select("c_custkey", "c_name", "c_acctbal")
+    li = t["lineitem"].select("l_orderkey", "l_extendedprice", "l_discount")
+    j = li.join(o, c("l_orderkey") == c("o_orderkey")).join(cu, c("o_custkey") == c("c_custkey"))
+    return online_agg(j, c("l_orderkey") % N_PARTS, N_PARTS, C_SPEC)
+
+
+D_WHERE = ("p_partkey = l_partkey AND l_shipinstruct = 'DELIVER IN PERSON' AND ("
+           "(p_brand = 'Brand#12' AND l_quantity >= 1 AND l_quantity <= 1 + 10 AND p_size BETWEEN 1 AND 5) OR "
+           "(p_brand = 'Brand#23' AND l_quantity >= 10 AND l_quantity <= 10 + 10 AND p_size BETWEEN 1 AND 10) OR "
+           "(p_brand = 'Brand#34' AND l_quantity >= 20 AND l_quantity <= 20 + 10 AND p_size BETWEEN 1 AND 15))")
+D_SPEC = OnlineSpec(keys=[], aggs=[Agg("revenue", "sum", DISC, 2)])
+
+
+def course_d_join(t):
+    """Lineitem x part for query d: the one-sided predicates go below the
+    join (pushed to the scans), the OR of bands stays above it."""
+    li = t["lineitem"].where((c("l_shipinstruct") == "DELIVER IN PERSON") & c("l_quantity").between(1, 30))
+    p = t["part"].where(c("p_brand").isin("Brand#12", "Brand#23", "Brand#34")).select(
+        "p_partkey", "p_brand", "p_size")
+    band = lambda b, q, s: ((c("p_brand") == b) & c("l_quantity").between(q, q + 10) & c("p_size").between(1, s))
+    return (li.join(p, c("l_partkey") == c("p_partkey"))
+            .where(band("Brand#12", 1, 5) | band("Brand#23", 10, 10) | band("Brand#34", 20, 15)))
+
+
+@register("online_d", online_sql(
+    f"SELECT * FROM lineitem_d, part_d WHERE {D_WHERE}", "l_orderkey % 10", N_PARTS, D_SPEC, sql_rnd))
+def online_d(spark, sf_dir):
+    j = course_d_join(tables(spark, sf_dir))
+    return online_agg(j, c("l_orderkey") % N_PARTS, N_PARTS, D_SPEC).orderBy("part_idx")
