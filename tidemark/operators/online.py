@@ -167,7 +167,8 @@ def file_parts(df: DataFrame, part_name: str = "part_idx") -> tuple[DataFrame, i
 
 # ---------------------------------------------------------------- SQL twin
 
-def online_sql(base: str, part_expr: str, n_parts: int, spec: OnlineSpec, round_sql: Callable) -> str:
+def online_sql(base: str, part_expr: str, n_parts: int, spec: OnlineSpec, round_sql: Callable,
+               as_cte: str | None = None) -> str:
     """DuckDB text computing the same snapshots with a dense grid and
     window sums (the independent check for :func:`online_agg`).
 
@@ -226,6 +227,9 @@ SELECT fin.*, prog.rows_seen, prog.rows_total,
        {round_sql('CAST(prog.rows_seen AS DOUBLE) / NULLIF(prog.rows_total, 0)', 4)} AS progress
 FROM fin JOIN prog ON fin.part_idx = prog.part_idx
 """
+    if as_cte:
+        i = sql.rindex("SELECT fin.*")
+        sql = sql[:i] + f", {as_cte} AS (" + sql[i:] + ")\n"
     if spec.derived or spec.hidden:
         dcols = ", ".join(f"{round_sql(d.expr, d.digits) if d.digits is not None else d.expr} AS {d.name}"
                           for d in spec.derived)
