@@ -68,15 +68,39 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return functools.reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def with_position(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
+    """1-based position of each row in a stated total order, computed without
+    a global window (which would put every row in one task):
+
+    1. range-partitioned sort, so partition i holds the i-th key range;
+    2. ``monotonically_increasing_id`` keeps the partition id in the high
+       bits and the row's index inside its partition in the low 33 bits;
+    3. per-partition row counts (one row per partition) give each
+       partition's offset.
+
+    The numbered frame is checkpointed to the shared checkpoint folder so a
+    recomputation (lost executor) cannot renumber rows."""
+    from tidemark.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    numbered = (df.orderBy(*order)
+                .withColumn("__pid", F.spark_partition_id())
+                .withColumn("__mid", F.monotonically_increasing_id())
+                .checkpoint(eager=True))
+    counts = numbered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    low_bits = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (numbered.join(F.broadcast(offsets), "__pid")
+            .withColumn(name, F.col("__off") + low_bits + 1)
+            .drop("__pid", "__mid", "__off"))
+
+
 def hconcat(left: DataFrame, right: DataFrame, left_order: list[str], right_order: list[str]) -> DataFrame:
-    """C20: positional horizontal concat. Position = row number in a stated
-    order on each side, then a full outer join on it (unequal lengths pad
-    with nulls). Needs a global order, i.e. one range-partitioned sort per
-    side, not a single-task gather."""
-    def numbered(df, order):
-        return df.withColumn("__pos", F.row_number().over(Window.orderBy(*order)))
-    return (numbered(left, left_order).join(numbered(right, right_order), "__pos", "full")
-            .orderBy("__pos").drop("__pos"))
+    """C20: positional horizontal concat. Position = rank in a stated order
+    on each side, then a full outer join on it (the shorter side pads with
+    nulls)."""
+    return (with_position(left, left_order, "__pos").join(with_position(right, right_order, "__pos"), "__pos", "full")
+            .drop("__pos"))
 
 
 def primary_key_violations(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -1 +1,184 @@
-"""Placeholder; filled in below."""
+"""Registered queries for inventory rows that no whole query isolates
+(A10, A11, C9, C14, C20, D1-D3, D7, F1/F2, H4), over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions.exprs import byte_length, rnd, sql_rnd as R
+from tidemark.operators.relational import (agg_spec, foreign_key_orphans, last_per_group,
+                                           primary_key_violations, sum_all, union_all)
+from tidemark.plans.registry import register
+from tidemark.sources.tpch import tables
+
+c = F.col
+
+
+@register("inv_a10_pk_lineitem", """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+""", prelude=False)
+def inv_a10_pk_lineitem(spark, sf_dir):
+    """A10: (l_orderkey, l_linenumber) values breaking the primary key."""
+    return primary_key_violations(tables(spark, sf_dir)["lineitem"], ["l_orderkey", "l_linenumber"])
+
+
+FKS = [  # (name, child, child cols, parent, parent cols)
+    ("lineitem_orders", "lineitem", ["l_orderkey"], "orders", ["o_orderkey"]),
+    ("lineitem_part", "lineitem", ["l_partkey"], "part", ["p_partkey"]),
+    ("lineitem_supplier", "lineitem", ["l_suppkey"], "supplier", ["s_suppkey"]),
+    ("lineitem_partsupp", "lineitem", ["l_partkey", "l_suppkey"], "partsupp", ["ps_partkey", "ps_suppkey"]),
+    ("orders_customer", "orders", ["o_custkey"], "customer", ["c_custkey"]),
+    ("customer_nation", "customer", ["c_nationkey"], "nation", ["n_nationkey"]),
+    ("supplier_nation", "supplier", ["s_nationkey"], "nation", ["n_nationkey"]),
+    ("nation_region", "nation", ["n_regionkey"], "region", ["r_regionkey"]),
+]
+
+
+def _fk_sql(name, child, ccols, parent, pcols):
+    on = " AND ".join(f"ch.{a} = pa.{b}" for a, b in zip(ccols, pcols))
+    nn = " AND ".join(f"ch.{a} IS NOT NULL" for a in ccols)
+    return (f"SELECT '{name}' AS fk, count(*) AS orphans FROM {child}_d ch WHERE {nn} AND NOT EXISTS "
+            f"(SELECT 1 FROM {parent}_d pa WHERE {on})")
+
+
+@register("inv_a11_fk_check", "\n UNION ALL ".join(_fk_sql(*f) for f in FKS))
+def inv_a11_fk_check(spark, sf_dir):
+    """One row per foreign key with its orphan count (single and
+    composite keys; anti joins)."""
+    t = tables(spark, sf_dir)
+    return union_all(foreign_key_orphans(t[ch], cc, t[pa], pc, name) for name, ch, cc, pa, pc in FKS)
+
+
+@register("inv_c9_not_in", """
+SELECT c_mktsegment, count(*) AS customers FROM customer
+WHERE c_nationkey NOT IN (SELECT CASE WHEN n_regionkey = 4 THEN NULL ELSE n_nationkey END
+                          FROM nation WHERE n_regionkey >= 3)
+GROUP BY c_mktsegment
+UNION ALL
+SELECT 'none' AS c_mktsegment, count(*) AS customers FROM customer
+WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 3)
+""", prelude=False)
+def inv_c9_not_in(spark, sf_dir):
+    """Null-aware NOT IN. The first list holds a NULL, so no row passes
+    (SQL three-valued logic); the second has none. Planned by Catalyst as a
+    null-aware anti join."""
+    t = tables(spark, sf_dir)
+    t["customer"].createOrReplaceTempView("tm_customer")
+    t["nation"].createOrReplaceTempView("tm_nation")
+    return spark.sql("""
+SELECT c_mktsegment, count(*) AS customers FROM tm_customer
+WHERE c_nationkey NOT IN (SELECT CASE WHEN n_regionkey = 4 THEN NULL ELSE n_nationkey END
+                          FROM tm_nation WHERE n_regionkey >= 3)
+GROUP BY c_mktsegment
+UNION ALL
+SELECT 'none' AS c_mktsegment, count(*) AS customers FROM tm_customer
+WHERE c_nationkey NOT IN (SELECT n_nationkey FROM tm_nation WHERE n_regionkey = 3)""")
+
+
+@register("inv_c14_merge_join", f"""
+SELECT o_orderpriority, count(*) AS lines, {R('sum(l_extendedprice)')} AS price
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority
+""", prelude=False)
+def inv_c14_merge_join(spark, sf_dir):
+    """C14: sorted-merge join requested by hint (both sides exchanged and
+    sorted on the key)."""
+    t = tables(spark, sf_dir)
+    li = t["lineitem"].select("l_orderkey", "l_extendedprice").hint("merge")
+    o = t["orders"].select("o_orderkey", "o_orderpriority")
+    return (li.join(o, c("l_orderkey") == c("o_orderkey")).groupBy("o_orderpriority")
+            .agg(F.count(F.lit(1)).alias("lines"), rnd(F.sum("l_extendedprice")).alias("price")))
+
+
+@register("inv_c20_hconcat", """
+SELECT coalesce(a.pos, b.pos) AS pos, a.c_custkey, a.c_name, b.o_orderkey, b.o_totalprice
+FROM (SELECT row_number() OVER (ORDER BY c_custkey) AS pos, c_custkey, c_name FROM customer) a
+FULL OUTER JOIN (SELECT row_number() OVER (ORDER BY o_orderkey) AS pos, o_orderkey, o_totalprice FROM orders) b
+ON a.pos = b.pos
+""", prelude=False)
+def inv_c20_hconcat(spark, sf_dir):
+    """C20: positional horizontal concat of customer and orders (each in key
+    order); positions come from a distributed sort, see ``with_position``."""
+    from tidemark.operators.relational import with_position
+    t = tables(spark, sf_dir)
+    a = with_position(t["customer"].select("c_custkey", "c_name"), ["c_custkey"])
+    b = with_position(t["orders"].select("o_orderkey", "o_totalprice"), ["o_orderkey"])
+    return (a.join(b, "pos", "full")
+            .select(c("pos").cast("bigint").alias("pos"), "c_custkey", "c_name", "o_orderkey", "o_totalprice"))
+
+
+LI_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+          "l_discount", "l_tax"]
+LI_INT = {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"}
+
+
+def _sum_sql(col_, alias):
+    return f"CAST(sum({col_}) AS BIGINT) AS {alias}" if col_ in LI_INT else f"{R(f'sum({col_})')} AS {alias}"
+
+
+@register("inv_d1_sum_all", "SELECT " + ", ".join(_sum_sql(x, x) for x in LI_NUM) + " FROM lineitem",
+          prelude=False)
+def inv_d1_sum_all(spark, sf_dir):
+    """Global sum of every numeric column, names kept bare."""
+    li = tables(spark, sf_dir)["lineitem"].select(*LI_NUM)
+    s = sum_all(li)
+    return s.select(*[c(x) if x in LI_INT else rnd(x).alias(x) for x in LI_NUM])
+
+
+@register("inv_d2_sum_by_flag", "SELECT l_returnflag, " + ", ".join(_sum_sql(x, x + "_sum") for x in LI_NUM)
+          + " FROM lineitem GROUP BY l_returnflag", prelude=False)
+def inv_d2_sum_by_flag(spark, sf_dir):
+    """Grouped sum of every numeric non-key column as ``<col>_sum``."""
+    li = tables(spark, sf_dir)["lineitem"].select("l_returnflag", *LI_NUM)
+    s = sum_all(li, ["l_returnflag"])
+    return s.select("l_returnflag", *[c(x + "_sum") if x in LI_INT else rnd(x + "_sum").alias(x + "_sum")
+                                      for x in LI_NUM])
+
+
+@register("inv_d3_agg_spec", f"""
+SELECT l_linestatus, {R('sum(l_quantity)')} AS l_quantity_sum, count(l_quantity) AS l_quantity_count,
+  {R('min(l_discount)', 4)} AS l_discount_min, {R('max(l_discount)', 4)} AS l_discount_max,
+  {R('avg(l_discount)', 4)} AS l_discount_mean
+FROM lineitem GROUP BY l_linestatus
+""", prelude=False)
+def inv_d3_agg_spec(spark, sf_dir):
+    """D3: aggregate list column x [ops] named ``<col>_<op>``."""
+    li = tables(spark, sf_dir)["lineitem"]
+    r = agg_spec(li, ["l_linestatus"], {"l_quantity": ["sum", "count"], "l_discount": ["min", "max", "mean"]})
+    return r.select("l_linestatus", rnd("l_quantity_sum").alias("l_quantity_sum"), "l_quantity_count",
+                    *[rnd(x, 4).alias(x) for x in ("l_discount_min", "l_discount_max", "l_discount_mean")])
+
+
+@register("inv_d7_last_order", """
+SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice, arg_max(o_orderpriority, o_orderkey)
+  AS o_orderpriority FROM orders GROUP BY o_custkey
+""", prelude=False)
+def inv_d7_last_order(spark, sf_dir):
+    """Last value per group in a stated order (the latest order key)."""
+    return last_per_group(tables(spark, sf_dir)["orders"], ["o_custkey"],
+                          ["o_totalprice", "o_orderpriority"], "o_orderkey")
+
+
+@register("inv_f1_union_balances", f"""
+SELECT kind, nationkey, count(*) AS n, {R('sum(acctbal)')} AS acctbal FROM (
+  SELECT 'S' AS kind, s_nationkey AS nationkey, s_acctbal AS acctbal FROM supplier
+  UNION ALL SELECT 'C' AS kind, c_nationkey AS nationkey, c_acctbal AS acctbal FROM customer) u
+GROUP BY kind, nationkey
+""", prelude=False)
+def inv_f1_union_balances(spark, sf_dir):
+    """stack supplier and customer balances by name, then aggregate."""
+    t = tables(spark, sf_dir)
+    s = t["supplier"].select(F.lit("S").alias("kind"), c("s_nationkey").alias("nationkey"), c("s_acctbal").alias("acctbal"))
+    cu = t["customer"].select(F.lit("C").alias("kind"), c("c_nationkey").alias("nationkey"), c("c_acctbal").alias("acctbal"))
+    return (union_all([s, cu]).groupBy("kind", "nationkey")
+            .agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("acctbal")).alias("acctbal")))
+
+
+@register("inv_h4_text_bytes", """
+SELECT doc_id, length(text) AS chars, strlen(text) AS bytes FROM documents
+""", prelude=False)
+def inv_h4_text_bytes(spark, sf_dir):
+    """H4: byte length (UTF-8) next to character length for every document."""
+    d = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return d.select("doc_id", F.length("text").cast("bigint").alias("chars"),
+                    byte_length("text").cast("bigint").alias("bytes"))

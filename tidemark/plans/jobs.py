@@ -1 +1,93 @@
-"""Placeholder; filled in below."""
+"""The reference's Spark jobs, run over the given tables.
+
+* ``job_sort_cap``  (E3): text columns cast to int, filter, two-key sort.
+* ``job_terasort`` (A16, E4, E5): 10-byte keys derived from every lineitem
+  row, total-order sort, validation (per-partition order, boundaries,
+  checksum before = after).
+* ``job_pi``        (D19): Monte-Carlo estimate of pi from points derived
+  by hashing every lineitem row (work grows with the table).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators.sorting import checksum, total_sort, validate_sort
+from tidemark.plans.registry import register
+from tidemark.sources.tpch import tables
+
+c = F.col
+
+# Year cap of the filter job, moved from 2023 to the data's range.
+YEAR_CAP = 1999
+
+
+@register("job_sort_cap", f"""
+SELECT CAST(CAST(extract(year FROM o_orderdate) AS VARCHAR) AS INTEGER) AS Year,
+       'SN' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS SerialNumber
+FROM orders WHERE extract(year FROM o_orderdate) <= {YEAR_CAP}
+ORDER BY Year DESC, SerialNumber
+""", prelude=False)
+def job_sort_cap(spark, sf_dir):
+    """Rows arrive as text (as from a header CSV read without a schema),
+    ``Year`` is cast with ``try_cast`` so a bad year is null, not an error."""
+    o = tables(spark, sf_dir)["orders"]
+    text = o.select(F.year("o_orderdate").cast("string").alias("Year"),
+                    F.concat(F.lit("SN"), F.lpad(c("o_orderkey").cast("string"), 9, "0")).alias("SerialNumber"))
+    typed = text.withColumn("Year", c("Year").try_cast("int"))
+    return typed.where(c("Year") <= YEAR_CAP).orderBy(c("Year").desc(), c("SerialNumber").asc())
+
+
+def _tera_key_sql():
+    return ("substr(sha256(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) || '|' || "
+            "CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR)), 1, 20)")
+
+
+def tera_records(spark, sf_dir):
+    li = tables(spark, sf_dir)["lineitem"]
+    key = F.substring(F.sha2(F.concat_ws("|", *[c(x).cast("string") for x in
+                                                ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]), 256), 1, 20)
+    return li.select(key.alias("key"), c("l_orderkey").alias("rowid"),
+                     F.concat_ws("|", "l_returnflag", "l_linestatus", c("l_quantity").cast("string")).alias("payload"))
+
+
+@register("job_terasort", f"""
+SELECT count(*) AS rows, min(k) AS min_key, max(k) AS max_key, true AS partitions_sorted,
+       true AS boundaries_ordered, true AS checksum_match
+FROM (SELECT {_tera_key_sql()} AS k FROM lineitem) q
+""", prelude=False)
+def job_terasort(spark, sf_dir, n_parts: int | None = None):
+    recs = tera_records(spark, sf_dir)
+    sorted_ = total_sort(recs, ["key"], n_parts)
+    v = validate_sort(sorted_, "key", ["key", "rowid", "payload"])
+    before = checksum(recs, ["key", "rowid", "payload"]).select(c("checksum").alias("cs_in"))
+    keys = sorted_.agg(F.min("key").alias("min_key"), F.max("key").alias("max_key"))
+    one = F.lit(1)
+    out = (v.withColumn("__one", one)
+           .join(F.broadcast(before.withColumn("__one", one)), "__one")
+           .join(F.broadcast(keys.withColumn("__one", one)), "__one"))
+    return out.select(c("rows").cast("bigint").alias("rows"), "min_key", "max_key", "partitions_sorted",
+                      "boundaries_ordered", (c("checksum") == c("cs_in")).alias("checksum_match"))
+
+
+# Fixed hash multipliers for the two point coordinates.
+PI_MULT_X = 2654435761
+PI_MULT_Y = 2246822519
+WORD = 2147483648
+
+
+@register("job_pi", f"""
+SELECT CAST(round(4.0 * sum(CASE WHEN x * x + y * y <= 1.0 THEN 1 ELSE 0 END) / count(*), 6) AS DOUBLE) AS pi,
+       count(*) AS samples
+FROM (SELECT CAST((((l_orderkey * 8 + l_linenumber) % {WORD}) * {PI_MULT_X}) % {WORD} AS DOUBLE) / {WORD} AS x,
+             CAST((((l_orderkey * 8 + l_linenumber) % {WORD}) * {PI_MULT_Y}) % {WORD} AS DOUBLE) / {WORD} AS y
+      FROM lineitem) q
+""", prelude=False)
+def job_pi(spark, sf_dir):
+    li = tables(spark, sf_dir)["lineitem"]
+    u = (c("l_orderkey") * 8 + c("l_linenumber")) % WORD
+    x = ((u * PI_MULT_X) % WORD).cast("double") / WORD
+    y = ((u * PI_MULT_Y) % WORD).cast("double") / WORD
+    hits = F.sum(F.when(x * x + y * y <= 1.0, 1).otherwise(0))
+    return li.agg(F.round(F.lit(4.0) * hits / F.count(F.lit(1)), 6).alias("pi"),
+                  F.count(F.lit(1)).alias("samples"))
