@@ -42,43 +42,76 @@ def checksum(df: DataFrame, cols: list[str]) -> DataFrame:
                   F.count(F.lit(1)).alias("rows"))
 
 
-def _partition_summary(key: str):
+def _cmp_sign(a, b):
+    """-1/0/1 comparing aligned numpy arrays (numbers or strings)."""
+    import numpy as np
+    return np.where(a < b, -1, np.where(a > b, 1, 0))
+
+
+def _partition_summary(keys: list[str], desc: list[bool]):
+    import numpy as np
+
     def run(batches):
         pid, n, first, last, inversions = None, 0, None, None, 0
-        prev = None
         for pdf in batches:
             if pdf.empty:
                 continue
             pid = int(pdf["__pid"].iloc[0])
-            ks = pdf[key]
-            if first is None:
-                first = ks.iloc[0]
-            if prev is not None and ks.iloc[0] < prev:
-                inversions += 1
-            inversions += int((ks.shift(1).iloc[1:] > ks.iloc[1:]).sum())
-            prev = ks.iloc[-1]
-            last = prev
+            cur = [pdf[k].to_numpy() for k in keys]
+            if last is not None:   # join with the previous batch's last row
+                cur = [np.concatenate([[lv], c]) for lv, c in zip(last, cur)]
+            elif first is None:
+                first = [c[0] for c in cur]
+            if len(cur[0]) > 1:
+                # lexicographic order with per-key direction: the first
+                # differing key decides; it must not go backwards
+                decided = np.zeros(len(cur[0]) - 1, dtype=bool)
+                bad = np.zeros(len(cur[0]) - 1, dtype=bool)
+                for c, d in zip(cur, desc):
+                    sgn = _cmp_sign(c[1:], c[:-1]) * (-1 if d else 1)
+                    bad |= (~decided) & (sgn < 0)
+                    decided |= sgn != 0
+                inversions += int(bad.sum())
+            last = [c[-1] for c in cur]
             n += len(pdf)
         if pid is not None:
-            yield pd.DataFrame({"pid": [pid], "n": [n], "first_key": [first], "last_key": [last],
-                                "inversions": [inversions]})
+            row = {"pid": [pid], "n": [n], "inversions": [inversions]}
+            for i, k in enumerate(keys):
+                row[f"f{i}"] = [first[i]]
+                row[f"l{i}"] = [last[i]]
+            yield pd.DataFrame(row)
     return run
 
 
-def validate_sort(df: DataFrame, key: str, cols: list[str] | None = None) -> DataFrame:
+def _lex_le(a: list, b: list, desc: list[bool]):
+    """Spark expression: row a comes no later than row b in the order."""
+    if not a:
+        return F.lit(True)
+    x, y, d = a[0], b[0], desc[0]
+    before = (x > y) if d else (x < y)
+    return before | ((x == y) & _lex_le(a[1:], b[1:], desc[1:]))
+
+
+def validate_sort(df: DataFrame, key, cols: list[str] | None = None,
+                  descending: list[bool] | None = None) -> DataFrame:
     """E5: one row ``(partitions, rows, partitions_sorted, boundaries_ordered,
-    checksum)``. Partitions are taken in partition-id order."""
-    key_type = df.schema[key].dataType.simpleString()
-    summ = (df.select(F.spark_partition_id().alias("__pid"), F.col(key))
-            .mapInPandas(_partition_summary(key),
-                         f"pid int, n long, first_key {key_type}, last_key {key_type}, inversions long"))
+    checksum)``. ``key`` is a column name or a list of them (lexicographic,
+    ``descending`` per key). Each partition is read once in stored order;
+    partitions are then taken in partition-id order."""
+    keys = [key] if isinstance(key, str) else list(key)
+    desc = descending or [False] * len(keys)
+    types = [df.schema[k].dataType.simpleString() for k in keys]
+    schema = ", ".join(["pid int", "n long", "inversions long"]
+                       + [f"f{i} {t}" for i, t in enumerate(types)] + [f"l{i} {t}" for i, t in enumerate(types)])
+    summ = (df.select(F.spark_partition_id().alias("__pid"), *keys)
+            .mapInPandas(_partition_summary(keys, desc), schema))
     w = Window.orderBy("pid")
-    checks = summ.withColumn("prev_last", F.lag("last_key").over(w))
+    checks = summ.select("*", *[F.lag(f"l{i}").over(w).alias(f"p{i}") for i in range(len(keys))])
+    ok = _lex_le([F.col(f"p{i}") for i in range(len(keys))], [F.col(f"f{i}") for i in range(len(keys))], desc)
     agg = checks.agg(
         F.count(F.lit(1)).alias("partitions"), F.sum("n").alias("rows"),
         (F.sum("inversions") == 0).alias("partitions_sorted"),
-        F.coalesce(F.sum(F.when(F.col("prev_last") > F.col("first_key"), 1).otherwise(0)) == 0,
-                   F.lit(True)).alias("boundaries_ordered"))
+        (F.sum(F.when(F.col("p0").isNotNull() & ~ok, 1).otherwise(0)) == 0).alias("boundaries_ordered"))
     cs = checksum(df, cols or df.columns).select("checksum")
     return _attach(agg, cs)
 
