@@ -125,3 +125,33 @@ def test_stream_map_append(spark, tmpdir_path):
     n = spark.read.parquet(out).count()
     li = tables(spark, SF001)["lineitem"]
     assert n == li.where((F.col("l_shipdate") <= F.lit(dt.date(1998, 9, 2))) & (F.col("l_returnflag") == "R")).count()
+
+
+def test_streaming_join_with_complete_side_and_fan_out(spark, tmpdir_path):
+    """I4: each streamed lineitem part joins the complete part table; I6:
+    each snapshot also goes to a second sink."""
+    from tidemark.plans.online_queries import online_q14, Q14_SPEC
+    t = tables(spark, SF001)
+    li = t["lineitem"].where((F.col("l_shipdate") >= F.lit(dt.date(1995, 9, 1)))
+                             & (F.col("l_shipdate") < F.lit(dt.date(1995, 10, 1))))
+    li = li.select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    base = time.time() - 1000
+    for i in range(10):
+        tmp = os.path.join(tmpdir_path, f"tmp{i}")
+        li.where(F.col("l_orderkey") % 10 == i).coalesce(1).write.parquet(tmp)
+        f = [x for x in os.listdir(tmp) if x.endswith(".parquet")][0]
+        dest = os.path.join(src, f"part-{i:02d}.parquet")
+        os.link(os.path.join(tmp, f), dest)
+        os.utime(dest, (base + i * 10, base + i * 10))
+    part = t["part"].select("p_partkey", "p_type")
+    copies = []
+    q = online_agg_stream(file_stream(spark, src, li.schema), Q14_SPEC, os.path.join(tmpdir_path, "snaps"),
+                          transform=lambda s: s.join(part, F.col("l_partkey") == F.col("p_partkey")),
+                          extra_sinks=[lambda snap, bid: copies.append((bid, snap.count()))])
+    assert run_to_end(q, 300)
+    got = sorted((r.part_idx, r.promo_revenue) for r in read_snapshots(spark, os.path.join(tmpdir_path, "snaps")).collect())
+    want = sorted((r.part_idx, r.promo_revenue) for r in online_q14(spark, SF001).collect())
+    assert got == want
+    assert sorted(b for b, _ in copies) == list(range(10))
