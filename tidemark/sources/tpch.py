@@ -97,23 +97,61 @@ def partsupp_from(lineitem: DataFrame) -> DataFrame:
     return ps.withColumns({c: F.expr(e) for c, e in PARTSUPP_COLUMNS})
 
 
+class _Tables(dict):
+    """Table name -> DataFrame; partsupp is built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__({n: with_derived(read_raw(spark, sf_dir, n), n) for n in TABLES})
+        self._spark, self._dir = spark, sf_dir
+
+    def __missing__(self, name):
+        if name != "partsupp":
+            raise KeyError(name)
+        df = materialized(self._spark, "partsupp", read_raw(self._spark, self._dir, "lineitem"),
+                          lambda li: partsupp_from(li))
+        self[name] = df
+        return df
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All TPC-H tables (plus partsupp) as lazily planned DataFrames."""
-    return dict(_tables(spark, sf_dir))
+    return _tables(spark, sf_dir)
 
 
 @lru_cache(maxsize=16)
-def _tables(spark: SparkSession, sf_dir: str) -> tuple:
-    out = {n: with_derived(read_raw(spark, sf_dir, n), n) for n in TABLES}
-    out["partsupp"] = partsupp_from(read_raw(spark, sf_dir, "lineitem"))
-    return tuple(out.items())
+def _tables(spark: SparkSession, sf_dir: str) -> _Tables:
+    return _Tables(spark, sf_dir)
+
+
+def materialized(spark: SparkSession, name: str, source: DataFrame, build) -> DataFrame:
+    """A table Spark derives from ``source``, written once into the shared
+    checkpoint folder and read back by every later query (a derived
+    dimension is not recomputed per query). The folder name carries a
+    fingerprint of the source files, so new input gives a new table."""
+    import hashlib
+    import os
+    from tidemark.session import checkpoint_dir
+    files = sorted(source.inputFiles())
+    stamp = []
+    for f in files:
+        local = f[len("file:"):] if f.startswith("file:") else f
+        if os.path.exists(local):
+            st = os.stat(local)
+            stamp.append(f"{f}:{st.st_size}:{int(st.st_mtime)}")
+        else:
+            stamp.append(f)
+    key = hashlib.sha1("\n".join(stamp).encode()).hexdigest()[:16]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/derived/{name}-{key}"
+    build(source).write.mode("ignore").parquet(path)
+    return spark.read.parquet(path)
 
 
 def register_tables(spark: SparkSession, sf_dir: str, suffix: str = "") -> list[str]:
     """Register every table as a temp view (A8); returns the view names."""
     names = []
-    for n, df in tables(spark, sf_dir).items():
-        df.createOrReplaceTempView(n + suffix)
+    t = tables(spark, sf_dir)
+    for n in (*TABLES, "partsupp"):
+        t[n].createOrReplaceTempView(n + suffix)
         names.append(n + suffix)
     return names
 
