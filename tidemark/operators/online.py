@@ -26,6 +26,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,8 +108,11 @@ def online_agg(df: DataFrame, part_col: str | Column, n_parts: int, spec: Online
     src = df.withColumn(part_name, part)
 
     states = [s for a in spec.aggs for s in a.states()]
+    # the partial states feed both the snapshots and the progress table; they
+    # are small (parts x keys) and kept so the input is scanned once
     partial = (src.groupBy(part_name, *keys)
-               .agg(*[expr.alias(nm) for nm, expr, _ in states], F.count(F.lit(1)).alias("__rows")))
+               .agg(*[expr.alias(nm) for nm, expr, _ in states], F.count(F.lit(1)).alias("__rows"))
+               .persist(StorageLevel.MEMORY_AND_DISK))
 
     w_key = Window.partitionBy(*keys).orderBy(part_name) if keys else Window.orderBy(part_name)
     w_run = w_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -129,16 +133,18 @@ def online_agg(df: DataFrame, part_col: str | Column, n_parts: int, spec: Online
         res = res.drop(*spec.hidden)
 
     if with_progress:
-        res = res.join(F.broadcast(progress(src, part_name, n_parts)), part_name)
+        counts = partial.groupBy(part_name).agg(F.sum("__rows").alias("__n"))
+        res = res.join(F.broadcast(progress(counts, part_name, n_parts)), part_name)
     return res
 
 
-def progress(src: DataFrame, part_name: str, n_parts: int) -> DataFrame:
+def progress(counts: DataFrame, part_name: str, n_parts: int) -> DataFrame:
     """Per part, rows seen up to it, rows in total, and their ratio.
 
-    Built on an ``n_parts``-row grid so empty parts still report."""
-    spark = src.sparkSession
-    counts = src.groupBy(part_name).agg(F.count(F.lit(1)).alias("__n"))
+    ``counts`` holds rows per part (column ``__n``), taken from the partial
+    aggregate so the input is not scanned a second time. Built on an
+    ``n_parts``-row grid so empty parts still report."""
+    spark = counts.sparkSession
     grid = spark.range(n_parts).withColumnRenamed("id", part_name)
     dense = grid.join(F.broadcast(counts), part_name, "left").fillna(0, ["__n"])
     w = Window.orderBy(part_name)

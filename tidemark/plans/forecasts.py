@@ -9,6 +9,7 @@ running ``sum_qty`` at step t = part_idx + 1, forecast to the last step
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import rnd, sql_rnd as R
@@ -110,7 +111,7 @@ FROM ll""")
 def ic_scores(spark, sf_dir):
     """Information criteria of the least-squares line fitted to
     each whole series (k = 2)."""
-    s = series(spark, sf_dir)
+    s = series(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)   # fitted, then scored
     fit = s.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("n"),
         F.when(F.var_pop("t") == 0, 0.0).otherwise(F.try_divide(F.covar_pop("t", "v"), F.var_pop("t"))).alias("b"),
