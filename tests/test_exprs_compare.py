@@ -68,3 +68,12 @@ def test_rounded_and_sorted_diff(spark):
     srt = spark.createDataFrame([(3,), (2,), (1,)], "k int").coalesce(1)
     d = sorted_diff(srt, spark.createDataFrame([(1,), (2,), (3,)], "k int"), ["k"], [True]).first()
     assert (d.only_actual, d.only_expected, d.in_order) == (0, 0, True)
+
+
+def test_parse_date_column_and_hash(spark):
+    df = spark.createDataFrame([("1993-7-01",), ("1994-01-01",), ("bad",)], "s string")
+    got = [r.d for r in df.select(X.parse_date_col("s").alias("d")).collect()]
+    assert got == [dt.date(1993, 7, 1), dt.date(1994, 1, 1), None]
+    h = spark.createDataFrame([(1, 2.5), (1, 2.5), (2, 2.5)], "a int, b double").select(X.row_hash("a", "b").alias("h"))
+    hs = [r.h for r in h.collect()]
+    assert hs[0] == hs[1] != hs[2]

@@ -155,3 +155,20 @@ def test_streaming_join_with_complete_side_and_fan_out(spark, tmpdir_path):
     want = sorted((r.part_idx, r.promo_revenue) for r in online_q14(spark, SF001).collect())
     assert got == want
     assert sorted(b for b, _ in copies) == list(range(10))
+
+
+def test_streaming_forecast_equals_batch_table_forecast(spark, tmpdir_path):
+    """J10 streaming twin: per-batch forecasts equal the batch table forecast."""
+    from tidemark.plans.forecasts import fc_table, VALUE_COLS
+    from tidemark.streaming.online_stream import forecast_sink
+    src, schema = _write_parts(spark, SF001, tmpdir_path)
+    snaps, fcs = os.path.join(tmpdir_path, "snaps"), os.path.join(tmpdir_path, "fc")
+    keys = ["l_returnflag", "l_linestatus"]
+    q = online_agg_stream(file_stream(spark, src, schema), Q1_SPEC, snaps,
+                          extra_sinks=[forecast_sink(snaps, fcs, keys, VALUE_COLS, 10.0)])
+    assert run_to_end(q, 300)
+    got = spark.read.parquet(fcs).select("part_idx", *keys, *[F.round(F.col(v).cast("double"), 4).alias(v)
+                                                               for v in VALUE_COLS])
+    want = fc_table(spark, SF001)
+    cols = ["part_idx", *keys, *VALUE_COLS]
+    assert _rows(got.withColumn("part_idx", F.col("part_idx").cast("long")), cols) == _rows(want, cols)

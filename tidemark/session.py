@@ -49,10 +49,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in
-    ``spark.checkpoint.dir``. Only when it is unset (local runs, tests) do we
-    pick a scratch folder of our own."""
+    ``spark.checkpoint.dir``. Only a local-mode session (tests, local runs)
+    with the setting unset gets a scratch folder of its own; on a cluster an
+    unset setting is an error, never a machine-local folder."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this "
+                               "cluster; tidemark writes checkpoints and derived tables there")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -47,12 +47,32 @@ def _finish(result: DataFrame, spec: OnlineSpec) -> DataFrame:
     return out
 
 
+def forecast_sink(snap_path: str, out_path: str, keys: list[str], values: list[str], final_step: float):
+    """J10 streaming twin, as an extra sink for :func:`online_agg_stream`:
+    after snapshot ``b`` is written, every value column is forecast from the
+    snapshots 0..b (step = part_idx + 1) and the forecasts for ``b`` are
+    written under ``out_path/part_idx=b`` (overwrite, so a replayed batch
+    rewrites the same result). The history read back is one row per key and
+    snapshot, partitioned by key in the forecast windows."""
+    from tidemark.operators.forecast import forecast_table
+
+    def sink(snap: DataFrame, batch_id: int) -> None:
+        spark = snap.sparkSession
+        hist = (spark.read.parquet(snap_path).where(F.col("part_idx") <= batch_id)
+                .select("part_idx", *keys, *values)
+                .withColumn("step", (F.col("part_idx") + 1).cast("double")))
+        fc = forecast_table(hist, keys, values, "step", final_step)
+        (fc.where(F.col("part_idx") == batch_id).drop("step")
+         .write.mode("overwrite").parquet(os.path.join(out_path, f"part_idx={batch_id}")))
+    return sink
+
+
 def online_agg_stream(stream: DataFrame, spec: OnlineSpec, out_path: str, name: str | None = None,
                       transform: Callable[[DataFrame], DataFrame] | None = None,
                       extra_sinks: list[Callable[[DataFrame, int], None]] | None = None) -> StreamingQuery:
     """I2 (+I4 with ``transform`` joining complete static sides, I5 via the
-    spec's derived columns, I6 with ``extra_sinks``). Snapshots land in
-    ``out_path/part_idx=<batch id>``."""
+    spec's derived columns, I6 with ``extra_sinks``, J10 with
+    :func:`forecast_sink`). Snapshots land in ``out_path/part_idx=<batch id>``."""
     spark = stream.sparkSession
     name = name or f"online_{uuid.uuid4().hex[:8]}"
     src = transform(stream) if transform else stream
