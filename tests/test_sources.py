@@ -89,3 +89,40 @@ def test_positional_and_rename(spark):
     df = spark.createDataFrame([(1, "a", 2.0)], "x int, y string, z double")
     assert files.read_positional(df, [2, 0]).columns == ["x", "z"]
     assert files.rename_all(df, ["a", "b", "c"]).columns == ["a", "b", "c"]
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from conftest import SF001
+    from tidemark.sources.tpch import tables
+    t = tables(spark, SF001)
+    sinks.write_bucketed(t["lineitem"].select("l_orderkey", "l_extendedprice"), "tm_li_b", 8, "l_orderkey")
+    sinks.write_bucketed(t["orders"].select("o_orderkey", "o_orderpriority"), "tm_o_b", 8, "o_orderkey")
+    li, o = spark.table("tm_li_b"), spark.table("tm_o_b")
+    j = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+         .groupBy("l_orderkey").agg(F.sum("l_extendedprice").alias("s")))
+    assert j.count() == t["lineitem"].select("l_orderkey").distinct().count()
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_file_parts_natural_order(spark, tmpdir_path):
+    from tidemark.operators.online import file_parts
+    for i in (1, 2, 10):
+        spark.range(i).toDF("x").coalesce(1).write.parquet(os.path.join(tmpdir_path, f"t.tbl.{i}"))
+    import glob
+    src = os.path.join(tmpdir_path, "flat")
+    os.makedirs(src)
+    for i in (1, 2, 10):
+        f = glob.glob(os.path.join(tmpdir_path, f"t.tbl.{i}", "*.parquet"))[0]
+        os.link(f, os.path.join(src, f"t.tbl.{i}.parquet"))
+    df, n = file_parts(spark.read.parquet(src))
+    assert n == 3
+    got = sorted((r.part_idx, r["count"]) for r in df.groupBy("part_idx").count().collect())
+    assert got == [(0, 1), (1, 2), (2, 10)]
+
+
+def test_run_all(spark, tmpdir_path):
+    from conftest import SF001
+    out = sinks.run_all(spark, SF001, tmpdir_path, names=["tpch_q6", "course_a"])
+    assert set(out) == {"tpch_q6", "course_a"}
+    assert spark.read.parquet(out["tpch_q6"]).count() == 1

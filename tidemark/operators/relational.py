@@ -117,10 +117,3 @@ def foreign_key_orphans(child: DataFrame, child_cols: list[str], parent: DataFra
     nonnull = functools.reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in child_cols])
     orphans = child.where(nonnull).join(parent, cond, "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(name).alias("fk"), "orphans")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a proven bound: ``max_rows`` must be a
-    bound the caller knows (a parameter-sized grid, a dimension of fixed
-    size). Anything data-sized is left to AQE's measured-size decision."""
-    return F.broadcast(df) if max_rows <= 100_000 else df
