@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.relational import with_position
-from tidemark.operators.sorting import _attach, validate_sort
+from tidemark.operators.sorting import side_by_side, validate_sort
 
 _NUM = (T.DoubleType, T.FloatType, T.DecimalType, T.IntegerType, T.LongType, T.ShortType)
 
@@ -62,7 +62,7 @@ def rounded_equal(a: DataFrame, b: DataFrame, digits: int = 4) -> DataFrame:
     ra, rb = r(a), r(b)
     only_a = ra.exceptAll(rb).agg(F.count(F.lit(1)).alias("only_a"))
     only_b = rb.exceptAll(ra).agg(F.count(F.lit(1)).alias("only_b"))
-    return _attach(only_a, only_b)
+    return side_by_side(only_a, only_b)
 
 
 def sorted_diff(actual: DataFrame, expected: DataFrame, keys: list[str],
@@ -75,4 +75,4 @@ def sorted_diff(actual: DataFrame, expected: DataFrame, keys: list[str],
     only_e = expected.exceptAll(actual).agg(F.count(F.lit(1)).alias("only_expected"))
     v = validate_sort(actual, keys, descending=descending).select(
         (F.col("partitions_sorted") & F.col("boundaries_ordered")).alias("in_order"))
-    return _attach(_attach(only_a, only_e), v)
+    return side_by_side(only_a, only_e, v)

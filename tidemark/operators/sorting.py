@@ -115,15 +115,17 @@ def validate_sort(df: DataFrame, key, cols: list[str] | None = None,
         (F.sum("inversions") == 0).alias("partitions_sorted"),
         (F.sum(F.when(F.col("p0").isNotNull() & ~ok, 1).otherwise(0)) == 0).alias("boundaries_ordered"))
     cs = checksum(df, cols or df.columns).select("checksum")
-    return _attach(agg, cs)
+    return side_by_side(agg, cs)
 
 
-def _attach(one_row_a: DataFrame, one_row_b: DataFrame) -> DataFrame:
-    """Put two single-row results side by side (a join on a constant key of
-    two one-row frames)."""
-    a = one_row_a.withColumn("__one", F.lit(1))
-    b = one_row_b.withColumn("__one", F.lit(1))
-    return a.join(F.broadcast(b), "__one").drop("__one")
+def side_by_side(one_row: DataFrame, *others: DataFrame) -> DataFrame:
+    """Put single-row results next to each other: each further frame's
+    columns become scalar subqueries (computed once), not a join."""
+    out = one_row
+    for o in others:
+        for c in o.columns:
+            out = out.withColumn(c, o.select(c).scalar())
+    return out
 
 
 def _split_summary(key: str):
