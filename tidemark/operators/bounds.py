@@ -6,7 +6,9 @@ bucket order is the bucket index, which the hash makes a random order of
 clusters drawn without replacement. After m of B buckets:
 
     estimate   = B * mean(y_1..y_m)
-    half_width = z * B * sqrt((1 - m/B) * s^2 / m)      (s^2: sample variance)
+    half_width = q_m * B * sqrt((1 - m/B) * s^2 / m)    (s^2: sample variance)
+
+with q_m the Student t critical value on m - 1 degrees of freedom.
 
 with y_b the bucket total (0 for a bucket no row reaches). At m = B the
 estimate is exact and the half-width 0; at m = 1 the half-width is null.
@@ -50,12 +52,74 @@ def z_value(confidence: float) -> float:
     return NormalDist().inv_cdf(0.5 + confidence / 2.0)
 
 
+def _betacf(a: float, b: float, x: float) -> float:
+    """Continued fraction of the regularised incomplete beta (Lentz)."""
+    tiny, qab, qap, qam = 1e-300, a + b, a + 1.0, a - 1.0
+    c, d = 1.0, 1.0 - qab * x / qap
+    d = 1.0 / (d if abs(d) > tiny else tiny)
+    h = d
+    for m in range(1, 400):
+        m2 = 2 * m
+        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
+        d = 1.0 + aa * d
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        c = 1.0 + aa / c
+        c = c if abs(c) > tiny else tiny
+        h *= d * c
+        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
+        d = 1.0 + aa * d
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        c = 1.0 + aa / c
+        c = c if abs(c) > tiny else tiny
+        delta = d * c
+        h *= delta
+        if abs(delta - 1.0) < 1e-15:
+            break
+    return h
+
+
+def _t_cdf(t: float, df: int) -> float:
+    import math
+    x = df / (df + t * t)
+    lbeta = math.lgamma(df / 2.0) + math.lgamma(0.5) - math.lgamma(df / 2.0 + 0.5)
+    front = math.exp(math.log(x) * df / 2.0 + math.log(1.0 - x) * 0.5 - lbeta)
+    if x < (df / 2.0 + 1.0) / (df / 2.0 + 0.5 + 2.0):
+        ib = front * _betacf(df / 2.0, 0.5, x) / (df / 2.0)
+    else:
+        ib = 1.0 - front * _betacf(0.5, df / 2.0, 1.0 - x) / 0.5
+    return 1.0 - 0.5 * ib if t > 0 else 0.5 * ib
+
+
+def t_value(confidence: float, df: int) -> float:
+    """Two-sided Student t quantile (bisection on the CDF; driver-side, one
+    number per step count)."""
+    p = 0.5 + confidence / 2.0
+    lo, hi = 0.0, 1e6
+    for _ in range(200):
+        mid = (lo + hi) / 2.0
+        if _t_cdf(mid, df) < p:
+            lo = mid
+        else:
+            hi = mid
+    return round((lo + hi) / 2.0, 12)
+
+
+def quantiles(buckets: int, confidence: float, dist: str = "t") -> list[float]:
+    """Critical value per step m = 1..buckets (t with m - 1 degrees of
+    freedom; z for ``dist="z"``). Step 1 has no interval; its entry is 0."""
+    if dist == "z":
+        return [z_value(confidence)] * buckets
+    return [0.0] + [t_value(confidence, m - 1) for m in range(2, buckets + 1)]
+
+
 def online_sum_ci(df: DataFrame, value: Column, unit: Column, buckets: int = 50,
-                  confidence: float = 0.95, max_buckets: int | None = None) -> DataFrame:
+                  confidence: float = 0.95, max_buckets: int | None = None, dist: str = "t") -> DataFrame:
     """Rows ``(step, rows_seen, estimate, half_width)`` for steps 1..B
-    (or 1..max_buckets, the WITHTIME-style cap on how far to go)."""
+    (or 1..max_buckets, the WITHTIME-style cap on how far to go). The
+    critical value is Student t with m - 1 degrees of freedom (``dist="z"``
+    for the normal one)."""
     spark = df.sparkSession
-    z = z_value(confidence)
+    crit = F.array(*[F.lit(q) for q in quantiles(buckets, confidence, dist)])
     # bucket totals to cents as exact decimals: the running sums below are
     # then exact and independent of summation order
     per = (df.select(bucket_of(unit, buckets).alias("bucket"), value.alias("v"))
@@ -72,7 +136,7 @@ def online_sum_ci(df: DataFrame, value: Column, unit: Column, buckets: int = 50,
     mean = F.sum("y").over(w).cast("double") / m
     var = F.var_samp(F.col("y").cast("double")).over(w)
     fpc = F.lit(1.0) - m.cast("double") / buckets
-    hw = F.lit(z * buckets) * F.sqrt(F.greatest(fpc, F.lit(0.0)) * var / m)
+    hw = F.element_at(crit, m.cast("int")) * F.lit(float(buckets)) * F.sqrt(F.greatest(fpc, F.lit(0.0)) * var / m)
     return dense.select(
         m.cast("bigint").alias("step"),
         F.sum("n").over(w).cast("bigint").alias("rows_seen"),
@@ -81,10 +145,10 @@ def online_sum_ci(df: DataFrame, value: Column, unit: Column, buckets: int = 50,
 
 
 def online_sum_sql(base: str, value: str, unit: str, buckets: int = 50, confidence: float = 0.95,
-                   round_sql=None) -> str:
+                   round_sql=None, dist: str = "t") -> str:
     """DuckDB twin of :func:`online_sum_ci`; ``base`` selects the joined,
     filtered fact rows."""
-    z = z_value(confidence)
+    crit = "[" + ", ".join(repr(q) for q in quantiles(buckets, confidence, dist)) + "]"
     r = round_sql
     return f"""
 , base AS ({base}),
@@ -98,6 +162,6 @@ run AS (SELECT bucket + 1 AS m, CAST(sum(y) OVER w AS DOUBLE) / (bucket + 1) AS
         FROM dense WINDOW w AS (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT CAST(m AS BIGINT) AS step, CAST(rows_seen AS BIGINT) AS rows_seen,
        {r(f'{float(buckets)} * mean', 2)} AS estimate,
-       {r(f'{z * buckets!r} * sqrt(greatest(1.0 - CAST(m AS DOUBLE) / {buckets}, 0.0) * var / m)', 2)} AS half_width
+       {r(f'{crit}[m] * {float(buckets)} * sqrt(greatest(1.0 - CAST(m AS DOUBLE) / {buckets}, 0.0) * var / m)', 2)} AS half_width
 FROM run
 """
