@@ -172,3 +172,22 @@ def test_streaming_forecast_equals_batch_table_forecast(spark, tmpdir_path):
     want = fc_table(spark, SF001)
     cols = ["part_idx", *keys, *VALUE_COLS]
     assert _rows(got.withColumn("part_idx", F.col("part_idx").cast("long")), cols) == _rows(want, cols)
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("xyz"), st.integers(-50, 50), st.integers(0, 30)), min_size=1, max_size=80),
+       st.integers(1, 6))
+def test_final_snapshot_independent_of_split(spark, rows, n_parts):
+    """partial -> merge -> finish gives the plain aggregate whatever the split."""
+    df = spark.createDataFrame([(k, v, s % n_parts) for k, v, s in rows], "k string, v long, p long")
+    spec = OnlineSpec(["k"], [Agg("s", "sum", "v"), Agg("mn", "min", "v"), Agg("mx", "max", "v"),
+                              Agg("a", "avg", "v", 6), Agg("n", "count_star")])
+    got = {r.k: (r.s, r.mn, r.mx, r.a, r.n)
+           for r in final_snapshot(online_agg(df, "p", n_parts, spec), n_parts).collect()}
+    want = {r.k: (r.s, r.mn, r.mx, round(r.a, 6), r.n) for r in df.groupBy("k").agg(
+        F.sum("v").alias("s"), F.min("v").alias("mn"), F.max("v").alias("mx"), F.avg("v").alias("a"),
+        F.count(F.lit(1)).alias("n")).collect()}
+    assert got == want

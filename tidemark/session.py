@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     # whose size grows with the data.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # target size of post-shuffle partitions; AQE coalesces small ones and
+    # splits skewed ones against it
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
 }
 
 
