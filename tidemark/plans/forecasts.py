@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import rnd, sql_rnd as R
 from tidemark.operators import forecast as fc
-from tidemark.plans.online_queries import N_PARTS, Q1_SPEC, online_q1
+from tidemark.plans.online_queries import N_PARTS, Q1_SPEC, q1_snapshots
 from tidemark.operators.online import online_sql
 from tidemark.plans.registry import register
 
@@ -32,7 +32,7 @@ OUT = "part_idx, l_returnflag, l_linestatus, t, v"
 
 
 def series(spark, sf_dir):
-    snaps = online_q1(spark, sf_dir)
+    snaps = q1_snapshots(spark, sf_dir)
     return snaps.select("part_idx", *KEYS, (c("part_idx") + 1).cast("double").alias("t"), c("sum_qty").alias("v"))
 
 
@@ -90,7 +90,7 @@ VALUE_COLS = ["sum_qty", "sum_base_price", "sum_disc_price", "sum_charge", "avg_
 def fc_table(spark, sf_dir):
     """Online Q1's snapshots with every value column replaced by
     its forecast of the final answer (step counter = part_idx + 1)."""
-    snaps = (online_q1(spark, sf_dir).withColumn("step", (c("part_idx") + 1).cast("double"))
+    snaps = (q1_snapshots(spark, sf_dir).withColumn("step", (c("part_idx") + 1).cast("double"))
              .withColumn("count_order", c("count_order").cast("double")))
     out = fc.forecast_table(snaps.select("part_idx", "step", *KEYS, *VALUE_COLS), KEYS, VALUE_COLS, "step", FINAL_T)
     return out.select("part_idx", *KEYS, *[rnd(v, 4).alias(v) for v in VALUE_COLS])

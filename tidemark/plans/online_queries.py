@@ -36,8 +36,14 @@ Q1_SPEC = OnlineSpec(
 @register("online_q1", online_sql(
     "SELECT * FROM lineitem_d WHERE l_shipdate <= DATE '1998-09-02'", "l_orderkey % 10", N_PARTS, Q1_SPEC, sql_rnd))
 def online_q1(spark, sf_dir):
+    return q1_snapshots(spark, sf_dir).orderBy("part_idx", *Q1_SPEC.keys)
+
+
+def q1_snapshots(spark, sf_dir):
+    """Online Q1's snapshots without the presentation order (for consumers
+    such as the forecasts, which partition them by key themselves)."""
     li = tables(spark, sf_dir)["lineitem"].where(c("l_shipdate") <= lit_date("1998-09-02"))
-    return online_agg(li, c("l_orderkey") % N_PARTS, N_PARTS, Q1_SPEC).orderBy("part_idx", *Q1_SPEC.keys)
+    return online_agg(li, c("l_orderkey") % N_PARTS, N_PARTS, Q1_SPEC)
 
 
 Q14_SPEC = OnlineSpec(
