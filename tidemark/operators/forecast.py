@@ -43,9 +43,30 @@ def _windows(keys, order):
     return w, w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def ses_fold(hist: Column, alpha: float, field: str) -> Column:
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _wspec(keys, order, frame: str = "") -> str:
+    part = f"PARTITION BY {', '.join(_q(k) for k in keys)} " if keys else ""
+    return f"({part}ORDER BY {', '.join(_q(o) for o in order)}{(' ' + frame) if frame else ''})"
+
+
+RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+PAST = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def ses_fold_sql(hist: str, alpha: float, field: str) -> str:
     """Fold a list of structs (t, <field>) the way the recursive smoother
     consumes them: weight decays by alpha^((t - t_prev) / f), f = first t."""
+    a = f"pow({alpha!r}D, (x.t - acc.lt) / element_at({hist}, 1).t)"
+    return (f"aggregate({hist}, named_struct('lt', 0D, 's', 0D, 'w', 0D), "
+            f"(acc, x) -> named_struct('lt', x.t, 's', acc.s * {a} + x.{field}, 'w', acc.w * {a} + 1D), "
+            f"acc -> try_divide(acc.s, acc.w))")
+
+
+def ses_fold(hist: Column, alpha: float, field: str) -> Column:
+    """Column form of :func:`ses_fold_sql` for a list column."""
     f = F.element_at(hist, 1)["t"]
     init = F.struct(F.lit(0.0).alias("lt"), F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))
 
@@ -61,27 +82,25 @@ def with_models(df: DataFrame, keys: list[str], t: str, v: str, order: list[str]
                 ses_alpha: float = SES_ALPHA, trend_alpha: float = TREND_SES_ALPHA,
                 prefix: str = "") -> DataFrame:
     """Add ``{prefix}slopes`` and ``{prefix}icpts``: arrays of the 7
-    candidates' (slope, intercept) fitted on the rows up to each row."""
+    candidates' (slope, intercept) fitted on the rows up to each row.
+
+    Written as SQL expressions: each projection is one call into the JVM."""
     order = order or [t]
-    w, wr = _windows(keys, order)
-    T, V = F.col(t).cast("double"), F.col(v).cast("double")
-    tmp, hist, ols = f"__{prefix}step", f"__{prefix}hist", f"__{prefix}ols"
-    S = F.col(tmp)
-    d = df.withColumn(tmp, F.try_divide(V - F.lag(V, 1, 0.0).over(w), T - F.lag(T, 1, 0.0).over(w)))
-    d = d.withColumn(hist, F.collect_list(F.struct(T.alias("t"), V.alias("v"), S.alias("s"))).over(wr))
-    var_t = F.var_pop(T).over(wr)
-    d = d.withColumn(ols, F.struct(
-        F.when(var_t == 0, F.lit(0.0)).otherwise(F.try_divide(F.covar_pop(T, V).over(wr), var_t)).alias("b"),
-        F.avg(T).over(wr).alias("mt"), F.avg(V).over(wr).alias("mv"), F.avg(S).over(wr).alias("ms")))
-    o = F.col(ols)
-    zero = F.lit(0.0)
-    d = d.withColumn(f"{prefix}slopes", F.array(zero, zero, zero, o["b"], S, o["ms"],
-                                                ses_fold(F.col(hist), trend_alpha, "s")))
-    sl = F.col(f"{prefix}slopes")
-    d = d.withColumn(f"{prefix}icpts", F.array(
-        V, o["mv"], ses_fold(F.col(hist), ses_alpha, "v"), o["mv"] - o["b"] * o["mt"],
-        V - F.element_at(sl, 5) * T, V - F.element_at(sl, 6) * T, V - F.element_at(sl, 7) * T))
-    return d.drop(tmp, hist, ols)
+    W, WR = _wspec(keys, order), _wspec(keys, order, RUNNING)
+    T, V = f"CAST({_q(t)} AS DOUBLE)", f"CAST({_q(v)} AS DOUBLE)"
+    step, hist, o = f"__{prefix}step", f"__{prefix}hist", f"__{prefix}ols"
+    sl, ic = f"{prefix}slopes", f"{prefix}icpts"
+    d = df.selectExpr("*", f"try_divide({V} - lag({V}, 1, 0D) OVER {W}, {T} - lag({T}, 1, 0D) OVER {W}) AS {step}")
+    d = d.selectExpr(
+        "*", f"collect_list(named_struct('t', {T}, 'v', {V}, 's', {step})) OVER {WR} AS {hist}",
+        f"named_struct('b', CASE WHEN var_pop({T}) OVER {WR} = 0 THEN 0D "
+        f"ELSE try_divide(covar_pop({T}, {V}) OVER {WR}, var_pop({T}) OVER {WR}) END, "
+        f"'mt', avg({T}) OVER {WR}, 'mv', avg({V}) OVER {WR}, 'ms', avg({step}) OVER {WR}) AS {o}")
+    d = d.selectExpr("*", f"array(0D, 0D, 0D, {o}.b, {step}, {o}.ms, {ses_fold_sql(hist, trend_alpha, 's')}) AS {sl}")
+    d = d.selectExpr(
+        "*", f"array({V}, {o}.mv, {ses_fold_sql(hist, ses_alpha, 'v')}, {o}.mv - {o}.b * {o}.mt, "
+        f"{V} - element_at({sl}, 5) * {T}, {V} - element_at({sl}, 6) * {T}, {V} - element_at({sl}, 7) * {T}) AS {ic}")
+    return d.drop(step, hist, o)
 
 
 def _predict(slopes: Column, icpts: Column, idx: int | Column, at) -> Column:
@@ -122,40 +141,28 @@ def forecast_select(df: DataFrame, keys: list[str], t: str, v: str, final_time,
     candidate. With nothing scored yet (first row) it predicts the row's
     own value."""
     order = order or [t]
-    w, _ = _windows(keys, order)
-    T, V = F.col(t).cast("double"), F.col(v).cast("double")
+    W, WP = _wspec(keys, order), _wspec(keys, order, PAST)
+    T, V = f"CAST({_q(t)} AS DOUBLE)", f"CAST({_q(v)} AS DOUBLE)"
+    n = len(MODELS)
+    at = f"{float(final_time)!r}D"
     d = with_models(df, keys, t, v, order, ses_alpha, trend_alpha, prefix="m_")
-    d = d.withColumn("__nt", F.lead(T).over(w)).withColumn("__nv", F.lead(V).over(w))
-    nt, nv = F.col("__nt"), F.col("__nv")
-    errs = F.transform(F.sequence(F.lit(0), F.lit(len(MODELS) - 1)),
-                       lambda i: F.pow(nv - (F.element_at("m_slopes", i + 1) * nt
-                                             + F.element_at("m_icpts", i + 1)), 2))
-    d = d.withColumn("__errs", errs)
-    past = w.rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("__eh", F.collect_list(F.struct(T.alias("t"), F.col("__errs").alias("e"))).over(past))
-    hist = F.col("__eh")
-    f = F.element_at(hist, 1)["t"]
-    n_models = len(MODELS)
-    init = F.struct(F.lit(0.0).alias("lt"), F.lit(0.0).alias("w"),
-                    F.array_repeat(F.lit(0.0), n_models).alias("s"))
-
-    def merge(acc, x):
-        a = F.pow(F.lit(error_alpha), (x["t"] - acc["lt"]) / f)
-        return F.struct(x["t"].alias("lt"), (acc["w"] * a + F.lit(1.0)).alias("w"),
-                        F.zip_with(acc["s"], x["e"], lambda s, e: s * a + e).alias("s"))
-
-    mae = F.aggregate(hist, init, merge, lambda acc: F.transform(acc["s"], lambda s: F.try_divide(s, acc["w"])))
-    d = d.withColumn("__mae", mae)
-    best = F.array_min(F.transform("__mae", lambda m, i: F.struct(m.alias("m"), (-i).alias("neg"))))
-    d = d.withColumn("__choice", -best["neg"])
-    prev_sl, prev_ic = F.lag("m_slopes").over(w), F.lag("m_icpts").over(w)
-    at = final_time if isinstance(final_time, Column) else F.lit(float(final_time))
-    pred = F.when((F.size("__eh") == 0) | prev_sl.isNull(), V).otherwise(
-        F.element_at(prev_sl, F.col("__choice") + 1) * at + F.element_at(prev_ic, F.col("__choice") + 1))
-    d = d.withColumn(out, pred)
+    d = d.selectExpr("*", f"lead({T}) OVER {W} AS __nt", f"lead({V}) OVER {W} AS __nv",
+                     f"lag(m_slopes) OVER {W} AS __psl", f"lag(m_icpts) OVER {W} AS __pic")
+    d = d.selectExpr("*", f"transform(sequence(1, {n}), i -> pow(__nv - (element_at(m_slopes, i) * __nt "
+                          f"+ element_at(m_icpts, i)), 2)) AS __errs")
+    d = d.selectExpr("*", f"collect_list(named_struct('t', {T}, 'e', __errs)) OVER {WP} AS __eh")
+    a = f"pow({error_alpha!r}D, (x.t - acc.lt) / element_at(__eh, 1).t)"
+    d = d.selectExpr("*", (
+        f"aggregate(__eh, named_struct('lt', 0D, 'w', 0D, 's', array_repeat(0D, {n})), "
+        f"(acc, x) -> named_struct('lt', x.t, 'w', acc.w * {a} + 1D, "
+        f"'s', zip_with(acc.s, x.e, (s, e) -> s * {a} + e)), "
+        f"acc -> transform(acc.s, s -> try_divide(s, acc.w))) AS __mae"))
+    d = d.selectExpr("*", "- array_min(transform(__mae, (m, i) -> named_struct('m', m, 'neg', -i))).neg AS __choice")
+    d = d.selectExpr("*", f"CASE WHEN size(__eh) = 0 OR __psl IS NULL THEN {V} "
+                          f"ELSE element_at(__psl, __choice + 1) * {at} + element_at(__pic, __choice + 1) END AS {_q(out)}")
     if with_choice:
-        d = d.withColumn(out + "_model", F.when(F.size("__eh") > 0, F.col("__choice")))
-    return d.drop("m_slopes", "m_icpts", "__nt", "__nv", "__errs", "__eh", "__mae", "__choice")
+        d = d.selectExpr("*", f"CASE WHEN size(__eh) > 0 THEN __choice END AS {_q(out + '_model')}")
+    return d.drop("m_slopes", "m_icpts", "__nt", "__nv", "__psl", "__pic", "__errs", "__eh", "__mae", "__choice")
 
 
 def forecast_table(df: DataFrame, keys: list[str], values: list[str], step: str, final_time,

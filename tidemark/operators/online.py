@@ -30,7 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import rnd
+from tidemark.functions.exprs import rnd, sql_rnd
 
 
 def _e(x) -> Column:
@@ -63,6 +63,27 @@ class Agg:
             return [(f"{n}__m", F.max(x), "max")]
         raise ValueError(f"unsupported online aggregate {self.op!r}")
 
+    def state_sql(self) -> list[tuple[str, str, str]]:
+        """(state column, partial aggregate as SQL, merge op)."""
+        x, n = self.expr, self.name
+        if self.expr is not None and not isinstance(self.expr, str):
+            raise TypeError("state_sql needs the aggregate input as SQL text")
+        return {"sum": [(f"{n}__s", f"sum({x})", "sum")],
+                "count": [(f"{n}__c", f"count({x})", "sum")],
+                "count_star": [(f"{n}__c", "count(1)", "sum")],
+                "avg": [(f"{n}__s", f"sum({x})", "sum"), (f"{n}__c", f"count({x})", "sum")],
+                "min": [(f"{n}__m", f"min({x})", "min")],
+                "max": [(f"{n}__m", f"max({x})", "max")]}[self.op]
+
+    def finish_sql(self) -> str:
+        n = self.name
+        if self.op in ("count", "count_star"):
+            return f"CAST({n}__c AS BIGINT) AS {n}"
+        v = {"avg": f"try_divide(CAST({n}__s AS DOUBLE), {n}__c)", "sum": f"{n}__s"}.get(self.op, f"{n}__m")
+        if self.digits is not None:
+            v = sql_rnd(v, self.digits)
+        return f"{v} AS {n}"
+
     def finish(self) -> Column:
         n = self.name
         if self.op in ("count", "count_star"):
@@ -101,39 +122,38 @@ def online_agg(df: DataFrame, part_col: str | Column, n_parts: int, spec: Online
                part_name: str = "part_idx", with_progress: bool = True) -> DataFrame:
     """Snapshots ``(part_idx, keys..., aggregates..., rows_seen, rows_total, progress)``.
 
-    ``part_col`` must take values in ``0 .. n_parts - 1``.
+    ``part_col`` must take values in ``0 .. n_parts - 1``. Aggregate inputs
+    are SQL text, so each step below is one projection handed to the JVM.
     """
     keys = list(spec.keys)
-    part = (F.col(part_col) if isinstance(part_col, str) else part_col).cast("bigint")
+    kq = [f"`{k}`" for k in keys]
+    part = (F.expr(part_col) if isinstance(part_col, str) else part_col).cast("bigint")
     src = df.withColumn(part_name, part)
 
-    states = [s for a in spec.aggs for s in a.states()]
+    states = [s for a in spec.aggs for s in a.state_sql()]
     # the partial states feed both the snapshots and the progress table; they
     # are small (parts x keys) and kept so the input is scanned once
     partial = (src.groupBy(part_name, *keys)
-               .agg(*[expr.alias(nm) for nm, expr, _ in states], F.count(F.lit(1)).alias("__rows"))
+               .agg(*[F.expr(f"{e} AS {nm}") for nm, e, _ in states], F.expr("count(1) AS __rows"))
                .persist(StorageLevel.MEMORY_AND_DISK))
 
-    w_key = Window.partitionBy(*keys).orderBy(part_name) if keys else Window.orderBy(part_name)
-    w_run = w_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = partial.select(
-        part_name, *keys,
-        *[_MERGE[m](F.col(nm)).over(w_run).alias(nm) for nm, _, m in states],
-        F.coalesce(F.lead(part_name).over(w_key) - 1, F.lit(n_parts - 1).cast("bigint")).alias("__until"))
-    snap = (running
-            .withColumn(part_name, F.explode(F.sequence(F.col(part_name), F.col("__until"))))
-            .drop("__until"))
-
-    out_cols = [F.col(part_name), *[F.col(k) for k in keys], *[a.finish() for a in spec.aggs]]
-    res = snap.select(*out_cols)
-    for d in spec.derived:
-        v = F.expr(d.expr)
-        res = res.withColumn(d.name, rnd(v, d.digits) if d.digits is not None else v)
+    by_key = f"PARTITION BY {', '.join(kq)} " if keys else ""
+    w = f"({by_key}ORDER BY {part_name})"
+    wr = f"({by_key}ORDER BY {part_name} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    running = partial.selectExpr(
+        part_name, *kq, *[f"{m}({nm}) OVER {wr} AS {nm}" for nm, _, m in states],
+        f"coalesce(lead({part_name}) OVER {w} - 1, CAST({n_parts - 1} AS BIGINT)) AS __until")
+    snap = running.selectExpr(f"explode(sequence({part_name}, __until)) AS {part_name}", *kq,
+                              *[nm for nm, _, _ in states])
+    res = snap.selectExpr(part_name, *kq, *[a.finish_sql() for a in spec.aggs])
+    if spec.derived:
+        res = res.selectExpr("*", *[f"{sql_rnd(d.expr, d.digits) if d.digits is not None else d.expr} AS {d.name}"
+                                    for d in spec.derived])
     if spec.hidden:
         res = res.drop(*spec.hidden)
 
     if with_progress:
-        counts = partial.groupBy(part_name).agg(F.sum("__rows").alias("__n"))
+        counts = partial.groupBy(part_name).agg(F.expr("sum(__rows) AS __n"))
         res = res.join(F.broadcast(progress(counts, part_name, n_parts)), part_name)
     return res
 
@@ -146,13 +166,13 @@ def progress(counts: DataFrame, part_name: str, n_parts: int) -> DataFrame:
     ``n_parts``-row grid so empty parts still report."""
     spark = counts.sparkSession
     grid = spark.range(n_parts).withColumnRenamed("id", part_name)
-    dense = grid.join(F.broadcast(counts), part_name, "left").fillna(0, ["__n"])
-    w = Window.orderBy(part_name)
-    return (dense.select(
+    dense = grid.join(F.broadcast(counts), part_name, "left")
+    return dense.selectExpr(
         part_name,
-        F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("bigint").alias("rows_seen"),
-        F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).cast("bigint").alias("rows_total"))
-        .withColumn("progress", rnd(F.try_divide(F.col("rows_seen").cast("double"), F.col("rows_total")), 4)))
+        f"CAST(sum(coalesce(__n, 0)) OVER (ORDER BY {part_name} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        " AS BIGINT) AS rows_seen",
+        "CAST(sum(coalesce(__n, 0)) OVER () AS BIGINT) AS rows_total").selectExpr(
+        "*", f"{sql_rnd('try_divide(CAST(rows_seen AS DOUBLE), rows_total)', 4)} AS progress")
 
 
 def final_snapshot(snapshots: DataFrame, n_parts: int, part_name: str = "part_idx") -> DataFrame:
