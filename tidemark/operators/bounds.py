@@ -23,12 +23,13 @@ buckets prunes files instead of scanning them.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import rnd
+from tidemark.functions.exprs import rnd, sql_rnd  # noqa: F401
 
 # Fixed hash constants: Knuth's multiplicative constant and a 2^31 word.
 HASH_MULT = 2654435761
@@ -104,12 +105,13 @@ def t_value(confidence: float, df: int) -> float:
     return round((lo + hi) / 2.0, 12)
 
 
-def quantiles(buckets: int, confidence: float, dist: str = "t") -> list[float]:
+@lru_cache(maxsize=64)
+def quantiles(buckets: int, confidence: float, dist: str = "t") -> tuple[float, ...]:
     """Critical value per step m = 1..buckets (t with m - 1 degrees of
     freedom; z for ``dist="z"``). Step 1 has no interval; its entry is 0."""
     if dist == "z":
-        return [z_value(confidence)] * buckets
-    return [0.0] + [t_value(confidence, m - 1) for m in range(2, buckets + 1)]
+        return (z_value(confidence),) * buckets
+    return (0.0,) + tuple(t_value(confidence, m - 1) for m in range(2, buckets + 1))
 
 
 def online_sum_ci(df: DataFrame, value: Column, unit: Column, buckets: int = 50,
@@ -119,29 +121,25 @@ def online_sum_ci(df: DataFrame, value: Column, unit: Column, buckets: int = 50,
     critical value is Student t with m - 1 degrees of freedom (``dist="z"``
     for the normal one)."""
     spark = df.sparkSession
-    crit = F.array(*[F.lit(q) for q in quantiles(buckets, confidence, dist)])
+    crit = "array(" + ", ".join(f"{q!r}D" for q in quantiles(buckets, confidence, dist)) + ")"
     # bucket totals to cents as exact decimals: the running sums below are
     # then exact and independent of summation order
     per = (df.select(bucket_of(unit, buckets).alias("bucket"), value.alias("v"))
-           .groupBy("bucket").agg(rnd(F.sum("v"), 2).cast("decimal(38,2)").alias("y"),
-                                  F.count(F.lit(1)).alias("n")))
+           .groupBy("bucket").agg(F.expr("CAST(round(CAST(sum(v) AS DECIMAL(38,6)), 2) AS DECIMAL(38,2)) AS y"),
+                                  F.expr("count(1) AS n")))
     grid = spark.range(buckets).withColumnRenamed("id", "bucket")
     dense = (grid.join(F.broadcast(per), "bucket", "left")
-             .select("bucket", F.coalesce("y", F.lit(0).cast("decimal(38,2)")).alias("y"),
-                     F.coalesce("n", F.lit(0)).alias("n")))
+             .selectExpr("bucket", "coalesce(y, CAST(0 AS DECIMAL(38,2))) AS y", "coalesce(n, 0) AS n"))
     if max_buckets is not None:
         dense = dense.where(F.col("bucket") < max_buckets)
-    w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    m = F.col("bucket") + 1
-    mean = F.sum("y").over(w).cast("double") / m
-    var = F.var_samp(F.col("y").cast("double")).over(w)
-    fpc = F.lit(1.0) - m.cast("double") / buckets
-    hw = F.element_at(crit, m.cast("int")) * F.lit(float(buckets)) * F.sqrt(F.greatest(fpc, F.lit(0.0)) * var / m)
-    return dense.select(
-        m.cast("bigint").alias("step"),
-        F.sum("n").over(w).cast("bigint").alias("rows_seen"),
-        rnd(F.lit(float(buckets)) * mean, 2).alias("estimate"),
-        rnd(hw, 2).alias("half_width"))
+    w = "(ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    run = dense.selectExpr("bucket + 1 AS m", f"CAST(sum(y) OVER {w} AS DOUBLE) / (bucket + 1) AS mean",
+                           f"var_samp(CAST(y AS DOUBLE)) OVER {w} AS var", f"sum(n) OVER {w} AS rows_seen")
+    hw = (f"element_at({crit}, CAST(m AS INT)) * {float(buckets)!r}D * "
+          f"sqrt(greatest(1.0D - CAST(m AS DOUBLE) / {buckets}, 0.0D) * var / m)")
+    return run.selectExpr("CAST(m AS BIGINT) AS step", "CAST(rows_seen AS BIGINT) AS rows_seen",
+                          f"{sql_rnd(f'{float(buckets)!r}D * mean', 2)} AS estimate",
+                          f"{sql_rnd(hw, 2)} AS half_width")
 
 
 def online_sum_sql(base: str, value: str, unit: str, buckets: int = 50, confidence: float = 0.95,
