@@ -191,3 +191,14 @@ def test_final_snapshot_independent_of_split(spark, rows, n_parts):
         F.sum("v").alias("s"), F.min("v").alias("mn"), F.max("v").alias("mx"), F.avg("v").alias("a"),
         F.count(F.lit(1)).alias("n")).collect()}
     assert got == want
+
+
+def test_last_value_per_key_in_stated_order(spark):
+    """The weather case's last values per date: 10/0.1, 1/0.01, 9/0.1."""
+    rows = [(0, 0, "08-21", 20, 0.2), (1, 0, "08-21", 10, 0.1), (2, 1, "08-22", 7, 0.3),
+            (3, 1, "08-23", 9, 0.1), (4, 2, "08-22", 1, 0.01)]
+    df = spark.createDataFrame(rows, "i int, p long, date string, temp int, rain double")
+    spec = OnlineSpec(["date"], [Agg("temp", "last", "temp", order="i"), Agg("rain", "last", "rain", order="i")])
+    snaps = {(r.part_idx, r.date): (r.temp, r.rain) for r in online_agg(df, "p", 3, spec).collect()}
+    assert snaps[(2, "08-21")] == (10, 0.1) and snaps[(2, "08-22")] == (1, 0.01) and snaps[(2, "08-23")] == (9, 0.1)
+    assert snaps[(1, "08-22")] == (7, 0.3)

@@ -126,3 +126,13 @@ def test_run_all(spark, tmpdir_path):
     out = sinks.run_all(spark, SF001, tmpdir_path, names=["tpch_q6", "course_a"])
     assert set(out) == {"tpch_q6", "course_a"}
     assert spark.read.parquet(out["tpch_q6"]).count() == 1
+
+
+def test_register_tbl_tables(spark, tmpdir_path):
+    _write(os.path.join(tmpdir_path, "nation.tbl"), NATION)
+    _write(os.path.join(tmpdir_path, "region.tbl"), ["0|AFRICA|x", "1|AMERICA|y"])
+    names = files.register_tbl_tables(spark, tmpdir_path, suffix="_tbltest")
+    assert sorted(names) == ["nation_tbltest", "region_tbltest"]
+    r = spark.sql("SELECT r_name, count(*) AS n FROM nation_tbltest JOIN region_tbltest ON n_regionkey = r_regionkey "
+                  "GROUP BY r_name ORDER BY r_name").collect()
+    assert [(x.r_name, x.n) for x in r] == [("AFRICA", 1), ("AMERICA", 2)]

@@ -41,9 +41,10 @@ def _e(x) -> Column:
 class Agg:
     """One output aggregate. ``expr`` is SQL text or a Column (None: rows)."""
     name: str
-    op: str                      # sum | count | avg | min | max | count_star
+    op: str                      # sum | count | avg | min | max | count_star | last
     expr: str | Column | None = None
     digits: int | None = None    # round the finished value (doubles)
+    order: str | None = None     # for ``last``: SQL text giving the input order
 
     def states(self) -> list[tuple[str, Column, str]]:
         """(state column, partial expression, merge op)."""
@@ -61,8 +62,15 @@ class Agg:
             return [(f"{n}__m", F.min(x), "min")]
         if self.op == "max":
             return [(f"{n}__m", F.max(x), "max")]
+        if self.op == "last":
+            return [(f"{n}__m", F.max_by(x, F.expr(self._order())), "last")]
         raise ValueError(f"unsupported online aggregate {self.op!r}")
 
+    def _order(self) -> str:
+        if not self.order:
+            raise ValueError("a 'last' aggregate needs an explicit order")
+        return self.order
+
     def state_sql(self) -> list[tuple[str, str, str]]:
         """(state column, partial aggregate as SQL, merge op)."""
         x, n = self.expr, self.name
@@ -73,7 +81,8 @@ class Agg:
                 "count_star": [(f"{n}__c", "count(1)", "sum")],
                 "avg": [(f"{n}__s", f"sum({x})", "sum"), (f"{n}__c", f"count({x})", "sum")],
                 "min": [(f"{n}__m", f"min({x})", "min")],
-                "max": [(f"{n}__m", f"max({x})", "max")]}[self.op]
+                "max": [(f"{n}__m", f"max({x})", "max")],
+                "last": [(f"{n}__m", f"max_by({x}, {self.order})", "last")]}[self.op]
 
     def finish_sql(self) -> str:
         n = self.name
@@ -99,7 +108,7 @@ class Agg:
         return v.alias(n)
 
 
-_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
+_MERGE = {"sum": F.sum, "min": F.min, "max": F.max, "last": F.last}
 
 
 @dataclass

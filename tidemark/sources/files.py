@@ -119,6 +119,19 @@ def read_tbl_table(spark: SparkSession, directory: str, table: str, columns: lis
     return df
 
 
+def register_tbl_tables(spark: SparkSession, directory: str, trailing_delimiter: bool = False,
+                        suffix: str = "") -> list[str]:
+    """Every TPC-H ``.tbl`` table found under ``directory`` as a temp
+    view (typed, one view per table)."""
+    names = []
+    for table in TPCH_SCHEMAS:
+        if table_files(directory, table):
+            read_tbl_table(spark, directory, table, trailing_delimiter=trailing_delimiter) \
+                .createOrReplaceTempView(table + suffix)
+            names.append(table + suffix)
+    return names
+
+
 def read_header_csv_cast(spark: SparkSession, path: str, casts: dict[str, str]) -> DataFrame:
     """A5: header CSV read as text, named columns cast with ``try_cast``
     (a bad value becomes null rather than failing the job)."""

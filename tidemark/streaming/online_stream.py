@@ -58,7 +58,7 @@ def forecast_sink(snap_path: str, out_path: str, keys: list[str], values: list[s
 
     def sink(snap: DataFrame, batch_id: int) -> None:
         spark = snap.sparkSession
-        hist = (spark.read.parquet(snap_path).where(F.col("part_idx") <= batch_id)
+        hist = (read_snapshots(spark, snap_path).where(F.col("part_idx") <= batch_id)
                 .select("part_idx", *keys, *values)
                 .withColumn("step", (F.col("part_idx") + 1).cast("double")))
         fc = forecast_table(hist, keys, values, "step", final_step)
@@ -83,7 +83,8 @@ def online_agg_stream(stream: DataFrame, spec: OnlineSpec, out_path: str, name:
         snap = _finish(batch, spec).withColumn("part_idx", F.lit(batch_id).cast("bigint"))
         if extra_sinks:
             snap = snap.persist()
-        (snap.write.mode("overwrite").parquet(os.path.join(out_path, f"part_idx={batch_id}")))
+        # the part index lives in the folder name only
+        snap.drop("part_idx").write.mode("overwrite").parquet(os.path.join(out_path, f"part_idx={batch_id}"))
         for sink in extra_sinks or []:
             sink(snap, batch_id)
         if extra_sinks:
@@ -117,4 +118,4 @@ def run_to_end(query: StreamingQuery, timeout_s: float = 600.0) -> bool:
 
 def read_snapshots(spark: SparkSession, out_path: str) -> DataFrame:
     """Every snapshot written so far, tagged with its part index."""
-    return spark.read.parquet(out_path)
+    return spark.read.parquet(out_path).withColumn("part_idx", F.col("part_idx").cast("bigint"))
