@@ -196,3 +196,57 @@ def information_criteria(k: Column, log_l: Column, n: Column) -> dict[str, Colum
 def least_square_loglik(rss: Column, n: Column) -> Column:
     """-n ln(RSS/n) / 2 (null when RSS is 0: a perfect fit)."""
     return F.when(rss > 0, -n * F.log(rss / n) / F.lit(2.0))
+
+
+# ---------------------------------------------------------------- SQL twin
+
+def forecast_select_sql(src: str, keys: list[str], value: str, final_time: float, round_sql,
+                        ses_alpha: float = SES_ALPHA, trend_alpha: float = TREND_SES_ALPHA,
+                        error_alpha: float = ERROR_ALPHA, prefix: str = "fs") -> str:
+    """DuckDB text for :func:`forecast_select` over the CTE ``src`` (columns
+    ``part_idx, keys..., t, <value>``); an independent formulation: smoothed
+    averages in closed form (sum a^((t_n - t_i)/f) x_i / sum a^(...)) by
+    self-joins, candidates as columns, ties to the last candidate by a CASE
+    chain. Ends with CTE ``{prefix}_out (part_idx, keys..., t, v, forecast,
+    forecast_model)``; the caller adds the final SELECT."""
+    n = len(MODELS)
+    ks = ", ".join(keys)
+    on = " AND ".join([f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in keys] or ["TRUE"])
+    part = f"PARTITION BY {ks} " if keys else ""
+    w0 = f"({part}ORDER BY t)"
+    wr = f"({part}ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ga = ", ".join(["a.part_idx"] + [f"a.{k}" for k in keys])
+    use = ", ".join(["part_idx"] + keys)
+    T = f"{float(final_time)!r}"
+    p = prefix
+    bs = [f"b{i}" for i in range(n)]
+    as_ = [f"a{i}" for i in range(n)]
+    errs = ",\n  ".join(f"power(nv - (b{i} * nt + a{i}), 2) AS e{i}" for i in range(n))
+    wsum = lambda alpha, col: (f"sum(power({alpha!r}, (a.t - b.t) / a.f) * b.{col}) / "
+                               f"sum(power({alpha!r}, (a.t - b.t) / a.f))")
+    maes = ",\n  ".join(f"{wsum(error_alpha, f'e{i}')} AS m{i}" for i in range(n))
+    chain = " ".join(f"WHEN m{i} <= mm THEN {i}" for i in reversed(range(n)))
+    prev = ", ".join(f"lag({c}) OVER {w0} AS p{c}" for c in bs + as_)
+    pick = " ".join(f"WHEN {i} THEN pb{i} * {T} + pa{i}" for i in range(n))
+    return f"""
+, {p}_st AS (SELECT part_idx, {ks + ', ' if keys else ''}t, CAST({value} AS DOUBLE) AS v,
+    min(t) OVER ({part.strip()}) AS f,
+    (CAST({value} AS DOUBLE) - coalesce(lag(CAST({value} AS DOUBLE)) OVER {w0}, 0.0))
+      / (t - coalesce(lag(t) OVER {w0}, 0.0)) AS s FROM {src}),
+{p}_sm AS (SELECT {ga}, {wsum(ses_alpha, 'v')} AS sv, {wsum(trend_alpha, 's')} AS ss
+  FROM {p}_st a JOIN {p}_st b ON {on} AND b.t <= a.t GROUP BY {ga}),
+{p}_m AS (SELECT x.*, y.sv, y.ss, avg(v) OVER {wr} AS mv, avg(t) OVER {wr} AS mt, avg(s) OVER {wr} AS ms,
+    CASE WHEN var_pop(t) OVER {wr} = 0 THEN 0.0 ELSE covar_pop(t, v) OVER {wr} / var_pop(t) OVER {wr} END AS ob
+  FROM {p}_st x JOIN {p}_sm y USING ({use})),
+{p}_p AS (SELECT *, 0.0 AS b0, v AS a0, 0.0 AS b1, mv AS a1, 0.0 AS b2, sv AS a2, ob AS b3, mv - ob * mt AS a3,
+    s AS b4, v - s * t AS a4, ms AS b5, v - ms * t AS a5, ss AS b6, v - ss * t AS a6,
+    lead(t) OVER {w0} AS nt, lead(v) OVER {w0} AS nv FROM {p}_m),
+{p}_e AS (SELECT *, {errs} FROM {p}_p),
+{p}_mae AS (SELECT {ga}, count(b.t) AS nscored, {maes}
+  FROM {p}_e a LEFT JOIN {p}_e b ON {on} AND b.t < a.t GROUP BY {ga}),
+{p}_c AS (SELECT e.*, q.nscored, least({', '.join(f'q.m{i}' for i in range(n))}) AS mm,
+    {', '.join(f'q.m{i}' for i in range(n))}, {prev} FROM {p}_e e JOIN {p}_mae q USING ({use})),
+{p}_out AS (SELECT part_idx, {ks + ', ' if keys else ''}t, v,
+    CASE WHEN nscored = 0 OR pb0 IS NULL THEN v ELSE CASE (CASE {chain} ELSE 0 END) {pick} END END AS forecast,
+    CASE WHEN nscored > 0 THEN (CASE {chain} ELSE 0 END) END AS forecast_model FROM {p}_c)
+"""

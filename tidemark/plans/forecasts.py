@@ -75,7 +75,9 @@ register("fc_trend_ses", SERIES_SQL + STEP_SQL + f", sm AS ({_ses_sql('s', fc.TR
          f"FROM st JOIN sm USING (part_idx, l_returnflag, l_linestatus)")(_cell("trend_ses"))
 
 
-@register("fc_select")
+@register("fc_select", SERIES_SQL + fc.forecast_select_sql("ser", KEYS, "v", FINAL_T, R) +
+          f"SELECT part_idx, l_returnflag, l_linestatus, t, v, {R('forecast')} AS forecast, forecast_model "
+          f"FROM fs_out")
 def fc_select(spark, sf_dir):
     """J8 on each series; ``forecast_model`` is the chosen candidate index."""
     out = fc.forecast_select(series(spark, sf_dir), KEYS, "t", "v", FINAL_T, with_choice=True)
@@ -86,7 +88,17 @@ VALUE_COLS = ["sum_qty", "sum_base_price", "sum_disc_price", "sum_charge", "avg_
               "avg_disc", "count_order"]
 
 
-@register("fc_table")
+FC_TABLE_SQL = (SNAP_SQL + ", wide AS (SELECT part_idx, l_returnflag, l_linestatus, CAST(part_idx + 1 AS DOUBLE) AS t, "
+                + ", ".join(f"CAST({v} AS DOUBLE) AS {v}" for v in VALUE_COLS) + " FROM snap),\n"
+                + "long AS (UNPIVOT wide ON " + ", ".join(VALUE_COLS) + " INTO NAME col VALUE val)\n"
+                + fc.forecast_select_sql("long", KEYS + ["col"], "val", FINAL_T, R, prefix="ft")
+                + "SELECT part_idx, l_returnflag, l_linestatus, "
+                + ", ".join(f"{R(f'max(CASE WHEN col = {chr(39)}{v}{chr(39)} THEN forecast END)', 4)} AS {v}"
+                            for v in VALUE_COLS)
+                + " FROM ft_out GROUP BY part_idx, l_returnflag, l_linestatus")
+
+
+@register("fc_table", FC_TABLE_SQL)
 def fc_table(spark, sf_dir):
     """Online Q1's snapshots with every value column replaced by
     its forecast of the final answer (step counter = part_idx + 1)."""
