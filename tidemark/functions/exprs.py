@@ -28,11 +28,6 @@ def sql_rnd(expr: str, digits: int = 2) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
 
 
-def round_half_away(c, digits: int) -> Column:
-    """H5: (v * 10^n).round() / 10^n with ties away from zero."""
-    return F.round(col(c), digits)
-
-
 # ---------------------------------------------------------------- pricing
 
 def disc_price(price="l_extendedprice", discount="l_discount") -> Column:

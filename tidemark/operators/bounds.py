@@ -26,10 +26,10 @@ from __future__ import annotations
 from functools import lru_cache
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import rnd, sql_rnd  # noqa: F401
+from tidemark.functions.exprs import sql_rnd
 
 # Fixed hash constants: Knuth's multiplicative constant and a 2^31 word.
 HASH_MULT = 2654435761

@@ -26,7 +26,7 @@ Step slopes are (v_i - v_{i-1}) / (t_i - t_{i-1}) with (t_0, v_0) = (0, 0).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the default selector: candidate smoothing bases and the
@@ -38,11 +38,6 @@ MODELS = ["tail", "mean", "ses", "ols", "trend_tail", "trend_mean", "trend_ses"]
 COMPLEXITY = [1, 1, 1, 2, 2, 2, 2]
 
 
-def _windows(keys, order):
-    w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-    return w, w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -65,19 +60,6 @@ def ses_fold_sql(hist: str, alpha: float, field: str) -> str:
             f"acc -> try_divide(acc.s, acc.w))")
 
 
-def ses_fold(hist: Column, alpha: float, field: str) -> Column:
-    """Column form of :func:`ses_fold_sql` for a list column."""
-    f = F.element_at(hist, 1)["t"]
-    init = F.struct(F.lit(0.0).alias("lt"), F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))
-
-    def merge(acc, x):
-        a = F.pow(F.lit(alpha), (x["t"] - acc["lt"]) / f)
-        return F.struct(x["t"].alias("lt"), (acc["s"] * a + x[field]).alias("s"),
-                        (acc["w"] * a + F.lit(1.0)).alias("w"))
-
-    return F.aggregate(hist, init, merge, lambda acc: F.try_divide(acc["s"], acc["w"]))
-
-
 def with_models(df: DataFrame, keys: list[str], t: str, v: str, order: list[str] | None = None,
                 ses_alpha: float = SES_ALPHA, trend_alpha: float = TREND_SES_ALPHA,
                 prefix: str = "") -> DataFrame:

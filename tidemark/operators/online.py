@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import rnd, sql_rnd

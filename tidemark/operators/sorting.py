@@ -10,8 +10,6 @@ partition; the boundary check then runs over those few rows.
 
 from __future__ import annotations
 
-import zlib
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -201,8 +199,3 @@ def teragen(spark, n: int, seed: int = 0) -> DataFrame:
     filler = F.rpad(F.lit(""), 66, "X")
     return ids.select(key.alias("key"), F.lpad(F.col("id").cast("string"), 12, "0").alias("rowid"),
                       filler.alias("filler"))
-
-
-def crc32_py(s: str) -> int:
-    """Same checksum term in plain Python (for tests)."""
-    return zlib.crc32(s.encode("utf-8"))
