@@ -114,3 +114,17 @@ def test_information_criteria():
     assert r.aic == 24.0
     assert abs(r.aicc - (24.0 + 12.0 / 17.0)) < 1e-12
     assert abs(r.bic - (2 * math.log(20) + 20)) < 1e-12
+
+
+@pytest.mark.parametrize("seed", [5, 6, 7])
+def test_state_step_matches_brute_force(seed):
+    """The keyed-state update used on streams gives the selector's answers."""
+    from tidemark.streaming.forecast_state import step
+    rnd = random.Random(seed)
+    ts = [float(t) for t in sorted(rnd.sample(range(1, 80), 20))]
+    vs = [rnd.uniform(-3, 3) + 0.5 * t for t in ts]
+    want = select_series(ts, vs, 90.0, ses=0.75, trend=0.5)
+    st = None
+    for (t, v), (w, wi) in zip(zip(ts, vs), want):
+        st, pred, choice = step(st, t, v, 90.0)
+        assert abs(pred - w) <= 1e-9 * max(1.0, abs(w)) and choice == wi

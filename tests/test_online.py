@@ -202,3 +202,25 @@ def test_last_value_per_key_in_stated_order(spark):
     snaps = {(r.part_idx, r.date): (r.temp, r.rain) for r in online_agg(df, "p", 3, spec).collect()}
     assert snaps[(2, "08-21")] == (10, 0.1) and snaps[(2, "08-22")] == (1, 0.01) and snaps[(2, "08-23")] == (9, 0.1)
     assert snaps[(1, "08-22")] == (7, 0.3)
+
+
+def test_stateful_forecast_stream_matches_batch(spark, tmpdir_path):
+    """J10 with keyed state (applyInPandasWithState) over the snapshot files:
+    same forecasts as the batch table forecast."""
+    from pyspark.sql import types as T
+    from tidemark.plans.forecasts import VALUE_COLS, fc_table
+    from tidemark.streaming.forecast_state import forecast_state_stream
+    src, schema = _write_parts(spark, SF001, tmpdir_path)
+    snaps, fcs = os.path.join(tmpdir_path, "snaps"), os.path.join(tmpdir_path, "fc")
+    keys = ["l_returnflag", "l_linestatus"]
+    assert run_to_end(online_agg_stream(file_stream(spark, src, schema), Q1_SPEC, snaps), 300)
+    snap_schema = T.StructType(spark.read.parquet(snaps).schema.fields)
+    q = forecast_state_stream(file_stream(spark, snaps, snap_schema, files_per_trigger=3), keys, VALUE_COLS, 10.0, fcs)
+    assert run_to_end(q, 300)
+    got = {(r.part_idx, r.l_returnflag, r.l_linestatus, r.col): r.forecast for r in spark.read.parquet(fcs).collect()}
+    want = fc_table(spark, SF001).collect()
+    assert len(got) == len(want) * len(VALUE_COLS)
+    for r in want:
+        for v in VALUE_COLS:
+            g = got[(r.part_idx, r.l_returnflag, r.l_linestatus, v)]
+            assert abs(g - r[v]) <= 1e-4 + 1e-9 * abs(r[v]), (r.part_idx, v, g, r[v])
