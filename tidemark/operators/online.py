@@ -152,7 +152,7 @@ def online_agg(df: DataFrame, part_col: str | Column, n_parts: int, spec: Online
     running = partial.selectExpr(
         part_name, *kq, *[f"{m}({nm}) OVER {wr} AS {nm}" for nm, _, m in states],
         f"coalesce(lead({part_name}) OVER {w} - 1, CAST({n_parts - 1} AS BIGINT)) AS __until")
-    snap = running.selectExpr(f"explode(sequence({part_name}, __until)) AS {part_name}", *kq,
+    snap = running.selectExpr(f"explode(sequence({part_name}, greatest({part_name}, __until))) AS {part_name}", *kq,
                               *[nm for nm, _, _ in states])
     res = snap.selectExpr(part_name, *kq, *[a.finish_sql() for a in spec.aggs])
     if spec.derived:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import byte_length, rnd, sql_rnd as R
 from tidemark.operators.relational import (agg_spec, foreign_key_orphans, last_per_group,
-                                           primary_key_violations, sum_all, union_all)
+                                           primary_key_violations, sum_all, union_all, with_position)
 from tidemark.plans.registry import register
 from tidemark.sources.tpch import tables
 
@@ -99,7 +99,6 @@ ON a.pos = b.pos
 def inv_c20_hconcat(spark, sf_dir):
     """C20: positional horizontal concat of customer and orders (each in key
     order); positions come from a distributed sort, see ``with_position``."""
-    from tidemark.operators.relational import with_position
     t = tables(spark, sf_dir)
     a = with_position(t["customer"].select("c_custkey", "c_name"), ["c_custkey"])
     b = with_position(t["orders"].select("o_orderkey", "o_totalprice"), ["o_orderkey"])

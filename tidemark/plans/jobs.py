@@ -10,10 +10,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators.sorting import checksum, total_sort, validate_sorted_files
 from tidemark.plans.registry import register
+from tidemark.session import checkpoint_dir
 from tidemark.sources.tpch import tables
 
 c = F.col
@@ -61,8 +64,6 @@ def job_terasort(spark, sf_dir, n_parts: int | None = None):
     """Generate (records from lineitem), sort, validate -- as the reference
     chains TeraGen, TeraSort and TeraValidate: the sorted output is written
     once to the shared folder and validated by reading those files once."""
-    import uuid
-    from tidemark.session import checkpoint_dir
     cols = ["key", "rowid", "payload"]
     recs = tera_records(spark, sf_dir)
     out = f"{checkpoint_dir(spark).rstrip('/')}/terasort/{uuid.uuid4().hex}"

@@ -24,8 +24,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import (disc_price, charge, in_range, lit_date, rnd, sql_rnd as R,
-                                      year_of)
+from tidemark.functions.exprs import (add_days, add_months, add_years, charge, disc_price, in_range, lit_date,
+                                      rnd, sql_rnd as R, year_of)
 from tidemark.plans.registry import register
 from tidemark.sources.tpch import tables
 
@@ -61,7 +61,6 @@ GROUP BY l_returnflag, l_linestatus
 ORDER BY l_returnflag, l_linestatus
 """)
 def q1(spark, sf_dir, delta_days: int = 90):
-    from tidemark.functions.exprs import add_days
     li = _t(spark, sf_dir)["lineitem"].where(c("l_shipdate") <= lit_date(add_days("1998-12-01", -delta_days)))
     return (li.groupBy("l_returnflag", "l_linestatus")
             .agg(rnd(F.sum("l_quantity")).alias("sum_qty"),
@@ -137,7 +136,6 @@ WHERE o_orderdate >= DATE '1996-07-01' AND o_orderdate < DATE '1996-07-01' + INT
 GROUP BY o_orderpriority ORDER BY o_orderpriority
 """)
 def q4(spark, sf_dir, start: str = "1996-07-01"):
-    from tidemark.functions.exprs import add_months
     t = _t(spark, sf_dir)
     late = t["lineitem"].where(c("l_commitdate") < c("l_receiptdate")).select("l_orderkey")
     o = (t["orders"].where(in_range("o_orderdate", start, add_months(start, 3)))
@@ -157,7 +155,6 @@ WHERE c_custkey = o_custkey AND l_orderkey = o_orderkey AND l_suppkey = s_suppke
 GROUP BY n_name ORDER BY revenue DESC
 """)
 def q5(spark, sf_dir, region: str = "ASIA", start: str = "1996-01-01"):
-    from tidemark.functions.exprs import add_years
     t = _t(spark, sf_dir)
     n = _nations(t, region).select("n_nationkey", "n_name")
     s = (t["supplier"].join(n, c("s_nationkey") == c("n_nationkey"))
@@ -180,7 +177,6 @@ WHERE l_shipdate >= DATE '1996-01-01' AND l_shipdate < DATE '1996-01-01' + INTER
   AND l_discount BETWEEN 0.05 AND 0.07 AND l_quantity < 24
 """)
 def q6(spark, sf_dir, start: str = "1996-01-01", discount: float = 0.06, quantity: float = 24):
-    from tidemark.functions.exprs import add_years
     li = _t(spark, sf_dir)["lineitem"].where(
         in_range("l_shipdate", start, add_years(start, 1))
         & c("l_discount").between(round(discount - 0.01, 2), round(discount + 0.01, 2))
@@ -290,7 +286,6 @@ GROUP BY c_custkey, c_name, c_acctbal, c_phone, n_name, c_address, c_comment
 ORDER BY revenue DESC
 """)
 def q10(spark, sf_dir, start: str = "1996-10-01"):
-    from tidemark.functions.exprs import add_months
     t = _t(spark, sf_dir)
     o = t["orders"].where(in_range("o_orderdate", start, add_months(start, 3))).select("o_orderkey", "o_custkey")
     li = t["lineitem"].where(c("l_returnflag") == "R").select("l_orderkey", "l_extendedprice", "l_discount")
@@ -342,7 +337,6 @@ WHERE o_orderkey = l_orderkey AND l_shipmode IN ('MAIL', 'SHIP')
 GROUP BY l_shipmode ORDER BY l_shipmode
 """)
 def q12(spark, sf_dir, modes=("MAIL", "SHIP"), start: str = "1996-01-01"):
-    from tidemark.functions.exprs import add_years
     t = _t(spark, sf_dir)
     li = t["lineitem"].where(c("l_shipmode").isin(*modes) & (c("l_commitdate") < c("l_receiptdate"))
                              & (c("l_shipdate") < c("l_commitdate"))
@@ -384,7 +378,6 @@ WHERE l_partkey = p_partkey AND l_shipdate >= DATE '1995-09-01'
   AND l_shipdate < DATE '1995-09-01' + INTERVAL 1 MONTH
 """)
 def q14(spark, sf_dir, start: str = "1995-09-01"):
-    from tidemark.functions.exprs import add_months
     t = _t(spark, sf_dir)
     li = t["lineitem"].where(in_range("l_shipdate", start, add_months(start, 1)))
     j = li.join(t["part"].select("p_partkey", "p_type"), c("l_partkey") == c("p_partkey"))
@@ -404,7 +397,6 @@ WHERE s_suppkey = supplier_no AND total_revenue = (SELECT max(total_revenue) FRO
 ORDER BY s_suppkey
 """)
 def q15(spark, sf_dir, start: str = "1996-01-01"):
-    from tidemark.functions.exprs import add_months
     t = _t(spark, sf_dir)
     revenue0 = (t["lineitem"].where(in_range("l_shipdate", start, add_months(start, 3)))
                 .groupBy(c("l_suppkey").alias("supplier_no"))
@@ -532,7 +524,6 @@ WHERE s_suppkey IN (
 ORDER BY s_name
 """)
 def q20(spark, sf_dir, prefix: str = "red", start: str = "1996-01-01", nation: str = "NATION_3"):
-    from tidemark.functions.exprs import add_years
     t = _t(spark, sf_dir)
     p = t["part"].where(c("p_name").startswith(prefix)).select("p_partkey")
     ps = t["partsupp"].join(p, c("ps_partkey") == c("p_partkey"), "left_semi")
