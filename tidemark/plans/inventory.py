@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import byte_length, rnd, sql_rnd as R
 from tidemark.operators.relational import (agg_spec, foreign_key_orphans, last_per_group,
                                            primary_key_violations, sum_all, union_all, with_position)
+from tidemark.operators.udf import temp_view
 from tidemark.plans.registry import register
 from tidemark.sources.tpch import tables
 
@@ -64,9 +65,9 @@ def inv_c9_not_in(spark, sf_dir):
     (SQL three-valued logic); the second has none. Planned by Catalyst as a
     null-aware anti join."""
     t = tables(spark, sf_dir)
-    t["customer"].createOrReplaceTempView("tm_customer")
-    t["nation"].createOrReplaceTempView("tm_nation")
-    return spark.sql("""
+    # the views are resolved when spark.sql analyses the text; drop them after
+    with temp_view(spark, "tm_customer", t["customer"]), temp_view(spark, "tm_nation", t["nation"]):
+        return spark.sql("""
 SELECT c_mktsegment, count(*) AS customers FROM tm_customer
 WHERE c_nationkey NOT IN (SELECT CASE WHEN n_regionkey = 4 THEN NULL ELSE n_nationkey END
                           FROM tm_nation WHERE n_regionkey >= 3)
