@@ -191,13 +191,15 @@ def final_snapshot(snapshots: DataFrame, n_parts: int, part_name: str = "part_id
 
 def file_parts(df: DataFrame, part_name: str = "part_idx") -> tuple[DataFrame, int]:
     """A2: one part per input file, numbered in natural order of the file
-    names (``x.tbl.2`` before ``x.tbl.10``). The file list is metadata."""
-    import re
-    files = sorted(df.inputFiles(), key=lambda s: [int(t) if t.isdigit() else t
-                                                   for t in re.split(r"(\d+)", s)])
-    names = [f.rsplit("/", 1)[-1] for f in files]
-    mapping = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
-    return df.withColumn(part_name, mapping[F.col("_metadata.file_name")].cast("bigint")), len(names)
+    names (``x.tbl.2`` before ``x.tbl.10``). The numbering is a table of one
+    row per file (metadata-sized, like Spark's own file index) joined on
+    ``_metadata.file_name`` -- not a literal in the plan."""
+    from tidemark.sources.files import file_index
+    idx = file_index(df.sparkSession, df.inputFiles(), part_name)
+    n = len(df.inputFiles())
+    out = (df.withColumn("__file", F.col("_metadata.file_name"))
+           .join(F.broadcast(idx), "__file").drop("__file"))
+    return out, n
 
 
 # ---------------------------------------------------------------- SQL twin

@@ -24,8 +24,6 @@ DEFAULT_CONF = {
     # target size of post-shuffle partitions; AQE coalesces small ones and
     # splits skewed ones against it
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
-    # coalesce to the advisory size rather than to many small tasks
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 

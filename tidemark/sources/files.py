@@ -101,6 +101,13 @@ def table_files(directory: str, table: str) -> list[str]:
     return sorted(_glob.glob(f"{directory.rstrip('/')}/{table}.tbl*"), key=natural_key)
 
 
+def file_index(spark: SparkSession, files: list[str], part_name: str = "part_idx") -> DataFrame:
+    """``(__file, part_name)``: each file's base name and its rank in natural
+    order. One row per file."""
+    names = sorted({f.rsplit("/", 1)[-1] for f in files}, key=natural_key)
+    return spark.createDataFrame([(n, i) for i, n in enumerate(names)], f"__file string, {part_name} long")
+
+
 def read_tbl_table(spark: SparkSession, directory: str, table: str, columns: list[str] | None = None,
                    trailing_delimiter: bool = False, with_part: bool = False) -> DataFrame:
     """A2/A3: a TPC-H table from its ``.tbl`` files: typed, pruned to
@@ -113,9 +120,8 @@ def read_tbl_table(spark: SparkSession, directory: str, table: str, columns: lis
     if columns is not None:
         df = df.select(*[f.name for f in schema.fields if f.name in set(columns)])
     if with_part:
-        names = [f.rsplit("/", 1)[-1] for f in files]
-        mapping = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
-        df = df.withColumn("part_idx", mapping[F.col("_metadata.file_name")].cast("bigint"))
+        df = (df.withColumn("__file", F.col("_metadata.file_name"))
+              .join(F.broadcast(file_index(spark, files)), "__file").drop("__file"))
     return df
 
 
