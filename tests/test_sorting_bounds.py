@@ -67,3 +67,24 @@ def test_interval_covers_truth_mostly(spark):
             total += 1
             hits += abs(s.estimate - truth) <= s.half_width
     assert hits / total > 0.85
+
+
+def test_validate_sorted_files_catches_disorder(spark, tmpdir_path):
+    import os
+    cols = ["key", "rowid", "filler"]
+    recs = S.teragen(spark, 5000)
+    good = os.path.join(tmpdir_path, "good")
+    S.total_sort(recs, ["key"], 4).write.parquet(good)
+    v = S.validate_sorted_files(spark, good, "key", cols).first()
+    assert v.partitions_sorted and v.boundaries_ordered and v.rows == 5000
+    assert v.checksum == S.checksum(recs, cols).first().checksum
+    # ranges written in reverse file order: each file sorted, boundaries not
+    rev = os.path.join(tmpdir_path, "rev")
+    S.total_sort(recs.withColumn("neg", F.lit(0)), [F.col("key").desc()], 4) \
+        .sortWithinPartitions("key").drop("neg").write.parquet(rev)
+    v = S.validate_sorted_files(spark, rev, "key", cols).first()
+    assert v.partitions_sorted and not v.boundaries_ordered
+    # unsorted inside a file
+    bad = os.path.join(tmpdir_path, "bad")
+    recs.coalesce(1).write.parquet(bad)
+    assert not S.validate_sorted_files(spark, bad, "key", cols).first().partitions_sorted
