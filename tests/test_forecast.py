@@ -128,3 +128,20 @@ def test_state_step_matches_brute_force(seed):
     for (t, v), (w, wi) in zip(zip(ts, vs), want):
         st, pred, choice = step(st, t, v, 90.0)
         assert abs(pred - w) <= 1e-9 * max(1.0, abs(w)) and choice == wi
+
+
+def test_grouped_selector_equals_window_selector(spark):
+    from tidemark.streaming.forecast_state import forecast_select_grouped
+    rnd = random.Random(11)
+    rows = []
+    for key in ("a", "b"):
+        ts = sorted(rnd.sample(range(1, 60), 15))
+        rows += [(key, float(t), rnd.uniform(-2, 2) + 0.4 * t) for t in ts]
+    df = spark.createDataFrame(rows, "key string, t double, v double")
+    w = {(r.key, r.t): (r.forecast, r.forecast_model) for r in
+         fc.forecast_select(df, ["key"], "t", "v", 70.0, with_choice=True).collect()}
+    g = {(r.key, r.t): (r.forecast, r.forecast_model) for r in
+         forecast_select_grouped(df, ["key"], "t", "v", 70.0).collect()}
+    assert w.keys() == g.keys()
+    for k in w:
+        assert abs(w[k][0] - g[k][0]) <= 1e-9 * max(1.0, abs(w[k][0])) and w[k][1] == g[k][1]

@@ -133,3 +133,30 @@ def forecast_state_stream(snapshots: DataFrame, keys: list[str], values: list[st
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
     return (fc.writeStream.outputMode("append").format("parquet").option("path", out_path)
             .option("checkpointLocation", ckpt).queryName(name).trigger(availableNow=True).start())
+
+
+def forecast_select_grouped(df: DataFrame, keys: list[str], t: str, v: str, final_time: float,
+                            out: str = "forecast") -> DataFrame:
+    """J8 for long series, in batch: each series is one group of
+    ``applyInPandas``, walked once in time order with :func:`step` -- linear
+    in the series length, where the window form is quadratic. Same answers
+    as :func:`tidemark.operators.forecast.forecast_select`. Output: the input
+    columns plus ``out`` and ``out_model``."""
+    fields = df.schema.fields
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+                       + [f"`{out}` double", f"`{out}_model` int"])
+    cols = [f.name for f in fields]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(t, kind="stable")
+        st, preds, models = None, [], []
+        for tt, vv in zip(pdf[t].astype(float), pdf[v].astype(float)):
+            st, pred, choice = step(st, tt, vv, float(final_time))
+            preds.append(pred)
+            models.append(choice)
+        res = pdf[cols].copy()
+        res[out] = preds
+        res[f"{out}_model"] = pd.array(models, dtype="Int32")
+        return res
+
+    return df.groupBy(*keys).applyInPandas(run, schema)
