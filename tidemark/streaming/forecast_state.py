@@ -141,7 +141,12 @@ def forecast_select_grouped(df: DataFrame, keys: list[str], t: str, v: str, fina
     ``applyInPandas``, walked once in time order with :func:`step` -- linear
     in the series length, where the window form is quadratic. Same answers
     as :func:`tidemark.operators.forecast.forecast_select`. Output: the input
-    columns plus ``out`` and ``out_model``."""
+    columns plus ``out`` and ``out_model``.
+
+    A series is held by one task (the recursion is sequential), so this is
+    for sequences of answers (snapshots, batches), whose length is the number
+    of steps -- never for raw rows of a hot key. Unbounded sequences belong
+    to :func:`forecast_state_stream`, which keeps O(1) state per series."""
     fields = df.schema.fields
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
                        + [f"`{out}` double", f"`{out}_model` int"])
