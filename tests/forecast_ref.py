@@ -1,82 +1,55 @@
-"""Brute-force row-by-row reference of the forecasting selector (tests
-only): the recursive estimators written directly, fed one observation at
-a time, to check the window/higher-order-function plans against."""
+"""Brute-force forecasting oracle (tests only).
 
+Every candidate is refitted from scratch on each prefix of the series,
+straight from its definition (closed-form weights, two-pass least squares),
+and the selection rule is applied literally. Cubic in the series length --
+only for short fixtures."""
 
-class Tail:
-    def __init__(self): self.v = 0.0
-    def consume(self, t, v): self.v = v
-    def avg(self): return self.v
-    def model(self): return 0.0, self.v
+import math
 
 
-class Mean:
-    def __init__(self): self.s, self.n = 0.0, 0.0
-    def consume(self, t, v): self.s += v; self.n += 1
-    def avg(self): return self.s / self.n
-    def model(self): return 0.0, self.avg()
+def _ses(ts, xs, alpha, f):
+    """sum a^((t_n - t_i)/f) x_i / sum a^((t_n - t_i)/f) over the prefix."""
+    tn = ts[-1]
+    w = [alpha ** ((tn - t) / f) for t in ts]
+    return sum(wi * x for wi, x in zip(w, xs)) / sum(w)
 
 
-class Ses:
-    def __init__(self, a): self.a, self.f, self.lt, self.s, self.w = a, None, 0.0, 0.0, 0.0
-    def consume(self, t, v):
-        if self.f is None:
-            self.f = t
-        d = self.a ** ((t - self.lt) / self.f)
-        self.lt, self.s, self.w = t, self.s * d + v, self.w * d + 1.0
-    def avg(self): return self.s / self.w
-    def model(self): return 0.0, self.avg()
+def _steps(ts, vs):
+    prev = [(0.0, 0.0)] + list(zip(ts, vs))[:-1]
+    return [(v - pv) / (t - pt) for (pt, pv), t, v in zip(prev, ts, vs)]
 
 
-class Ols:
-    def __init__(self): self.ts, self.vs = [], []
-    def consume(self, t, v): self.ts.append(t); self.vs.append(v)
-    def model(self):
-        n = len(self.ts)
-        mt, mv = sum(self.ts) / n, sum(self.vs) / n
-        var = sum((t - mt) ** 2 for t in self.ts) / n
-        if var == 0:
-            return 0.0, mv
-        cov = sum((t - mt) * (v - mv) for t, v in zip(self.ts, self.vs)) / n
-        b = cov / var
-        return b, mv - b * mt
-
-
-class Trend:
-    def __init__(self, inner): self.inner, self.lt, self.lv = inner, 0.0, 0.0
-    def consume(self, t, v):
-        self.inner.consume(t, (v - self.lv) / (t - self.lt))
-        self.lt, self.lv = t, v
-    def model(self):
-        b = self.inner.avg()
-        return b, self.lv - b * self.lt
-
-
-def candidates(ses=0.75, trend=0.5):
-    return [Tail(), Mean(), Ses(ses), Ols(), Trend(Tail()), Trend(Mean()), Trend(Ses(trend))]
+def fit(ts, vs, ses=0.75, trend=0.5):
+    """(slope, intercept) of the seven candidates fitted on the whole prefix."""
+    n, f = len(ts), ts[0]
+    mt, mv = sum(ts) / n, sum(vs) / n
+    var = sum((t - mt) ** 2 for t in ts) / n
+    b = 0.0 if var == 0 else sum((t - mt) * (v - mv) for t, v in zip(ts, vs)) / n / var
+    s = _steps(ts, vs)
+    tn, vn = ts[-1], vs[-1]
+    trend_slopes = [s[-1], sum(s) / n, _ses(ts, s, trend, f)]
+    return ([(0.0, vn), (0.0, mv), (0.0, _ses(ts, vs, ses, f)), (b, mv - b * mt)]
+            + [(k, vn - k * tn) for k in trend_slopes])
 
 
 def select_series(ts, vs, at, ses=0.75, trend=0.5, err_alpha=0.75):
     """Prediction at ``at`` after each observation, and the chosen index."""
-    cands = candidates(ses, trend)
-    errs = [Ses(err_alpha) for _ in cands]
-    hot, n_scored, out = None, 0, []
-    for t, v in zip(ts, vs):
-        if hot is not None:
-            for c, e in zip(cands, errs):
-                c.consume(*hot)
-                b, a = c.model()
-                e.consume(hot[0], (v - (b * t + a)) ** 2)
-            n_scored += 1
-        hot = (t, v)
-        if n_scored == 0:
-            out.append((v, None))
+    out = []
+    for n in range(1, len(ts) + 1):
+        if n == 1:
+            out.append((vs[0], None))
             continue
-        best, best_i = None, None
-        for i, e in enumerate(errs):
-            m = e.avg()
-            if best is None or m <= best:
-                best, best_i = m, i
-        b, a = cands[best_i].model()
-        out.append((b * at + a, best_i))
+        fits = [fit(ts[:k], vs[:k], ses, trend) for k in range(1, n)]     # trained on rows <= k
+        # the fit on rows 1..k is scored on row k + 1
+        errs = [[(vs[k] - (bk * ts[k] + ak)) ** 2 for bk, ak in fk] for k, fk in enumerate(fits, start=1)]
+        train_t = ts[:n - 1]
+        maes = [_ses(train_t, [e[c] for e in errs], err_alpha, ts[0]) for c in range(7)]
+        best = min(maes)
+        c = max(i for i, m in enumerate(maes) if m <= best)
+        bc, ac = fits[-1][c]
+        out.append((bc * at + ac, c))
     return out
+
+
+assert math.isclose(_ses([1.0, 2.0], [1.0, 4.0], 0.5, 1.0), 3.0)

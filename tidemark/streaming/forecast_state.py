@@ -79,19 +79,21 @@ def step(st: list[float] | None, t: float, v: float, final_time: float, ses_alph
     st[IX["n"]] = g("n") + 1
     st[IX["sum_v"]] = g("sum_v") + v
     _ses(st, "ses", t, v, ses_alpha, f)
+    # least squares from running means and co-moments (Welford): m2 = sum of
+    # squared deviations of t, c = sum of products of deviations of t and v
     on = g("ols_n") + 1.0
-    dt, dv, corr = t - g("ols_mt"), v - g("ols_mv"), (on - 1.0) / on
-    st[IX["ols_n"]] = on
-    st[IX["ols_vt"]] = g("ols_vt") + (corr * dt * dt - g("ols_vt")) / on
-    st[IX["ols_cv"]] = g("ols_cv") + (corr * dt * dv - g("ols_cv")) / on
-    st[IX["ols_mt"]] = g("ols_mt") + dt / on
-    st[IX["ols_mv"]] = g("ols_mv") + dv / on
+    dt = t - g("ols_mt")
+    mt = g("ols_mt") + dt / on
+    mv = g("ols_mv") + (v - g("ols_mv")) / on
+    st[IX["ols_vt"]] = g("ols_vt") + dt * (t - mt)
+    st[IX["ols_cv"]] = g("ols_cv") + dt * (v - mv)
+    st[IX["ols_n"]], st[IX["ols_mt"]], st[IX["ols_mv"]] = on, mt, mv
     st[IX["last_s"]] = step_s
     st[IX["ts_sum"]] = g("ts_sum") + step_s
     st[IX["ts_n"]] = g("ts_n") + 1
     _ses(st, "tses", t, step_s, trend_alpha, f)
     st[IX["last_t"]], st[IX["last_v"]] = t, v
-    ob = 0.0 if g("ols_vt") == 0 else g("ols_cv") / g("ols_vt")
+    ob = 0.0 if g("ols_vt") == 0 else g("ols_cv") / g("ols_vt")   # the 1/n factors cancel
     slopes = [0.0, 0.0, 0.0, ob, step_s, g("ts_sum") / g("ts_n"), g("tses_s") / g("tses_w")]
     icpts = [v, g("sum_v") / g("n"), g("ses_s") / g("ses_w"), g("ols_mv") - ob * g("ols_mt"),
              v - slopes[4] * t, v - slopes[5] * t, v - slopes[6] * t]
