@@ -71,3 +71,17 @@ def test_hot_key_join_is_exact(spark):
     dim = spark.range(30000).select(F.col("id").alias("k"), (F.col("id") % 5).alias("g"))
     j = df.join(dim, "k").groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     assert sum(r.n for r in j.collect()) == 30000
+
+
+@pytest.mark.parametrize("name", ["online_q1", "online_b", "tpch_q15", "ic_scores"])
+def test_fact_table_scanned_once(spark, name):
+    """Results consumed twice (progress, scalar subquery, fit-then-score)
+    come from one scan of the fact table."""
+    spark.catalog.clearCache()
+    df = QUERIES[name](spark, SF001)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    final = final.split("== Initial Plan ==")[0]
+    fact = "orders.parquet" if name == "online_b" else "lineitem.parquet"
+    scans = [l for l in final.splitlines() if "FileScan parquet" in l and fact in l]
+    assert len(scans) == 1, scans
