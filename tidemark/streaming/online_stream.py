@@ -116,6 +116,22 @@ def run_to_end(query: StreamingQuery, timeout_s: float = 600.0) -> bool:
     return bool(done)
 
 
+def run_until(query: StreamingQuery, stop, poll_s: float = 0.5, timeout_s: float | None = None) -> None:
+    """I8 stop on signal: run a (continuous) query until ``stop`` -- a
+    ``threading.Event`` or any object with ``is_set()`` -- is set, or the
+    deadline passes; then stop it. State stays in the checkpoint, so a new
+    start resumes where this one stopped."""
+    import time
+    t0 = time.monotonic()
+    while query.isActive and not stop.is_set():
+        if timeout_s is not None and time.monotonic() - t0 > timeout_s:
+            break
+        query.awaitTermination(poll_s)
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def read_snapshots(spark: SparkSession, out_path: str) -> DataFrame:
     """Every snapshot written so far, tagged with its part index."""
     return spark.read.parquet(out_path).withColumn("part_idx", F.col("part_idx").cast("bigint"))
