@@ -88,3 +88,11 @@ def test_validate_sorted_files_catches_disorder(spark, tmpdir_path):
     bad = os.path.join(tmpdir_path, "bad")
     recs.coalesce(1).write.parquet(bad)
     assert not S.validate_sorted_files(spark, bad, "key", cols).first().partitions_sorted
+
+
+def test_max_buckets_caps_the_walk(spark):
+    vals = spark.range(5000).select(F.col("id"), (F.col("id") % 13).cast("double").alias("v"))
+    full = {r.step: r for r in online_sum_ci(vals, F.col("v"), F.col("id"), 40).collect()}
+    capped = online_sum_ci(vals, F.col("v"), F.col("id"), 40, max_buckets=10).orderBy("step").collect()
+    assert [r.step for r in capped] == list(range(1, 11))
+    assert all((r.estimate, r.half_width) == (full[r.step].estimate, full[r.step].half_width) for r in capped)
