@@ -53,7 +53,10 @@ def forecast_sink(snap_path: str, out_path: str, keys: list[str], values: list[s
     snapshots 0..b (step = part_idx + 1) and the forecasts for ``b`` are
     written under ``out_path/part_idx=b`` (overwrite, so a replayed batch
     rewrites the same result). The history read back is one row per key and
-    snapshot, partitioned by key in the forecast windows."""
+    snapshot, partitioned by key in the forecast windows; each batch re-reads
+    it, so this suits tens to hundreds of snapshots. Long streams use
+    :func:`tidemark.streaming.forecast_state.forecast_state_stream`, which
+    keeps O(1) state per series."""
     from tidemark.operators.forecast import forecast_table
 
     def sink(snap: DataFrame, batch_id: int) -> None:
