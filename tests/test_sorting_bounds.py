@@ -96,3 +96,23 @@ def test_max_buckets_caps_the_walk(spark):
     capped = online_sum_ci(vals, F.col("v"), F.col("id"), 40, max_buckets=10).orderBy("step").collect()
     assert [r.step for r in capped] == list(range(1, 11))
     assert all((r.estimate, r.half_width) == (full[r.step].estimate, full[r.step].half_width) for r in capped)
+
+
+def test_bucket_layout_prunes_unread_buckets(spark, tmpdir_path):
+    import os
+    from conftest import SF001
+    from tidemark.operators.bounds import write_bucket_layout
+    from tidemark.sources.tpch import tables
+    li = tables(spark, SF001)["lineitem"].select("l_orderkey", "l_extendedprice", "l_discount")
+    path = os.path.join(tmpdir_path, "li_by_bucket")
+    write_bucket_layout(li, F.col("l_orderkey"), path, 20)
+    laid = spark.read.parquet(path)
+    val = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    early = online_sum_ci(laid, val, buckets=20, max_buckets=5, bucket_col="bucket")
+    plan = early._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "(bucket#" in plan
+    full = {r.step: r for r in online_sum_ci(li, val, F.col("l_orderkey"), 20).collect()}
+    got = early.orderBy("step").collect()
+    assert [r.step for r in got] == [1, 2, 3, 4, 5]
+    assert all((r.estimate, r.half_width, r.rows_seen) == (full[r.step].estimate, full[r.step].half_width,
+                                                           full[r.step].rows_seen) for r in got)

@@ -114,17 +114,26 @@ def quantiles(buckets: int, confidence: float, dist: str = "t") -> tuple[float,
     return (0.0,) + tuple(t_value(confidence, m - 1) for m in range(2, buckets + 1))
 
 
-def online_sum_ci(df: DataFrame, value: Column, unit: Column, buckets: int = 50,
-                  confidence: float = 0.95, max_buckets: int | None = None, dist: str = "t") -> DataFrame:
+def online_sum_ci(df: DataFrame, value: Column, unit: Column | None = None, buckets: int = 50,
+                  confidence: float = 0.95, max_buckets: int | None = None, dist: str = "t",
+                  bucket_col: str | None = None) -> DataFrame:
     """Rows ``(step, rows_seen, estimate, half_width)`` for steps 1..B
     (or 1..max_buckets, the WITHTIME-style cap on how far to go). The
     critical value is Student t with m - 1 degrees of freedom (``dist="z"``
-    for the normal one)."""
+    for the normal one).
+
+    Buckets come from ``unit`` (hashed here) or from an existing column
+    ``bucket_col`` -- e.g. the partition column of a fact table written with
+    :func:`write_bucket_layout`. The cap is applied before the aggregate, so
+    with such a layout Catalyst prunes the unread buckets' files."""
     spark = df.sparkSession
     crit = "array(" + ", ".join(f"{q!r}D" for q in quantiles(buckets, confidence, dist)) + ")"
     # bucket totals to cents as exact decimals: the running sums below are
     # then exact and independent of summation order
-    per = (df.select(bucket_of(unit, buckets).alias("bucket"), value.alias("v"))
+    b = F.col(bucket_col).cast("bigint") if bucket_col else bucket_of(unit, buckets)
+    if max_buckets is not None:
+        df = df.where(b < max_buckets)
+    per = (df.select(b.alias("bucket"), value.alias("v"))
            .groupBy("bucket").agg(F.expr("CAST(round(CAST(sum(v) AS DECIMAL(38,6)), 2) AS DECIMAL(38,2)) AS y"),
                                   F.expr("count(1) AS n")))
     grid = spark.range(buckets).withColumnRenamed("id", "bucket")
@@ -142,6 +151,12 @@ def online_sum_ci(df: DataFrame, value: Column, unit: Column, buckets: int = 50,
                           f"{sql_rnd(hw, 2)} AS half_width")
 
 
+def write_bucket_layout(df: DataFrame, unit: Column, path: str, buckets: int = 50) -> None:
+    """A14 for I9: fact rows laid out by bucket (one folder per bucket), so
+    reading the first m buckets reads only their files."""
+    df.withColumn("bucket", bucket_of(unit, buckets)).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
 def online_sum_sql(base: str, value: str, unit: str, buckets: int = 50, confidence: float = 0.95,
                    round_sql=None, dist: str = "t") -> str:
     """DuckDB twin of :func:`online_sum_ci`; ``base`` selects the joined,
