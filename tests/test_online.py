@@ -280,3 +280,24 @@ def test_csv_file_stream_online_aggregate(spark, tmpdir_path):
     last = snaps.where("part_idx = 2")
     cols = ["l_returnflag", "l_linestatus", *Q1_COLS]
     assert _rows(last, cols) == _rows(q1(spark, SF001), cols)
+
+
+def test_user_defined_aggregate_protocol(spark):
+    """K2: a user aggregate is partial states + a merge op + a finish."""
+    import math
+
+    class RootMeanSquare(Agg):
+        def state_sql(self):
+            return [(f"{self.name}__q", f"sum({self.expr} * {self.expr})", "sum"),
+                    (f"{self.name}__n", f"count({self.expr})", "sum")]
+
+        def finish_sql(self):
+            return f"sqrt({self.name}__q / {self.name}__n) AS {self.name}"
+
+    rows = [(i % 4, float(i)) for i in range(1, 41)]
+    df = spark.createDataFrame(rows, "p long, v double")
+    spec = OnlineSpec([], [RootMeanSquare("rms", "custom", "v")])
+    out = {r.part_idx: r.rms for r in online_agg(df, "p", 4, spec).collect()}
+    for p in range(4):
+        vs = [v for q, v in rows if q <= p]
+        assert abs(out[p] - math.sqrt(sum(v * v for v in vs) / len(vs))) < 1e-9
