@@ -13,7 +13,9 @@ aggregate per task followed by one hash exchange on the pair.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import lru_cache
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,9 +115,10 @@ class _Tables(dict):
         return df
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All TPC-H tables (plus partsupp) as lazily planned DataFrames."""
-    return _tables(spark, sf_dir)
+def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """All TPC-H tables (plus partsupp) as lazily planned DataFrames. The
+    mapping is shared by every query on the same input, so it is read-only."""
+    return MappingProxyType(_tables(spark, sf_dir))
 
 
 @lru_cache(maxsize=16)
