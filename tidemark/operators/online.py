@@ -133,6 +133,9 @@ def online_agg(df: DataFrame, part_col: str | Column, n_parts: int, spec: Online
 
     ``part_col`` must take values in ``0 .. n_parts - 1``. Aggregate inputs
     are SQL text, so each step below is one projection handed to the JVM.
+    The partial states (parts x keys rows) are persisted for their two
+    consumers; a long-lived session releases them with
+    ``spark.catalog.clearCache()``.
     """
     keys = list(spec.keys)
     kq = [f"`{k}`" for k in keys]
