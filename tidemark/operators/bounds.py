@@ -133,8 +133,10 @@ def online_sum_ci(df: DataFrame, value: Column, unit: Column | None = None, buck
     b = F.col(bucket_col).cast("bigint") if bucket_col else bucket_of(unit, buckets)
     if max_buckets is not None:
         df = df.where(b < max_buckets)
-    per = (df.select(b.alias("bucket"), value.alias("v"))
-           .groupBy("bucket").agg(F.expr("CAST(round(CAST(sum(v) AS DECIMAL(38,6)), 2) AS DECIMAL(38,2)) AS y"),
+    # each row's value as an exact decimal (money has a few decimals), so
+    # bucket totals do not depend on the order rows are added in
+    per = (df.select(b.alias("bucket"), value.cast("decimal(38,6)").alias("v"))
+           .groupBy("bucket").agg(F.expr("CAST(round(sum(v), 2) AS DECIMAL(38,2)) AS y"),
                                   F.expr("count(1) AS n")))
     grid = spark.range(buckets).withColumnRenamed("id", "bucket")
     dense = (grid.join(F.broadcast(per), "bucket", "left")
@@ -166,7 +168,8 @@ def online_sum_sql(base: str, value: str, unit: str, buckets: int = 50, confiden
     return f"""
 , base AS ({base}),
 per AS (SELECT {bucket_sql(unit, buckets)} AS bucket,
-               CAST({r(f'sum({value})', 2)} AS DECIMAL(38,2)) AS y, count(*) AS n FROM base GROUP BY 1),
+               CAST(round(sum(CAST({value} AS DECIMAL(38,6))), 2) AS DECIMAL(38,2)) AS y, count(*) AS n
+        FROM base GROUP BY 1),
 dense AS (SELECT g.range AS bucket, coalesce(per.y, CAST(0 AS DECIMAL(38,2))) AS y, coalesce(per.n, 0) AS n
           FROM range({buckets}) g LEFT JOIN per ON per.bucket = g.range),
 run AS (SELECT bucket + 1 AS m, CAST(sum(y) OVER w AS DOUBLE) / (bucket + 1) AS mean,
