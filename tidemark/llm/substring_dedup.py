@@ -34,7 +34,7 @@ from tidemark.llm.common import table
 from tidemark.llm.registry import register
 from tidemark.llm.textnp import Words, mix, salt
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 64 << 20
 LAST = (1 << 63) - 1
 BLOB = "bucket int, chunk int, keys binary, docs binary, runs binary"

@@ -132,3 +132,43 @@ class Words:
         off = np.zeros(texts + 1, np.int64)
         np.cumsum(length, out=off[1:])
         return pa.LargeStringArray.from_buffers(texts, pa.py_buffer(off), pa.py_buffer(out[mask].tobytes()))
+
+
+def blocks(batches, text: str = "text", limit: int = 4 << 20):
+    """Each record batch cut into pieces of about ``limit`` text bytes (one text at least)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        _, off = text_bytes(batch.column(batch.schema.get_field_index(text)))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, "right")) - 1)
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
+def shingle_sets(column, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of ``n``-word shingles (A-Z lower-cased) of each text, ascending, end to end, and each
+    text's offset. A text of fewer words has its whole sequence as one shingle, one without words none."""
+    words = Words(column, lower=True)
+    at, value = words.grams(n)
+    text = words.text[at]
+    short = np.flatnonzero((words.counts > 0) & (words.counts < n))
+    if len(short):
+        # the sequence's hash also holds its length, so it never meets a shingle of n words
+        at = words.first[short]
+        whole = np.zeros(len(short), np.uint64)
+        for k in range(1, n):
+            of = words.counts[short] == k
+            whole[of] = words.grams(k, at[of])[1]
+        text, value = np.concatenate([text, short]), np.concatenate([value, whole])
+        order = np.argsort(text, kind="stable")
+        text, value = text[order], value[order]
+    texts = len(words.offsets) - 1
+    cut = np.searchsorted(text, np.arange(texts + 1))
+    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        if hi - lo > 1:
+            value[lo:hi].sort()
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
+    return value[new], np.searchsorted(text[new], np.arange(texts + 1))
