@@ -43,3 +43,12 @@ def components(links: DataFrame) -> DataFrame:
 
 def _signature(links: DataFrame):
     return links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+
+def in_blocks(rows: DataFrame, block: int) -> DataFrame:
+    """Rows (root, g, class, ...) of groups of ``g``, once for each pair of blocks (i <= j) that they are in."""
+    rows = rows.withColumn("blocks", F.ceil(F.col("g") / block).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return (rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+            .drop("g", "blocks", "other"))

@@ -7,9 +7,12 @@ shingles of common passages come last, and any order gives the same links.
 
 1. every document's set (as sorted 64-bit hashes) gives its size, a 128-bit class and its prefix; equal
    sets are one class from here on, so copies are never paired;
-2. classes that share a prefix shingle are joined to that shingle's smallest class, and the connected
-   components of these joins are candidate groups: all links lie inside them;
-3. a candidate group is cut into blocks of ``block`` sets, and each pair of blocks is one task, so a group
+2. classes that share a prefix shingle are all joined to that shingle's smallest class, so the two sides of
+   every link meet around one such leader. There, sizes and parity sketches (bit ``hash mod 2**w`` is the
+   parity of the set's hashes there; two sketches differ in at most as many bits as the sets differ in
+   shingles) leave out pairs that cannot be linked. Connected components of what is left are candidate
+   groups: all links lie inside them;
+3. a leader's or candidate group is cut into blocks of ``block`` sets, and each pair of blocks is one task, so a group
    of any size is spread out and nothing is left out;
 4. a task stores its sets in a prefix tree, the most common shingles first, so near copies share long
    paths; each set walks the tree once, adding the overlap of shared paths once for all sets below, and
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored, table
-from tidemark.llm.components import by_key, components
+from tidemark.llm.components import by_key, components, in_blocks
 from tidemark.llm.registry import register
 from tidemark.llm.textnp import blocks, mix, salt, shingle_sets
 
@@ -98,15 +101,60 @@ def _class_of(value: np.ndarray, cut: np.ndarray) -> list[bytes]:
     return [raw[i:i + 16] for i in range(0, len(raw), 16)]
 
 
+# ---------------------------------------------------------------- parity sketches
+
+def _sketches(value: np.ndarray, cut: np.ndarray) -> list[bytes]:
+    """Each set's parity sketch, of two to four bits for each of its shingles."""
+    out = []
+    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        bits = max(512, 1 << (2 * (hi - lo) - 1).bit_length()) if hi > lo else 512
+        odd = np.bincount((value[lo:hi] & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+        out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
+    return out
+
+
+def maybe_links(sizes: np.ndarray, sketches: list[bytes], num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs (indexes) that connect what sizes and sketches do not rule out."""
+    order = np.argsort(sizes, kind="stable")
+    sizes = sizes[order]
+    raw = [np.frombuffer(sketches[i], np.uint64) for i in order]
+    width = np.array([len(r) for r in raw])
+    label = np.arange(len(raw))
+    out = []
+    # one matrix for each width, and what is wider by one step folded onto it
+    for w in np.unique(width):
+        own, wide = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
+        at = np.concatenate([own, wide])
+        bits = np.stack([raw[i] for i in own] + [raw[i][:w] ^ raw[i][w:] for i in wide])
+        size, lab = sizes[at], label[at]
+        for k in range(len(own)):
+            most = den * size[k] // num
+            end = int(np.searchsorted(size, most, "right"))
+            rest = np.arange(k + 1, end)
+            rest = rest[lab[rest] != lab[k]]
+            if not len(rest):
+                continue
+            both = size[k] + size[rest]
+            apart = both - 2 * (-(-num * both // (num + den)))  # largest difference of two linked sets
+            rest = rest[np.bitwise_count(bits[rest] ^ bits[k]).sum(1, dtype=np.int64) <= apart]
+            for r in rest.tolist():
+                if lab[r] != lab[k]:
+                    out.append((int(order[at[k]]), int(order[at[r]])))
+                    label[label == lab[r]] = lab[k]
+                    lab = label[at]
+    return out
+
+
 # ---------------------------------------------------------------- the join of one task
 
 class _Node:
-    __slots__ = ("seg", "depth", "last", "small", "large", "kids", "sets", "one")
+    __slots__ = ("seg", "depth", "last", "small", "large", "kids", "sets", "one", "below")
 
     def __init__(self, seg, depth, last):
         self.seg, self.depth, self.last = seg, depth, last  # shingles on this edge; path length; largest shingle so far
         self.small, self.large = 1 << 62, 0  # sizes of the sets below
         self.kids, self.sets, self.one = [], [], -1  # one: a set below, once all below are known to be connected
+        self.below = None  # the kids' edges end to end, where each begins, and their small, large, depth and last
 
 
 def _tree(sets: list[np.ndarray]) -> _Node:
@@ -150,6 +198,10 @@ def _tree(sets: list[np.ndarray]) -> _Node:
             sizes = [node.depth] * bool(node.sets) + [k.small for k in node.kids]
             node.small = min(sizes, default=node.depth)
             node.large = max([node.depth] * bool(node.sets) + [k.large for k in node.kids], default=node.depth)
+            if node.kids:
+                node.below = (np.concatenate([k.seg for k in node.kids]),
+                              np.cumsum([0] + [len(k.seg) for k in node.kids[:-1]]),
+                              *np.array([(k.small, k.large, k.depth, k.last) for k in node.kids]).T)
     return root
 
 
@@ -194,13 +246,7 @@ def trie_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
                 if -1 not in ones and len({find(i) for i in [*node.sets, *ones]}) == 1:
                     node.one = ones[0]
                 continue
-            if connected(node, find(x)) or node.large < least or node.small > most:
-                continue
-            if len(node.seg):
-                overlap += int(np.count_nonzero(inside[node.seg]))
-            need = -(-num * (size + max(node.small, least)) // (num + den))
-            rest = size - int(np.searchsorted(own_set, node.last, "right")) if node.last >= 0 else size
-            if overlap + min(rest, node.large - node.depth) < need:
+            if connected(node, find(x)):
                 continue
             if node.sets and overlap * (num + den) >= num * (size + node.depth):
                 for y in node.sets:
@@ -209,7 +255,13 @@ def trie_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
                         up[max(a, b)] = min(a, b)
                         links.append((x, y))
             stack.append((node, overlap, True))
-            stack.extend((k, overlap, False) for k in node.kids)
+            if node.kids:  # bounds of all kids at once
+                flat, begin, small, large, depth, last = node.below
+                sums = overlap + np.add.reduceat(inside[flat], begin, dtype=np.int64)
+                need = -(-num * (size + np.maximum(small, least)) // (num + den))
+                rest = size - np.searchsorted(own_set, last, "right")
+                go = (large >= least) & (small <= most) & (sums + np.minimum(rest, large - depth) >= need)
+                stack.extend((node.kids[k], int(sums[k]), False) for k in np.flatnonzero(go))
         inside[own_set] = False
     return links
 
@@ -220,8 +272,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
                        text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``: sets of ``n``-word shingles are linked when
     ``den * intersection >= num * union``; the component is named by its smallest doc_id."""
-    if not 0 < num <= den:
-        raise ValueError("the bound lies between 0 and 1")
+    if not den <= 2 * num <= 2 * den:
+        raise ValueError("the bound lies between 1/2 and 1")  # sketches of linked sets are at most one step apart
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -239,17 +291,31 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
             flat = np.concatenate(prefix).view(np.int64) if prefix else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(_class_of(value, cut), pa.binary()), pa.array(np.diff(cut).astype(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                names=["doc_id", "class", "n", "prefix"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                 pa.array(_sketches(value, cut), pa.binary())],
+                names=["doc_id", "class", "n", "prefix", "sketch"])
 
-    rows = stored(docs.mapInArrow(describe, "doc_id long, class binary, n long, prefix array<long>"), "sets")
+    rows = stored(docs.mapInArrow(describe, "doc_id long, class binary, n long, prefix array<long>, sketch binary"), "sets")
     full = rows.where("n > 0")
     classes = full.groupBy("class").agg(F.min("doc_id").alias("rep"), F.any_value("prefix").alias("prefix"))
     tokens = classes.select("class", F.explode("prefix").alias("token"))
     first = (tokens.groupBy("token").agg(F.min("class").alias("b"), F.max("class").alias("z")).where("b <> z")
              .select("token", "b"))
-    near = by_key(tokens, first, "token").select(F.col("class").alias("a"), "b").distinct()
-    groups = components(near)
+    near = by_key(tokens, first, "token").select("class", F.col("b").alias("root")).distinct()
+
+    def maybe(group: pa.Table) -> pa.Table:
+        names = group["class"].to_pylist()
+        own = {c: k for k, c in enumerate(names)}
+        names = sorted(own)
+        at = [own[c] for c in names]
+        links = maybe_links(group["n"].to_numpy()[at], group["sketch"].take(pa.array(at)).to_pylist(), num, den)
+        return pa.table({"a": pa.array([names[x] for x, _ in links], pa.binary()),
+                         "b": pa.array([names[y] for _, y in links], pa.binary())})
+
+    around = near.groupBy("root").agg(F.count(F.lit(1)).alias("g"))
+    looks = full.groupBy("class").agg(F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
+    met = in_blocks(by_key(by_key(near, around, "root"), looks, "class"), block)
+    groups = components(met.groupBy("root", "i", "j").applyInArrow(maybe, "a binary, b binary"))
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("g"))
     live = stored(by_key(by_key(groups.withColumnRenamed("id", "class"),
                                 full.groupBy("class").agg(F.min("doc_id").alias("rep")), "class"), sizes, "root"), "live")
@@ -265,11 +331,6 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
 
     picked = docs.join(live.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = by_key(picked.mapInArrow(sets_of, "class binary, shingles binary"), live, "class")
-    spread = (sets.withColumn("blocks", F.ceil(F.col("g") / block).cast("int"))
-              .withColumn("i", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-              .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("root", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "class", "shingles"))
-
     def join(group: pa.Table) -> pa.Table:
         own = dict(zip(group["class"].to_pylist(), group["shingles"].to_pylist()))
         names = sorted(own)
@@ -277,7 +338,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         return pa.table({"a": pa.array([names[x] for x, _ in links], pa.binary()),
                          "b": pa.array([names[y] for _, y in links], pa.binary())})
 
-    links = spread.groupBy("root", "i", "j").applyInArrow(join, "a binary, b binary")
+    links = in_blocks(sets, block).groupBy("root", "i", "j").applyInArrow(join, "a binary, b binary")
     linked = components(links).withColumnRenamed("id", "class")
     reps = full.groupBy("class").agg(F.min("doc_id").alias("rep"))
     rooted = by_key(reps, linked, "class", "left").select("class", "rep", F.coalesce("root", "class").alias("root"))
