@@ -8,14 +8,16 @@ right, so a run keeps a boundary at each of its symbols and needs no name of its
 symbol has at most 2**h words, the decisions near a window's ends reach at most 2**h - 1 words inside, and
 every window of ``k`` words has a common boundary among the 2**h places after that, followed inside the
 window by ``g = k - 2**(h+1) + 2`` words. The symbols over those words are named together; a name that two
-texts share reveals where they may repeat, and only windows around shared names are verified, by 128 bits
-of all their words.
+texts share reveals where they may repeat, and only windows around shared names are verified, by 80 bits
+of all their words beside their bucket.
 
 Spark does the exchange: texts are dealt to chunks of bounded size; each chunk sends every name once, with
-its smallest and largest document, packed by name bucket; a bucket tells the chunks which names two
-documents share; the chunks send their windows around those in the same way and learn each window's smallest
-document. So a passage in a third of all documents costs one entry a chunk. The chunks' exchange of texts is
-one and is read three times. Chunk and bucket counts grow with the corpus's bytes.
+a mark if two of its documents have it, packed by name bucket; a bucket tells the chunks which names two
+documents share; the chunks send their windows around those in the same way, each once with its smallest
+document, and learn which occurrences go. So a passage in a third of all documents costs one entry a chunk.
+The chunks' exchange of texts is one and is read three times. Chunk and bucket counts grow with the corpus's
+bytes, so a bucket's share of names and windows stays the same, and with it the bytes each needs to be told
+apart.
 
 Rule: remove each word covered by a window of ``k`` words that also starts in a document with a smaller
 doc_id, judged on the input. Defined cases: null text has no words; a text of fewer than ``k`` words keeps
@@ -29,16 +31,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.common import table
 from tidemark.llm.registry import register
 from tidemark.llm.textnp import Words, mix, salt
 
 CHUNK_BYTES = 4 << 20
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 32 << 20
 LAST = (1 << 63) - 1
-BLOB = "bucket int, chunk int, keys binary, docs binary, runs binary"
-BACK = "chunk int, keys binary, docs binary"
+LOW = np.uint64(24)  # the low bits of a hash choose its bucket, the high ones travel
+NAMES = "bucket int, chunk int, keys binary, several int"
+WINDOWS = "bucket int, chunk int, keys binary, docs binary, runs binary, several binary"
+SHARED = "chunk int, bucket int, keys binary"
+GONE = "chunk int, every binary, later binary"
 
 
 def rounds_for(k: int) -> tuple[int, int]:
@@ -66,92 +72,140 @@ def boundaries(words: Words, h: int) -> np.ndarray:
     return at
 
 
-def _pack(chunk: int, key: np.ndarray, doc: np.ndarray, buckets: int) -> pa.Table:
-    """Each key (rows of 1 or 2 words) with its smallest and, if another, its largest document; by bucket."""
-    order = np.lexsort((doc, *key.T))
-    key, doc = key[order], doc[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]).any(1)
-    last = np.ones(len(key), bool)
-    last[:-1] = new[1:]
-    at = np.flatnonzero(new)
-    most = doc[last]
-    two = np.flatnonzero(most != doc[at])
-    key, doc = np.concatenate([key[at], key[at[two]]]), np.concatenate([doc[at], most[two]])
-    bucket = (key[:, 0] % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((doc, bucket))
-    key, doc, bucket = key[order], doc[order], bucket[order]
-    cut = np.searchsorted(bucket, np.arange(buckets + 1))
-    rows = []
-    for b in range(buckets):
-        lo, hi = cut[b], cut[b + 1]
-        if lo < hi:
-            ids, runs = np.unique(doc[lo:hi], return_counts=True)
-            rows.append((b, chunk, key[lo:hi].tobytes(), ids.tobytes(), runs.astype(np.int32).tobytes()))
-    return _table(rows, BLOB)
-
-
 def _table(rows: list[tuple], ddl: str) -> pa.Table:
     kinds = {"int": pa.int32(), "binary": pa.binary()}
     schema = pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in ddl.split(", ")])
     return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(schema.types)], schema=schema)
 
 
-def _shared(width: int):
-    """For one bucket: the keys that two documents share, with the smallest, back to each chunk that has them."""
-
-    def run(blobs: pa.Table) -> pa.Table:
-        key, doc, chunk = [], [], []
-        for c, k, d, r in zip(*(blobs[x].to_pylist() for x in ("chunk", "keys", "docs", "runs"))):
-            key.append(np.frombuffer(k, np.uint64).reshape(-1, width))
-            doc.append(np.repeat(np.frombuffer(d, np.int64), np.frombuffer(r, np.int32)))
-            chunk.append(np.full(len(key[-1]), c, np.int32))
-        if not key:
-            return _table([], BACK)
-        key, doc, chunk = np.concatenate(key), np.concatenate(doc), np.concatenate(chunk)
-        # most first words occur once: sort them alone, then only what is left with all its columns
-        first = np.sort(key[:, 0])
-        twice = np.unique(first[1:][first[1:] == first[:-1]])
-        if not len(twice):
-            return _table([], BACK)
-        some = twice[np.minimum(np.searchsorted(twice, key[:, 0]), len(twice) - 1)] == key[:, 0]
-        key, doc, chunk = key[some], doc[some], chunk[some]
-        order = np.lexsort(key.T[::-1])
-        key, doc, chunk = key[order], doc[order], chunk[order]
-        at = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
-        least, most = np.minimum.reduceat(doc, at), np.maximum.reduceat(doc, at)
-        size = np.diff(np.r_[at, len(key)])
-        hit = np.repeat(least != most, size)
-        key, least, chunk = key[hit], np.repeat(least, size)[hit], chunk[hit]
-        order = np.argsort(chunk, kind="stable")
-        key, least, chunk = key[order], least[order], chunk[order]
-        at = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]]) if len(chunk) else []
-        return _table([(int(chunk[lo]), key[lo:hi].tobytes(), least[lo:hi].tobytes())
-                       for lo, hi in zip(at, [*at[1:], len(chunk)])], BACK)
-
-    return run
-
-
-def _received(back: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """A chunk's shared keys in order (each once) and their smallest documents."""
-    if not back.num_rows:
-        return np.zeros((0, width), np.uint64), np.zeros(0, np.int64)
-    key = np.concatenate([np.frombuffer(k, np.uint64).reshape(-1, width) for k in back["keys"].to_pylist()])
-    doc = np.concatenate([np.frombuffer(d, np.int64) for d in back["docs"].to_pylist()])
-    order = np.lexsort(key.T[::-1])
-    return key[order], doc[order]
-
-
-def _find(key: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Row of each wanted key in the sorted ``key``, -1 if absent."""
-    out = np.full(len(wanted), -1)
-    if not len(key):
+def _narrow(key: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bytes of each number, as rows of bytes."""
+    return key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def _wide(raw: bytes | np.ndarray, width: int) -> np.ndarray:
+    have = np.frombuffer(raw, np.uint8).reshape(-1, width) if isinstance(raw, bytes) else raw
+    out = np.zeros((len(have), 8), np.uint8)
+    out[:, :width] = have
+    return out.view("<u8").reshape(-1)
+
+
+def _bucket(value: np.ndarray, buckets: int) -> np.ndarray:
+    return ((value & np.uint64((1 << int(LOW)) - 1)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins in sorted columns."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _both(at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest document of each run, and whether the run has another."""
+    if not len(at):
+        return doc[:0], np.zeros(0, bool)
+    least = np.minimum.reduceat(doc, at)
+    return least, np.maximum.reduceat(doc, at) != least
+
+
+def pack_names(chunk: int, name: np.ndarray, doc: np.ndarray, buckets: int) -> pa.Table:
+    """Each of a chunk's names once, by bucket, those that two of its documents have first: 5 bytes a name.
+    (What the bucket and 40 bits cannot tell apart is told apart by the windows.)"""
+    order = np.argsort(name)
+    name, doc = name[order], doc[order]
+    at = _starts(name)
+    name, several = name[at], _both(at, doc)[1]
+    bucket = _bucket(name, buckets)
+    order = np.lexsort((~several, bucket))
+    name, several, bucket = name[order], several[order], bucket[order]
+    keys, cut = _narrow(name >> LOW, 5), np.searchsorted(bucket, np.arange(buckets + 1))
+    return _table([(b, chunk, keys[lo:hi].tobytes(), int(several[lo:hi].sum()))
+                   for b, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])) if lo < hi], NAMES)
+
+
+def shared_names(blobs: pa.Table) -> pa.Table:
+    """For one bucket: to each chunk those of its names that two documents have. Rows of one document are in
+    one chunk, so a name of two chunks is one of two documents."""
+    keys = [_wide(k, 5) for k in blobs["keys"].to_pylist()]
+    if not keys:
+        return _table([], SHARED)
+    chunk, bucket = blobs["chunk"].to_pylist(), blobs["bucket"][0].as_py()
+    every = np.sort(np.concatenate(keys))
+    inside = [k[:n] for k, n in zip(keys, blobs["several"].to_pylist())]
+    shared = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *inside]))
+    out = []
+    for c, own in zip(chunk, keys):
+        hit = np.isin(own, shared)
+        if hit.any():
+            out.append((c, bucket, _narrow(own[hit], 5).tobytes()))
+    return _table(out, SHARED)
+
+
+def pack_windows(chunk: int, key: np.ndarray, doc: np.ndarray, buckets: int) -> pa.Table:
+    """Each of a chunk's windows once with its smallest document and whether it has another; 10 bytes a window
+    beside its bucket."""
+    one, two = key[:, 0], key[:, 1] >> np.uint64(48)
+    bucket = _bucket(key[:, 1], buckets)
+    order = np.lexsort((two, one, bucket))
+    one, two, bucket, doc = one[order], two[order], bucket[order], doc[order]
+    at = _starts(one, two, bucket)
+    least, several = _both(at, doc)
+    one, two, bucket = one[at], two[at], bucket[at]
+    order = np.lexsort((least, bucket))
+    one, two, bucket, least, several = one[order], two[order], bucket[order], least[order], several[order]
+    keys = np.concatenate([_narrow(one, 8), _narrow(two, 2)], 1)
+    cut, rows = np.searchsorted(bucket, np.arange(buckets + 1)), []
+    for b, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])):
+        if lo < hi:
+            ids, runs = np.unique(least[lo:hi], return_counts=True)
+            rows.append((b, chunk, keys[lo:hi].tobytes(), ids.tobytes(), runs.astype(np.int32).tobytes(),
+                         np.packbits(several[lo:hi]).tobytes()))
+    return _table(rows, WINDOWS)
+
+
+def _windows_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    have = np.frombuffer(raw, np.uint8).reshape(-1, 10)
+    return _wide(have[:, :8], 8), _wide(have[:, 8:], 2)
+
+
+def covered(blobs: pa.Table) -> pa.Table:
+    """For one bucket: to each chunk the windows that a smaller document elsewhere has (``every`` occurrence
+    goes) and else those that several of its own documents have (the ``later`` ones go)."""
+    one, two, doc, chunk, several = [], [], [], [], []
+    for c, k, d, r, s in zip(*(blobs[x].to_pylist() for x in ("chunk", "keys", "docs", "runs", "several"))):
+        a, b = _windows_of(k)
+        one.append(a), two.append(b), chunk.append(np.full(len(a), c, np.int32))
+        doc.append(np.repeat(np.frombuffer(d, np.int64), np.frombuffer(r, np.int32)))
+        several.append(np.unpackbits(np.frombuffer(s, np.uint8), count=len(a)).astype(bool))
+    if not one:
+        return _table([], GONE)
+    one, two, doc, chunk, several = map(np.concatenate, (one, two, doc, chunk, several))
+    order = np.lexsort((two, one))
+    one, two, doc, chunk, several = one[order], two[order], doc[order], chunk[order], several[order]
+    at = _starts(one, two)
+    least = np.repeat(np.minimum.reduceat(doc, at), np.diff(np.r_[at, len(doc)]))
+    every = doc > least
+    some = every | several
+    order = np.flatnonzero(some)[np.argsort(chunk[some], kind="stable")]
+    keys = np.concatenate([_narrow(one[order], 8), _narrow(two[order], 2)], 1)
+    chunk, every = chunk[order], every[order]
+    at = _starts(chunk)
+    return _table([(int(chunk[lo]), keys[lo:hi][every[lo:hi]].tobytes(), keys[lo:hi][~every[lo:hi]].tobytes())
+                   for lo, hi in zip(at, [*at[1:], len(chunk)])], GONE)
+
+
+def _find(one: np.ndarray, two: np.ndarray, wanted_one: np.ndarray, wanted_two: np.ndarray) -> np.ndarray:
+    """Row of each wanted pair in the sorted pairs, -1 if absent."""
+    out = np.full(len(wanted_one), -1)
+    if not len(one):
         return out
-    at = np.searchsorted(key[:, 0], wanted[:, 0])
-    longest = np.diff(np.flatnonzero(np.r_[True, key[1:, 0] != key[:-1, 0], True])).max()
-    for step in range(longest):
-        i = np.minimum(at + step, len(key) - 1)
-        same = (key[i] == wanted).all(1)
+    at = np.searchsorted(one, wanted_one)
+    for step in range(int(np.diff(np.r_[_starts(one), len(one)]).max())):
+        i = np.minimum(at + step, len(one) - 1)
+        same = (one[i] == wanted_one) & (two[i] == wanted_two)
         out[same] = i[same]
     return out
 
@@ -164,14 +218,20 @@ class _Chunk:
         self.h, self.g = rounds_for(k)
         self.ids = docs["doc_id"].combine_chunks().fill_null(LAST).to_numpy(zero_copy_only=False).astype(np.int64)
         self.words = Words(docs["text"])
-        self.place, name = self.words.grams(self.g, boundaries(self.words, self.h), seed=1)
-        self.name = name[:, None]
         self.doc = self.ids[self.words.text]
 
-    def windows(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def names(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places that the rounds name, and the names."""
+        return self.words.grams(self.g, boundaries(self.words, self.h), seed=1)
+
+    def windows(self, back: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and 128-bit names of the windows that hold a shared name where the rounds promise one."""
         n, reach = len(self.words), 2 ** self.h - 1
-        hit = self.place[_find(shared, self.name) >= 0]
+        place, name = self.names()
+        full = lambda bucket, key: (bucket.astype(np.uint64) << np.uint64(40)) | key
+        shared = [full(np.full(len(k) // 5, b), _wide(k, 5)) for b, k in zip(back["bucket"].to_pylist(), back["keys"].to_pylist())]
+        shared = np.concatenate(shared) if shared else np.zeros(0, np.uint64)
+        hit = place[np.isin(full(_bucket(name, buckets), name >> LOW), shared)]
         near = np.zeros(n + 1, np.int32)
         np.add.at(near, np.maximum(hit - 2 * reach, 0), 1)
         np.add.at(near, np.maximum(hit - reach + 1, 0), -1)
@@ -196,27 +256,31 @@ def substring_dedup(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_c
 
     def names(part: pa.Table) -> pa.Table:
         c = _Chunk(part, k)
-        return _pack(part["chunk"][0].as_py(), c.name, c.doc[c.place], buckets)
+        place, name = c.names()
+        return pack_names(part["chunk"][0].as_py(), name, c.doc[place], buckets)
 
     def windows(part: pa.Table, back: pa.Table) -> pa.Table:
-        if not part.num_rows:
-            return _table([], BLOB)
         c = _Chunk(part, k)
-        at, key = c.windows(_received(back, 1)[0])
-        return _pack(part["chunk"][0].as_py(), key, c.doc[at], buckets)
+        at, key = c.windows(back, buckets)
+        return pack_windows(part["chunk"][0].as_py(), key, c.doc[at], buckets)
 
-    def remove(part: pa.Table, back_names: pa.Table) -> pa.Table:
+    def remove(part: pa.Table, back: pa.Table) -> pa.Table:
         c = _Chunk(part, k)
-        key, least = _received(back_names, 2)
         n = len(c.words)
         gone = np.zeros(n + 1, np.int32)
-        if len(key):
-            at, one = c.words.grams(k, seed=2)
-            maybe = np.flatnonzero(key[np.minimum(np.searchsorted(key[:, 0], one), len(key) - 1), 0] == one)
-            at = at[maybe]
-            row = _find(key, np.stack([one[maybe], c.words.grams(k, at, seed=3)[1]], 1))
+        told = [(*_windows_of(r), e) for col, e in (("every", True), ("later", False)) for r in back[col].to_pylist()]
+        if told:
+            one, two = np.concatenate([t[0] for t in told]), np.concatenate([t[1] for t in told])
+            every = np.concatenate([np.full(len(t[0]), t[2]) for t in told])
+            order = np.lexsort((two, one))
+            one, two, every = one[order], two[order], every[order]
+            at, first = c.words.grams(k, seed=2)
+            at = at[np.isin(first, one)]
+            row = _find(one, two, c.words.grams(k, at, seed=2)[1], c.words.grams(k, at, seed=3)[1] >> np.uint64(48))
             at, row = at[row >= 0], row[row >= 0]
-            at = at[least[row] < c.doc[at]]
+            least = np.full(len(one), LAST)
+            np.minimum.at(least, row, c.doc[at])
+            at = at[every[row] | (c.doc[at] > least[row])]
             np.add.at(gone, at, 1)
             np.add.at(gone, at + k, -1)
         keep = np.cumsum(gone[:n]) == 0
@@ -228,21 +292,16 @@ def substring_dedup(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_c
     out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
                         T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()),
                         *[T.StructField(e, dealt.schema[e].dataType) for e in extra]])
+    nothing = pa.table([pa.array([], t) for t in to_arrow_schema(out).types], names=out.names)
     by_chunk = dealt.groupBy("chunk")
-    shared = by_chunk.applyInArrow(names, BLOB).groupBy("bucket").applyInArrow(_shared(1), BACK)
-    least = (by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(windows, BLOB)
-             .groupBy("bucket").applyInArrow(_shared(2), BACK))
+    shared = by_chunk.applyInArrow(names, NAMES).groupBy("bucket").applyInArrow(shared_names, SHARED)
+    least = (by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(windows, WINDOWS)
+             .groupBy("bucket").applyInArrow(covered, GONE))
     done = by_chunk.cogroup(least.groupBy("chunk")).applyInArrow(
-        lambda part, back: remove(part, back) if part.num_rows else pa.table(
-            [pa.array([], t) for t in _arrow_types(out)], names=out.names), out)
+        lambda part, back: remove(part, back) if part.num_rows else nothing, out)
     return done.select("doc_id", "n_words", "n_removed", "kept", *[F.col(e).alias(c) for c, e in zip(carry, extra)])
 
 
-def _arrow_types(schema: T.StructType) -> list[pa.DataType]:
-    from pyspark.sql.pandas.types import to_arrow_type
-    return [to_arrow_type(f.dataType) for f in schema]
-
-
 @register("op3_recompression", r"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
 g AS (SELECT doc_id, unnest(range(1, len(words) - 11)) AS i, words FROM w),

@@ -38,17 +38,18 @@ def salt(n: int) -> np.uint64:
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n (kept, grown by doubling)."""
+    """base**i and base**-i modulo 2**64 for i < n (kept, grown in steps)."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
+        size = -(-n // (1 << 18)) << 18
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.empty(size, np.uint64)
             p[0], done = 1, 1
             while done < size:  # p[done:2 done] = p[:done] * b**done
-                p[done:2 * done] = p[:done] * np.uint64(pow(b, done, 1 << 64))
-                done *= 2
+                more = min(done, size - done)
+                p[done:done + more] = p[:more] * np.uint64(pow(b, done, 1 << 64))
+                done += more
             out.append(p)
         have = _POWERS[base] = (out[0], out[1])
     return have
@@ -134,7 +135,7 @@ class Words:
         return pa.LargeStringArray.from_buffers(texts, pa.py_buffer(off), pa.py_buffer(out[mask].tobytes()))
 
 
-def blocks(batches, text: str = "text", limit: int = 4 << 20):
+def blocks(batches, text: str = "text", limit: int = (2 << 20) - (1 << 18)):
     """Each record batch cut into pieces of about ``limit`` text bytes (one text at least)."""
     for batch in batches:
         if not batch.num_rows:
