@@ -4,8 +4,8 @@ Texts are equal when identical after replacing each run of white space by one sp
 normalised text is a grouping key beside its 128-bit hash, so two texts with one hash are told apart
 by their bytes; the partial aggregate keeps one copy of a text per task, so a group with a third of
 all rows shuffles as one row per task. Documents then take their group by the pair of the 128-bit
-hash and the text's SHA-256, a join on two fixed-size keys that AQE splits when one is hot. If two
-different texts ever agreed in both hashes, the query stops with an error instead of joining them.
+hash and the text's SHA-256, a join on two fixed-size keys that AQE splits when one is hot (their struct
+form gives the join exchanges of its own, which AQE may split, unlike the aggregate's). If two different texts ever agreed in both hashes, the query stops with an error instead of joining them.
 
 Defined cases: a null text counts as empty, and all empty texts are one group. Every input row gives
 one row; rows that repeat a doc_id each count in ``group_size``, and all rows with the group's
@@ -34,7 +34,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                   F.raise_error(F.lit("two different texts share MD5 and SHA-256")).cast("long")))
               .drop("texts"))
     rows = hashed.select("doc_id", "h", F.sha2("norm", 256).alias("sha"))
-    return rows.join(groups, ["h", "sha"]).select(
+    groups = groups.select(F.struct("h", "sha").alias("k"), "keep_id", "group_size")
+    return rows.join(groups, F.struct(F.col("h"), F.col("sha")) == F.col("k")).select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
 
