@@ -132,16 +132,18 @@ def shared_names(blobs: pa.Table) -> pa.Table:
     keys = [_wide(k, 5) for k in blobs["keys"].to_pylist()]
     if not keys:
         return _table([], SHARED)
-    chunk, bucket = blobs["chunk"].to_pylist(), blobs["bucket"][0].as_py()
-    every = np.sort(np.concatenate(keys))
-    inside = [k[:n] for k, n in zip(keys, blobs["several"].to_pylist())]
-    shared = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *inside]))
-    out = []
-    for c, own in zip(chunk, keys):
-        hit = np.isin(own, shared)
-        if hit.any():
-            out.append((c, bucket, _narrow(own[hit], 5).tobytes()))
-    return _table(out, SHARED)
+    size = np.array([len(k) for k in keys])
+    own = np.concatenate(keys)
+    several = np.concatenate([np.arange(len(k)) < n for k, n in zip(keys, blobs["several"].to_pylist())])
+    every = np.sort(own)
+    shared = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], own[several]]))
+    if not len(shared):
+        return _table([], SHARED)
+    hit = shared[np.minimum(np.searchsorted(shared, own), len(shared) - 1)] == own
+    cut = np.r_[0, np.cumsum(size)]
+    bucket = blobs["bucket"][0].as_py()
+    return _table([(c, bucket, _narrow(own[lo:hi][hit[lo:hi]], 5).tobytes())
+                   for c, lo, hi in zip(blobs["chunk"].to_pylist(), cut[:-1], cut[1:]) if hit[lo:hi].any()], SHARED)
 
 
 def pack_windows(chunk: int, key: np.ndarray, doc: np.ndarray, buckets: int) -> pa.Table:
