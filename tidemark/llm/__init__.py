@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["jaccard_join", "embedding_dedup", "substring_dedup", "url_filter", "sharding", "exact_dedup"]
+MODULES = ["jaccard_join", "bpe", "substring_dedup", "embedding_dedup", "packing", "repair", "url_filter", "sharding",
+           "exact_dedup"]
 
 
 def load() -> tuple[dict, dict]:
