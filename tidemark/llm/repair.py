@@ -32,12 +32,12 @@ from tidemark.llm.registry import register
 from tidemark.llm.textnp import blocks
 
 END = 0
-SHARD_IDS = 1 << 20
+SHARD_IDS = 1 << 19
 LAST = (1 << 63) - 1
 SCHEMA = "part int, shard int, docs binary, counts binary, symbols binary, rules binary, lengths binary, first_rule long, ids long"
 
 
-def compress(ids: np.ndarray, rounds: int = 8, per_round: int = 2048, least: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def compress(ids: np.ndarray, rounds: int = 5, per_round: int = 4096, least: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Symbols, rules (left, right) in the order of their numbers, their expansion lengths, and the first rule's number."""
     symbols = ids.astype(np.int64)
     base = int(symbols.max()) + 1 if len(symbols) else 0
@@ -63,9 +63,13 @@ def compress(ids: np.ndarray, rounds: int = 8, per_round: int = 2048, least: int
         if not taken:
             break
         taken = np.sort(np.array(taken, np.int64))
-        near = np.minimum(np.searchsorted(taken, pair), len(taken) - 1)
-        hit = np.flatnonzero(taken[near] == pair)
-        new = base + count + near[hit]
+        is_left, is_right = np.zeros(base + count, bool), np.zeros(base + count, bool)
+        is_left[taken >> 32] = is_right[taken & 0xFFFFFFFF] = True
+        hit = np.flatnonzero(is_left[symbols[:-1]] & is_right[symbols[1:]])
+        near = np.minimum(np.searchsorted(taken, pair[hit]), len(taken) - 1)
+        found = taken[near] == pair[hit]
+        hit, near = hit[found], near[found]
+        new = base + count + near
         keep = np.ones(len(symbols), bool)
         keep[hit + 1] = False
         symbols[hit] = new
