@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ids_and_text, table
-from tidemark.llm.pieces import PieceCache
+from tidemark.llm.pieces import PieceCache, laid_out
 from tidemark.llm.registry import register
 from tidemark.llm.textnp import blocks
 
@@ -241,7 +241,7 @@ class ByteBpe:
         order = np.argsort(rows, kind="stable")
         return np.split(tokens[order], np.cumsum(np.bincount(rows, minlength=n))[:-1])
 
-    def _encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(self.words) > 300_000:
             self.words.clear()
         plan: list[list] = []
@@ -255,7 +255,7 @@ class ByteBpe:
             plan.append(own)
         new = list({w for own in plan for w in own if isinstance(w, bytes) and w not in self.words})
         self.words.update(zip(new, self.encode_words(new)))
-        return [np.concatenate([self.words[w] if isinstance(w, bytes) else np.array([w]) for w in own]) for own in plan]
+        return laid_out([np.concatenate([self.words[w] if isinstance(w, bytes) else np.array([w]) for w in own]) for own in plan])
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """Text of each row's ids (all rows' ids end to end)."""

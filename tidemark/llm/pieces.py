@@ -1,9 +1,10 @@
 """Token ids of whole texts through a bounded cache of their pieces.
 
-A piece is a run of white space with the run of other characters after it. Between a character that is no
-white space and one that is, no pre-tokenizer used here has a token, so a text's ids are its pieces' ids end
-to end, and a piece is tokenized once however often it occurs in a task. The cache is emptied when it holds
-``limit`` pieces, so memory does not grow with the input.
+A piece is a run of white space with the run of other characters after it, cut once more where plain letters or
+digits end before plain punctuation. Between a character that is no white space and one that is, and between
+such a letter and such a mark, no pre-tokenizer used here has a token and no normaliser joins characters, so a
+text's ids are its pieces' ids end to end, and a piece is tokenized once however often it occurs in a task. The
+cache is emptied when it holds ``limit`` pieces, so memory does not grow with the input.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ import numpy as np
 
 # fixed values: Unicode's White_Space characters
 _WHITE = "\t-\r \x85\xa0  -     　"
-PIECE = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
+_PLAIN = "0-9A-Za-zÀ-ÖØ-öø-ÿ"  # letters and digits of Latin-1
+PIECE = re.compile(f"[{_WHITE}]*(?:[{_PLAIN}]+(?=[.,;:!?%&$#*|{_WHITE}]|\\Z)|[^{_WHITE}]+)|[{_WHITE}]+")
 
 
 class _Codes(dict):
@@ -30,9 +32,9 @@ class _Codes(dict):
 
 
 class PieceCache:
-    """``encode_new``: ids of a list of pieces, one list or array for each."""
+    """``encode_new``: ids of a list of pieces as (all ids, where each piece's begin, how many each has)."""
 
-    def __init__(self, encode_new, limit: int = 600_000):
+    def __init__(self, encode_new, limit: int = 400_000):
         self.encode_new, self.limit = encode_new, limit
         self._clear()
 
@@ -45,17 +47,16 @@ class PieceCache:
         new, self.codes.waiting = self.codes.waiting, []
         if not new:
             return
-        ids = self.encode_new(new)
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        first, end = len(self.codes) - len(new), self.used + int(size.sum())
+        ids, start, size = self.encode_new(new)
+        first, end = len(self.codes) - len(new), self.used + len(ids)
         while end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while len(self.codes) > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        self.flat[self.used:end] = np.concatenate([np.asarray(i, np.int32) for i in ids])
+        self.flat[self.used:end] = ids
         self.length[first:first + len(new)] = size
-        self.start[first:first + len(new)] = self.used + np.r_[0, np.cumsum(size)[:-1]]
+        self.start[first:first + len(new)] = self.used + start
         self.used = end
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -75,17 +76,52 @@ class PieceCache:
         return ids, upto[cut[1:]] - upto[cut[:-1]]
 
 
+def laid_out(ids: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists of ids end to end, their beginnings and lengths."""
+    size = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat = np.concatenate([np.asarray(i, np.int32) for i in ids]) if ids else np.zeros(0, np.int32)
+    return flat, np.cumsum(size) - size, size
+
+
+_WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]+")  # one space and one word: one pre-token
+_TOGETHER = 256
 _CACHES: dict[str, PieceCache] = {}
 
 
+def _library(path: str):
+    """Encoder of new pieces by the tokenizers library. Pieces that are one word each go as texts of many: a
+    word's tokens are told by the mark that the vocabulary puts on its first (the space) or last (word end)."""
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    tok.no_padding()
+    vocab = tok.get_vocab()
+    by_end = any(t.endswith("</w>") for t in vocab)
+    mark = np.zeros(1 + max(vocab.values()), bool)
+    mark[[i for t, i in vocab.items() if (t.endswith("</w>") if by_end else t.startswith("Ġ"))]] = True
+
+    def encode(pieces: list[str]):
+        alike = np.array([_WORD.fullmatch(p) is not None for p in pieces], bool)
+        words = [p for p, a in zip(pieces, alike) if a]
+        texts = ["".join(words[i:i + _TOGETHER]) for i in range(0, len(words), _TOGETHER)]
+        flat, _, _ = laid_out([e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)])
+        at = np.flatnonzero(mark[flat])
+        at = np.r_[0, at[:-1] + 1] if by_end and len(at) else at
+        if len(at) != len(words):  # a vocabulary that does not mark every word
+            return laid_out([e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False)])
+        other = laid_out([e.ids for e in tok.encode_batch_fast([p for p, a in zip(pieces, alike) if not a], add_special_tokens=False)])
+        start, size = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        start[alike], size[alike] = at, np.diff(np.r_[at, len(flat)])
+        start[~alike], size[~alike] = other[1] + len(flat), other[2]
+        return np.concatenate([flat, other[0]]), start, size
+
+    return encode
+
+
 def library_cache(path: str) -> PieceCache:
     """This worker's cache over the tokenizers library's own encoding of a tokenizer file."""
     if path not in _CACHES:
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        tok = Tokenizer.from_file(path)
-        tok.no_truncation()
-        tok.no_padding()
-        _CACHES[path] = PieceCache(lambda new: [e.ids for e in tok.encode_batch_fast(new, add_special_tokens=False)])
+        _CACHES[path] = PieceCache(_library(path))
     return _CACHES[path]
