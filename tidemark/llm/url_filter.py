@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import stored, table
 from tidemark.llm.registry import register
 
 WORD = 64
@@ -71,9 +71,10 @@ class _Level:
         on = keys.select(bit).select(F.floor(F.col("bit") / WORD).cast("int").alias("w"),
                                      F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("b"))
         off = spark.range(words).select(F.col("id").cast("int").alias("w"), F.lit(0).cast("long").alias("b"))
-        self.array = (on.unionByName(off).groupBy("w").agg(F.bit_or("b").alias("b"))
-                      .agg(F.sort_array(F.collect_list(F.struct("w", "b"))).alias("s"))
-                      .select(F.transform("s", lambda x: x["b"]).alias("words")))
+        filter_ = (on.unionByName(off).groupBy("w").agg(F.bit_or("b").alias("b"))
+                   .agg(F.sort_array(F.collect_list(F.struct("w", "b"))).alias("s"))
+                   .select(F.transform("s", lambda x: x["b"]).alias("words")))
+        self.array = stored(filter_, "bloom")  # one row; later levels and scans read it, none builds it again
 
     def passes(self, key: Column) -> Column:
         words = self.array.scalar()
@@ -91,6 +92,7 @@ class BloomCascade:
 
     def __init__(self, universe: DataFrame, max_bits: int = 1 << 26):
         self.levels: list[_Level] = []
+        universe = stored(universe, "keys")
         n = universe.agg(F.count_if("listed").alias("r"), F.count_if(~F.col("listed")).alias("s")).first()
         left, others, side = n["r"], n["s"], True
         alive = universe
@@ -98,7 +100,7 @@ class BloomCascade:
             level = _Level(alive.where(F.col("listed") == side), len(self.levels), left, others, max_bits)
             self.levels.append(level)
             # whoever is on the other side and passes must be told apart by the next level
-            alive = alive.where((F.col("listed") == side) | level.passes(F.col("key")))
+            alive = stored(alive.where((F.col("listed") == side) | level.passes(F.col("key"))), "keys")
             side = not side
             others, left = left, alive.where(F.col("listed") == side).count()
         if left:
