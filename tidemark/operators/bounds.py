@@ -23,6 +23,7 @@ buckets prunes files instead of scanning them.
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 from statistics import NormalDist
 
@@ -40,55 +41,33 @@ def bucket_of(unit: Column, buckets: int) -> Column:
     """Bucket index in [0, buckets): high part of (unit * A mod 2^31).
 
     Every intermediate stays below 2^63 for any bigint unit key."""
-    h = ((unit % HASH_WORD) * F.lit(HASH_MULT)) % HASH_WORD
+    unit = F.pmod(F.coalesce(unit, F.lit(0)), F.lit(HASH_WORD))  # negative units have a bucket, null units that of 0
+    h = (unit * F.lit(HASH_MULT)) % HASH_WORD
     return F.floor(h * buckets / F.lit(float(HASH_WORD))).cast("bigint")
 
 
 def bucket_sql(unit: str, buckets: int) -> str:
     """The same bucket expression as DuckDB text."""
-    return f"CAST(((({unit}) % {HASH_WORD}) * {HASH_MULT}) % {HASH_WORD} * {buckets} // {HASH_WORD} AS BIGINT)"
+    return f"CAST((((coalesce({unit}, 0) % {HASH_WORD} + {HASH_WORD}) % {HASH_WORD}) * {HASH_MULT}) % {HASH_WORD} * {buckets} // {HASH_WORD} AS BIGINT)"
 
 
 def z_value(confidence: float) -> float:
     return NormalDist().inv_cdf(0.5 + confidence / 2.0)
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the regularised incomplete beta (Lentz)."""
-    tiny, qab, qap, qam = 1e-300, a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < 1e-15:
-            break
-    return h
-
-
 def _t_cdf(t: float, df: int) -> float:
-    import math
-    x = df / (df + t * t)
-    lbeta = math.lgamma(df / 2.0) + math.lgamma(0.5) - math.lgamma(df / 2.0 + 0.5)
-    front = math.exp(math.log(x) * df / 2.0 + math.log(1.0 - x) * 0.5 - lbeta)
-    if x < (df / 2.0 + 1.0) / (df / 2.0 + 0.5 + 2.0):
-        ib = front * _betacf(df / 2.0, 0.5, x) / (df / 2.0)
-    else:
-        ib = 1.0 - front * _betacf(0.5, df / 2.0, 1.0 - x) / 0.5
-    return 1.0 - 0.5 * ib if t > 0 else 0.5 * ib
+    """Student's t for whole degrees of freedom: the elementary finite sums in the angle atan(t / sqrt(df))
+    (Abramowitz and Stegun 26.7.3 for odd, 26.7.4 for even degrees)."""
+    angle = math.atan(t / math.sqrt(df))
+    cos2 = math.cos(angle) ** 2
+    odd = df % 2
+    term = math.cos(angle) if odd else 1.0
+    total = 0.0
+    for k in range(2 + odd, df + 1, 2):
+        total += term
+        term *= cos2 * (k - 1) / k
+    inside = math.sin(angle) * total
+    return 0.5 + 0.5 * ((angle + inside) * 2 / math.pi if odd else inside)
 
 
 def t_value(confidence: float, df: int) -> float:

@@ -25,9 +25,14 @@ c = F.col
 YEAR_CAP = 1999
 
 
+def padded(text, width: int):
+    """Zeros in front up to ``width``; longer text stays whole."""
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 @register("job_sort_cap", f"""
 SELECT CAST(CAST(extract(year FROM o_orderdate) AS VARCHAR) AS INTEGER) AS Year,
-       'SN' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS SerialNumber
+       'SN' || CASE WHEN length(CAST(o_orderkey AS VARCHAR)) < 9 THEN lpad(CAST(o_orderkey AS VARCHAR), 9, '0') ELSE CAST(o_orderkey AS VARCHAR) END AS SerialNumber
 FROM orders WHERE extract(year FROM o_orderdate) <= {YEAR_CAP}
 ORDER BY Year DESC, SerialNumber
 """, prelude=False)
@@ -36,7 +41,7 @@ def job_sort_cap(spark, sf_dir):
     ``Year`` is cast with ``try_cast`` so a bad year is null, not an error."""
     o = tables(spark, sf_dir)["orders"]
     text = o.select(F.year("o_orderdate").cast("string").alias("Year"),
-                    F.concat(F.lit("SN"), F.lpad(c("o_orderkey").cast("string"), 9, "0")).alias("SerialNumber"))
+                    F.concat(F.lit("SN"), padded(c("o_orderkey").cast("string"), 9)).alias("SerialNumber"))
     typed = text.withColumn("Year", c("Year").try_cast("int"))
     return typed.where(c("Year") <= YEAR_CAP).orderBy(c("Year").desc(), c("SerialNumber").asc())
 

@@ -582,17 +582,17 @@ FROM (SELECT substring(c_phone FROM 1 FOR 2) AS cntrycode, c_acctbal
       WHERE substring(c_phone FROM 1 FOR 2) IN ('13', '31', '23', '29', '30', '18', '17')
         AND c_acctbal > (SELECT avg(c_acctbal) FROM customer_d WHERE c_acctbal > 0.00
                          AND substring(c_phone FROM 1 FOR 2) IN ('13', '31', '23', '29', '30', '18', '17'))
-        AND NOT EXISTS (SELECT * FROM orders_d WHERE o_custkey = c_custkey AND o_totalprice > 400000)
+        AND NOT EXISTS (SELECT * FROM orders_d WHERE o_custkey = c_custkey)
      ) AS custsale
 GROUP BY cntrycode ORDER BY cntrycode
 """)
-def q22(spark, sf_dir, codes=CODES, big_order: float = 400000):
+def q22(spark, sf_dir, codes=CODES):
     t = _t(spark, sf_dir)
     cu = t["customer"].withColumn("cntrycode", F.substring("c_phone", 1, 2)).where(c("cntrycode").isin(*codes))
     avg_bal = cu.where(c("c_acctbal") > 0.0).agg(F.avg("c_acctbal")).scalar()
-    big = t["orders"].where(c("o_totalprice") > big_order).select("o_custkey")
+    buyers = t["orders"].select("o_custkey")
     sel = (cu.where(c("c_acctbal") > avg_bal)
-           .join(big, c("c_custkey") == c("o_custkey"), "left_anti"))
+           .join(buyers, c("c_custkey") == c("o_custkey"), "left_anti"))
     return (sel.groupBy("cntrycode").agg(F.count(F.lit(1)).alias("numcust"),
                                          rnd(F.sum("c_acctbal")).alias("totacctbal"))
             .orderBy("cntrycode"))

@@ -58,7 +58,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if master.startswith("local-cluster") or not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this "
                                "cluster; tidemark writes checkpoints and derived tables there")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")

@@ -14,7 +14,6 @@ aggregate per task followed by one hash exchange on the pair.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import lru_cache
 from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,46 +108,22 @@ class _Tables(dict):
     def __missing__(self, name):
         if name != "partsupp":
             raise KeyError(name)
-        df = materialized(self._spark, "partsupp", read_raw(self._spark, self._dir, "lineitem"),
-                          lambda li: partsupp_from(li))
+        df = partsupp_from(read_raw(self._spark, self._dir, "lineitem"))
         self[name] = df
         return df
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """All TPC-H tables (plus partsupp) as lazily planned DataFrames. The
-    mapping is shared by every query on the same input, so it is read-only."""
+    mapping is read-only and made anew at each call, so files added to a table
+    are seen by the next query."""
     return MappingProxyType(_tables(spark, sf_dir))
 
 
-@lru_cache(maxsize=16)
 def _tables(spark: SparkSession, sf_dir: str) -> _Tables:
     return _Tables(spark, sf_dir)
 
 
-def materialized(spark: SparkSession, name: str, source: DataFrame, build) -> DataFrame:
-    """A table Spark derives from ``source``, written once into the shared
-    checkpoint folder and read back by every later query (a derived
-    dimension is not recomputed per query). The folder name carries a
-    fingerprint of the source files, so new input gives a new table."""
-    import hashlib
-    import os
-    from tidemark.session import checkpoint_dir
-    files = sorted(source.inputFiles())
-    stamp = []
-    for f in files:
-        local = f[len("file:"):] if f.startswith("file:") else f
-        if os.path.exists(local):
-            st = os.stat(local)
-            stamp.append(f"{f}:{st.st_size}:{int(st.st_mtime)}")
-        else:
-            stamp.append(f)
-    key = hashlib.sha1("\n".join(stamp).encode()).hexdigest()[:16]
-    path = f"{checkpoint_dir(spark).rstrip('/')}/derived/{name}-{key}"
-    build(source).write.mode("ignore").parquet(path)
-    return spark.read.parquet(path)
-
-
 def register_tables(spark: SparkSession, sf_dir: str, suffix: str = "") -> list[str]:
     """Register every table as a temp view (A8); returns the view names."""
     names = []
