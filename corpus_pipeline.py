@@ -19,14 +19,13 @@ document for stage 2; a null doc_id takes part in every stage as an id larger th
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shared_path, table
+from tidemark.llm.common import shared_path, stored, table
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.packing import pack, pieces
-from tidemark.llm.common import stored
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.substring_dedup import substring_dedup
 
@@ -34,21 +33,25 @@ from tidemark.llm.substring_dedup import substring_dedup
 ORACLE_SQL = None
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``ids`` (null equals null)."""
-    return docs.join(ids.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+def _keep(docs: DataFrame, decided: DataFrame, keep: Column) -> DataFrame:
+    """Rows of ``docs`` less the ids of which no row of ``decided`` is to be kept (null equals null). Only the ids
+    that go are written and joined; Spark reads their size off the files and sends them to the tasks when they are
+    below its broadcast threshold, so the texts are not shuffled, and joins by a shuffle beyond it."""
+    gone = decided.groupBy("doc_id").agg(F.bool_or(keep).alias("_keep")).where("not _keep")
+    gone = stored(gone.select(F.col("doc_id").alias("_id")), "gone")
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, quality_scores(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+    return _keep(docs, quality_scores(docs, table(spark, sf_dir, "labels")), F.col("predicted") == 1)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, exact_dedup(docs).where("kept")).dropDuplicates(["doc_id", "text"])
+    return _keep(docs, exact_dedup(docs), F.col("kept")).dropDuplicates(["doc_id", "text"])
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return _keep(docs, jaccard_components(docs), F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
