@@ -6,7 +6,7 @@ using the rows up to and including it.
 
 Everything is window functions plus higher-order functions over the running
 window, so it stays in the JVM and is partitioned by series key. The
-exponential smoothers fold ``collect_list`` of the running window, which is
+exponential smoothers sum over ``collect_list`` of the running window, which is
 quadratic in the series length: right for series of snapshots (tens to a few
 hundred steps per key). A series is one key's snapshots, so a key holding a
 third of the *input rows* is still one short series here.
@@ -51,13 +51,16 @@ RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 PAST = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
-def ses_fold_sql(hist: str, alpha: float, field: str) -> str:
-    """Fold a list of structs (t, <field>) the way the recursive smoother
-    consumes them: weight decays by alpha^((t - t_prev) / f), f = first t."""
-    a = f"pow({alpha!r}D, (x.t - acc.lt) / element_at({hist}, 1).t)"
-    return (f"aggregate({hist}, named_struct('lt', 0D, 's', 0D, 'w', 0D), "
-            f"(acc, x) -> named_struct('lt', x.t, 's', acc.s * {a} + x.{field}, 'w', acc.w * {a} + 1D), "
-            f"acc -> try_divide(acc.s, acc.w))")
+def _weight_sql(hist: str, alpha: float) -> str:
+    """Weight of entry x of ``hist`` as seen from the newest entry: alpha^((t_n - t_i) / t_1)."""
+    return f"pow({alpha!r}D, (element_at({hist}, -1).t - x.t) / element_at({hist}, 1).t)"
+
+
+def ses_sql(hist: str, alpha: float, field: str) -> str:
+    """Weighted mean of ``field`` over a list of structs (t, <field>), in closed form."""
+    w = _weight_sql(hist, alpha)
+    return (f"try_divide(aggregate({hist}, 0D, (total, x) -> total + {w} * x.{field}), "
+            f"aggregate({hist}, 0D, (total, x) -> total + {w}))")
 
 
 def with_models(df: DataFrame, keys: list[str], t: str, v: str, order: list[str] | None = None,
@@ -78,9 +81,9 @@ def with_models(df: DataFrame, keys: list[str], t: str, v: str, order: list[str]
         f"named_struct('b', CASE WHEN var_pop({T}) OVER {WR} = 0 THEN 0D "
         f"ELSE try_divide(covar_pop({T}, {V}) OVER {WR}, var_pop({T}) OVER {WR}) END, "
         f"'mt', avg({T}) OVER {WR}, 'mv', avg({V}) OVER {WR}, 'ms', avg({step}) OVER {WR}) AS {o}")
-    d = d.selectExpr("*", f"array(0D, 0D, 0D, {o}.b, {step}, {o}.ms, {ses_fold_sql(hist, trend_alpha, 's')}) AS {sl}")
+    d = d.selectExpr("*", f"array(0D, 0D, 0D, {o}.b, {step}, {o}.ms, {ses_sql(hist, trend_alpha, 's')}) AS {sl}")
     d = d.selectExpr(
-        "*", f"array({V}, {o}.mv, {ses_fold_sql(hist, ses_alpha, 'v')}, {o}.mv - {o}.b * {o}.mt, "
+        "*", f"array({V}, {o}.mv, {ses_sql(hist, ses_alpha, 'v')}, {o}.mv - {o}.b * {o}.mt, "
         f"{V} - element_at({sl}, 5) * {T}, {V} - element_at({sl}, 6) * {T}, {V} - element_at({sl}, 7) * {T}) AS {ic}")
     return d.drop(step, hist, o)
 
@@ -133,12 +136,10 @@ def forecast_select(df: DataFrame, keys: list[str], t: str, v: str, final_time,
     d = d.selectExpr("*", f"transform(sequence(1, {n}), i -> pow(__nv - (element_at(m_slopes, i) * __nt "
                           f"+ element_at(m_icpts, i)), 2)) AS __errs")
     d = d.selectExpr("*", f"collect_list(named_struct('t', {T}, 'e', __errs)) OVER {WP} AS __eh")
-    a = f"pow({error_alpha!r}D, (x.t - acc.lt) / element_at(__eh, 1).t)"
+    w = _weight_sql("__eh", error_alpha)
     d = d.selectExpr("*", (
-        f"aggregate(__eh, named_struct('lt', 0D, 'w', 0D, 's', array_repeat(0D, {n})), "
-        f"(acc, x) -> named_struct('lt', x.t, 'w', acc.w * {a} + 1D, "
-        f"'s', zip_with(acc.s, x.e, (s, e) -> s * {a} + e)), "
-        f"acc -> transform(acc.s, s -> try_divide(s, acc.w))) AS __mae"))
+        f"zip_with(aggregate(__eh, array_repeat(0D, {n}), (total, x) -> zip_with(total, x.e, (s, e) -> s + {w} * e)), "
+        f"array_repeat(aggregate(__eh, 0D, (total, x) -> total + {w}), {n}), (s, all) -> try_divide(s, all)) AS __mae"))
     d = d.selectExpr("*", "- array_min(transform(__mae, (m, i) -> named_struct('m', m, 'neg', -i))).neg AS __choice")
     d = d.selectExpr("*", f"CASE WHEN size(__eh) = 0 OR __psl IS NULL THEN {V} "
                           f"ELSE element_at(__psl, __choice + 1) * {at} + element_at(__pic, __choice + 1) END AS {_q(out)}")

@@ -11,8 +11,10 @@ whole history.
 Per series the state is a fixed vector of numbers: the candidates' running
 statistics, the smoothed squared errors, and the candidates' parameters
 after the previous observation (the newest observation is held back, as in
-the batch selector). The update is the same recursion the window form of
-:mod:`tidemark.operators.forecast` evaluates.
+the batch selector). Weighted means are kept as a mean and its total weight,
+so they equal the closed form that :mod:`tidemark.operators.forecast` sums.
+A snapshot that is replayed, or that arrives after a later one of its series
+in another batch, changes nothing and gives no row.
 """
 
 from __future__ import annotations
@@ -32,18 +34,21 @@ from tidemark.session import checkpoint_dir
 
 N = len(MODELS)
 # state vector layout
-FIELDS = (["n", "f", "last_t", "last_v", "sum_v", "ses_lt", "ses_s", "ses_w",
-           "ols_n", "ols_mt", "ols_mv", "ols_vt", "ols_cv", "last_s", "ts_sum", "ts_n",
-           "tses_lt", "tses_s", "tses_w", "err_f", "err_lt", "err_w", "scored"]
-          + [f"err_s{i}" for i in range(N)] + [f"b{i}" for i in range(N)] + [f"a{i}" for i in range(N)])
+FIELDS = (["n", "f", "before_t", "last_t", "last_v", "sum_v", "ses_m", "ses_w",
+           "ols_n", "ols_mt", "ols_mv", "ols_vt", "ols_cv", "ts_sum", "ts_n", "tses_m", "tses_w", "err_w", "scored"]
+          + [f"err_m{i}" for i in range(N)] + [f"b{i}" for i in range(N)] + [f"a{i}" for i in range(N)])
 IX = {k: i for i, k in enumerate(FIELDS)}
 
 
-def _ses(st, pre, t, x, alpha, f):
-    d = alpha ** ((t - st[IX[pre + "_lt"]]) / f)
-    st[IX[pre + "_lt"]] = t
-    st[IX[pre + "_s"]] = st[IX[pre + "_s"]] * d + x
-    st[IX[pre + "_w"]] = st[IX[pre + "_w"]] * d + 1.0
+def _aged(weight: float, alpha: float, gap: float, unit: float) -> float:
+    """Total weight once a newer observation, ``gap`` later, joins: the closed form's sum of
+    alpha^((t_n - t_i) / unit), whose older terms all shrink by one factor and whose newest is 1."""
+    return 1.0 + weight * alpha ** (gap / unit)
+
+
+def _moved(mean: float, x: float, weight: float) -> float:
+    """Weighted mean after ``x`` of weight 1 joined a total of ``weight`` (1 included)."""
+    return mean + (x - mean) / weight
 
 
 def step(st: list[float] | None, t: float, v: float, final_time: float, ses_alpha: float = SES_ALPHA,
@@ -53,32 +58,30 @@ def step(st: list[float] | None, t: float, v: float, final_time: float, ses_alph
     g = lambda k: st[IX[k]]
     # 1. score the models fitted on the earlier rows against this one
     if g("n") >= 1:
-        train_t = g("last_t")
-        if g("scored") == 0:
-            st[IX["err_f"]] = train_t
-        d = error_alpha ** ((train_t - g("err_lt")) / g("err_f"))
-        st[IX["err_lt"]] = train_t
-        st[IX["err_w"]] = g("err_w") * d + 1.0
+        # errors carry their training time: the last one's is last_t, the one before's before_t
+        # (f is the first training time as well)
+        st[IX["err_w"]] = _aged(g("err_w"), error_alpha, g("last_t") - g("before_t"), g("f"))
         for i in range(N):
             e = (v - (g(f"b{i}") * t + g(f"a{i}"))) ** 2
-            st[IX[f"err_s{i}"]] = g(f"err_s{i}") * d + e
+            st[IX[f"err_m{i}"]] = _moved(g(f"err_m{i}"), e, g("err_w"))
         st[IX["scored"]] = g("scored") + 1
     # 2. forecast with the best of them (ties to the last candidate)
     if g("scored") == 0:
         pred, choice = v, None
     else:
-        maes = [g(f"err_s{i}") / g("err_w") for i in range(N)]
+        maes = [g(f"err_m{i}") for i in range(N)]
         best = min(maes)
         choice = max(i for i in range(N) if maes[i] <= best)
         pred = g(f"b{choice}") * final_time + g(f"a{choice}")
     # 3. fit every candidate on this row too (parameters for the next one)
     if g("n") == 0:
         st[IX["f"]] = t
-    f = g("f")
-    step_s = (v - g("last_v")) / (t - g("last_t"))
+    f, gap = g("f"), t - g("last_t")
+    step_s = (v - g("last_v")) / gap
     st[IX["n"]] = g("n") + 1
     st[IX["sum_v"]] = g("sum_v") + v
-    _ses(st, "ses", t, v, ses_alpha, f)
+    st[IX["ses_w"]] = _aged(g("ses_w"), ses_alpha, gap, f)
+    st[IX["ses_m"]] = _moved(g("ses_m"), v, g("ses_w"))
     # least squares from running means and co-moments (Welford): m2 = sum of
     # squared deviations of t, c = sum of products of deviations of t and v
     on = g("ols_n") + 1.0
@@ -88,14 +91,14 @@ def step(st: list[float] | None, t: float, v: float, final_time: float, ses_alph
     st[IX["ols_vt"]] = g("ols_vt") + dt * (t - mt)
     st[IX["ols_cv"]] = g("ols_cv") + dt * (v - mv)
     st[IX["ols_n"]], st[IX["ols_mt"]], st[IX["ols_mv"]] = on, mt, mv
-    st[IX["last_s"]] = step_s
     st[IX["ts_sum"]] = g("ts_sum") + step_s
     st[IX["ts_n"]] = g("ts_n") + 1
-    _ses(st, "tses", t, step_s, trend_alpha, f)
-    st[IX["last_t"]], st[IX["last_v"]] = t, v
+    st[IX["tses_w"]] = _aged(g("tses_w"), trend_alpha, gap, f)
+    st[IX["tses_m"]] = _moved(g("tses_m"), step_s, g("tses_w"))
+    st[IX["before_t"]], st[IX["last_t"]], st[IX["last_v"]] = g("last_t"), t, v
     ob = 0.0 if g("ols_vt") == 0 else g("ols_cv") / g("ols_vt")   # the 1/n factors cancel
-    slopes = [0.0, 0.0, 0.0, ob, step_s, g("ts_sum") / g("ts_n"), g("tses_s") / g("tses_w")]
-    icpts = [v, g("sum_v") / g("n"), g("ses_s") / g("ses_w"), g("ols_mv") - ob * g("ols_mt"),
+    slopes = [0.0, 0.0, 0.0, ob, step_s, g("ts_sum") / g("ts_n"), g("tses_m")]
+    icpts = [v, g("sum_v") / g("n"), g("ses_m"), g("ols_mv") - ob * g("ols_mt"),
              v - slopes[4] * t, v - slopes[5] * t, v - slopes[6] * t]
     for i in range(N):
         st[IX[f"b{i}"]], st[IX[f"a{i}"]] = slopes[i], icpts[i]
@@ -108,11 +111,14 @@ def _updater(keys: list[str], final_time: float):
         st = list(state.get[0]) if state.exists else None
         out = []
         for t, v, part in zip(rows["t"], rows["val"], rows["part_idx"]):
+            if st is not None and t <= st[IX["last_t"]]:
+                continue  # a snapshot seen before, or late: the state is past it
             st, pred, choice = step(st, float(t), float(v), final_time)
             out.append((*key, int(part), float(pred), choice))
         state.update((st,))
-        yield pd.DataFrame(out, columns=[*keys, "col", "part_idx", "forecast", "forecast_model"]) \
-            .astype({"forecast_model": "Int32"})
+        if out:
+            yield pd.DataFrame(out, columns=[*keys, "col", "part_idx", "forecast", "forecast_model"]) \
+                .astype({"forecast_model": "Int32"})
     return update
 
 
