@@ -58,3 +58,20 @@ def test_state_ignores_replayed_and_late_snapshots():
         return out
 
     assert feed([[1, 2, 3], [3], [2, 4], [1], [5]]) == feed([[1, 2, 3, 4, 5]])
+
+
+def test_online_last_follows_the_order_not_the_parts(spark):
+    from tidemark.operators.online import Agg, OnlineSpec, online_agg
+    df = spark.createDataFrame([(0, 100, "late"), (1, 5, "early"), (1, None, "unordered")], "p long, o long, v string")
+    got = online_agg(df, "p", 2, OnlineSpec([], [Agg("v", "last", "v", order="o")])).orderBy("part_idx").collect()
+    assert [r.v for r in got] == ["late", "late"]
+
+
+def test_online_refuses_parts_out_of_range(spark):
+    import pytest
+    from tidemark.operators.online import Agg, OnlineSpec, online_agg
+    spec = OnlineSpec([], [Agg("n", "count_star")])
+    for bad in (2, -1, None):
+        df = spark.createDataFrame([(0,), (bad,)], "p long")
+        with pytest.raises(Exception, match="part outside 0..1"):
+            online_agg(df, "p", 2, spec).collect()

@@ -63,7 +63,8 @@ class Agg:
         if self.op == "max":
             return [(f"{n}__m", F.max(x), "max")]
         if self.op == "last":
-            return [(f"{n}__m", F.max_by(x, F.expr(self._order())), "last")]
+            o = F.expr(self._order())
+            return [(f"{n}__m", F.max(F.when(o.isNotNull(), F.struct(o.alias("o"), x.alias("v")))), "max")]
         raise ValueError(f"unsupported online aggregate {self.op!r}")
 
     def _order(self) -> str:
@@ -82,13 +83,15 @@ class Agg:
                 "avg": [(f"{n}__s", f"sum({x})", "sum"), (f"{n}__c", f"count({x})", "sum")],
                 "min": [(f"{n}__m", f"min({x})", "min")],
                 "max": [(f"{n}__m", f"max({x})", "max")],
-                "last": [(f"{n}__m", f"max_by({x}, {self.order})", "last")]}[self.op]
+                "last": [(f"{n}__m", f"max(CASE WHEN ({self.order}) IS NOT NULL "
+                                     f"THEN named_struct('o', {self.order}, 'v', {x}) END)", "max")]}[self.op]
 
     def finish_sql(self) -> str:
         n = self.name
         if self.op in ("count", "count_star"):
             return f"CAST({n}__c AS BIGINT) AS {n}"
-        v = {"avg": f"try_divide(CAST({n}__s AS DOUBLE), {n}__c)", "sum": f"{n}__s"}.get(self.op, f"{n}__m")
+        v = {"avg": f"try_divide(CAST({n}__s AS DOUBLE), {n}__c)", "sum": f"{n}__s",
+             "last": f"{n}__m.v"}.get(self.op, f"{n}__m")
         if self.digits is not None:
             v = sql_rnd(v, self.digits)
         return f"{v} AS {n}"
@@ -101,6 +104,8 @@ class Agg:
             v = F.try_divide(F.col(f"{n}__s").cast("double"), F.col(f"{n}__c"))
         elif self.op == "sum":
             v = F.col(f"{n}__s")
+        elif self.op == "last":
+            v = F.col(f"{n}__m.v")
         else:
             v = F.col(f"{n}__m")
         if self.digits is not None:
@@ -108,7 +113,7 @@ class Agg:
         return v.alias(n)
 
 
-_MERGE = {"sum": F.sum, "min": F.min, "max": F.max, "last": F.last}
+_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 @dataclass
@@ -131,8 +136,10 @@ def online_agg(df: DataFrame, part_col: str | Column, n_parts: int, spec: Online
                part_name: str = "part_idx", with_progress: bool = True) -> DataFrame:
     """Snapshots ``(part_idx, keys..., aggregates..., rows_seen, rows_total, progress)``.
 
-    ``part_col`` must take values in ``0 .. n_parts - 1``. Aggregate inputs
-    are SQL text, so each step below is one projection handed to the JVM.
+    ``part_col`` must take values in ``0 .. n_parts - 1``; a row with any other
+    part, or none, fails the query. A ``last`` aggregate is the value of the
+    largest order over all parts seen (of equal orders the largest value),
+    whatever part it came in; null orders are left out. Aggregate inputs are SQL text, so each step below is one projection handed to the JVM.
     The partial states (parts x keys rows) are persisted for their two
     consumers; a long-lived session releases them with
     ``spark.catalog.clearCache()``.
@@ -140,7 +147,9 @@ def online_agg(df: DataFrame, part_col: str | Column, n_parts: int, spec: Online
     keys = list(spec.keys)
     kq = [f"`{k}`" for k in keys]
     part = (F.expr(part_col) if isinstance(part_col, str) else part_col).cast("bigint")
-    src = df.withColumn(part_name, part)
+    legal = part.between(0, n_parts - 1)
+    src = df.withColumn(part_name, F.when(legal, part).otherwise(F.raise_error(
+        F.concat(F.lit(f"part outside 0..{n_parts - 1}: "), F.coalesce(part.cast("string"), F.lit("null"))))))
 
     states = [s for a in spec.aggs for s in a.state_sql()]
     # the partial states feed both the snapshots and the progress table; they
