@@ -136,7 +136,8 @@ class Words:
 
 
 def blocks(batches, text: str = "text", limit: int = (2 << 20) - (1 << 18)):
-    """Each record batch cut into pieces of about ``limit`` text bytes (one text at least)."""
+    """Each record batch cut into pieces of about ``limit`` text bytes (one text at least). At the end the
+    memory that Arrow keeps for later goes back to the system, as the worker may stay idle beside others."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -146,6 +147,8 @@ def blocks(batches, text: str = "text", limit: int = (2 << 20) - (1 << 18)):
             hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, "right")) - 1)
             yield batch.slice(lo, hi - lo)
             lo = hi
+        del batch, off
+    pa.default_memory_pool().release_unused()
 
 
 def shingle_sets(column, n: int) -> tuple[np.ndarray, np.ndarray]:
