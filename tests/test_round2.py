@@ -75,3 +75,23 @@ def test_online_refuses_parts_out_of_range(spark):
         df = spark.createDataFrame([(0,), (bad,)], "p long")
         with pytest.raises(Exception, match="part outside 0..1"):
             online_agg(df, "p", 2, spec).collect()
+
+
+def test_small_values_are_not_cut_to_cents(spark):
+    df = spark.range(1000).select(F.lit(0.0001).alias("v"), F.col("id").alias("u"))
+    out = online_sum_ci(df, F.col("v"), F.col("u"), 10, digits=4).orderBy(F.col("step").desc()).first()
+    assert (out["estimate"], out["half_width"]) == (0.1, 0.0)
+
+
+def test_sums_beyond_a_long(spark):
+    from tidemark.operators.relational import agg_spec, sum_all
+    df = spark.createDataFrame([(2 ** 62,)] * 4, "k long")
+    assert int(sum_all(df).first()[0]) == 2 ** 64
+    assert int(agg_spec(df, [], {"k": ["sum"]}).first()["k_sum"]) == 2 ** 64
+
+
+def test_pi_has_a_point_for_each_row(spark):
+    from tidemark.plans.jobs import job_pi
+    r = job_pi(spark, "/root/testdata/sf0.01").first()
+    assert r["samples"] == spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").count()
+    assert r["pi"] == pytest.approx(3.14159, abs=0.03)

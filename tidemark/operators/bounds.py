@@ -95,7 +95,7 @@ def quantiles(buckets: int, confidence: float, dist: str = "t") -> tuple[float,
 
 def online_sum_ci(df: DataFrame, value: Column, unit: Column | None = None, buckets: int = 50,
                   confidence: float = 0.95, max_buckets: int | None = None, dist: str = "t",
-                  bucket_col: str | None = None) -> DataFrame:
+                  bucket_col: str | None = None, scale: int = 6, digits: int = 2) -> DataFrame:
     """Rows ``(step, rows_seen, estimate, half_width)`` for steps 1..B
     (or 1..max_buckets, the WITHTIME-style cap on how far to go). The
     critical value is Student t with m - 1 degrees of freedom (``dist="z"``
@@ -104,22 +104,22 @@ def online_sum_ci(df: DataFrame, value: Column, unit: Column | None = None, buck
     Buckets come from ``unit`` (hashed here) or from an existing column
     ``bucket_col`` -- e.g. the partition column of a fact table written with
     :func:`write_bucket_layout`. The cap is applied before the aggregate, so
-    with such a layout Catalyst prunes the unread buckets' files."""
+    with such a layout Catalyst prunes the unread buckets' files.
+
+    Values are summed as exact decimals of ``scale`` decimals (finer values
+    are rounded to it), so totals do not depend on the order rows are added
+    in; only the output is rounded, to ``digits``."""
     spark = df.sparkSession
     crit = "array(" + ", ".join(f"{q!r}D" for q in quantiles(buckets, confidence, dist)) + ")"
-    # bucket totals to cents as exact decimals: the running sums below are
-    # then exact and independent of summation order
     b = F.col(bucket_col).cast("bigint") if bucket_col else bucket_of(unit, buckets)
     if max_buckets is not None:
         df = df.where(b < max_buckets)
-    # each row's value as an exact decimal (money has a few decimals), so
-    # bucket totals do not depend on the order rows are added in
-    per = (df.select(b.alias("bucket"), value.cast("decimal(38,6)").alias("v"))
-           .groupBy("bucket").agg(F.expr("CAST(round(sum(v), 2) AS DECIMAL(38,2)) AS y"),
-                                  F.expr("count(1) AS n")))
+    exact = f"DECIMAL(38,{scale})"
+    per = (df.select(b.alias("bucket"), value.cast(exact).alias("v"))
+           .groupBy("bucket").agg(F.expr("sum(v) AS y"), F.expr("count(1) AS n")))
     grid = spark.range(buckets).withColumnRenamed("id", "bucket")
     dense = (grid.join(F.broadcast(per), "bucket", "left")
-             .selectExpr("bucket", "coalesce(y, CAST(0 AS DECIMAL(38,2))) AS y", "coalesce(n, 0) AS n"))
+             .selectExpr("bucket", f"coalesce(y, CAST(0 AS {exact})) AS y", "coalesce(n, 0) AS n"))
     if max_buckets is not None:
         dense = dense.where(F.col("bucket") < max_buckets)
     w = "(ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -128,8 +128,8 @@ def online_sum_ci(df: DataFrame, value: Column, unit: Column | None = None, buck
     hw = (f"element_at({crit}, CAST(m AS INT)) * {float(buckets)!r}D * "
           f"sqrt(greatest(1.0D - CAST(m AS DOUBLE) / {buckets}, 0.0D) * var / m)")
     return run.selectExpr("CAST(m AS BIGINT) AS step", "CAST(rows_seen AS BIGINT) AS rows_seen",
-                          f"{sql_rnd(f'{float(buckets)!r}D * mean', 2)} AS estimate",
-                          f"{sql_rnd(hw, 2)} AS half_width")
+                          f"{sql_rnd(f'{float(buckets)!r}D * mean', digits)} AS estimate",
+                          f"{sql_rnd(hw, digits)} AS half_width")
 
 
 def write_bucket_layout(df: DataFrame, unit: Column, path: str, buckets: int = 50) -> None:
@@ -139,24 +139,25 @@ def write_bucket_layout(df: DataFrame, unit: Column, path: str, buckets: int = 5
 
 
 def online_sum_sql(base: str, value: str, unit: str, buckets: int = 50, confidence: float = 0.95,
-                   round_sql=None, dist: str = "t") -> str:
+                   round_sql=None, dist: str = "t", scale: int = 6, digits: int = 2) -> str:
     """DuckDB twin of :func:`online_sum_ci`; ``base`` selects the joined,
     filtered fact rows."""
     crit = "[" + ", ".join(repr(q) for q in quantiles(buckets, confidence, dist)) + "]"
     r = round_sql
+    exact = f"DECIMAL(38,{scale})"
     return f"""
 , base AS ({base}),
 per AS (SELECT {bucket_sql(unit, buckets)} AS bucket,
-               CAST(round(sum(CAST({value} AS DECIMAL(38,6))), 2) AS DECIMAL(38,2)) AS y, count(*) AS n
+               sum(CAST({value} AS {exact})) AS y, count(*) AS n
         FROM base GROUP BY 1),
-dense AS (SELECT g.range AS bucket, coalesce(per.y, CAST(0 AS DECIMAL(38,2))) AS y, coalesce(per.n, 0) AS n
+dense AS (SELECT g.range AS bucket, coalesce(per.y, CAST(0 AS {exact})) AS y, coalesce(per.n, 0) AS n
           FROM range({buckets}) g LEFT JOIN per ON per.bucket = g.range),
 run AS (SELECT bucket + 1 AS m, CAST(sum(y) OVER w AS DOUBLE) / (bucket + 1) AS mean,
                var_samp(CAST(y AS DOUBLE)) OVER w AS var,
                sum(n) OVER w AS rows_seen
         FROM dense WINDOW w AS (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT CAST(m AS BIGINT) AS step, CAST(rows_seen AS BIGINT) AS rows_seen,
-       {r(f'{float(buckets)} * mean', 2)} AS estimate,
-       {r(f'{crit}[m] * {float(buckets)} * sqrt(greatest(1.0 - CAST(m AS DOUBLE) / {buckets}, 0.0) * var / m)', 2)} AS half_width
+       {r(f'{float(buckets)} * mean', digits)} AS estimate,
+       {r(f'{crit}[m] * {float(buckets)} * sqrt(greatest(1.0 - CAST(m AS DOUBLE) / {buckets}, 0.0) * var / m)', digits)} AS half_width
 FROM run
 """
