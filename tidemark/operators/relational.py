@@ -10,13 +10,21 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import col
 
-_OPS = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "mean": F.avg,
+_WHOLE = ("byte", "short", "integer", "long")
+_OPS = {"count": F.count, "min": F.min, "max": F.max, "mean": F.avg,
         "avg": F.avg, "first": F.first, "last": F.last}
 
 
+def safe_sum(df: DataFrame, name: str) -> Column:
+    """Sum of a column; whole numbers add up as decimal(38, 0), which a long would not hold at any size."""
+    whole = df.schema[name].dataType.typeName() in _WHOLE
+    return F.sum(F.col(name).cast("decimal(38,0)") if whole else F.col(name))
+
+
 def agg_spec(df: DataFrame, keys: list[str], spec: dict[str, list[str]]) -> DataFrame:
     """D3: column x [ops] -> ``<col>_<op>``; works with or without keys."""
-    exprs = [_OPS[op](F.col(c)).alias(f"{c}_{op}") for c, ops in spec.items() for op in ops]
+    exprs = [(safe_sum(df, c) if op == "sum" else _OPS[op](F.col(c))).alias(f"{c}_{op}")
+             for c, ops in spec.items() for op in ops]
     return df.groupBy(*keys).agg(*exprs) if keys else df.agg(*exprs)
 
 
@@ -24,10 +32,10 @@ def sum_all(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """D1 (no keys: bare names) / D2 (keys: ``<col>_sum``) over numeric columns."""
     keys = keys or []
     num = [f.name for f in df.schema.fields if f.name not in keys
-           and f.dataType.typeName() in ("integer", "long", "double", "float", "short", "decimal")]
+           and f.dataType.typeName() in (*_WHOLE, "double", "float", "decimal")]
     if not keys:
-        return df.agg(*[F.sum(c).alias(c) for c in num])
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(f"{c}_sum") for c in num])
+        return df.agg(*[safe_sum(df, c).alias(c) for c in num])
+    return df.groupBy(*keys).agg(*[safe_sum(df, c).alias(f"{c}_sum") for c in num])
 
 
 def last_per_group(df: DataFrame, keys: list[str], values: list[str], order_col: str) -> DataFrame:

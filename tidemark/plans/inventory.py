@@ -113,16 +113,17 @@ LI_INT = {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"}
 
 
 def _sum_sql(col_, alias):
-    return f"CAST(sum({col_}) AS BIGINT) AS {alias}" if col_ in LI_INT else f"{R(f'sum({col_})')} AS {alias}"
+    return f"CAST(sum({col_}) AS VARCHAR) AS {alias}" if col_ in LI_INT else f"{R(f'sum({col_})')} AS {alias}"
 
 
 @register("inv_d1_sum_all", "SELECT " + ", ".join(_sum_sql(x, x) for x in LI_NUM) + " FROM lineitem",
           prelude=False)
 def inv_d1_sum_all(spark, sf_dir):
-    """Global sum of every numeric column, names kept bare."""
+    """Global sum of every numeric column, names kept bare; sums of whole numbers, exact at any
+    size, are shown as text."""
     li = tables(spark, sf_dir)["lineitem"].select(*LI_NUM)
     s = sum_all(li)
-    return s.select(*[c(x) if x in LI_INT else rnd(x).alias(x) for x in LI_NUM])
+    return s.select(*[c(x).cast("string").alias(x) if x in LI_INT else rnd(x).alias(x) for x in LI_NUM])
 
 
 @register("inv_d2_sum_by_flag", "SELECT l_returnflag, " + ", ".join(_sum_sql(x, x + "_sum") for x in LI_NUM)
@@ -131,7 +132,7 @@ def inv_d2_sum_by_flag(spark, sf_dir):
     """Grouped sum of every numeric non-key column as ``<col>_sum``."""
     li = tables(spark, sf_dir)["lineitem"].select("l_returnflag", *LI_NUM)
     s = sum_all(li, ["l_returnflag"])
-    return s.select("l_returnflag", *[c(x + "_sum") if x in LI_INT else rnd(x + "_sum").alias(x + "_sum")
+    return s.select("l_returnflag", *[c(x + "_sum").cast("string").alias(x + "_sum") if x in LI_INT else rnd(x + "_sum").alias(x + "_sum")
                                       for x in LI_NUM])
 
 
