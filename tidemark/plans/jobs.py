@@ -80,24 +80,27 @@ def job_terasort(spark, sf_dir, n_parts: int | None = None):
                     "boundaries_ordered", (c("checksum") == c("cs_in")).alias("checksum_match"))
 
 
-# Fixed hash multipliers for the two point coordinates.
-PI_MULT_X = 2654435761
-PI_MULT_Y = 2246822519
-WORD = 2147483648
+HEX = 12  # hex digits of the row's hash that make one coordinate
+CELLS = float(16 ** HEX)
+
+
+def _coord_sql(first: int) -> str:
+    return f"CAST(CAST('0x' || substr(h, {first}, {HEX}) AS BIGINT) AS DOUBLE) / {CELLS!r}"
 
 
 @register("job_pi", f"""
 SELECT CAST(round(4.0 * sum(CASE WHEN x * x + y * y <= 1.0 THEN 1 ELSE 0 END) / count(*), 6) AS DOUBLE) AS pi,
        count(*) AS samples
-FROM (SELECT CAST((((l_orderkey * 8 + l_linenumber) % {WORD}) * {PI_MULT_X}) % {WORD} AS DOUBLE) / {WORD} AS x,
-             CAST((((l_orderkey * 8 + l_linenumber) % {WORD}) * {PI_MULT_Y}) % {WORD} AS DOUBLE) / {WORD} AS y
-      FROM lineitem) q
+FROM (SELECT {_coord_sql(1)} AS x, {_coord_sql(1 + HEX)} AS y
+      FROM (SELECT md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR))) AS h
+            FROM lineitem) k) q
 """, prelude=False)
 def job_pi(spark, sf_dir):
+    """One point for each row: its coordinates are two parts of a hash of the row's identifying columns."""
     li = tables(spark, sf_dir)["lineitem"]
-    u = (c("l_orderkey") * 8 + c("l_linenumber")) % WORD
-    x = ((u * PI_MULT_X) % WORD).cast("double") / WORD
-    y = ((u * PI_MULT_Y) % WORD).cast("double") / WORD
+    own = [c(x).cast("string") for x in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    points = li.select(F.md5(F.concat_ws("|", *own, c("l_shipdate").cast("date").cast("string"))).alias("h"))
+    x, y = (F.conv(F.substring("h", first, HEX), 16, 10).cast("double") / CELLS for first in (1, 1 + HEX))
     hits = F.sum(F.when(x * x + y * y <= 1.0, 1).otherwise(0))
-    return li.agg(F.round(F.lit(4.0) * hits / F.count(F.lit(1)), 6).alias("pi"),
-                  F.count(F.lit(1)).alias("samples"))
+    return points.agg(F.round(F.lit(4.0) * hits / F.count(F.lit(1)), 6).alias("pi"),
+                      F.count(F.lit(1)).alias("samples"))
