@@ -73,7 +73,7 @@ def test_hot_key_join_is_exact(spark):
     assert sum(r.n for r in j.collect()) == 30000
 
 
-@pytest.mark.parametrize("name", ["online_q1", "online_b", "tpch_q15", "ic_scores"])
+@pytest.mark.parametrize("name", ["online_q1", "online_b", "tpch_q15", "tpch_q21", "ic_scores"])
 def test_fact_table_scanned_once(spark, name):
     """Results consumed twice (progress, scalar subquery, fit-then-score)
     come from one scan of the fact table."""

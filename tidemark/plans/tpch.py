@@ -552,22 +552,20 @@ GROUP BY s_name ORDER BY numwait DESC, s_name
 """)
 def q21(spark, sf_dir, nation: str = "NATION_20"):
     t = _t(spark, sf_dir)
-    li = t["lineitem"].select("l_orderkey", "l_suppkey", "l_commitdate", "l_receiptdate")
     late = c("l_receiptdate") > c("l_commitdate")
     # EXISTS other supplier  <=> min(supp) != max(supp) in the order
-    # NOT EXISTS other late  <=> every late line of the order has l1's supplier
-    per_order = li.groupBy(c("l_orderkey").alias("k")).agg(
+    # NOT EXISTS other late  <=> the order's late lines have one supplier; each of them is a row of the answer
+    per_order = (t["lineitem"].groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("smin"), F.max("l_suppkey").alias("smax"),
         F.min(F.when(late, c("l_suppkey"))).alias("lmin"),
-        F.max(F.when(late, c("l_suppkey"))).alias("lmax"))
+        F.max(F.when(late, c("l_suppkey"))).alias("lmax"), F.count_if(late).alias("late"))
+        .where((c("smin") != c("smax")) & (c("lmin") == c("lmax"))).select("l_orderkey", "lmin", "late"))
+    o = t["orders"].where(c("o_orderstatus") == "F").select("o_orderkey")
     n = F.broadcast(t["nation"].where(c("n_name") == nation).select("n_nationkey"))
     s = t["supplier"].join(n, c("s_nationkey") == c("n_nationkey"), "left_semi").select("s_suppkey", "s_name")
-    o = t["orders"].where(c("o_orderstatus") == "F").select("o_orderkey")
-    l1 = (li.where(late).join(s, c("l_suppkey") == c("s_suppkey"))
-          .join(o, c("l_orderkey") == c("o_orderkey"), "left_semi")
-          .join(per_order, c("l_orderkey") == c("k"))
-          .where((c("smin") != c("smax")) & (c("lmin") == c("l_suppkey")) & (c("lmax") == c("l_suppkey"))))
-    return (l1.groupBy("s_name").agg(F.count(F.lit(1)).alias("numwait"))
+    return (per_order.join(o, c("l_orderkey") == c("o_orderkey"), "left_semi")
+            .join(s, c("lmin") == c("s_suppkey"))
+            .groupBy("s_name").agg(F.sum("late").alias("numwait"))
             .orderBy(c("numwait").desc(), "s_name"))
 
 
