@@ -136,3 +136,20 @@ def test_register_tbl_tables(spark, tmpdir_path):
     r = spark.sql("SELECT r_name, count(*) AS n FROM nation_tbltest JOIN region_tbltest ON n_regionkey = r_regionkey "
                   "GROUP BY r_name ORDER BY r_name").collect()
     assert [(x.r_name, x.n) for x in r] == [("AFRICA", 1), ("AMERICA", 2)]
+
+
+def test_parts_by_uri_in_folders_and_with_spaces(spark, tmpdir_path):
+    from tidemark.operators.online import file_parts
+    root = os.path.join(tmpdir_path, "with a space")
+    for i, folder in enumerate(("day=1", "day=2")):  # the same base name twice
+        os.makedirs(os.path.join(root, folder))
+        _write(os.path.join(root, folder, "nation.tbl.1"), NATION[i:i + 1])
+    _write(os.path.join(root, "day=2", "nation.tbl.10"), NATION[2:])
+    for where in (root, f"file://{root}"):
+        assert len(files.table_files(where, "nation")) == 3
+        df = files.read_tbl_table(spark, where, "nation", columns=["n_name"], with_part=True)
+        assert sorted((r.n_name, r.part_idx) for r in df.collect()) == [("ALGERIA", 0), ("ARGENTINA", 1), ("BRAZIL", 2)]
+    lines, n = file_parts(spark.read.text(root))
+    assert n == 3 and lines.select("part_idx").distinct().count() == 3
+    with pytest.raises(FileNotFoundError):
+        files.read_tbl_table(spark, root, "region")

@@ -202,16 +202,10 @@ def final_snapshot(snapshots: DataFrame, n_parts: int, part_name: str = "part_id
 
 
 def file_parts(df: DataFrame, part_name: str = "part_idx") -> tuple[DataFrame, int]:
-    """A2: one part per input file, numbered in natural order of the file
-    names (``x.tbl.2`` before ``x.tbl.10``). The numbering is a table of one
-    row per file (metadata-sized, like Spark's own file index) joined on
-    ``_metadata.file_name`` -- not a literal in the plan."""
-    from tidemark.sources.files import file_index
-    idx = file_index(df.sparkSession, df.inputFiles(), part_name)
-    n = len(df.inputFiles())
-    out = (df.withColumn("__file", F.col("_metadata.file_name"))
-           .join(F.broadcast(idx), "__file").drop("__file"))
-    return out, n
+    """A2: one part per input file, numbered in natural order of the paths
+    (``x.tbl.2`` before ``x.tbl.10``), and the number of parts."""
+    from tidemark.sources.files import with_file_part
+    return with_file_part(df, part_name)
 
 
 # ---------------------------------------------------------------- SQL twin

@@ -6,8 +6,8 @@ Schemas are always explicit (no inference). Column pruning comes from
 
 from __future__ import annotations
 
-import glob as _glob
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,15 +66,16 @@ def key_columns(schema: T.StructType) -> list[str]:
 
 def read_delimited(spark: SparkSession, paths, schema: T.StructType, sep: str = "|", header: bool = False,
                    columns: list[str] | None = None, trailing_delimiter: bool = False,
-                   mode: str = "FAILFAST") -> DataFrame:
+                   mode: str = "FAILFAST", **options: str) -> DataFrame:
     """Delimited text with a declared schema. Empty fields are
     null (H12); a malformed value fails the read (``FAILFAST``). Rows that
-    end in the delimiter get a dummy last column which is dropped."""
+    end in the delimiter get a dummy last column which is dropped. Further
+    options go to Spark's reader."""
     if trailing_delimiter:
         schema = T.StructType(schema.fields + [T.StructField("_dummy", T.StringType(), True)])
     df = (spark.read.schema(schema).option("sep", sep).option("header", str(header).lower())
           .option("nullValue", "").option("emptyValue", "").option("mode", mode)
-          .option("dateFormat", "yyyy-MM-dd").csv(paths))
+          .option("dateFormat", "yyyy-MM-dd").options(**options).csv(paths))
     if trailing_delimiter:
         df = df.drop("_dummy")
     if columns is not None:
@@ -96,33 +97,43 @@ def natural_key(s: str):
     return [int(t) if t.isdigit() else t for t in re.split(r"(\d+)", s)]
 
 
+BROADCAST_FILES = 200_000  # a file index of more rows is left to Spark's own choice of join
+
+
+def _lookup(table: str) -> dict[str, str]:
+    """Reader options for ``{table}.tbl*`` anywhere below a folder, on any file system."""
+    return {"recursiveFileLookup": "true", "pathGlobFilter": f"{table}.tbl*"}
+
+
 def table_files(directory: str, table: str) -> list[str]:
-    """A2: ``{dir}/{table}.tbl*`` in natural order of part number."""
-    return sorted(_glob.glob(f"{directory.rstrip('/')}/{table}.tbl*"), key=natural_key)
+    """A2: ``{table}.tbl*`` below ``directory`` in natural order, as Spark's own file listing names them."""
+    spark = SparkSession.active()
+    return sorted(map(unquote, spark.read.options(**_lookup(table)).text(directory).inputFiles()), key=natural_key)
 
 
-def file_index(spark: SparkSession, files: list[str], part_name: str = "part_idx") -> DataFrame:
-    """``(__file, part_name)``: each file's base name and its rank in natural
-    order. One row per file."""
-    names = sorted({f.rsplit("/", 1)[-1] for f in files}, key=natural_key)
-    return spark.createDataFrame([(n, i) for i, n in enumerate(names)], f"__file string, {part_name} long")
+def with_file_part(df: DataFrame, part_name: str = "part_idx") -> tuple[DataFrame, int]:
+    """``df`` with the rank of each row's input file in natural order of the whole path, and the number of
+    files. The ranks are a table of one row per file (Spark holds that listing already), sent to the tasks
+    while it has at most ``BROADCAST_FILES`` rows."""
+    # without a host the listing writes scheme:///path, the rows' metadata scheme:/path
+    files = sorted((re.sub("^([^:/]+):///", r"\1:/", f) for f in df.inputFiles()), key=lambda f: natural_key(unquote(f)))
+    index = df.sparkSession.createDataFrame([(f, i) for i, f in enumerate(files)], f"__file string, {part_name} long")
+    if len(files) <= BROADCAST_FILES:
+        index = F.broadcast(index)
+    return df.withColumn("__file", F.col("_metadata.file_path")).join(index, "__file").drop("__file"), len(files)
 
 
 def read_tbl_table(spark: SparkSession, directory: str, table: str, columns: list[str] | None = None,
                    trailing_delimiter: bool = False, with_part: bool = False) -> DataFrame:
     """A2/A3: a TPC-H table from its ``.tbl`` files: typed, pruned to
     ``columns`` (schema order), optionally tagged with the file's part index."""
-    files = table_files(directory, table)
-    if not files:
+    if not table_files(directory, table):
         raise FileNotFoundError(f"no {table}.tbl* under {directory}")
     schema = TPCH_SCHEMAS[table]
-    df = read_delimited(spark, files, schema, "|", False, trailing_delimiter=trailing_delimiter)
+    df = read_delimited(spark, directory, schema, "|", False, trailing_delimiter=trailing_delimiter, **_lookup(table))
     if columns is not None:
         df = df.select(*[f.name for f in schema.fields if f.name in set(columns)])
-    if with_part:
-        df = (df.withColumn("__file", F.col("_metadata.file_name"))
-              .join(F.broadcast(file_index(spark, files)), "__file").drop("__file"))
-    return df
+    return with_file_part(df)[0] if with_part else df
 
 
 def register_tbl_tables(spark: SparkSession, directory: str, trailing_delimiter: bool = False,
