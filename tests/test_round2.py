@@ -95,3 +95,26 @@ def test_pi_has_a_point_for_each_row(spark):
     r = job_pi(spark, "/root/testdata/sf0.01").first()
     assert r["samples"] == spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").count()
     assert r["pi"] == pytest.approx(3.14159, abs=0.03)
+
+
+def test_sort_check_takes_nulls_and_nan_as_spark_sorts_them(spark):
+    from tidemark.operators.sorting import validate_sort
+    df = spark.createDataFrame([("b", 2.0), (None, float("nan")), ("a", None), ("a", 1.0), (None, 3.0)], "k string, x double")
+    for asc in (True, False):
+        for part in (1, 3):
+            s = df.repartition(3).orderBy("k", "x", ascending=asc) if part == 3 else df.coalesce(1).sortWithinPartitions("k", "x", ascending=asc)
+            r = validate_sort(s, ["k", "x"], descending=[not asc] * 2).first()
+            assert (r["rows"], r["partitions_sorted"], r["boundaries_ordered"]) == (5, True, True)
+    wrong = spark.createDataFrame([("a", 1.0), (None, 1.0)], "k string, x double").coalesce(1)
+    assert not validate_sort(wrong, "k").first()["partitions_sorted"]
+    late = spark.createDataFrame([(float("nan"),), (1.0,)], "x double").coalesce(1)
+    assert not validate_sort(late, "x").first()["partitions_sorted"]
+
+
+def test_tables_of_other_types_differ_and_ties_pair(spark):
+    from tidemark.operators.compare import SchemaMismatch, frames_equal
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "k int, v string")
+    b = spark.createDataFrame([(1, "y"), (2, "z"), (1, "x")], "k long, v string")
+    assert frames_equal(a, b, ["k"]).first()["mismatched_rows"] == 0
+    with pytest.raises(SchemaMismatch):
+        frames_equal(a, b.withColumn("k", F.col("k").cast("string")), ["k"])

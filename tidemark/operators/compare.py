@@ -22,17 +22,28 @@ class SchemaMismatch(AssertionError):
 
 
 def _check_shape(a: DataFrame, b: DataFrame) -> None:
-    """Names (and so the column count) are checked before any cell."""
+    """Names (and so the column count) and types are checked before any cell; numbers of any type compare."""
     if a.columns != b.columns:
         raise SchemaMismatch(f"columns differ: {a.columns} vs {b.columns}")
+    for x, y in zip(a.schema.fields, b.schema.fields):
+        if x.dataType != y.dataType and not (isinstance(x.dataType, _NUM) and isinstance(y.dataType, _NUM)):
+            raise SchemaMismatch(f"types of {x.name} differ: {x.dataType.simpleString()} vs {y.dataType.simpleString()}")
+
+
+def _total_order(df: DataFrame, order: list[str]) -> list[str]:
+    """``order`` and then all further columns that have one, fractions last, so that ties pair alike in both tables."""
+    rest = [f for f in df.schema.fields if f.name not in order and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return order + [f.name for f in sorted(rest, key=lambda f: isinstance(f.dataType, (T.DoubleType, T.FloatType)))]
 
 
 def frames_equal(a: DataFrame, b: DataFrame, order: list[str], tol: float = 1e-3) -> DataFrame:
     """L1: rows paired by position in ``order``; numbers equal within
     ``tol`` (``abs(a - b) <= tol``), text and others by null-safe equality.
     One row ``(rows_a, rows_b, mismatched_rows)``; an unpaired row counts
-    as a mismatch."""
+    as a mismatch. Rows that tie in ``order`` are put in the order of their
+    other columns first."""
     _check_shape(a, b)
+    order = _total_order(a, order)
     pa = with_position(a.withColumn("__in_a", F.lit(1)), order, "__pos")
     rb = b.toDF(*[x + "__b" for x in b.columns]).withColumn("__in_b", F.lit(1))
     pb = with_position(rb, [o + "__b" for o in order], "__pos")

@@ -92,19 +92,37 @@ def _lex_le(a: list, b: list, desc: list[bool]):
     return before | ((x == y) & _lex_le(a[1:], b[1:], desc[1:]))
 
 
+def _comparable(df: DataFrame, name: str) -> list[Column]:
+    """A key as columns without nulls that compare as Spark sorts it: nulls before all values (last if
+    descending), NaN after all numbers (first if descending)."""
+    key, kind = F.col(name), df.schema[name].dataType.simpleString()
+    fill = {"date": "1970-01-01", "timestamp": "1970-01-01", "timestamp_ntz": "1970-01-01", "boolean": "false"}.get(kind, "0")
+    none = F.lit(fill).cast(df.schema[name].dataType)
+    out = [key.isNotNull().cast("int")]
+    if kind in ("double", "float"):
+        nan = F.coalesce(F.isnan(key), F.lit(False))
+        out.append(nan.cast("int"))
+        key = F.when(~nan, key)
+    return out + [F.coalesce(key, none)]
+
+
 def validate_sort(df: DataFrame, key, cols: list[str] | None = None,
                   descending: list[bool] | None = None) -> DataFrame:
     """E5: one row ``(partitions, rows, partitions_sorted, boundaries_ordered,
     checksum)``. ``key`` is a column name or a list of them (lexicographic,
-    ``descending`` per key). Each partition is read once in stored order;
-    partitions are then taken in partition-id order."""
-    keys = [key] if isinstance(key, str) else list(key)
-    desc = descending or [False] * len(keys)
-    types = [df.schema[k].dataType.simpleString() for k in keys]
+    ``descending`` per key; nulls and NaN as Spark sorts them). Each partition
+    is read once in stored order; partitions are then taken in partition-id
+    order."""
+    named = [key] if isinstance(key, str) else list(key)
+    each = [_comparable(df, k) for k in named]
+    desc = [d for d, own in zip(descending or [False] * len(named), each) for _ in own]
+    plain = df.select(F.spark_partition_id().alias("__pid"),
+                      *[x.alias(f"k{i}") for i, x in enumerate(x for own in each for x in own)])
+    keys = plain.columns[1:]
+    types = [plain.schema[k].dataType.simpleString() for k in keys]
     schema = ", ".join(["pid int", "n long", "inversions long"]
                        + [f"f{i} {t}" for i, t in enumerate(types)] + [f"l{i} {t}" for i, t in enumerate(types)])
-    summ = (df.select(F.spark_partition_id().alias("__pid"), *keys)
-            .mapInPandas(_partition_summary(keys, desc), schema))
+    summ = plain.mapInPandas(_partition_summary(keys, desc), schema)
     w = Window.orderBy("pid")
     checks = summ.select("*", *[F.lag(f"l{i}").over(w).alias(f"p{i}") for i in range(len(keys))])
     ok = _lex_le([F.col(f"p{i}") for i in range(len(keys))], [F.col(f"f{i}") for i in range(len(keys))], desc)
