@@ -267,3 +267,35 @@ def test_pipeline(spark):
         assert stage(spark, docs.limit(0), SF001).columns == docs.columns
     out = corpus_pipeline.run(spark, SF001)
     _gapless([(r["sequence_id"], r["offset"], r["length"]) for r in out.collect()], 4096)
+
+
+def _dense(n, dim, planted, rng):
+    """A third of the rows in one cluster of mutual cosine 0.85, ``planted`` pairs at 0.957 inside it, the rest spread."""
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    centre = unit(rng.standard_normal((1, dim)))
+    off = rng.standard_normal((n // 3, dim))
+    off = unit(off - off @ centre.T * centre)
+    turn = rng.standard_normal((planted, dim))
+    turn -= turn @ centre.T * centre
+    turn = unit(turn - (turn * off[:planted]).sum(1, keepdims=True) * off[:planted])
+    cos = (0.957 - 0.85) / 0.15
+    off[planted:2 * planted] = cos * off[:planted] + np.sqrt(1 - cos * cos) * turn
+    return np.r_[np.sqrt(0.85) * centre + np.sqrt(0.15) * off, unit(rng.standard_normal((n - n // 3, dim)))]
+
+
+def test_embedding_dense_cluster(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    x = _dense(12_000, 64, 300, np.random.default_rng(11))
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)}), tmp_path / "v.parquet")
+    df = spark.read.parquet(str(tmp_path / "v.parquet"))
+    for block, share in ((4000, 1), (100, 0.99)):  # all pairs; trees
+        links = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(df, block=block).collect()}
+        assert sum(links[i] > 0 and links[300 + i] > 0 for i in range(300)) >= share * 300
+
+
+def test_embedding_many_lengths_of_one_direction(spark):
+    line = RNG.standard_normal(8)
+    df = spark.createDataFrame([(i, [float(v) for v in line * (1 + i / 7)]) for i in range(1500)], "vec_id long, embedding array<double>")
+    got = embedding_dedup.near_vectors(df, block=8).select("n_links", "component_id").distinct().collect()
+    assert [tuple(r) for r in got] == [(1499, 0)]
