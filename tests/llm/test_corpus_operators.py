@@ -299,3 +299,17 @@ def test_embedding_many_lengths_of_one_direction(spark):
     df = spark.createDataFrame([(i, [float(v) for v in line * (1 + i / 7)]) for i in range(1500)], "vec_id long, embedding array<double>")
     got = embedding_dedup.near_vectors(df, block=8).select("n_links", "component_id").distinct().collect()
     assert [tuple(r) for r in got] == [(1499, 0)]
+
+
+def _often(symbols):
+    return max(np.unique(symbols[:-1] << 32 | symbols[1:], return_counts=True)[1], default=0)
+
+
+def test_repair_goes_on_until_no_pair_is_frequent():
+    ids = np.tile(RNG.permutation(1001), 500)
+    for own in (ids, RNG.zipf(1.3, 20_000) % 300, ids[:1], ids[:0]):
+        symbols, rules, lengths, base = repair.compress(own)
+        assert (repair.expand(symbols, rules, lengths, base) == own).all()
+        apart = symbols[np.r_[True, symbols[1:] != symbols[:-1]]] if len(symbols) else symbols
+        assert _often(apart) < 16 + (len(symbols) - len(apart))
+    assert len(repair.compress(ids)[0]) < 1000

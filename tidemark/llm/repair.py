@@ -37,16 +37,14 @@ LAST = (1 << 63) - 1
 SCHEMA = "part int, shard int, docs binary, counts binary, symbols binary, rules binary, lengths binary, first_rule long, ids long"
 
 
-def compress(ids: np.ndarray, rounds: int = 5, per_round: int = 4096, least: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Symbols, rules (left, right) in the order of their numbers, their expansion lengths, and the first rule's number."""
     symbols = ids.astype(np.int64)
     base = int(symbols.max()) + 1 if len(symbols) else 0
     rules: list[np.ndarray] = []
     size: list[np.ndarray] = []
     count = 0
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
         pair = symbols[:-1] << 32 | symbols[1:]
         ordered = np.sort(pair)
         at = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
@@ -85,17 +83,17 @@ def compress(ids: np.ndarray, rounds: int = 5, per_round: int = 4096, least: int
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
-    """Ids of a stretch of symbols: the latest rules are undone until only ids are left."""
-    while True:
+    """Ids of a stretch of symbols: ids go to their places, rules on to their two parts, until only ids are left."""
+    size = np.where(symbols < base, 1, lengths[np.maximum(symbols - base, 0)] if len(lengths) else 1)
+    out = np.empty(int(size.sum()), np.int64)
+    at = np.cumsum(size) - size
+    while len(symbols):
         rule = symbols >= base
-        if not rule.any():
-            return symbols
-        size = 1 + rule
-        ends = np.cumsum(size)
-        out = np.empty(int(ends[-1]), np.int64)
-        out[ends - size] = np.where(rule, rules[np.maximum(symbols - base, 0), 0] if len(rules) else 0, symbols)
-        out[ends[rule] - 1] = rules[symbols[rule] - base, 1]
-        symbols = out
+        out[at[~rule]] = symbols[~rule]
+        left, right = rules[symbols[rule] - base].T
+        at, symbols = at[rule], np.concatenate([left, right])
+        at = np.concatenate([at, at + np.where(left < base, 1, lengths[np.maximum(left - base, 0)] if len(lengths) else 1)])
+    return out
 
 
 def read_range(row, lo: int, hi: int) -> np.ndarray:
