@@ -313,3 +313,12 @@ def test_repair_goes_on_until_no_pair_is_frequent():
         apart = symbols[np.r_[True, symbols[1:] != symbols[:-1]]] if len(symbols) else symbols
         assert _often(apart) < 16 + (len(symbols) - len(apart))
     assert len(repair.compress(ids)[0]) < 1000
+
+
+def test_repair_takes_runs():
+    for own in (np.full(100_001, 7), np.repeat(RNG.integers(0, 3, 3000), RNG.integers(1, 9, 3000)), np.tile([5, 5, 5, 6], 400)):
+        symbols, rules, lengths, base = repair.compress(own)
+        assert (repair.expand(symbols, rules, lengths, base) == own).all()
+        assert len(symbols) < len(own) / 4
+        assert _often(symbols) < 2 * 16 + 1  # overlapping places of a run count twice here at most
+    assert len(repair.compress(np.full(100_001, 7))[0]) < 32

@@ -4,8 +4,8 @@ Ids are written in ascending doc_id order. Spark deals documents to ranges of do
 task turns it into shards of about ``shard_ids`` ids, so a range of any size needs the memory of one shard.
 Within a shard, rounds replace frequent neighbouring pairs of symbols by new symbols, each pair one rule, until
 no pair is frequent enough. In a round the most frequent pairs are taken such that no symbol is the left part of
-one and the right part of another (nor a pair of equal symbols), so replacements cannot overlap; the next rounds
-take the others. A shard's row holds its rules, its symbol string, the expansion length of every rule, and each
+one and the right part of another, so replacements cannot overlap; a pair of equal symbols is counted and replaced
+at every second place of a run, in a round in which no other pair has that symbol. The next rounds take the others. A shard's row holds its rules, its symbol string, the expansion length of every rule, and each
 document's id and place. Any document is decoded from its own symbols: the symbols' expansion lengths, summed,
 give where it begins, and rules expand from the top.
 
@@ -46,7 +46,13 @@ def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[n
     count = 0
     while len(symbols) > 1:
         pair = symbols[:-1] << 32 | symbols[1:]
+        same = np.flatnonzero(symbols[:-1] == symbols[1:])
+        if len(same):  # in a run only every second place from its start, so that none overlap
+            order = np.arange(len(same))
+            begin = np.maximum.accumulate(np.where(np.r_[True, np.diff(same) > 1], order, 0))
+            pair[same[(order - begin) % 2 == 1]] = -1
         ordered = np.sort(pair)
+        ordered = ordered[np.searchsorted(ordered, 0):]
         at = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         often = np.diff(np.r_[at, len(ordered)])
         some = np.flatnonzero(often >= least)
@@ -55,7 +61,10 @@ def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[n
         taken = []
         for key in ordered[at[some]].tolist():
             a, b = key >> 32, key & 0xFFFFFFFF
-            if a != b and side.get(a, 0) != 1 and side.get(b, 1) != 0:
+            if a == b and a not in side:
+                side[a] = 2  # in no other pair
+                taken.append(key)
+            elif a != b and side.get(a, 0) == 0 and side.get(b, 1) == 1:
                 side[a], side[b] = 0, 1
                 taken.append(key)
         if not taken:
