@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ["jaccard_join", "bpe", "substring_dedup", "embedding_dedup", "packing", "repair", "url_filter", "sharding",
-           "exact_dedup", "quality"]
+           "exact_dedup", "quality", "language_id", "alignment", "conversations"]
 
 
 def load() -> tuple[dict, dict]:
