@@ -43,6 +43,7 @@ from tidemark.llm.textnp import blocks, mix, salt
 CELLS = 64
 FAN_IN = 64
 MAX_PAIRS = 1 << 22
+TOGETHER = 256
 PIECES = 250_000  # kept by a task at most, beyond that its cache is emptied
 
 # white space before which texts are cut; other white space stays with what stands before it
@@ -50,6 +51,8 @@ _CUT = " \t\n"
 _OTHER = "\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = re.compile(f"[{_WHITE}]*(?:[{_PLAIN}]+(?=[.,;:!?%&$#*|{_CUT}]|\\Z)|[^{_WHITE}]+(?:[{_OTHER}][{_WHITE}]*(?:[^{_WHITE}]+|\\Z))*)|[{_WHITE}]+")
 
+WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]+")
+
 
 class Aligner:
     """Both tokenizers of a worker."""
@@ -81,38 +84,73 @@ class Aligner:
         if any(len(PIECE.findall(p.replace("▁", " "))) > 1 for p in names if len(p) > 1) or self.b.encode("a") != [self.b.piece_to_id("▁a")]:
             raise ValueError(f"a piece of this vocabulary goes over a place where texts are cut: {path_b}")
         self.size_a, self.size_b = (np.array(list(map(len, t)), np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.first_a, self.first_b = (np.array([t[:1] == b" " for t in of]) for of in (self.bytes_a, self.bytes_b))
+        self.flat_a, self.flat_b = (np.frombuffer(b"".join(t), np.uint8) for t in (self.bytes_a, self.bytes_b))
         self.text_a, self.text_b = (list(map(str, range(len(t)))) for t in (self.bytes_a, self.bytes_b))
 
-    def align(self, pieces: list[str], groups: bool = True) -> dict:
-        """For each piece: ok, n_a, n_b, n_groups and its groups' string; all links' piece, A id and B id."""
-        own_a = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _ids(self, pieces: list[str]) -> tuple:
+        """A's ids of all pieces end to end and each one's number of them, and the same of B."""
+        a, _, n_a = laid_out([e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)])
         # B puts a space before every text: in place of the piece's own, or before a letter that is taken off again
         spaced = [p[0] == " " for p in pieces]
-        own_b = self.b.encode([p[1:] if s else "a" + p for p, s in zip(pieces, spaced)], num_threads=1)
+        own = self.b.encode([p[1:] if s else "a" + p for p, s in zip(pieces, spaced)], num_threads=1)
         # a lone space: B gives nothing for an empty text
-        own_b = [(ids or self.b.encode("a ")[1:]) if s else ids[1:] for ids, s in zip(own_b, spaced)]
-        a_bytes, b_bytes = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
-        ok = np.array([b"".join(map(a_bytes, x)) == r and b"".join(map(b_bytes, y)) == r for x, y, r in zip(own_a, own_b, raw)], bool)
-        none: list[int] = []
-        own_a, own_b = ([x if k else none for x, k in zip(own, ok.tolist())] for own in (own_a, own_b))
-        a, _, n_a = laid_out(own_a)
-        b, _, n_b = laid_out(own_b)
+        b, _, n_b = laid_out([(ids or self.b.encode("a ")[1:]) if s else ids[1:] for ids, s in zip(own, spaced)])
+        return a, n_a, b, n_b
+
+    def _ids_of_words(self, words: list[str]) -> tuple:
+        """The same for pieces of a space and letters, many to a text: a space begins the first token of each."""
+        texts = ["".join(words[i:i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        a, _, _ = laid_out([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
+        b, _, _ = laid_out(self.b.encode([t[1:] for t in texts], num_threads=1))
+        n_a, n_b = (np.diff(np.r_[np.flatnonzero(first[ids]), len(ids)]) for first, ids in ((self.first_a, a), (self.first_b, b)))
+        return (a, n_a, b, n_b) if len(n_a) == len(n_b) == len(words) else self._ids(words)
+
+    @staticmethod
+    def _given_back(raw: np.ndarray, length: np.ndarray, ids: np.ndarray, n: np.ndarray, size: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """Whether each piece's tokens (``n`` of ``ids``) have the bytes of the piece (``length`` of ``raw``)."""
+        own = size[ids]
+        upto = np.r_[0, np.cumsum(own)]
+        cut = np.r_[0, np.cumsum(n)]
+        same = upto[cut[1:]] - upto[cut[:-1]] == length
+        ids, own = (x[np.repeat(same, n)] for x in (ids, own))
+        at = (np.cumsum(size) - size)[ids]
+        told = flat[np.repeat(at - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))]
+        owner = np.repeat(np.arange(len(n)), np.where(same, length, 0))
+        same[owner[told != raw[np.repeat(same, length)]]] = False
+        return same
+
+    def align(self, pieces: list[str], groups: bool = True) -> dict:
+        """For each piece: ok, n_a, n_b, n_groups and its groups' string; all links' piece, A id and B id."""
+        alike = np.fromiter((WORD.fullmatch(p) is not None for p in pieces), bool, len(pieces))
+        order = np.argsort(~alike, kind="stable")  # words first
+        pieces, words = [pieces[i] for i in order.tolist()], int(alike.sum())
+        a, n_a, b, n_b = (np.concatenate(x) for x in zip(self._ids_of_words(pieces[:words]), self._ids(pieces[words:])))
+        each = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        length = np.fromiter(map(len, each), np.int64, len(each))
+        raw = np.frombuffer(b"".join(each), np.uint8)
+        ok = (self._given_back(raw, length, a, n_a, self.size_a, self.flat_a)
+              & self._given_back(raw, length, b, n_b, self.size_b, self.flat_b))
+        a, b = a[np.repeat(ok, n_a)], b[np.repeat(ok, n_b)]
+        n_a, n_b = np.where(ok, n_a, 0), np.where(ok, n_b, 0)
+        ends = np.cumsum(np.where(ok, length, 0))
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        ends = np.cumsum(np.where(ok, [len(r) for r in raw], 0)) if len(raw) else np.zeros(0, np.int64)
         edge = np.union1d(end_a, end_b)  # one link ends at each
         at_a, at_b = np.searchsorted(end_a, edge), np.searchsorted(end_b, edge)
         both = (end_a[at_a] == edge) & (end_b[at_b] == edge)
         piece = np.searchsorted(ends, edge)
-        out = {"ok": ok, "n_a": n_a, "n_b": n_b, "n_groups": np.bincount(piece[both], minlength=len(pieces)),
-               "piece": piece, "a": a[at_a].astype(np.int64), "b": b[at_b].astype(np.int64)}
+        n_groups = np.bincount(piece[both], minlength=len(pieces))
+        back = np.argsort(order)  # of a piece as given: its place here
+        out = {"ok": ok[back], "n_a": n_a[back], "n_b": n_b[back], "n_groups": n_groups[back],
+               "piece": order[piece], "a": a[at_a].astype(np.int64), "b": b[at_b].astype(np.int64)}
         if groups:
             text_a, text_b = ([t[i] for i in ids.tolist()] for t, ids in ((self.text_a, a), (self.text_b, b)))
             to_a, to_b = (at_a[both] + 1).tolist(), (at_b[both] + 1).tolist()
             each = [",".join(text_a[i:j]) + "|" + ",".join(text_b[k:m])
                     for i, j, k, m in zip([0, *to_a], to_a, [0, *to_b], to_b)]
-            cut = np.r_[0, np.cumsum(out["n_groups"])].tolist()
-            out["groups"] = [";".join(each[i:j]) for i, j in zip(cut[:-1], cut[1:])]
+            cut = np.r_[0, np.cumsum(n_groups)].tolist()
+            said = [";".join(each[i:j]) for i, j in zip(cut[:-1], cut[1:])]
+            out["groups"] = [said[i] for i in back.tolist()]
         return out
 
 
@@ -371,9 +409,8 @@ def _second_pass(docs: DataFrame, lookup, path_a: str, path_b: str, texts: bool,
                 best = (n > 0) & (n == lookup.value.best[got["b"]])
                 got |= {"n_links": np.bincount(got["piece"], minlength=len(new)),
                         "n_best": np.bincount(got["piece"], best, len(new)).astype(np.int64)}
-                upto = np.r_[0, np.cumsum(n)]
-                off = np.r_[0, np.cumsum(got["n_links"])]
-                got["count_sum"] = upto[off[1:]] - upto[off[:-1]]
+                got["count_sum"] = np.zeros(len(new), np.int64)
+                np.add.at(got["count_sum"], got["piece"], n)
                 known.learn(len(known.codes) - len(new), got)
                 strings += got["groups"]
             whole = _whole(known.columns["ok"], code, cut)
