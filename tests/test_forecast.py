@@ -130,18 +130,64 @@ def test_state_step_matches_brute_force(seed):
         assert abs(pred - w) <= 1e-9 * max(1.0, abs(w)) and choice == wi
 
 
-def test_grouped_selector_equals_window_selector(spark):
-    from tidemark.streaming.forecast_state import forecast_select_grouped
-    rnd = random.Random(11)
-    rows = []
-    for key in ("a", "b"):
-        ts = sorted(rnd.sample(range(1, 60), 15))
-        rows += [(key, float(t), rnd.uniform(-2, 2) + 0.4 * t) for t in ts]
-    df = spark.createDataFrame(rows, "key string, t double, v double")
-    w = {(r.key, r.t): (r.forecast, r.forecast_model) for r in
-         fc.forecast_select(df, ["key"], "t", "v", 70.0, with_choice=True).collect()}
-    g = {(r.key, r.t): (r.forecast, r.forecast_model) for r in
-         forecast_select_grouped(df, ["key"], "t", "v", 70.0).collect()}
-    assert w.keys() == g.keys()
-    for k in w:
-        assert abs(w[k][0] - g[k][0]) <= 1e-9 * max(1.0, abs(w[k][0])) and w[k][1] == g[k][1]
+@pytest.mark.parametrize("alpha", [0.75, 0.01, 0.999])
+def test_long_series_in_linear_time(spark, alpha):
+    """10,000 steps of one key: block-wise prefix sums against the recursion, step by step."""
+    rnd = random.Random(3)
+    ts, t = [], 0.0
+    for _ in range(10_000):
+        t += rnd.choice([0.25, 1.0, 1.0, 700.0])
+        ts.append(t)
+    vs = [math.sin(x / 50) * 1e3 + x for x in ts]
+    got = _cell(spark, "ses", ts, vs, 1.0, alpha)
+    mean, weight, last = 0.0, 0.0, ts[0]
+    for x, v, g in zip(ts, vs, got):
+        weight = 1.0 + weight * alpha ** ((x - last) / ts[0])
+        mean += (v - mean) / weight
+        last = x
+        assert abs(g - mean) <= 1e-9 * max(1.0, abs(mean), abs(v))
+
+
+def test_selector_over_a_long_series_equals_the_steps(spark):
+    from tidemark.streaming.forecast_state import step
+    rnd = random.Random(9)
+    ts = [float(t) for t in range(1, 3001)]
+    vs = [math.log(t) * 1e4 + rnd.uniform(-1, 1) for t in ts]
+    got = _select(spark, ts, vs, 4000.0, alpha=0.75)
+    state = None
+    for (f, _), t, v in zip(got, ts, vs):
+        state, want, _ = step(state, t, v, 4000.0)
+        assert abs(f - want) <= 1e-6 * abs(want)
+
+
+def test_only_the_model_asked_for_is_planned(spark):
+    df = _series(spark, [1, 2], [1, 2])
+    plan = fc.forecast_cell(df, ["key"], "t", "v", 9.0, "tail", order=["seq"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "avg(" not in plan and "pow" not in plan.lower()
+    assert "collect_list" not in fc.forecast_select(df, ["key"], "t", "v", 9.0)._jdf.queryExecution().optimizedPlan().toString()
+
+
+class Half(fc.Estimator):
+    """A user's own candidate: half of the mean value, weighted."""
+    name = "half"
+    alpha = 0.5
+
+    def observe(self, x):
+        return {"half": x.v / 2}
+
+    def line(self, mean, x):
+        return fc.ratio(x.step, x.t) * 0, mean["half"]
+
+
+def test_own_candidates_in_batch_and_in_steps(spark):
+    from tidemark.streaming.forecast_state import step
+    own = [Half(), fc.Tail(), Half()]
+    ts, vs = [1.0, 2.0, 4.0, 5.0, 9.0], [8.0, 4.0, 2.0, 1.0, 0.5]
+    df = fc.forecast_select(_series(spark, ts, vs), ["key"], "t", "v", 20.0, order=["seq"], with_choice=True, candidates=own)
+    state = None
+    for r, t, v in zip(df.orderBy("seq").collect(), ts, vs):
+        state, forecast, choice = step(state, t, v, 20.0, own)
+        assert abs(r.forecast - forecast) < 1e-12 and r.forecast_model == choice
+    assert {r.forecast_model for r in df.collect()} <= {None, 1, 2}  # of two alike the last
+    with pytest.raises(ValueError):
+        fc.checked([])

@@ -5,6 +5,7 @@ import datetime as dt
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -205,8 +206,7 @@ def test_last_value_per_key_in_stated_order(spark):
 
 
 def test_stateful_forecast_stream_matches_batch(spark, tmpdir_path):
-    """J10 with keyed state (applyInPandasWithState) over the snapshot files:
-    same forecasts as the batch table forecast."""
+    """J10 with keyed state over the snapshot files: same forecasts as the batch table forecast."""
     from pyspark.sql import types as T
     from tidemark.plans.forecasts import VALUE_COLS, fc_table
     from tidemark.streaming.forecast_state import forecast_state_stream
@@ -226,6 +226,41 @@ def test_stateful_forecast_stream_matches_batch(spark, tmpdir_path):
             assert abs(g - r[v]) <= 1e-4 + 1e-9 * abs(r[v]), (r.part_idx, v, g, r[v])
 
 
+def _snapshot_files(spark, path, parts, order):
+    """Snapshot files of two series, part i written at place order.index(i) (file times tell the stream's order)."""
+    os.makedirs(path)
+    base = time.time() - 10_000
+    for place, part in enumerate(order):
+        rows = [("a", part, float(part * part), 100.0 - part)] + ([("b", part, 3.0 * part, None)] if part >= 4 else [])
+        tmp = f"{path}-{place}"
+        spark.createDataFrame(rows, "k string, part_idx long, x double, y double").coalesce(1).write.parquet(tmp)
+        f = next(f for f in os.listdir(tmp) if f.endswith(".parquet"))
+        os.link(os.path.join(tmp, f), os.path.join(path, f"{place:03}.parquet"))
+        os.utime(os.path.join(path, f"{place:03}.parquet"), (base + place, base + place))
+    return "k string, part_idx long, x double, y double"
+
+
+@pytest.mark.parametrize("order,hold,own", [
+    ([0, 1, 2, 3, 4, 5, 6, 7], None, False), ([7, 2, 0, 5, 1, 1, 6, 4, 3], None, False), ([3, 4, 0, 2, 1, 7, 6, 5, 0], None, True),
+    ([1, 0, 2, 4, 3, 5, 7, 6], 3, False)])
+def test_snapshots_in_any_order_give_the_batch_forecasts(spark, tmpdir_path, order, hold, own):
+    """A late snapshot is put in its place; K6: with a user's candidates."""
+    from pyspark.sql import types as T
+    from tidemark.operators.forecast import forecast_select
+    from tidemark.plans.forecasts import CUSTOM
+    from tidemark.streaming.forecast_state import forecast_state_stream, latest
+    src, out = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "out")
+    candidates = CUSTOM if own else None
+    schema = T._parse_datatype_string(_snapshot_files(spark, src, 8, order))
+    q = forecast_state_stream(file_stream(spark, src, schema), ["k"], ["x", "y"], 20.0, out, candidates=candidates, hold=hold)
+    assert run_to_end(q, 300)
+    got = {(r.k, r.col, r.part_idx): (round(r.forecast, 9), r.forecast_model) for r in latest(spark.read.parquet(out), ["k"]).collect()}
+    long = (spark.read.schema(schema).parquet(src).distinct().unpivot(["k", "part_idx"], ["x", "y"], "col", "val")
+            .where("val IS NOT NULL").withColumn("t", F.col("part_idx") + 1.0))
+    want = forecast_select(long, ["k", "col"], "t", "val", 20.0, with_choice=True, candidates=candidates)
+    assert got == {(r.k, r.col, r.part_idx): (round(r.forecast, 9), r.forecast_model) for r in want.collect()}
+
+
 def test_continuous_query_stops_on_signal_and_resumes(spark, tmpdir_path):
     """I8: a processing-time query runs until signalled; a restart from the
     same checkpoint does not reprocess what it already consumed."""

@@ -36,30 +36,6 @@ def test_appended_files_are_seen(spark, tmp_path):
     assert tables(spark, str(tmp_path))["region"].count() == 10
 
 
-def test_state_ignores_replayed_and_late_snapshots():
-    import pandas as pd
-    from tidemark.streaming.forecast_state import _updater
-
-    class State:
-        exists, get = False, None
-
-        def update(self, value):
-            self.exists, self.get = True, value
-
-    def frame(steps):
-        return pd.DataFrame({"t": [float(s) for s in steps], "val": [s * 1.5 + s % 3 for s in steps],
-                             "part_idx": [s - 1 for s in steps]})
-
-    def feed(batches):
-        state, out = State(), []
-        for steps in batches:
-            for pdf in _updater(["k"], 20.0)(("a", "c"), iter([frame(steps)]), state):
-                out += pdf[["part_idx", "forecast"]].values.tolist()
-        return out
-
-    assert feed([[1, 2, 3], [3], [2, 4], [1], [5]]) == feed([[1, 2, 3, 4, 5]])
-
-
 def test_online_last_follows_the_order_not_the_parts(spark):
     from tidemark.operators.online import Agg, OnlineSpec, online_agg
     df = spark.createDataFrame([(0, 100, "late"), (1, 5, "early"), (1, None, "unordered")], "p long, o long, v string")

@@ -4,14 +4,17 @@ Input rows are observations ``(keys..., t, v)`` with t > 0 increasing per
 series. For every row the operators give the prediction at ``final_time``
 using the rows up to and including it.
 
-Everything is window functions plus higher-order functions over the running
-window, so it stays in the JVM and is partitioned by series key. The
-exponential smoothers sum over ``collect_list`` of the running window, which is
-quadratic in the series length: right for series of snapshots (tens to a few
-hundred steps per key). A series is one key's snapshots, so a key holding a
-third of the *input rows* is still one short series here.
+A candidate is an :class:`Estimator`: it keeps running weighted means of quantities of the observations and
+reads a line (slope, intercept) off them. Its two methods are plain arithmetic, so the same class runs on
+Columns here and on numbers in :mod:`tidemark.streaming.forecast_state`; a user's own candidates go into the same list.
 
-Models (candidate index in the selector, complexity k):
+All of it is window functions, linear in the series length. The weight of observation i seen from n is
+``alpha ** ((t_n - t_i) / t_1)``. Running sums of weighted terms are prefix sums with the weight turned round
+(``alpha ** (-(t_i - base) / t_1)``), which would overflow on a long series, so a series is cut into blocks in which the turned weight stays
+below 2**512, each with its own base. A row adds the prefix sum of its block and that of the block before, aged; what is
+older weighs less than 2**-512 and is left out.
+
+Default candidates (index in the selector, complexity k):
 
 0 tail          v_n                                              k=1
 1 mean          avg(v_1..v_n)                                    k=1
@@ -21,12 +24,16 @@ Models (candidate index in the selector, complexity k):
 5 trend mean    mean step slope through (t_n, v_n)               k=2
 6 trend ses(b)  ses of step slopes through (t_n, v_n)            k=2
 
-Step slopes are (v_i - v_{i-1}) / (t_i - t_{i-1}) with (t_0, v_0) = (0, 0).
+Step slopes are (v_i - v_{i-1}) / (t_i - t_{i-1}) with (t_0, v_0) = (0, 0); a repeated time has none, and quantities
+that are null are left out of the means.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the default selector: candidate smoothing bases and the
@@ -34,118 +41,234 @@ from pyspark.sql import functions as F
 SES_ALPHA = 0.75
 TREND_SES_ALPHA = 0.5
 ERROR_ALPHA = 0.75
-MODELS = ["tail", "mean", "ses", "ols", "trend_tail", "trend_mean", "trend_ses"]
-COMPLEXITY = [1, 1, 1, 2, 2, 2, 2]
+BLOCK = 512  # halvings of a weight within one block
+
+# ---------------------------------------------------------------- candidates
+
+
+@dataclass
+class Observation:
+    """What a candidate sees of an observation; Columns in batch, numbers on a stream."""
+    t: object
+    v: object
+    step: object    # slope from the observation before
+    first_t: object
+    first_v: object
+
+
+def ratio(a, b, otherwise=0.0):
+    """a / b, or ``otherwise`` where b is 0."""
+    if isinstance(a, Column) or isinstance(b, Column):
+        b = b if isinstance(b, Column) else F.lit(b)
+        return F.when(b == 0, F.lit(otherwise)).otherwise(F.try_divide(a if isinstance(a, Column) else F.lit(a), b))
+    return otherwise if b == 0 else a / b
+
+
+class Estimator:
+    """One candidate. ``observe`` names the quantities of an observation whose running means it needs, ``line`` gives
+    slope and intercept from those means and the newest observation. Both may use + - * / and :func:`ratio` only."""
+    name = "estimator"
+    complexity = 1
+    alpha = 1.0  # in (0, 1]; 1: all observations weigh the same
+
+    def observe(self, x: Observation) -> dict:
+        return {}
+
+    def line(self, mean: dict, x: Observation) -> tuple:
+        raise NotImplementedError
+
+
+class Tail(Estimator):
+    name = "tail"
+
+    def line(self, mean, x):
+        return 0.0, x.v
+
+
+class Mean(Estimator):
+    """Mean value; with ``alpha`` below 1 an exponential smoother."""
+
+    def __init__(self, name: str = "mean", alpha: float = 1.0):
+        self.name, self.alpha = name, alpha
+
+    def observe(self, x):
+        return {"v": x.v}
 
+    def line(self, mean, x):
+        return 0.0, mean["v"]
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
 
+class LeastSquares(Estimator):
+    """Line of least squares, in coordinates that begin at the first observation."""
+    name = "ols"
+    complexity = 2
 
-def _wspec(keys, order, frame: str = "") -> str:
-    part = f"PARTITION BY {', '.join(_q(k) for k in keys)} " if keys else ""
-    return f"({part}ORDER BY {', '.join(_q(o) for o in order)}{(' ' + frame) if frame else ''})"
+    def observe(self, x):
+        t, v = x.t - x.first_t, x.v - x.first_v
+        return {"t": t, "v": v, "tt": t * t, "tv": t * v}
 
+    def line(self, mean, x):
+        slope = ratio(mean["tv"] - mean["t"] * mean["v"], mean["tt"] - mean["t"] * mean["t"])
+        return slope, x.first_v + mean["v"] - slope * (x.first_t + mean["t"])
 
-RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-PAST = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
+class TrendTail(Estimator):
+    name = "trend_tail"
+    complexity = 2
 
-def _weight_sql(hist: str, alpha: float) -> str:
-    """Weight of entry x of ``hist`` as seen from the newest entry: alpha^((t_n - t_i) / t_1)."""
-    return f"pow({alpha!r}D, (element_at({hist}, -1).t - x.t) / element_at({hist}, 1).t)"
+    def line(self, mean, x):
+        return x.step, x.v - x.step * x.t
 
 
-def ses_sql(hist: str, alpha: float, field: str) -> str:
-    """Weighted mean of ``field`` over a list of structs (t, <field>), in closed form."""
-    w = _weight_sql(hist, alpha)
-    return (f"try_divide(aggregate({hist}, 0D, (total, x) -> total + {w} * x.{field}), "
-            f"aggregate({hist}, 0D, (total, x) -> total + {w}))")
+class TrendMean(Estimator):
+    """Mean step slope through the newest observation; with ``alpha`` below 1 a smoothed one."""
+    complexity = 2
 
+    def __init__(self, name: str = "trend_mean", alpha: float = 1.0):
+        self.name, self.alpha = name, alpha
 
-def with_models(df: DataFrame, keys: list[str], t: str, v: str, order: list[str] | None = None,
-                ses_alpha: float = SES_ALPHA, trend_alpha: float = TREND_SES_ALPHA,
-                prefix: str = "") -> DataFrame:
-    """Add ``{prefix}slopes`` and ``{prefix}icpts``: arrays of the 7
-    candidates' (slope, intercept) fitted on the rows up to each row.
+    def observe(self, x):
+        return {"step": x.step}
 
-    Written as SQL expressions: each projection is one call into the JVM."""
+    def line(self, mean, x):
+        return mean["step"], x.v - mean["step"] * x.t
+
+
+def default_candidates(ses_alpha: float = SES_ALPHA, trend_alpha: float = TREND_SES_ALPHA) -> list[Estimator]:
+    return [Tail(), Mean(), Mean("ses", ses_alpha), LeastSquares(), TrendTail(), TrendMean(),
+            TrendMean("trend_ses", trend_alpha)]
+
+
+MODELS = [e.name for e in default_candidates()]
+COMPLEXITY = [e.complexity for e in default_candidates()]
+
+
+def checked(candidates: list[Estimator]) -> list[Estimator]:
+    """Candidates, of which there is one at least, with weights that fall."""
+    if not candidates or any(not 0 < e.alpha <= 1 for e in candidates):
+        raise ValueError("give one candidate at least, each with alpha in (0, 1]")
+    return candidates
+
+
+# ---------------------------------------------------------------- batch form
+
+def _col(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _lit(x) -> Column:
+    return x if isinstance(x, Column) else F.lit(float(x))
+
+
+def weighted_means(df: DataFrame, keys: list[str], order: list[str], t: str, first_t: str, alpha: float,
+                   values: dict[str, Column]) -> DataFrame:
+    """Add, under each name, the running mean of a value, in which an observation weighs
+    ``alpha ** ((t_n - t_i) / t_1)``; nulls are left out. ``t`` and ``first_t`` name the time and the series' first."""
+    if not values:
+        return df
+    by, sort = [_col(k) for k in keys], [_col(o) for o in order]
+    row = Window.partitionBy(*by).orderBy(*sort)
+    if alpha == 1:
+        return df.select("*", *[F.avg(x).over(row.rowsBetween(Window.unboundedPreceding, 0)).alias(n) for n, x in values.items()])
+    halvings = -math.log2(alpha)
+    own = list(df.columns)
+    block = Window.partitionBy(*by, "__block").orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
+    age = lambda x: F.try_divide(x, F.col(first_t)) * halvings
+    d = df.withColumn("__block", F.floor(age(F.col(t)) / BLOCK))
+    d = d.withColumn("__base", F.first(t).over(block))
+    d = d.withColumn("__w", F.pow(F.lit(2.0), age(F.col(t) - F.col("__base"))))
+    sums = []
+    for i, x in enumerate(values.values()):
+        x = x.cast("double")
+        sums += [F.sum(F.col("__w") * x).over(block).alias(f"__p{i}"),
+                 F.sum(F.when(x.isNotNull(), F.col("__w"))).over(block).alias(f"__q{i}")]
+    d = d.select("*", *sums)
+    parts = ["__base"] + [f"__{x}{i}" for i in range(len(values)) for x in "pq"]
+    d = d.withColumn("__last", F.lag(F.struct(*parts)).over(row))
+    d = d.withColumn("__before", F.first("__last").over(block))  # of the block before: what its last row has
+    d = d.withColumn("__aged", F.pow(F.lit(2.0), -age(F.col("__base") - F.col("__before.__base"))))
+    both = lambda x: F.coalesce(F.col(x), F.lit(0.0)) + F.coalesce(F.col(f"__before.{x}") * F.col("__aged"), F.lit(0.0))
+    return d.select(*[_col(c) for c in own],
+                    *[F.try_divide(both(f"__p{i}"), F.nullif(both(f"__q{i}"), F.lit(0.0))).alias(n) for i, n in enumerate(values)])
+
+
+def with_models(df: DataFrame, keys: list[str], t: str, v: str, candidates: list[Estimator],
+                order: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """Add ``{prefix}b{i}`` and ``{prefix}a{i}``: slope and intercept of candidate i fitted on the rows up to each row.
+    Also ``__t``, ``__v`` and ``__first_t``; the caller drops them."""
     order = order or [t]
-    W, WR = _wspec(keys, order), _wspec(keys, order, RUNNING)
-    T, V = f"CAST({_q(t)} AS DOUBLE)", f"CAST({_q(v)} AS DOUBLE)"
-    step, hist, o = f"__{prefix}step", f"__{prefix}hist", f"__{prefix}ols"
-    sl, ic = f"{prefix}slopes", f"{prefix}icpts"
-    d = df.selectExpr("*", f"try_divide({V} - lag({V}, 1, 0D) OVER {W}, {T} - lag({T}, 1, 0D) OVER {W}) AS {step}")
-    d = d.selectExpr(
-        "*", f"collect_list(named_struct('t', {T}, 'v', {V}, 's', {step})) OVER {WR} AS {hist}",
-        f"named_struct('b', CASE WHEN var_pop({T}) OVER {WR} = 0 THEN 0D "
-        f"ELSE try_divide(covar_pop({T}, {V}) OVER {WR}, var_pop({T}) OVER {WR}) END, "
-        f"'mt', avg({T}) OVER {WR}, 'mv', avg({V}) OVER {WR}, 'ms', avg({step}) OVER {WR}) AS {o}")
-    d = d.selectExpr("*", f"array(0D, 0D, 0D, {o}.b, {step}, {o}.ms, {ses_sql(hist, trend_alpha, 's')}) AS {sl}")
-    d = d.selectExpr(
-        "*", f"array({V}, {o}.mv, {ses_sql(hist, ses_alpha, 'v')}, {o}.mv - {o}.b * {o}.mt, "
-        f"{V} - element_at({sl}, 5) * {T}, {V} - element_at({sl}, 6) * {T}, {V} - element_at({sl}, 7) * {T}) AS {ic}")
-    return d.drop(step, hist, o)
-
-
-def _predict(slopes: Column, icpts: Column, idx: int | Column, at) -> Column:
-    at = at if isinstance(at, Column) else F.lit(float(at))
-    i = (idx + 1) if isinstance(idx, Column) else F.lit(idx + 1)
-    return F.element_at(slopes, i) * at + F.element_at(icpts, i)
-
-
-def forecast_cell(df: DataFrame, keys: list[str], t: str, v: str, final_time, model: str,
+    row = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*[_col(o) for o in order])
+    running = row.rowsBetween(Window.unboundedPreceding, 0)
+    d = df.withColumns({"__t": _col(t).cast("double"), "__v": _col(v).cast("double")})
+    d = d.withColumns({"__step": F.try_divide(F.col("__v") - F.lag("__v", 1, 0.0).over(row), F.col("__t") - F.lag("__t", 1, 0.0).over(row)),
+                       "__first_t": F.first("__t").over(running), "__first_v": F.first("__v").over(running)})
+    x = Observation(*(F.col(c) for c in ("__t", "__v", "__step", "__first_t", "__first_v")))
+    names, by_alpha = [], {}
+    for i, e in enumerate(checked(candidates)):
+        observed = {f"__m{i}_{n}": _lit(q) for n, q in e.observe(x).items()}
+        names.append({n[len(f"__m{i}_"):]: n for n in observed})
+        by_alpha.setdefault(e.alpha, {}).update(observed)
+    for alpha, values in by_alpha.items():
+        d = weighted_means(d, keys, order, "__t", "__first_t", alpha, values)
+    lines = {}
+    for i, (e, own) in enumerate(zip(candidates, names)):
+        slope, icpt = e.line({n: F.col(c) for n, c in own.items()}, x)
+        lines |= {f"{prefix}b{i}": _lit(slope), f"{prefix}a{i}": _lit(icpt)}
+    return d.withColumns(lines).drop("__step", "__first_v", *[c for own in names for c in own.values()])
+
+
+def _named(model: str | Estimator, ses_alpha: float, trend_alpha: float) -> Estimator:
+    if isinstance(model, Estimator):
+        return model
+    return next(e for e in default_candidates(ses_alpha, trend_alpha) if e.name == model)
+
+
+def forecast_cell(df: DataFrame, keys: list[str], t: str, v: str, final_time, model: str | Estimator,
                   out: str = "forecast", order: list[str] | None = None,
                   ses_alpha: float = SES_ALPHA, trend_alpha: float = TREND_SES_ALPHA) -> DataFrame:
-    """The named model's prediction at ``final_time`` after each row."""
-    i = MODELS.index(model)
-    d = with_models(df, keys, t, v, order, ses_alpha, trend_alpha)
-    return d.withColumn(out, _predict(F.col("slopes"), F.col("icpts"), i, final_time)).drop("slopes", "icpts")
+    """One model's prediction at ``final_time`` after each row. Only that model is planned."""
+    d = with_models(df, keys, t, v, [_named(model, ses_alpha, trend_alpha)], order, "__")
+    return d.withColumn(out, F.col("__b0") * _lit(final_time) + F.col("__a0")).drop("__b0", "__a0", "__t", "__v", "__first_t")
 
 
-def model_params(df: DataFrame, keys: list[str], t: str, v: str, model: str,
+def model_params(df: DataFrame, keys: list[str], t: str, v: str, model: str | Estimator,
                  order: list[str] | None = None, ses_alpha: float = SES_ALPHA,
                  trend_alpha: float = TREND_SES_ALPHA) -> DataFrame:
     """K6: a model as (slope, intercept) columns after each row."""
-    i = MODELS.index(model) + 1
-    d = with_models(df, keys, t, v, order, ses_alpha, trend_alpha)
-    return (d.withColumn("slope", F.element_at("slopes", i)).withColumn("intercept", F.element_at("icpts", i))
-            .drop("slopes", "icpts"))
+    d = with_models(df, keys, t, v, [_named(model, ses_alpha, trend_alpha)], order, "__")
+    return d.withColumnsRenamed({"__b0": "slope", "__a0": "intercept"}).drop("__t", "__v", "__first_t")
 
 
 def forecast_select(df: DataFrame, keys: list[str], t: str, v: str, final_time, out: str = "forecast",
                     order: list[str] | None = None, ses_alpha: float = SES_ALPHA,
                     trend_alpha: float = TREND_SES_ALPHA, error_alpha: float = ERROR_ALPHA,
-                    with_choice: bool = False) -> DataFrame:
+                    with_choice: bool = False, candidates: list[Estimator] | None = None) -> DataFrame:
     """Model selection by smoothed one-step-ahead squared error.
 
     Row k's candidates (fit on rows <= k) are scored at row k+1; errors are
     smoothed with SES(error_alpha) on the training time t_k. The answer at
     row n uses the candidate with the lowest smoothed error over k < n, fit
     on rows < n (the newest row is held back); ties go to the last
-    candidate. With nothing scored yet (first row) it predicts the row's
-    own value."""
+    candidate, and one without a score never wins. With nothing scored yet (first row) it predicts the row's
+    own value. ``candidates``: the defaults, or any list of :class:`Estimator`."""
     order = order or [t]
-    W, WP = _wspec(keys, order), _wspec(keys, order, PAST)
-    T, V = f"CAST({_q(t)} AS DOUBLE)", f"CAST({_q(v)} AS DOUBLE)"
-    n = len(MODELS)
-    at = f"{float(final_time)!r}D"
-    d = with_models(df, keys, t, v, order, ses_alpha, trend_alpha, prefix="m_")
-    d = d.selectExpr("*", f"lead({T}) OVER {W} AS __nt", f"lead({V}) OVER {W} AS __nv",
-                     f"lag(m_slopes) OVER {W} AS __psl", f"lag(m_icpts) OVER {W} AS __pic")
-    d = d.selectExpr("*", f"transform(sequence(1, {n}), i -> pow(__nv - (element_at(m_slopes, i) * __nt "
-                          f"+ element_at(m_icpts, i)), 2)) AS __errs")
-    d = d.selectExpr("*", f"collect_list(named_struct('t', {T}, 'e', __errs)) OVER {WP} AS __eh")
-    w = _weight_sql("__eh", error_alpha)
-    d = d.selectExpr("*", (
-        f"zip_with(aggregate(__eh, array_repeat(0D, {n}), (total, x) -> zip_with(total, x.e, (s, e) -> s + {w} * e)), "
-        f"array_repeat(aggregate(__eh, 0D, (total, x) -> total + {w}), {n}), (s, all) -> try_divide(s, all)) AS __mae"))
-    d = d.selectExpr("*", "- array_min(transform(__mae, (m, i) -> named_struct('m', m, 'neg', -i))).neg AS __choice")
-    d = d.selectExpr("*", f"CASE WHEN size(__eh) = 0 OR __psl IS NULL THEN {V} "
-                          f"ELSE element_at(__psl, __choice + 1) * {at} + element_at(__pic, __choice + 1) END AS {_q(out)}")
+    candidates = candidates or default_candidates(ses_alpha, trend_alpha)
+    n = len(candidates)
+    row = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*[_col(o) for o in order])
+    d = with_models(df, keys, t, v, candidates, order, "__")
+    d = d.withColumns({"__nt": F.lead("__t").over(row), "__nv": F.lead("__v").over(row)})
+    error = {f"__e{i}": F.pow(F.col("__nv") - (F.col(f"__b{i}") * F.col("__nt") + F.col(f"__a{i}")), 2) for i in range(n)}
+    d = weighted_means(d, keys, order, "__t", "__first_t", error_alpha, error)
+    scored = [F.struct(F.coalesce(F.col(f"__e{i}"), F.lit(float("inf"))).alias("m"), F.lit(-i).alias("neg"),
+                       F.col(f"__b{i}").alias("b"), F.col(f"__a{i}").alias("a")) for i in range(n)]
+    # the best after the row before, fitted up to that row
+    d = d.withColumn("__best", F.lag(F.array_min(F.array(*scored))).over(row))
+    d = d.withColumn(out, F.when(F.col("__best").isNull(), F.col("__v"))
+                     .otherwise(F.col("__best.b") * _lit(final_time) + F.col("__best.a")))
     if with_choice:
-        d = d.selectExpr("*", f"CASE WHEN size(__eh) > 0 THEN __choice END AS {_q(out + '_model')}")
-    return d.drop("m_slopes", "m_icpts", "__nt", "__nv", "__psl", "__pic", "__errs", "__eh", "__mae", "__choice")
+        d = d.withColumn(out + "_model", -F.col("__best.neg"))
+    return d.drop("__t", "__v", "__first_t", "__nt", "__nv", "__best",
+                  *[f"__{x}{i}" for i in range(n) for x in "abe"])
 
 
 def forecast_table(df: DataFrame, keys: list[str], values: list[str], step: str, final_time,
@@ -163,7 +286,7 @@ def forecast_table(df: DataFrame, keys: list[str], values: list[str], step: str,
             .unpivot(ids, values, "__col", "__val"))
     fcst = forecast_select(long, keys + ["__col"], step, "__val", final_time, out="__fc", **kw)
     wide = fcst.groupBy(*ids).pivot("__col", values).agg(F.first("__fc"))
-    return wide.select(*df.columns)
+    return wide.select(*[_col(c) for c in df.columns])
 
 
 # ---------------------------------------------------------------- scores
@@ -183,16 +306,23 @@ def least_square_loglik(rss: Column, n: Column) -> Column:
 
 # ---------------------------------------------------------------- SQL twin
 
+DEFAULT_LINES = [("0.0", "v"), ("0.0", "mv"), ("0.0", "sv"), ("ob", "mv - ob * mt"), ("s", "v - s * t"),
+                 ("ms", "v - ms * t"), ("ss", "v - ss * t")]
+
+
 def forecast_select_sql(src: str, keys: list[str], value: str, final_time: float, round_sql,
                         ses_alpha: float = SES_ALPHA, trend_alpha: float = TREND_SES_ALPHA,
-                        error_alpha: float = ERROR_ALPHA, prefix: str = "fs") -> str:
+                        error_alpha: float = ERROR_ALPHA, prefix: str = "fs",
+                        lines: list[tuple[str, str]] = DEFAULT_LINES) -> str:
     """DuckDB text for :func:`forecast_select` over the CTE ``src`` (columns
     ``part_idx, keys..., t, <value>``); an independent formulation: smoothed
     averages in closed form (sum a^((t_n - t_i)/f) x_i / sum a^(...)) by
     self-joins, candidates as columns, ties to the last candidate by a CASE
-    chain. Ends with CTE ``{prefix}_out (part_idx, keys..., t, v, forecast,
+    chain. ``lines`` gives each candidate's slope and intercept over the columns
+    v, t, s (last step slope), f and fv (first t and v), mv, mt, ms (means), ob (least-squares slope), sv and
+    ss (smoothed v and s). Ends with CTE ``{prefix}_out (part_idx, keys..., t, v, forecast,
     forecast_model)``; the caller adds the final SELECT."""
-    n = len(MODELS)
+    n = len(lines)
     ks = ", ".join(keys)
     on = " AND ".join([f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in keys] or ["TRUE"])
     part = f"PARTITION BY {ks} " if keys else ""
@@ -209,11 +339,13 @@ def forecast_select_sql(src: str, keys: list[str], value: str, final_time: float
                                f"sum(power({alpha!r}, (a.t - b.t) / a.f))")
     maes = ",\n  ".join(f"{wsum(error_alpha, f'e{i}')} AS m{i}" for i in range(n))
     chain = " ".join(f"WHEN m{i} <= mm THEN {i}" for i in reversed(range(n)))
+    slopes = ", ".join(f"{b} AS b{i}" for i, (b, _) in enumerate(lines))
+    icpts = ", ".join(f"{a} AS a{i}" for i, (_, a) in enumerate(lines))
     prev = ", ".join(f"lag({c}) OVER {w0} AS p{c}" for c in bs + as_)
     pick = " ".join(f"WHEN {i} THEN pb{i} * {T} + pa{i}" for i in range(n))
     return f"""
 , {p}_st AS (SELECT part_idx, {ks + ', ' if keys else ''}t, CAST({value} AS DOUBLE) AS v,
-    min(t) OVER ({part.strip()}) AS f,
+    min(t) OVER ({part.strip()}) AS f, first_value(CAST({value} AS DOUBLE)) OVER {w0} AS fv,
     (CAST({value} AS DOUBLE) - coalesce(lag(CAST({value} AS DOUBLE)) OVER {w0}, 0.0))
       / (t - coalesce(lag(t) OVER {w0}, 0.0)) AS s FROM {src}),
 {p}_sm AS (SELECT {ga}, {wsum(ses_alpha, 'v')} AS sv, {wsum(trend_alpha, 's')} AS ss
@@ -221,8 +353,7 @@ def forecast_select_sql(src: str, keys: list[str], value: str, final_time: float
 {p}_m AS (SELECT x.*, y.sv, y.ss, avg(v) OVER {wr} AS mv, avg(t) OVER {wr} AS mt, avg(s) OVER {wr} AS ms,
     CASE WHEN var_pop(t) OVER {wr} = 0 THEN 0.0 ELSE covar_pop(t, v) OVER {wr} / var_pop(t) OVER {wr} END AS ob
   FROM {p}_st x JOIN {p}_sm y USING ({use})),
-{p}_p AS (SELECT *, 0.0 AS b0, v AS a0, 0.0 AS b1, mv AS a1, 0.0 AS b2, sv AS a2, ob AS b3, mv - ob * mt AS a3,
-    s AS b4, v - s * t AS a4, ms AS b5, v - ms * t AS a5, ss AS b6, v - ss * t AS a6,
+{p}_p AS (SELECT *, {slopes}, {icpts},
     lead(t) OVER {w0} AS nt, lead(v) OVER {w0} AS nv FROM {p}_m),
 {p}_e AS (SELECT *, {errs} FROM {p}_p),
 {p}_mae AS (SELECT {ga}, count(b.t) AS nscored, {maes}

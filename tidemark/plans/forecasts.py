@@ -84,6 +84,49 @@ def fc_select(spark, sf_dir):
     return out.withColumn("forecast", rnd("forecast", 2))
 
 
+class Drift(fc.Estimator):
+    """Line through the first and the newest observation."""
+    name = "drift"
+    complexity = 2
+
+    def line(self, mean, x):
+        slope = fc.ratio(x.v - x.first_v, x.t - x.first_t)
+        return slope, x.v - slope * x.t
+
+
+class DampedTrend(fc.Estimator):
+    """A share of the smoothed step slope through the newest observation."""
+    name = "damped_trend"
+    complexity = 2
+    alpha = fc.TREND_SES_ALPHA
+
+    def __init__(self, share: float = 0.5):
+        self.share = share
+
+    def observe(self, x):
+        return {"step": x.step}
+
+    def line(self, mean, x):
+        slope = self.share * mean["step"]
+        return slope, x.v - slope * x.t
+
+
+CUSTOM = [fc.Tail(), fc.LeastSquares(), Drift(), DampedTrend()]
+CUSTOM_LINES = [fc.DEFAULT_LINES[0], fc.DEFAULT_LINES[3],
+                ("CASE WHEN t = f THEN 0.0 ELSE (v - fv) / (t - f) END",
+                 "v - (CASE WHEN t = f THEN 0.0 ELSE (v - fv) / (t - f) END) * t"),
+                ("0.5 * ss", "v - 0.5 * ss * t")]
+
+
+@register("fc_select_custom", SERIES_SQL + fc.forecast_select_sql("ser", KEYS, "v", FINAL_T, R, lines=CUSTOM_LINES) +
+          f"SELECT part_idx, l_returnflag, l_linestatus, t, v, {R('forecast')} AS forecast, forecast_model "
+          f"FROM fs_out")
+def fc_select_custom(spark, sf_dir):
+    """K6: the selector over a candidate list with two estimators of a user's own."""
+    out = fc.forecast_select(series(spark, sf_dir), KEYS, "t", "v", FINAL_T, with_choice=True, candidates=CUSTOM)
+    return out.withColumn("forecast", rnd("forecast", 2))
+
+
 VALUE_COLS = ["sum_qty", "sum_base_price", "sum_disc_price", "sum_charge", "avg_qty", "avg_price",
               "avg_disc", "count_order"]
 

@@ -14,11 +14,23 @@ aggregate per task followed by one hash exchange on the pair.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# columns of the given files; stated, so that no job reads footers while a query is built
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 # Fixed values for the derived columns: ship modes, ship instructions,
@@ -81,7 +93,7 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    return spark.read.schema(SCHEMAS[name]).parquet(table_path(sf_dir, name))
 
 
 def with_derived(df: DataFrame, name: str) -> DataFrame:
@@ -98,29 +110,33 @@ def partsupp_from(lineitem: DataFrame) -> DataFrame:
     return ps.withColumns({c: F.expr(e) for c, e in PARTSUPP_COLUMNS})
 
 
-class _Tables(dict):
-    """Table name -> DataFrame; partsupp is built on first use."""
+class _Tables(Mapping):
+    """Table name -> DataFrame, each planned on first use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        super().__init__({n: with_derived(read_raw(spark, sf_dir, n), n) for n in TABLES})
-        self._spark, self._dir = spark, sf_dir
-
-    def __missing__(self, name):
-        if name != "partsupp":
-            raise KeyError(name)
-        df = partsupp_from(read_raw(self._spark, self._dir, "lineitem"))
-        self[name] = df
-        return df
+        self._spark, self._dir, self._made = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            if name == "partsupp":
+                self._made[name] = partsupp_from(read_raw(self._spark, self._dir, "lineitem"))
+            elif name in TABLES:
+                self._made[name] = with_derived(read_raw(self._spark, self._dir, name), name)
+            else:
+                raise KeyError(name)
+        return self._made[name]
+
+    def __iter__(self):
+        return iter((*TABLES, "partsupp"))
+
+    def __len__(self) -> int:
+        return len(TABLES) + 1
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
-    """All TPC-H tables (plus partsupp) as lazily planned DataFrames. The
+    """All TPC-H tables (plus partsupp) as lazily planned DataFrames. Only those asked for are planned, without a job. The
     mapping is read-only and made anew at each call, so files added to a table
     are seen by the next query."""
-    return MappingProxyType(_tables(spark, sf_dir))
-
-
-def _tables(spark: SparkSession, sf_dir: str) -> _Tables:
     return _Tables(spark, sf_dir)
 
 

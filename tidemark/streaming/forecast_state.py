@@ -1,20 +1,21 @@
-"""Streaming table forecast with keyed state (J8-J10 on Structured Streaming).
+"""Streaming table forecast with keyed state (J8-J10, K6 on Structured Streaming).
 
 The snapshots an online aggregate writes (one folder per batch) are read as
-a file stream; each value column of each key is a series, and
-``applyInPandasWithState`` keeps, per series, the selector's sufficient
-statistics in Spark's state store (checkpointed in the shared folder, so a
-restarted query resumes). A batch costs work proportional to the series it
-touches, however long the stream has run -- unlike recomputing from the
-whole history.
-
-Per series the state is a fixed vector of numbers: the candidates' running
-statistics, the smoothed squared errors, and the candidates' parameters
-after the previous observation (the newest observation is held back, as in
-the batch selector). Weighted means are kept as a mean and its total weight,
-so they equal the closed form that :mod:`tidemark.operators.forecast` sums.
-A snapshot that is replayed, or that arrives after a later one of its series
-in another batch, changes nothing and gives no row.
+a file stream; each value column of each key is a series, kept by a
+``transformWithStateInPandas`` processor (RocksDB state, checkpointed in the shared folder, so a
+restarted query resumes):
+
+* ``tip``: the candidates' state after the newest observation. One that comes in order moves it on, so a batch costs work
+  proportional to the series it touches, however long the stream has run.
+* ``held``: a map of observations by time. One that comes late is put in its place: the series is walked again from ``base``
+  and the rows from that place on are given anew with a higher ``revision``; :func:`latest` keeps the newest of each. Whatever the order
+  of the snapshots over batches, the latest rows are the batch form's. A replayed snapshot changes nothing.
+* ``base`` and timers: with ``hold`` set, event time is the step counter and the watermark follows the newest step by ``hold``
+  steps; a timer at each observation fires when the watermark passes it and folds it into ``base``, so ``held`` stays small.
+  Spark then leaves out, and counts as dropped by watermark, what comes later than that. Without ``hold`` nothing is left out and ``held`` grows with the series.
+
+The candidates are :class:`tidemark.operators.forecast.Estimator` objects, the same as in batch. Their weighted means are kept
+as a mean and its total weight.
 """
 
 from __future__ import annotations
@@ -26,150 +27,153 @@ from typing import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tidemark.operators.forecast import ERROR_ALPHA, MODELS, SES_ALPHA, TREND_SES_ALPHA
+from tidemark.operators.forecast import ERROR_ALPHA, Estimator, Observation, checked, default_candidates
 from tidemark.session import checkpoint_dir
 
-N = len(MODELS)
-# state vector layout
-FIELDS = (["n", "f", "before_t", "last_t", "last_v", "sum_v", "ses_m", "ses_w",
-           "ols_n", "ols_mt", "ols_mv", "ols_vt", "ols_cv", "ts_sum", "ts_n", "tses_m", "tses_w", "err_w", "scored"]
-          + [f"err_m{i}" for i in range(N)] + [f"b{i}" for i in range(N)] + [f"a{i}" for i in range(N)])
-IX = {k: i for i, k in enumerate(FIELDS)}
-
-
-def _aged(weight: float, alpha: float, gap: float, unit: float) -> float:
-    """Total weight once a newer observation, ``gap`` later, joins: the closed form's sum of
-    alpha^((t_n - t_i) / unit), whose older terms all shrink by one factor and whose newest is 1."""
-    return 1.0 + weight * alpha ** (gap / unit)
-
-
-def _moved(mean: float, x: float, weight: float) -> float:
-    """Weighted mean after ``x`` of weight 1 joined a total of ``weight`` (1 included)."""
-    return mean + (x - mean) / weight
-
-
-def step(st: list[float] | None, t: float, v: float, final_time: float, ses_alpha: float = SES_ALPHA,
-         trend_alpha: float = TREND_SES_ALPHA, error_alpha: float = ERROR_ALPHA):
-    """Consume one observation; return (state, forecast, chosen model or None)."""
-    st = [0.0] * len(FIELDS) if st is None else list(st)
-    g = lambda k: st[IX[k]]
-    # 1. score the models fitted on the earlier rows against this one
-    if g("n") >= 1:
-        # errors carry their training time: the last one's is last_t, the one before's before_t
-        # (f is the first training time as well)
-        st[IX["err_w"]] = _aged(g("err_w"), error_alpha, g("last_t") - g("before_t"), g("f"))
-        for i in range(N):
-            e = (v - (g(f"b{i}") * t + g(f"a{i}"))) ** 2
-            st[IX[f"err_m{i}"]] = _moved(g(f"err_m{i}"), e, g("err_w"))
-        st[IX["scored"]] = g("scored") + 1
-    # 2. forecast with the best of them (ties to the last candidate)
-    if g("scored") == 0:
-        pred, choice = v, None
-    else:
-        maes = [g(f"err_m{i}") for i in range(N)]
-        best = min(maes)
-        choice = max(i for i in range(N) if maes[i] <= best)
-        pred = g(f"b{choice}") * final_time + g(f"a{choice}")
-    # 3. fit every candidate on this row too (parameters for the next one)
-    if g("n") == 0:
-        st[IX["f"]] = t
-    f, gap = g("f"), t - g("last_t")
-    step_s = (v - g("last_v")) / gap
-    st[IX["n"]] = g("n") + 1
-    st[IX["sum_v"]] = g("sum_v") + v
-    st[IX["ses_w"]] = _aged(g("ses_w"), ses_alpha, gap, f)
-    st[IX["ses_m"]] = _moved(g("ses_m"), v, g("ses_w"))
-    # least squares from running means and co-moments (Welford): m2 = sum of
-    # squared deviations of t, c = sum of products of deviations of t and v
-    on = g("ols_n") + 1.0
-    dt = t - g("ols_mt")
-    mt = g("ols_mt") + dt / on
-    mv = g("ols_mv") + (v - g("ols_mv")) / on
-    st[IX["ols_vt"]] = g("ols_vt") + dt * (t - mt)
-    st[IX["ols_cv"]] = g("ols_cv") + dt * (v - mv)
-    st[IX["ols_n"]], st[IX["ols_mt"]], st[IX["ols_mv"]] = on, mt, mv
-    st[IX["ts_sum"]] = g("ts_sum") + step_s
-    st[IX["ts_n"]] = g("ts_n") + 1
-    st[IX["tses_w"]] = _aged(g("tses_w"), trend_alpha, gap, f)
-    st[IX["tses_m"]] = _moved(g("tses_m"), step_s, g("tses_w"))
-    st[IX["before_t"]], st[IX["last_t"]], st[IX["last_v"]] = g("last_t"), t, v
-    ob = 0.0 if g("ols_vt") == 0 else g("ols_cv") / g("ols_vt")   # the 1/n factors cancel
-    slopes = [0.0, 0.0, 0.0, ob, step_s, g("ts_sum") / g("ts_n"), g("tses_m")]
-    icpts = [v, g("sum_v") / g("n"), g("ses_m"), g("ols_mv") - ob * g("ols_mt"),
-             v - slopes[4] * t, v - slopes[5] * t, v - slopes[6] * t]
-    for i in range(N):
-        st[IX[f"b{i}"]], st[IX[f"a{i}"]] = slopes[i], icpts[i]
-    return st, pred, choice
-
-
-def _updater(keys: list[str], final_time: float):
-    def update(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(pdfs)).sort_values("t")
-        st = list(state.get[0]) if state.exists else None
-        out = []
-        for t, v, part in zip(rows["t"], rows["val"], rows["part_idx"]):
-            if st is not None and t <= st[IX["last_t"]]:
-                continue  # a snapshot seen before, or late: the state is past it
-            st, pred, choice = step(st, float(t), float(v), final_time)
-            out.append((*key, int(part), float(pred), choice))
-        state.update((st,))
-        if out:
-            yield pd.DataFrame(out, columns=[*keys, "col", "part_idx", "forecast", "forecast_model"]) \
-                .astype({"forecast_model": "Int32"})
-    return update
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class Selector:
+    """The selector as steps over a flat list of numbers: first t and v, the last two times, the last value, the errors' weight and the number scored,
+    then of each candidate the weight, the means, the mean error, slope and intercept."""
+
+    HEAD = 7
+
+    def __init__(self, final_time: float, candidates: list[Estimator] | None = None, error_alpha: float = ERROR_ALPHA):
+        self.final_time, self.error_alpha = float(final_time), error_alpha
+        self.candidates = checked(candidates or default_candidates())
+        self.names = [list(e.observe(Observation(1.0, 1.0, 1.0, 1.0, 1.0))) for e in self.candidates]
+        self.at = [self.HEAD]
+        for names in self.names:
+            self.at.append(self.at[-1] + len(names) + 4)
+
+    @staticmethod
+    def last_time(state: list[float]) -> float:
+        return state[3]
+
+    def step(self, state: list[float] | None, t: float, v: float) -> tuple[list[float], float, int | None]:
+        """Take in one observation, later than all before; returns (state, forecast, chosen candidate or None)."""
+        new = state is None
+        s = [0.0] * self.at[-1] if new else list(state)
+        if new:
+            s[0], s[1] = t, v
+        first_t, before_t, last_t, last_v = s[0], s[2], s[3], s[4]
+        best, choice = float("inf"), None
+        if not new:  # score the lines fitted on the earlier rows against this one
+            s[5] = 1.0 + s[5] * self.error_alpha ** ((last_t - before_t) / first_t)
+            s[6] += 1
+            for i in range(len(self.candidates)):
+                error, slope, icpt = (self.at[i + 1] - k for k in (3, 2, 1))
+                s[error] += ((v - (s[slope] * t + s[icpt])) ** 2 - s[error]) / s[5]
+                if s[error] <= best:  # ties to the last candidate
+                    best, choice = s[error], i
+        forecast = v if choice is None else s[self.at[choice + 1] - 2] * self.final_time + s[self.at[choice + 1] - 1]
+        x = Observation(t, v, (v - last_v) / (t - last_t), first_t, s[1])
+        for i, (e, names) in enumerate(zip(self.candidates, self.names)):
+            lo = self.at[i]
+            s[lo] = 1.0 + s[lo] * (1.0 if new or e.alpha == 1 else e.alpha ** ((t - last_t) / first_t))
+            for k, q in enumerate(e.observe(x).values(), lo + 1):
+                s[k] += (q - s[k]) / s[lo]
+            s[self.at[i + 1] - 2], s[self.at[i + 1] - 1] = map(float, e.line(dict(zip(names, s[lo + 1:])), x))
+        s[2], s[3], s[4] = last_t, t, v
+        return s, float(forecast), choice
+
+
+def step(state, t: float, v: float, final_time: float, candidates: list[Estimator] | None = None):
+    """One step of the default selector: (state, forecast, chosen candidate or None)."""
+    return Selector(final_time, candidates).step(state, t, v)
+
+
+class SeriesProcessor(StatefulProcessor):
+    """Forecasts of one series. Key: (keys..., value column)."""
+
+    def __init__(self, selector: Selector, columns: list[str], timers: bool):
+        self.selector, self.columns, self.timers = selector, columns, timers
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getMapState("held", "t double", "v double, part long")
+        self.base = handle.getValueState("base", "s array<double>, n long")
+        self.tip = handle.getValueState("tip", "s array<double>, revision long")
+
+    def _base(self) -> list[float] | None:
+        return list(self.base.get()[0]) if self.base.exists() else None
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        seen = sorted({(float(t), float(v), int(p)) for pdf in rows for t, v, p in zip(pdf["t"], pdf["val"], pdf["part_idx"]) if v == v})
+        base = self._base()
+        tip, revision = (list(self.tip.get()[0]), self.tip.get()[1]) if self.tip.exists() else (None, 0)
+        new = [o for o in seen if (base is None or o[0] > Selector.last_time(base)) and not self._known(o)]
+        if new:
+            for t, v, part in new:
+                self.held.updateValue((t,), (v, part))
+                if self.timers:
+                    self.handle.registerTimer(int(t * 1000))
+            todo, state = new, tip
+            if tip is not None and new[0][0] <= Selector.last_time(tip):
+                todo, state, revision = sorted((k[0], *x) for k, x in self.held.iterator()), base, revision + 1
+            out = []
+            for t, v, part in todo:
+                state, forecast, choice = self.selector.step(state, t, v)
+                if t >= new[0][0]:
+                    out.append((*key, part, forecast, choice, revision))
+            self.tip.update((state, revision))
+            yield pd.DataFrame(out, columns=self.columns).astype({"forecast_model": "Int32"})
+
+    def _known(self, o: tuple) -> bool:
+        return self.held.containsKey((o[0],)) and tuple(self.held.getValue((o[0],))) == o[1:]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        upto = expiredTimerInfo.getExpiryTimeInMs() / 1000
+        base = self._base()
+        for t, v in sorted((k[0], x[0]) for k, x in self.held.iterator() if k[0] <= upto):
+            base, _, _ = self.selector.step(base, t, v)
+            self.held.removeKey((t,))
+        if base is not None:
+            self.base.update((base, 0))
+        yield from ()
+
+    def close(self) -> None:
+        pass
 
 
 def forecast_state_stream(snapshots: DataFrame, keys: list[str], values: list[str], final_time: float,
-                          out_path: str, name: str | None = None) -> StreamingQuery:
+                          out_path: str, name: str | None = None, candidates: list[Estimator] | None = None,
+                          hold: int | None = None) -> StreamingQuery:
     """Stream of snapshots ``(part_idx, keys..., values...)`` -> forecasts
-    ``(keys..., col, part_idx, forecast, forecast_model)`` appended to
-    ``out_path``; the step counter is ``part_idx + 1``."""
+    ``(keys..., col, part_idx, forecast, forecast_model, revision)`` appended to
+    ``out_path``, read with :func:`latest`; the step counter is ``part_idx + 1``. Null values are no observations.
+    ``hold``: steps for which a late snapshot is still put in its place (None: without limit)."""
     spark = snapshots.sparkSession
     name = name or f"forecast_{uuid.uuid4().hex[:8]}"
     stack = "stack({}, {}) AS (col, val)".format(
         len(values), ", ".join(f"'{v}', CAST(`{v}` AS DOUBLE)" for v in values))
     long = snapshots.select(*keys, F.col("part_idx").cast("bigint").alias("part_idx"),
                             (F.col("part_idx") + 1).cast("double").alias("t"), F.expr(stack))
+    if hold is not None:
+        long = long.withColumn("at", F.timestamp_seconds("t")).withWatermark("at", f"{hold} seconds")
     key_types = {f.name: f.dataType.simpleString() for f in snapshots.schema.fields}
-    out_schema = ", ".join([f"`{k}` {key_types[k]}" for k in keys]
-                           + ["col string", "part_idx long", "forecast double", "forecast_model int"])
-    fc = long.groupBy(*keys, "col").applyInPandasWithState(
-        _updater(keys, float(final_time)), out_schema, "s array<double>", "append", GroupStateTimeout.NoTimeout)
+    schema = ", ".join([f"`{k}` {key_types[k]}" for k in keys]
+                       + ["col string", "part_idx long", "forecast double", "forecast_model int", "revision long"])
+    columns = [*keys, "col", "part_idx", "forecast", "forecast_model", "revision"]
+    fc = long.groupBy(*keys, "col").transformWithStateInPandas(
+        SeriesProcessor(Selector(final_time, candidates), columns, hold is not None), schema, "Append",
+        "None" if hold is None else "EventTime")
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
-    return (fc.writeStream.outputMode("append").format("parquet").option("path", out_path)
-            .option("checkpointLocation", ckpt).queryName(name).trigger(availableNow=True).start())
-
-
-def forecast_select_grouped(df: DataFrame, keys: list[str], t: str, v: str, final_time: float,
-                            out: str = "forecast") -> DataFrame:
-    """J8 for long series, in batch: each series is one group of
-    ``applyInPandas``, walked once in time order with :func:`step` -- linear
-    in the series length, where the window form is quadratic. Same answers
-    as :func:`tidemark.operators.forecast.forecast_select`. Output: the input
-    columns plus ``out`` and ``out_model``.
-
-    A series is held by one task (the recursion is sequential), so this is
-    for sequences of answers (snapshots, batches), whose length is the number
-    of steps -- never for raw rows of a hot key. Unbounded sequences belong
-    to :func:`forecast_state_stream`, which keeps O(1) state per series."""
-    fields = df.schema.fields
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
-                       + [f"`{out}` double", f"`{out}_model` int"])
-    cols = [f.name for f in fields]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(t, kind="stable")
-        st, preds, models = None, [], []
-        for tt, vv in zip(pdf[t].astype(float), pdf[v].astype(float)):
-            st, pred, choice = step(st, tt, vv, float(final_time))
-            preds.append(pred)
-            models.append(choice)
-        res = pdf[cols].copy()
-        res[out] = preds
-        res[f"{out}_model"] = pd.array(models, dtype="Int32")
-        return res
-
-    return df.groupBy(*keys).applyInPandas(run, schema)
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, ROCKSDB)  # the query keeps the settings it starts with
+    try:
+        return (fc.writeStream.outputMode("append").format("parquet").option("path", out_path)
+                .option("checkpointLocation", ckpt).queryName(name).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(setting, before) if before else spark.conf.unset(setting)
+
+
+def latest(forecasts: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest revision of each forecast written by :func:`forecast_state_stream`."""
+    row = F.max(F.struct("revision", "forecast", "forecast_model")).alias("x")
+    return forecasts.groupBy(*keys, "col", "part_idx").agg(row).select(
+        *keys, "col", "part_idx", "x.forecast", "x.forecast_model", "x.revision")
