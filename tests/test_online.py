@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from tidemark.operators.online import Agg, Derived, OnlineSpec, final_snapshot, online_agg
+from tidemark.operators.online import Accumulator, Agg, Derived, OnlineSpec, final_snapshot, online_agg
 from tidemark.plans.online_queries import Q1_SPEC, online_q1
 from tidemark.plans.tpch import q1
 from tidemark.sources.tpch import tables
@@ -83,10 +83,10 @@ def test_derived_columns_and_empty_parts(spark):
     assert out == {0: (10.0, 1), 1: (10.0, 1), 2: (10.0, 2), 3: (10.0, 2)}
 
 
-def _write_parts(spark, sf_dir, root):
+def _write_parts(spark, sf_dir, root, every_row=False):
     """Ten files, part i = lineitem rows with l_orderkey % 10 == i, written
     one by one with increasing modification times (stream order)."""
-    li = tables(spark, sf_dir)["lineitem"].where(F.col("l_shipdate") <= F.lit(dt.date(1998, 9, 2)))
+    li = tables(spark, sf_dir)["lineitem"].where(F.lit(every_row) | (F.col("l_shipdate") <= F.lit(dt.date(1998, 9, 2))))
     li = li.select("l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
                    "l_linestatus")
     src = os.path.join(root, "src")
@@ -317,22 +317,72 @@ def test_csv_file_stream_online_aggregate(spark, tmpdir_path):
     assert _rows(last, cols) == _rows(q1(spark, SF001), cols)
 
 
-def test_user_defined_aggregate_protocol(spark):
-    """K2: a user aggregate is partial states + a merge op + a finish."""
-    import math
+class RootMeanSquare(Accumulator):
+    """State: (sum of squares, count) as a struct."""
+
+    def __init__(self, name, column):
+        self.name, self.column, self.digits = name, column, 6
+
+    def partial(self):
+        return F.struct(F.sum(F.col(self.column) * F.col(self.column)).alias("q"), F.count(self.column).alias("n"))
+
+    def merge(self, a, b):
+        return F.struct((a["q"] + b["q"]).alias("q"), (a["n"] + b["n"]).alias("n"))
 
-    class RootMeanSquare(Agg):
-        def state_sql(self):
-            return [(f"{self.name}__q", f"sum({self.expr} * {self.expr})", "sum"),
-                    (f"{self.name}__n", f"count({self.expr})", "sum")]
+    def finish(self, state):
+        return F.sqrt(state["q"] / state["n"])
 
-        def finish_sql(self):
-            return f"sqrt({self.name}__q / {self.name}__n) AS {self.name}"
 
+def test_user_defined_aggregate_protocol(spark):
+    """K2: a user aggregate is a partial state, a merge and a finish."""
+    import math
     rows = [(i % 4, float(i)) for i in range(1, 41)]
     df = spark.createDataFrame(rows, "p long, v double")
-    spec = OnlineSpec([], [RootMeanSquare("rms", "custom", "v")])
-    out = {r.part_idx: r.rms for r in online_agg(df, "p", 4, spec).collect()}
+    spec = OnlineSpec([], [RootMeanSquare("rms", "v"), Agg("most", "max", "v")])
+    out = {r.part_idx: (r.rms, r.most, r.progress) for r in online_agg(df, "p", 4, spec).collect()}
     for p in range(4):
         vs = [v for q, v in rows if q <= p]
-        assert abs(out[p] - math.sqrt(sum(v * v for v in vs) / len(vs))) < 1e-9
+        assert abs(out[p][0] - math.sqrt(sum(v * v for v in vs) / len(vs))) < 1e-5
+        assert out[p][1:] == (max(vs), len(vs) / 40)
+
+
+def test_fold_and_window_merge_agree(spark):
+    """Every built-in aggregate's own merge gives what the windows give, with nulls, gaps in the parts and null keys."""
+    from tidemark.operators import online
+    rows = [(i * 7 % 5, None if i % 11 == 0 else "ab"[i % 2], None if i % 4 == 1 else float(i * 13 % 29), i * 31 % 97) for i in range(120)]
+    df = spark.createDataFrame([r for r in rows if not (r[1] == "a" and r[0] in (1, 2))], "p long, k string, v double, o long")
+    aggs = [Agg(op, op, "v") for op in ("sum", "count", "avg", "min", "max")] + [Agg("n", "count_star"), Agg("last", "last", "v", order="o")]
+    spec = OnlineSpec(["k"], aggs)
+    partial = df.groupBy(F.col("p").alias("part_idx"), "k").agg(*[a.partial().alias(f"__{a.name}") for a in aggs])
+    got = [sorted(map(str, f(partial, ["k"], 5, spec, "part_idx").collect())) for f in (online._window_merge, online._fold_merge)]
+    assert got[0] == got[1]
+
+
+def test_user_accumulator_and_progress_on_a_stream(spark, tmpdir_path):
+    """The same accumulators as a registered batch query, over part files; progress counts the source's rows."""
+    from tidemark.plans.online_queries import HIST_SPEC, online_histogram
+    from tidemark.streaming.online_stream import expected_rows
+    src, schema = _write_parts(spark, SF001, tmpdir_path, every_row=True)
+    out = os.path.join(tmpdir_path, "snaps")
+    total = expected_rows(spark, src, schema)
+    q = online_agg_stream(file_stream(spark, src, schema), HIST_SPEC, out, rows_total=total)
+    assert run_to_end(q, 400)
+    snaps = read_snapshots(spark, out, with_progress=True)
+    cols = ["part_idx", "l_returnflag", "quantities", "median_bin", "avg_qty"]
+    assert _rows(snaps, cols) == _rows(online_histogram(spark, SF001), cols)
+    told = {r.part_idx: (r.rows_total, r.progress) for r in snaps.collect()}
+    assert told[9] == (total, 1.0) and all(told[i][1] < told[i + 1][1] for i in range(9))
+
+
+def test_progress_counts_rows_before_a_filter_and_without_keys(spark, tmpdir_path):
+    from tidemark.streaming.online_stream import expected_rows
+    src, schema = _write_parts(spark, SF001, tmpdir_path)
+    out = os.path.join(tmpdir_path, "snaps")
+    spec = OnlineSpec([], [RootMeanSquare("rms", "l_quantity"), Agg("n", "count_star")])
+    total = expected_rows(spark, src, schema)
+    q = online_agg_stream(file_stream(spark, src, schema, files_per_trigger=4), spec, out, rows_total=total,
+                          transform=lambda d: d.where("l_quantity < 10"))
+    assert run_to_end(q, 400)
+    last = read_snapshots(spark, out, with_progress=True).orderBy(F.desc("part_idx")).first()
+    want = spark.read.schema(schema).parquet(src).where("l_quantity < 10").agg(F.count("*"), F.sqrt(F.avg(F.col("l_quantity") * F.col("l_quantity")))).first()
+    assert (last.progress, last.rows_total, last.n) == (1.0, total, want[0]) and abs(last.rms - want[1]) < 1e-5

@@ -9,14 +9,15 @@ Plan (no cross join, nothing gathered in one task):
 1. partial states per (part, keys) -- a grouped aggregate, map-side combined,
    so a hot key costs one row per part after the partial step;
 2. running merge of the states per key over the part order -- a window over
-   at most ``n_parts`` rows per key;
+   at most ``n_parts`` rows per key; with an :class:`Accumulator` that only its own ``merge`` can join, a fold over the
+   key's array of at most ``n_parts`` states;
 3. a key absent from some later parts keeps its last value: each partial row
    is expanded with ``sequence(part, next_part - 1)``; the output size is
    the size of the answer (snapshots x keys present), nothing more;
 4. progress per part (rows seen so far / rows in total) is an ``n_parts``-row
    table, so it can be broadcast without growing with the data.
 
-Aggregate functions follow a partial / merge / finish protocol (K2), so
+Aggregate functions follow one partial / merge / finish protocol (K2), in batch and on streams, so
 ``min``, ``max`` and ``avg`` merge correctly (avg is the mergeable pair
 (sum, count), D9).
 """
@@ -27,7 +28,7 @@ from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import rnd, sql_rnd
@@ -37,83 +38,90 @@ def _e(x) -> Column:
     return F.expr(x) if isinstance(x, str) else x
 
 
+class Accumulator:
+    """A running aggregate (K2): partial state of a group of rows, merge of two states, value of a state. All three are
+    Columns, a state may have any type, and the same object runs in :func:`online_agg` and
+    :func:`tidemark.streaming.online_stream.online_agg_stream`. ``merge`` is given the state of the earlier rows first;
+    null states (no rows) never reach it."""
+
+    name: str
+    digits: int | None = None    # round the finished value (doubles)
+
+    def partial(self) -> Column:
+        """Aggregate over the rows of a group."""
+        raise NotImplementedError
+
+    def merge(self, a: Column, b: Column) -> Column:
+        raise NotImplementedError
+
+    def finish(self, state: Column) -> Column:
+        return state
+
+    def fields(self) -> list[tuple[str, Column, str]] | None:
+        """For states that plain SQL aggregates merge: their fields as (name, partial, merging aggregate), which Spark
+        can then merge itself. None: by ``merge`` alone."""
+        return None
+
+    def value(self, state: Column) -> Column:
+        """The finished, rounded value under the aggregate's name."""
+        v = self.finish(state)
+        return (v if self.digits is None else rnd(v, self.digits)).alias(self.name)
+
+
 @dataclass
-class Agg:
-    """One output aggregate. ``expr`` is SQL text or a Column (None: rows)."""
+class Agg(Accumulator):
+    """A built-in aggregate. ``expr`` is SQL text or a Column (None: rows)."""
     name: str
     op: str                      # sum | count | avg | min | max | count_star | last
     expr: str | Column | None = None
-    digits: int | None = None    # round the finished value (doubles)
+    digits: int | None = None
     order: str | None = None     # for ``last``: SQL text giving the input order
 
-    def states(self) -> list[tuple[str, Column, str]]:
-        """(state column, partial expression, merge op)."""
+    def fields(self) -> list[tuple[str, Column, str]]:
         x = _e(self.expr) if self.expr is not None else None
-        n = self.name
-        if self.op == "sum":
-            return [(f"{n}__s", F.sum(x), "sum")]
-        if self.op == "count":
-            return [(f"{n}__c", F.count(x), "sum")]
-        if self.op == "count_star":
-            return [(f"{n}__c", F.count(F.lit(1)), "sum")]
-        if self.op == "avg":
-            return [(f"{n}__s", F.sum(x), "sum"), (f"{n}__c", F.count(x), "sum")]
-        if self.op == "min":
-            return [(f"{n}__m", F.min(x), "min")]
-        if self.op == "max":
-            return [(f"{n}__m", F.max(x), "max")]
         if self.op == "last":
-            o = F.expr(self._order())
-            return [(f"{n}__m", F.max(F.when(o.isNotNull(), F.struct(o.alias("o"), x.alias("v")))), "max")]
-        raise ValueError(f"unsupported online aggregate {self.op!r}")
-
-    def _order(self) -> str:
-        if not self.order:
-            raise ValueError("a 'last' aggregate needs an explicit order")
-        return self.order
-
-    def state_sql(self) -> list[tuple[str, str, str]]:
-        """(state column, partial aggregate as SQL, merge op)."""
-        x, n = self.expr, self.name
-        if self.expr is not None and not isinstance(self.expr, str):
-            raise TypeError("state_sql needs the aggregate input as SQL text")
-        return {"sum": [(f"{n}__s", f"sum({x})", "sum")],
-                "count": [(f"{n}__c", f"count({x})", "sum")],
-                "count_star": [(f"{n}__c", "count(1)", "sum")],
-                "avg": [(f"{n}__s", f"sum({x})", "sum"), (f"{n}__c", f"count({x})", "sum")],
-                "min": [(f"{n}__m", f"min({x})", "min")],
-                "max": [(f"{n}__m", f"max({x})", "max")],
-                "last": [(f"{n}__m", f"max(CASE WHEN ({self.order}) IS NOT NULL "
-                                     f"THEN named_struct('o', {self.order}, 'v', {x}) END)", "max")]}[self.op]
-
-    def finish_sql(self) -> str:
-        n = self.name
-        if self.op in ("count", "count_star"):
-            return f"CAST({n}__c AS BIGINT) AS {n}"
-        v = {"avg": f"try_divide(CAST({n}__s AS DOUBLE), {n}__c)", "sum": f"{n}__s",
-             "last": f"{n}__m.v"}.get(self.op, f"{n}__m")
-        if self.digits is not None:
-            v = sql_rnd(v, self.digits)
-        return f"{v} AS {n}"
-
-    def finish(self) -> Column:
-        n = self.name
+            if not self.order:
+                raise ValueError("a 'last' aggregate needs an explicit order")
+            o = F.expr(self.order)
+            return [("m", F.max(F.when(o.isNotNull(), F.struct(o.alias("o"), x.alias("v")))), "max")]
+        made = {"sum": lambda: [("s", F.sum(x), "sum")], "count": lambda: [("c", F.count(x), "sum")],
+                "count_star": lambda: [("c", F.count(F.lit(1)), "sum")],
+                "avg": lambda: [("s", F.sum(x), "sum"), ("c", F.count(x), "sum")],
+                "min": lambda: [("m", F.min(x), "min")], "max": lambda: [("m", F.max(x), "max")]}
+        if self.op not in made:
+            raise ValueError(f"unsupported online aggregate {self.op!r}")
+        return made[self.op]()
+
+    def partial(self) -> Column:
+        return F.struct(*[x.alias(n) for n, x, _ in self.fields()])
+
+    def merge(self, a: Column, b: Column) -> Column:
+        def field(n, op):
+            x, y = a[n], b[n]
+            if op == "sum":
+                return F.when(x.isNull(), y).when(y.isNull(), x).otherwise(x + y)
+            return (F.least if op == "min" else F.greatest)(x, y) if self.op != "last" else \
+                F.when(x.isNull() | (y > x), y).otherwise(x)
+        return F.struct(*[field(n, op).alias(n) for n, _, op in self.fields()])
+
+    def finish(self, state: Column) -> Column:
         if self.op in ("count", "count_star"):
-            v = F.col(f"{n}__c").cast("bigint")
-        elif self.op == "avg":
-            v = F.try_divide(F.col(f"{n}__s").cast("double"), F.col(f"{n}__c"))
-        elif self.op == "sum":
-            v = F.col(f"{n}__s")
-        elif self.op == "last":
-            v = F.col(f"{n}__m.v")
-        else:
-            v = F.col(f"{n}__m")
-        if self.digits is not None:
-            v = rnd(v, self.digits)
-        return v.alias(n)
+            return state["c"].cast("bigint")
+        if self.op == "avg":
+            return F.try_divide(state["s"].cast("double"), state["c"])
+        if self.op == "sum":
+            return state["s"]
+        return state["m"]["v"] if self.op == "last" else state["m"]
 
+    def value(self, state: Column) -> Column:
+        v = self.finish(state)
+        return (v if self.digits is None or self.op in ("count", "count_star") else rnd(v, self.digits)).alias(self.name)
 
-_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
+
+def merged_states(spec: OnlineSpec, a: Column, b: Column) -> Column:
+    """One struct of all states, from the states of earlier and later rows."""
+    return F.struct(*[F.when(a[x.name].isNull(), b[x.name]).when(b[x.name].isNull(), a[x.name])
+                      .otherwise(x.merge(a[x.name], b[x.name])).alias(x.name) for x in spec.aggs])
 
 
 @dataclass
@@ -127,7 +135,7 @@ class Derived:
 @dataclass
 class OnlineSpec:
     keys: list[str]
-    aggs: list[Agg]
+    aggs: list[Accumulator]
     derived: list[Derived] = field(default_factory=list)
     hidden: list[str] = field(default_factory=list)   # aggregates only used by derived
 
@@ -139,34 +147,24 @@ def online_agg(df: DataFrame, part_col: str | Column, n_parts: int, spec: Online
     ``part_col`` must take values in ``0 .. n_parts - 1``; a row with any other
     part, or none, fails the query. A ``last`` aggregate is the value of the
     largest order over all parts seen (of equal orders the largest value),
-    whatever part it came in; null orders are left out. Aggregate inputs are SQL text, so each step below is one projection handed to the JVM.
+    whatever part it came in; null orders are left out.
     The partial states (parts x keys rows) are persisted for their two
     consumers; a long-lived session releases them with
     ``spark.catalog.clearCache()``.
     """
     keys = list(spec.keys)
-    kq = [f"`{k}`" for k in keys]
     part = (F.expr(part_col) if isinstance(part_col, str) else part_col).cast("bigint")
     legal = part.between(0, n_parts - 1)
     src = df.withColumn(part_name, F.when(legal, part).otherwise(F.raise_error(
         F.concat(F.lit(f"part outside 0..{n_parts - 1}: "), F.coalesce(part.cast("string"), F.lit("null"))))))
-
-    states = [s for a in spec.aggs for s in a.state_sql()]
     # the partial states feed both the snapshots and the progress table; they
     # are small (parts x keys) and kept so the input is scanned once
     partial = (src.groupBy(part_name, *keys)
-               .agg(*[F.expr(f"{e} AS {nm}") for nm, e, _ in states], F.expr("count(1) AS __rows"))
+               .agg(*[a.partial().alias(f"__{a.name}") for a in spec.aggs], F.count(F.lit(1)).alias("__rows"))
                .persist(StorageLevel.MEMORY_AND_DISK))
-
-    by_key = f"PARTITION BY {', '.join(kq)} " if keys else ""
-    w = f"({by_key}ORDER BY {part_name})"
-    wr = f"({by_key}ORDER BY {part_name} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    running = partial.selectExpr(
-        part_name, *kq, *[f"{m}({nm}) OVER {wr} AS {nm}" for nm, _, m in states],
-        f"coalesce(lead({part_name}) OVER {w} - 1, CAST({n_parts - 1} AS BIGINT)) AS __until")
-    snap = running.selectExpr(f"explode(sequence({part_name}, greatest({part_name}, __until))) AS {part_name}", *kq,
-                              *[nm for nm, _, _ in states])
-    res = snap.selectExpr(part_name, *kq, *[a.finish_sql() for a in spec.aggs])
+    running = (_window_merge if all(a.fields() for a in spec.aggs) else _fold_merge)(partial, keys, n_parts, spec, part_name)
+    snap = running.withColumn(part_name, F.explode(F.sequence(part_name, F.greatest(F.col(part_name), F.col("__until")))))
+    res = snap.select(part_name, *keys, *[a.value(F.col(f"__{a.name}")) for a in spec.aggs])
     if spec.derived:
         res = res.selectExpr("*", *[f"{sql_rnd(d.expr, d.digits) if d.digits is not None else d.expr} AS {d.name}"
                                     for d in spec.derived])
@@ -179,6 +177,31 @@ def online_agg(df: DataFrame, part_col: str | Column, n_parts: int, spec: Online
     return res
 
 
+def _window_merge(partial: DataFrame, keys: list[str], n_parts: int, spec: OnlineSpec, part_name: str) -> DataFrame:
+    """States merged over the parts so far by windowed SQL aggregates of their fields."""
+    w = Window.partitionBy(*keys).orderBy(part_name)
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    merge = {"sum": F.sum, "min": F.min, "max": F.max}
+    return partial.select(
+        part_name, *keys, *[F.struct(*[merge[op](F.col(f"__{a.name}.{n}")).over(so_far).alias(n) for n, _, op in a.fields()])
+                            .alias(f"__{a.name}") for a in spec.aggs],
+        F.coalesce(F.lead(part_name).over(w) - 1, F.lit(n_parts - 1).cast("bigint")).alias("__until"))
+
+
+def _fold_merge(partial: DataFrame, keys: list[str], n_parts: int, spec: OnlineSpec, part_name: str) -> DataFrame:
+    """The same by the accumulators' own merge: one fold over each key's states in the order of the parts."""
+    entry = F.struct(F.col(part_name).alias("part"), F.struct(*[F.col(f"__{a.name}").alias(a.name) for a in spec.aggs]).alias("state"))
+    by_part = lambda a, b: F.when(a["part"] < b["part"], -1).when(a["part"] > b["part"], 1).otherwise(0)
+    own = partial.groupBy(*keys).agg(F.array_sort(F.collect_list(entry), by_part).alias("__own"))
+    last = lambda xs: F.element_at(xs, -1)["state"]
+    folded = F.aggregate(
+        F.slice("__own", F.lit(2), F.greatest(F.size("__own") - 1, F.lit(0))), F.slice("__own", 1, 1),
+        lambda done, x: F.concat(done, F.array(F.struct(x["part"].alias("part"), merged_states(spec, last(done), x["state"]).alias("state")))))
+    each = own.select(*keys, folded.alias("__own")).select(*keys, "__own", F.posexplode("__own").alias("__i", "__x"))
+    return each.select(F.col("__x.part").alias(part_name), *keys, *[F.col("__x.state")[a.name].alias(f"__{a.name}") for a in spec.aggs],
+                       F.coalesce(F.get("__own", F.col("__i") + 1)["part"] - 1, F.lit(n_parts - 1).cast("bigint")).alias("__until"))
+
+
 def progress(counts: DataFrame, part_name: str, n_parts: int) -> DataFrame:
     """Per part, rows seen up to it, rows in total, and their ratio.
 

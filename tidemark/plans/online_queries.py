@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import in_range, lit_date, sql_rnd
-from tidemark.operators.online import Agg, Derived, OnlineSpec, online_agg, online_sql
+from tidemark.operators.online import Accumulator, Agg, Derived, OnlineSpec, online_agg, online_sql
 from tidemark.plans.registry import register
 from tidemark.sources.tpch import tables
 
@@ -127,3 +127,67 @@ def course_d_join(t):
 def online_d(spark, sf_dir):
     j = course_d_join(tables(spark, sf_dir))
     return online_agg(j, c("l_orderkey") % N_PARTS, N_PARTS, D_SPEC).orderBy("part_idx")
+
+
+LAST_SPEC = OnlineSpec(
+    keys=["l_returnflag"],
+    aggs=[Agg("last_price", "last", "l_extendedprice", order="struct(l_shipdate, l_orderkey, l_linenumber)"),
+          Agg("last_part", "last", "l_partkey", order="struct(l_shipdate, l_orderkey, l_linenumber)")])
+
+
+@register("online_last", """
+SELECT p.range AS part_idx, l_returnflag, arg_max(l_extendedprice, (l_shipdate, l_orderkey, l_linenumber)) AS last_price,
+       arg_max(l_partkey, (l_shipdate, l_orderkey, l_linenumber)) AS last_part
+FROM range(10) p JOIN lineitem ON l_orderkey % 10 <= p.range GROUP BY p.range, l_returnflag
+""", prelude=False)
+def online_last(spark, sf_dir):
+    """The last row by ship date over the parts so far; the dates do not follow the parts."""
+    li = tables(spark, sf_dir)["lineitem"]
+    return online_agg(li, c("l_orderkey") % N_PARTS, N_PARTS, LAST_SPEC, with_progress=False)
+
+
+class Histogram(Accumulator):
+    """Counts of a value in bins of equal width from 0, as text. The state is an array, merged bin by bin."""
+
+    def __init__(self, name: str, column: str, width: float, bins: int):
+        self.name, self.column, self.width, self.bins = name, column, width, bins
+
+    def partial(self):
+        at = F.least(F.floor(F.col(self.column) / self.width), F.lit(self.bins - 1))
+        return F.array(*[F.count_if(at == b) for b in range(self.bins)])
+
+    def merge(self, a, b):
+        return F.zip_with(a, b, lambda x, y: x + y)
+
+    def finish(self, state):
+        return F.concat_ws(",", state.cast("array<string>"))
+
+
+class MedianBin(Histogram):
+    """First bin up to which half of the values lie."""
+
+    def finish(self, state):
+        total = F.aggregate(state, F.lit(0).cast("bigint"), lambda t, x: t + x)
+        upto = lambda i: F.aggregate(F.slice(state, F.lit(1), i + 1), F.lit(0).cast("bigint"), lambda t, x: t + x)
+        return F.array_min(F.filter(F.transform(state, lambda _, i: F.when(upto(i) * 2 >= total, i)), lambda i: i.isNotNull()))
+
+
+HIST_SPEC = OnlineSpec(["l_returnflag"], [Histogram("quantities", "l_quantity", 10.0, 6), MedianBin("median_bin", "l_quantity", 10.0, 6),
+                                          Agg("avg_qty", "avg", "l_quantity", 4)])
+
+
+@register("online_histogram", f"""
+, s AS (SELECT p.range AS part_idx, l_returnflag, least(CAST(floor(l_quantity / 10.0) AS INT), 5) AS bin, l_quantity
+        FROM range(10) p JOIN lineitem ON l_orderkey % 10 <= p.range),
+n AS (SELECT part_idx, l_returnflag, g.range AS bin, (SELECT count(*) FROM s WHERE s.part_idx = k.part_idx AND s.l_returnflag = k.l_returnflag AND s.bin = g.range) AS n
+      FROM (SELECT DISTINCT part_idx, l_returnflag FROM s) k, range(6) g),
+r AS (SELECT *, sum(n) OVER (PARTITION BY part_idx, l_returnflag ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY part_idx, l_returnflag) AS total FROM n)
+SELECT part_idx, l_returnflag, string_agg(CAST(n AS VARCHAR), ',' ORDER BY bin) AS quantities,
+       CAST(min(CASE WHEN upto * 2 >= total THEN bin END) AS INT) AS median_bin,
+       (SELECT {sql_rnd('avg(l_quantity)', 4)} FROM s WHERE s.part_idx = r.part_idx AND s.l_returnflag = r.l_returnflag) AS avg_qty
+FROM r GROUP BY part_idx, l_returnflag
+""")
+def online_histogram(spark, sf_dir):
+    """K2: a user's own accumulator (array state) beside a built-in one."""
+    li = tables(spark, sf_dir)["lineitem"]
+    return online_agg(li, c("l_orderkey") % N_PARTS, N_PARTS, HIST_SPEC, with_progress=False)
