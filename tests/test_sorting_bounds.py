@@ -12,7 +12,8 @@ from tidemark.plans.jobs import job_terasort
 def test_teragen_sort_validate(spark):
     recs = S.teragen(spark, 20000)
     assert recs.count() == 20000
-    assert recs.select(F.length("key").alias("n")).distinct().first().n == 20
+    sizes = recs.select(F.octet_length("key").alias("k"), F.octet_length(F.concat(*recs.columns)).alias("n")).distinct().collect()
+    assert [(r.k, r.n) for r in sizes] == [(10, 100)]
     srt = S.total_sort(recs, ["key"], 8)
     v = S.validate_sort(srt, "key").first()
     assert v.partitions_sorted and v.boundaries_ordered and v.rows == 20000
@@ -116,3 +117,75 @@ def test_bucket_layout_prunes_unread_buckets(spark, tmpdir_path):
     assert [r.step for r in got] == [1, 2, 3, 4, 5]
     assert all((r.estimate, r.half_width, r.rows_seen) == (full[r.step].estimate, full[r.step].half_width,
                                                            full[r.step].rows_seen) for r in got)
+
+
+def test_record_keys_are_the_generators_states(spark):
+    import numpy as np
+    ids = [0, 1, 2, 3, 12345, 2 ** 33 + 7, 10 ** 13 + 1, 2 ** 62 + 11]
+    for seed in (0, 5, (1 << 100) + 3):
+        for n, key in zip(ids, S.record_keys(np.array(ids), seed)):
+            state, x = seed, S.lcg_state(n, seed)
+            if n < 20_000:
+                for _ in range(n):
+                    state = (state * S.LCG_MULT + S.LCG_ADD) % (1 << 128)
+                assert state == x
+            hi, lo, want = x >> 64, x & (1 << 64) - 1, ""
+            for _ in range(9):
+                want += chr(33 + hi % 94)
+                hi //= 94
+            assert key == want + chr(33 + (lo >> 32) % 94)
+
+
+def test_records_do_not_depend_on_the_partitions(spark):
+    ids = spark.range(3000).union(spark.createDataFrame([(10 ** 13 + 5,)], "id long"))
+    a, b = (S.tera_records(ids.repartition(n)) for n in (1, 7))
+    assert a.exceptAll(b).count() == 0 and a.count() == 3001
+    assert a.where(F.col("rowid").endswith("9184E72A005")).count() == 1
+
+
+def test_a_hot_key_covers_many_ranges(spark):
+    """A third of the rows with one key (half of those the very same row): balanced partitions, order kept."""
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 77).otherwise(F.col("id") % 1000).alias("k"),
+                                      F.when(F.col("id") % 6 == 0, 0).otherwise(F.col("id")).alias("x"))
+    out = S.total_sort(rows, ["k"], 12)
+    sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 12 and sizes[-1] <= 2 * sizes[6]
+    v = S.validate_sort(out, "k").first()
+    assert v.partitions_sorted and v.boundaries_ordered and v.rows == 30_000 and v.checksum == S.checksum(rows, ["k", "x"]).first().checksum
+    down = S.total_sort(rows, [F.col("k").desc()], 12)
+    v = S.validate_sort(down, "k", descending=[True]).first()
+    assert v.partitions_sorted and v.boundaries_ordered
+
+
+def test_bounds_that_hold_when_stopping():
+    """Cover of the true sum at the stop, over many orders of normal bucket totals; a fixed-step bound misses more."""
+    import numpy as np
+    from tidemark.operators.bounds import looks, quantiles, sequential_quantiles
+    rng, buckets = np.random.default_rng(2), 50
+    crit, fixed = sequential_quantiles(buckets, 0.95, 5), quantiles(buckets, 0.95)
+    ever = [0, 0]
+    for _ in range(2000):
+        y = rng.normal(100, 30, buckets)
+        for i, q in enumerate((crit, fixed)):
+            for m in looks(buckets, 5)[:-1]:
+                half = q[m - 1] * buckets * np.sqrt((1 - m / buckets) * y[:m].var(ddof=1) / m)
+                if abs(buckets * y[:m].mean() - y.sum()) > half:
+                    ever[i] += 1
+                    break
+    assert ever[0] / 2000 <= 0.05 < ever[1] / 2000
+
+
+def test_sequential_sum_stops_and_reads_no_more(spark, tmpdir_path):
+    import os
+    from tidemark.operators.bounds import online_sum_sequential, read_until, write_bucket_layout
+    vals = spark.range(40_000).select(F.col("id"), (F.col("id") % 97 + 1).cast("double").alias("v"))
+    every = online_sum_sequential(vals, F.col("v"), F.col("id"), 40, report_every=4).orderBy("step").collect()
+    assert [r.step for r in every] == list(range(4, 41, 4)) and [r.stop for r in every] == [False] * 9 + [True]
+    got = online_sum_sequential(vals, F.col("v"), F.col("id"), 40, report_every=4, relative=0.05).orderBy("step").collect()
+    assert len(got) < 10 and got[-1].half_width <= 0.05 * got[-1].estimate and all(r.half_width > 0.05 * r.estimate for r in got[:-1])
+    path = os.path.join(tmpdir_path, "laid")
+    write_bucket_layout(vals, F.col("id"), path, 40)
+    read = read_until(spark, path, F.col("v"), 40, 0.05, report_every=4)
+    assert [(r["step"], r["rows_seen"], r["estimate"], r["half_width"], r["stop"]) for r in read] == [
+        (r.step, r.rows_seen, r.estimate, r.half_width, r.stop) for r in got]
+    assert read[-1]["rows_seen"] < 40_000

@@ -1,4 +1,4 @@
-"""Sources and sinks (A1-A15) on small retyped inputs."""
+"""Sources and sinks (A1-A15) on small inputs."""
 
 import os
 
@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.sources import files, sinks
 
-NATION = ["0|ALGERIA|0|furiously regular", "1|ARGENTINA|1|al foxes promise", "2|BRAZIL|1|y alongside"]
+NATION = ["0|NORTHLAND|0|cold and wide", "1|EASTMARK|1|many rivers", "2|SOUTHPORT|1|by the sea"]
 
 
 def _write(path, lines):
@@ -23,36 +23,33 @@ def test_tbl_parts_natural_order_and_pruning(spark, tmpdir_path):
     assert [p.rsplit(".", 1)[-1] for p in files.table_files(tmpdir_path, "nation")] == ["1", "2", "10"]
     df = files.read_tbl_table(spark, tmpdir_path, "nation", columns=["n_name", "n_nationkey"], with_part=True)
     assert df.columns == ["n_nationkey", "n_name", "part_idx"]
-    assert sorted((r.n_name, r.part_idx) for r in df.collect()) == [("ALGERIA", 0), ("ARGENTINA", 1), ("BRAZIL", 2)]
+    assert sorted((r.n_name, r.part_idx) for r in df.collect()) == [("EASTMARK", 1), ("NORTHLAND", 0), ("SOUTHPORT", 2)]
 
 
 def test_trailing_delimiter_and_empty_is_null(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "region.tbl")
-    _write(p, ["0|AFRICA|lar deposits|", "1||hs use ironic|"])
+    _write(p, ["0|UPLAND|first|", "1||second|"])
     df = files.read_delimited(spark, p, files.TPCH_SCHEMAS["region"], trailing_delimiter=True)
     rows = sorted(df.collect())
     assert df.columns == ["r_regionkey", "r_name", "r_comment"]
-    assert rows[1].r_name is None and rows[0].r_name == "AFRICA"
+    assert rows[1].r_name is None and rows[0].r_name == "UPLAND"
 
 
 def test_bad_value_fails_fast(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "region.tbl")
-    _write(p, ["x|AFRICA|c"])
+    _write(p, ["x|UPLAND|c"])
     with pytest.raises(Exception):
         files.read_delimited(spark, p, files.TPCH_SCHEMAS["region"]).collect()
 
 
 def test_header_csv_cast_and_sort_job(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "cap.csv")
-    _write(p, ["Year,SerialNumber", "1999,1234-5678-91011", "1800,1001-1002-10003", "2023,0829-0914-00120",
-               "2050,9999-9999-99999", "2058,1234-5678-91011", "2042,1001-1002-10003", "2023,0829-0914-00119",
-               "1969,1234-1111-00711", "2024,0829-0914-00120", "1997,0503-1997-20119", "2003,1210-1969-20118",
-               "2019,1007-2019-19971", "1997,1234-1234-12345", "2001,1234-1234-12345"])
+    rows = [(1990 + 7 * k % 80, f"A{k * 37 % 50:03}") for k in range(25)] + [("no year", "B000")]
+    _write(p, ["Year,SerialNumber", *[f"{y},{n}" for y, n in rows]])
     df = files.read_header_csv_cast(spark, p, {"Year": "int"})
     out = df.where(F.col("Year") <= 2023).orderBy(F.col("Year").desc(), F.col("SerialNumber").asc()).collect()
-    assert len(out) == 10
-    assert [r.Year for r in out][:3] == [2023, 2023, 2019]
-    assert out[0].SerialNumber == "0829-0914-00119"
+    want = sorted(((y, n) for y, n in rows[:-1] if y <= 2023), key=lambda r: (-r[0], r[1]))
+    assert [(r.Year, r.SerialNumber) for r in out] == want
     dest = os.path.join(tmpdir_path, "out")
     sinks.write_single_csv(spark.createDataFrame(out), dest)
     parts = [f for f in os.listdir(dest) if f.endswith(".csv")]
@@ -148,8 +145,41 @@ def test_parts_by_uri_in_folders_and_with_spaces(spark, tmpdir_path):
     for where in (root, f"file://{root}"):
         assert len(files.table_files(where, "nation")) == 3
         df = files.read_tbl_table(spark, where, "nation", columns=["n_name"], with_part=True)
-        assert sorted((r.n_name, r.part_idx) for r in df.collect()) == [("ALGERIA", 0), ("ARGENTINA", 1), ("BRAZIL", 2)]
+        assert sorted((r.n_name, r.part_idx) for r in df.collect()) == [("EASTMARK", 1), ("NORTHLAND", 0), ("SOUTHPORT", 2)]
     lines, n = file_parts(spark.read.text(root))
     assert n == 3 and lines.select("part_idx").distinct().count() == 3
     with pytest.raises(FileNotFoundError):
         files.read_tbl_table(spark, root, "region")
+
+
+def _files(path):
+    out = []
+    for d in sorted(x for x in os.listdir(path) if x.startswith("file=")):
+        parts = [f for f in os.listdir(os.path.join(path, d)) if f.startswith("part-")]
+        assert len(parts) == 1
+        out.append(open(os.path.join(path, d, parts[0]), "rb").read())
+    return out
+
+
+@pytest.mark.parametrize("longest,bound", [(30, 200), (150, 200), (199, 200)])
+def test_files_of_bounded_bytes(spark, tmpdir_path, longest, bound):
+    """At most the bound, order kept, every line once; also with lines of more than half of it and of two-byte letters."""
+    import random
+    rnd = random.Random(longest)
+    lines = ["é" * (rnd.randint(0, longest) // 2) + str(i % 10) * (rnd.random() < .3 and longest < 199) for i in range(600)]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, value string").repartition(7)
+    dest = os.path.join(tmpdir_path, "split")
+    sinks.write_byte_bounded(df, dest, bound, order=["i"])
+    got = _files(dest)
+    assert max(map(len, got)) <= bound and b"".join(got).decode().split("\n")[:-1] == lines
+    if longest == 30:
+        assert len(got) <= 2 * sum(len(x.encode()) + 1 for x in lines) / bound
+
+
+def test_a_line_over_the_bound(spark, tmpdir_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b" * 500), (3, None), (4, "c")], "i int, value string")
+    dest = os.path.join(tmpdir_path, "split")
+    with pytest.raises(Exception, match="a line of more than 100 bytes"):
+        sinks.write_byte_bounded(df, dest, 100, order=["i"])
+    sinks.write_byte_bounded(df, dest, 100, order=["i"], oversize="alone")
+    assert _files(dest) == [b"a\n", b"b" * 500 + b"\n", b"\nc\n"]

@@ -27,7 +27,7 @@ import math
 from functools import lru_cache
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import sql_rnd
@@ -93,9 +93,24 @@ def quantiles(buckets: int, confidence: float, dist: str = "t") -> tuple[float,
     return (0.0,) + tuple(t_value(confidence, m - 1) for m in range(2, buckets + 1))
 
 
+def looks(buckets: int, report_every: int) -> list[int]:
+    """Steps at which a sequential sum reports: every so many buckets (two at least, as one has no variance), and the last."""
+    return [m for m in range(report_every, buckets, report_every) if m > 1] + [buckets]
+
+
+@lru_cache(maxsize=64)
+def sequential_quantiles(buckets: int, confidence: float, report_every: int) -> tuple[float, ...]:
+    """Critical value per step m = 1..buckets that holds at all looks together: Student t with the error shared equally by the looks
+    before the last (which is exact). So it also holds at a look chosen by what was seen, as when stopping."""
+    at = looks(buckets, report_every)[:-1]
+    share = (1 - confidence) / max(1, len(at))
+    return tuple(t_value(1 - share, m - 1) if m in at else 0.0 for m in range(1, buckets + 1))
+
+
 def online_sum_ci(df: DataFrame, value: Column, unit: Column | None = None, buckets: int = 50,
                   confidence: float = 0.95, max_buckets: int | None = None, dist: str = "t",
-                  bucket_col: str | None = None, scale: int = 6, digits: int = 2) -> DataFrame:
+                  bucket_col: str | None = None, scale: int = 6, digits: int = 2,
+                  crit_values: tuple[float, ...] | None = None) -> DataFrame:
     """Rows ``(step, rows_seen, estimate, half_width)`` for steps 1..B
     (or 1..max_buckets, the WITHTIME-style cap on how far to go). The
     critical value is Student t with m - 1 degrees of freedom (``dist="z"``
@@ -110,7 +125,7 @@ def online_sum_ci(df: DataFrame, value: Column, unit: Column | None = None, buck
     are rounded to it), so totals do not depend on the order rows are added
     in; only the output is rounded, to ``digits``."""
     spark = df.sparkSession
-    crit = "array(" + ", ".join(f"{q!r}D" for q in quantiles(buckets, confidence, dist)) + ")"
+    crit = "array(" + ", ".join(f"{q!r}D" for q in crit_values or quantiles(buckets, confidence, dist)) + ")"
     b = F.col(bucket_col).cast("bigint") if bucket_col else bucket_of(unit, buckets)
     if max_buckets is not None:
         df = df.where(b < max_buckets)
@@ -132,6 +147,45 @@ def online_sum_ci(df: DataFrame, value: Column, unit: Column | None = None, buck
                           f"{sql_rnd(hw, digits)} AS half_width")
 
 
+def online_sum_sequential(df: DataFrame, value: Column, unit: Column | None = None, buckets: int = 50, confidence: float = 0.95,
+                          report_every: int = 5, relative: float | None = None, **kw) -> DataFrame:
+    """I9/I10 with a report interval and a stopping rule: rows ``(step, rows_seen, estimate, half_width, stop)`` at every
+    ``report_every`` buckets, up to the first whose half-width is at most ``relative`` times the estimate
+    (``stop``; without ``relative``, the last). The bounds hold at all reports together, see
+    :func:`sequential_quantiles`. :func:`read_until` reads only what that needs."""
+    crit = sequential_quantiles(buckets, confidence, report_every)
+    steps = online_sum_ci(df, value, unit, buckets, confidence, crit_values=crit, **kw)
+    steps = steps.where(F.col("step").isin(looks(buckets, report_every)))
+    enough = F.col("step") == buckets
+    if relative is not None:
+        enough = enough | (F.col("half_width") <= F.abs("estimate") * relative)
+    # one row a report
+    first = F.min(F.when(enough, F.col("step"))).over(Window.partitionBy())
+    return (steps.withColumn("__first", first).where(F.col("step") <= F.col("__first"))
+            .withColumn("stop", F.col("step") == F.col("__first")).drop("__first"))
+
+
+def read_until(spark, path: str, value: Column, buckets: int, relative: float, confidence: float = 0.95, report_every: int = 5,
+               scale: int = 6, digits: int = 2) -> list[dict]:
+    """The reports of :func:`online_sum_sequential` over a table that :func:`write_bucket_layout` wrote, reading the buckets of one
+    report at a time (other folders are pruned) and none after the one that stops. The driver holds one total a bucket."""
+    crit, exact = sequential_quantiles(buckets, confidence, report_every), f"decimal(38,{scale})"
+    totals, rows, out, done = [0.0] * buckets, 0, [], 0
+    for m in looks(buckets, report_every):
+        part = spark.read.parquet(path).where((F.col("bucket") >= done) & (F.col("bucket") < m))
+        for r in part.groupBy("bucket").agg(F.sum(value.cast(exact)).alias("y"), F.count(F.lit(1)).alias("n")).collect():
+            totals[r["bucket"]] = float(r["y"] or 0)
+            rows += r["n"]
+        done, mean = m, math.fsum(totals[:m]) / m
+        var = math.fsum((y - mean) ** 2 for y in totals[:m]) / (m - 1) if m > 1 else 0.0
+        half = crit[m - 1] * buckets * math.sqrt(max(0.0, 1 - m / buckets) * var / m)
+        stop = m == buckets or half <= abs(buckets * mean) * relative
+        out.append({"step": m, "rows_seen": rows, "estimate": round(buckets * mean, digits), "half_width": round(half, digits), "stop": stop})
+        if stop:
+            break
+    return out
+
+
 def write_bucket_layout(df: DataFrame, unit: Column, path: str, buckets: int = 50) -> None:
     """A14 for I9: fact rows laid out by bucket (one folder per bucket), so
     reading the first m buckets reads only their files."""
@@ -139,10 +193,10 @@ def write_bucket_layout(df: DataFrame, unit: Column, path: str, buckets: int = 5
 
 
 def online_sum_sql(base: str, value: str, unit: str, buckets: int = 50, confidence: float = 0.95,
-                   round_sql=None, dist: str = "t", scale: int = 6, digits: int = 2) -> str:
+                   round_sql=None, dist: str = "t", scale: int = 6, digits: int = 2, crit_values: tuple[float, ...] | None = None) -> str:
     """DuckDB twin of :func:`online_sum_ci`; ``base`` selects the joined,
     filtered fact rows."""
-    crit = "[" + ", ".join(repr(q) for q in quantiles(buckets, confidence, dist)) + "]"
+    crit = "[" + ", ".join(repr(q) for q in crit_values or quantiles(buckets, confidence, dist)) + "]"
     r = round_sql
     exact = f"DECIMAL(38,{scale})"
     return f"""

@@ -18,9 +18,20 @@ from pyspark.sql import functions as F
 def total_sort(df: DataFrame, keys: list[str | Column], n_parts: int | None = None) -> DataFrame:
     """Range partition on the keys, then sort inside each partition.
     Without ``n_parts`` the shuffle partition count applies and AQE sizes
-    the ranges from the data."""
-    ranged = df.repartitionByRange(n_parts, *keys) if n_parts else df.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*keys)
+    the ranges from the data.
+
+    The ranges' splitters are sampled over the keys and, behind them, a hash of the row and its place in the input, so a
+    key (or a row) that repeats for a third of the table covers as many ranges as its share, and keys still ascend over
+    partitions."""
+    spread = "__spread"
+    own = F.xxhash64(*[_quoted(c) for c in df.columns], F.monotonically_increasing_id())
+    d = df.withColumn(spread, own)
+    ranged = d.repartitionByRange(n_parts, *keys, spread) if n_parts else d.repartitionByRange(*keys, spread)
+    return ranged.sortWithinPartitions(*keys).drop(spread)
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
@@ -209,11 +220,70 @@ def validate_sorted_files(spark, path: str, key: str, cols: list[str]) -> DataFr
         F.sum(F.col("crc").cast("decimal(38,0)")).alias("checksum"))
 
 
+# Multiplier of the published 128-bit PCG generator; its increment is any odd number.
+LCG_MULT = 47026247687942121848144207491837523525
+LCG_ADD = 0x14057B7EF767814F
+KEY_BYTES, ID_BYTES, RECORD_BYTES = 10, 32, 100
+LETTERS = 94  # printable characters after the space
+
+
+def lcg_state(n: int, seed: int = 0) -> int:
+    """The n-th state of the generator, by squaring (one state at a time; for checks)."""
+    mult, add, a, c = LCG_MULT, LCG_ADD, 1, 0
+    while n:
+        if n & 1:
+            a, c = a * mult % (1 << 128), (c * mult + add) % (1 << 128)
+        mult, add = mult * mult % (1 << 128), (mult + 1) * add % (1 << 128)
+        n >>= 1
+    return (a * seed + c) % (1 << 128)
+
+
+def _times(hi, lo, by: int):
+    """Numbers of 128 bits (high and low halves) times a constant, modulo 2**128."""
+    import numpy as np
+    low, half = np.uint64(0xFFFFFFFF), np.uint64(32)
+    b_hi, b_lo = np.uint64(by >> 64), np.uint64(by & (1 << 64) - 1)
+    x0, x1, y0, y1 = lo & low, lo >> half, b_lo & low, b_lo >> half
+    mid = x1 * y0 + (x0 * y0 >> half)
+    mid2 = x0 * y1 + (mid & low)
+    return hi * b_lo + lo * b_hi + x1 * y1 + (mid >> half) + (mid2 >> half), lo * b_lo
+
+
+def record_keys(ids, seed: int = 0):
+    """Printable 10-byte keys of row ids: each the generator's state after as many steps as its id says, reached by
+    skipping ahead one binary digit at a time, so a key depends on its id alone."""
+    import numpy as np
+    n = ids.astype(np.uint64)
+    hi, lo = np.full(len(n), seed >> 64, np.uint64), np.full(len(n), seed & (1 << 64) - 1, np.uint64)
+    mult, add = LCG_MULT, LCG_ADD
+    for bit in range(64):
+        on = (n >> np.uint64(bit) & np.uint64(1)).astype(bool)
+        if on.any():
+            h, low = _times(hi, lo, mult)
+            new = low + np.uint64(add & (1 << 64) - 1)
+            h = h + np.uint64(add >> 64) + (new < low)
+            hi, lo = np.where(on, h, hi), np.where(on, new, lo)
+        mult, add = mult * mult % (1 << 128), (mult + 1) * add % (1 << 128)
+    out = np.zeros((len(n), KEY_BYTES), np.uint8)
+    for i in range(KEY_BYTES):
+        from_ = hi if i < 9 else lo >> np.uint64(32)
+        out[:, i] = (from_ % np.uint64(LETTERS)).astype(np.uint8) + 33
+        hi = hi // np.uint64(LETTERS)
+    return [x.tobytes().decode("ascii") for x in out]
+
+
+def tera_records(ids: DataFrame, id_col: str = "id", seed: int = 0) -> DataFrame:
+    """For each row id (a non-negative long) a record of exactly 100 bytes: 10 bytes of key, the whole id as 32 hex digits, 58 bytes of
+    filler. The same ids give the same records however they are partitioned."""
+    @F.pandas_udf("string")
+    def key(own: pd.Series) -> pd.Series:
+        return pd.Series(record_keys(own.to_numpy(), seed), index=own.index)
+
+    n = _quoted(id_col).cast("long")
+    return ids.select(key(n).alias("key"), F.lpad(F.hex(n), ID_BYTES, "0").alias("rowid"),
+                      F.repeat(F.lit("X"), F.lit(RECORD_BYTES - KEY_BYTES - ID_BYTES)).alias("filler"))
+
+
 def teragen(spark, n: int, seed: int = 0) -> DataFrame:
-    """N records of 100 bytes: a 10-byte key (20 hex chars) from a
-    hash of the row number, a row id and filler."""
-    ids = spark.range(n)
-    key = F.substring(F.sha2(F.concat(F.lit(str(seed)), F.lit(":"), F.col("id").cast("string")), 256), 1, 20)
-    filler = F.rpad(F.lit(""), 66, "X")
-    return ids.select(key.alias("key"), F.lpad(F.col("id").cast("string"), 12, "0").alias("rowid"),
-                      filler.alias("filler"))
+    """The records of row ids 0 to n - 1."""
+    return tera_records(spark.range(n), "id", seed)

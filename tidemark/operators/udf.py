@@ -15,6 +15,8 @@ from typing import Callable, Iterable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 
 # ---------------------------------------------------------------- B17 / B18 / K1
@@ -72,6 +74,46 @@ def apply_per_chunk(df: DataFrame, chunk: Column, fn: Callable[[pd.DataFrame], p
         lambda pdf: fn(pdf.drop(columns="__chunk")), schema)
 
 
+class Runs:
+    """K4 as a table function: the runs of equal values in a partitioned, ordered table argument. Call it with
+    ``udtf_runs()`` on ``TABLE(...) PARTITION BY key ORDER BY ...`` and the names of key, value and place columns; it gives a row
+    (key, value, first place, last place, rows) as each run ends. A partition is read row by row and never held."""
+
+    @staticmethod
+    def analyze(row: AnalyzeArgument, key: AnalyzeArgument, value: AnalyzeArgument, place: AnalyzeArgument) -> AnalyzeResult:
+        if not row.isTable:
+            raise ValueError("the first argument is a table")
+        kind = {f.name: f.dataType for f in row.dataType.fields}
+        missing = [a.value for a in (key, value, place) if a.value not in kind]
+        if missing:
+            raise ValueError(f"not in the table: {missing}")
+        out = T.StructType([T.StructField(key.value, kind[key.value]), T.StructField(value.value, kind[value.value]),
+                            T.StructField("first_place", kind[place.value]), T.StructField("last_place", kind[place.value]),
+                            T.StructField("n", T.LongType())])
+        return AnalyzeResult(schema=out)
+
+    def __init__(self):
+        self.run = None
+
+    def eval(self, row, key, value, place):
+        own = [row[key], row[value], row[place], row[place], 1]
+        if self.run and self.run[:2] == own[:2]:
+            self.run[3], self.run[4] = own[3], self.run[4] + 1
+            return
+        if self.run:
+            yield tuple(self.run)
+        self.run = own
+
+    def terminate(self):
+        if self.run:
+            yield tuple(self.run)
+
+
+def udtf_runs():
+    """The table function :class:`Runs`."""
+    return F.udtf(Runs)
+
+
 # ---------------------------------------------------------------- C18
 
 @contextmanager

@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.sorting import checksum, total_sort, validate_sorted_files
+from tidemark.operators.sorting import checksum, tera_records as tera_rows, total_sort, validate_sorted_files
 from tidemark.plans.registry import register
 from tidemark.session import checkpoint_dir
 from tidemark.sources.tpch import tables
@@ -80,6 +80,19 @@ def job_terasort(spark, sf_dir, n_parts: int | None = None):
                     "boundaries_ordered", (c("checksum") == c("cs_in")).alias("checksum_match"))
 
 
+@register("job_teragen", """
+SELECT count(*) AS records, CAST(100 * count(*) AS BIGINT) AS octets, CAST(100 AS BIGINT) AS shortest, CAST(100 AS BIGINT) AS longest,
+       count(DISTINCT l_orderkey * 8 + l_linenumber) AS ids, CAST(max(l_orderkey * 8 + l_linenumber) AS BIGINT) AS last_id FROM lineitem
+""", prelude=False)
+def job_teragen(spark, sf_dir):
+    """A record of 100 bytes for each line; its id is made of the order key and the line's number."""
+    li = tables(spark, sf_dir)["lineitem"]
+    recs = tera_rows(li.select((c("l_orderkey") * 8 + c("l_linenumber")).alias("id")))
+    size = F.octet_length(F.concat("key", "rowid", "filler")).cast("bigint")
+    return recs.agg(F.count(F.lit(1)).alias("records"), F.sum(size).alias("octets"), F.min(size).alias("shortest"), F.max(size).alias("longest"),
+                    F.count_distinct("rowid").alias("ids"), F.conv(F.max("rowid"), 16, 10).cast("bigint").alias("last_id"))
+
+
 HEX = 12  # hex digits of the row's hash that make one coordinate
 CELLS = float(16 ** HEX)
 

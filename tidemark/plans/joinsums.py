@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import disc_price, lit_date, rnd, sql_rnd as R
-from tidemark.operators.bounds import online_sum_ci, online_sum_sql
+from tidemark.operators.bounds import looks, online_sum_ci, online_sum_sequential, online_sum_sql, sequential_quantiles
 from tidemark.plans.registry import register
 from tidemark.sources.tpch import tables
 
@@ -128,3 +128,32 @@ def wj_online_skew_7(spark, sf_dir):
 @register("wj_online_skew_10", _osql(J10_SEL))
 def wj_online_skew_10(spark, sf_dir):
     return _online(_j10(tables(spark, sf_dir), True))
+
+
+# ------------------------------------------------------------- reports and stopping
+EVERY, WANTED = 5, 0.1
+
+
+def _stop_sql(base):
+    steps = online_sum_sql(base, VALUE, "l_orderkey", BUCKETS, 0.95, R, crit_values=sequential_quantiles(BUCKETS, 0.95, EVERY))
+    i = steps.rindex("SELECT CAST(m AS BIGINT)")
+    at = ", ".join(map(str, looks(BUCKETS, EVERY)))
+    return (steps[:i] + ", steps AS (" + steps[i:] + f"),\nreports AS (SELECT * FROM steps WHERE step IN ({at})),\n"
+            f"ended AS (SELECT min(step) AS last FROM reports WHERE step = {BUCKETS} OR half_width <= abs(estimate) * {WANTED})\n"
+            "SELECT reports.*, step = last AS stop FROM reports, ended WHERE step <= last")
+
+
+def _until(df):
+    return online_sum_sequential(df, disc_price(), c("l_orderkey"), BUCKETS, 0.95, EVERY, WANTED)
+
+
+@register("wj_until_3", _stop_sql(J3_ALL))
+def wj_until_3(spark, sf_dir):
+    """Reports every five buckets until the half-width is a tenth of the sum."""
+    return _until(_j3(tables(spark, sf_dir), False))
+
+
+@register("wj_until_skew_10", _stop_sql(J10_SEL))
+def wj_until_skew_10(spark, sf_dir):
+    """The same under a selective predicate."""
+    return _until(_j10(tables(spark, sf_dir), True))

@@ -436,10 +436,10 @@ def q16(spark, sf_dir, brand: str = "Brand#45", type_prefix: str = "MEDIUM",
 @register("tpch_q17", f"""
 SELECT {R('sum(l_extendedprice) / 7.0')} AS avg_yearly
 FROM lineitem_d, part_d
-WHERE p_partkey = l_partkey AND p_brand = 'Brand#23' AND p_container = 'MED BOX'
+WHERE p_partkey = l_partkey AND p_brand = 'Brand#23' AND p_container = 'LG CAN'
   AND l_quantity < (SELECT 0.2 * avg(l_quantity) FROM lineitem_d WHERE l_partkey = p_partkey)
 """)
-def q17(spark, sf_dir, brand: str = "Brand#23", container: str = "MED BOX"):
+def q17(spark, sf_dir, brand: str = "Brand#23", container: str = "LG CAN"):
     t = _t(spark, sf_dir)
     p = t["part"].where((c("p_brand") == brand) & (c("p_container") == container)).select("p_partkey")
     li = (t["lineitem"].select("l_partkey", "l_quantity", "l_extendedprice")
@@ -580,15 +580,16 @@ FROM (SELECT substring(c_phone FROM 1 FOR 2) AS cntrycode, c_acctbal
       WHERE substring(c_phone FROM 1 FOR 2) IN ('13', '31', '23', '29', '30', '18', '17')
         AND c_acctbal > (SELECT avg(c_acctbal) FROM customer_d WHERE c_acctbal > 0.00
                          AND substring(c_phone FROM 1 FOR 2) IN ('13', '31', '23', '29', '30', '18', '17'))
-        AND NOT EXISTS (SELECT * FROM orders_d WHERE o_custkey = c_custkey)
+        AND NOT EXISTS (SELECT * FROM orders_d WHERE o_custkey = c_custkey AND o_orderdate >= DATE '2000-01-01')
      ) AS custsale
 GROUP BY cntrycode ORDER BY cntrycode
 """)
-def q22(spark, sf_dir, codes=CODES):
+def q22(spark, sf_dir, codes=CODES, since: str = "2000-01-01"):
+    """Every customer of the data has orders, so the ones without an order since a date are asked for."""
     t = _t(spark, sf_dir)
     cu = t["customer"].withColumn("cntrycode", F.substring("c_phone", 1, 2)).where(c("cntrycode").isin(*codes))
     avg_bal = cu.where(c("c_acctbal") > 0.0).agg(F.avg("c_acctbal")).scalar()
-    buyers = t["orders"].select("o_custkey")
+    buyers = t["orders"].where(c("o_orderdate") >= lit_date(since)).select("o_custkey")
     sel = (cu.where(c("c_acctbal") > avg_bal)
            .join(buyers, c("c_custkey") == c("o_custkey"), "left_anti"))
     return (sel.groupBy("cntrycode").agg(F.count(F.lit(1)).alias("numcust"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,50 @@ def write_bounded(df: DataFrame, path: str, max_records: int, fmt: str = "parque
     df.write.mode("overwrite").option("maxRecordsPerFile", max_records).format(fmt).save(path)
 
 
+def byte_bounded_files(lines: DataFrame, bound: int, text: str = "value", order: list[str] | None = None,
+                       oversize: str = "error") -> DataFrame:
+    """Number of the file (``file``) and place in it (``pos``) of each line, so that no file has more than ``bound``
+    bytes, line ends included, and lines keep their order (``order``, or that of the input) over files and in them.
+
+    Bytes before a line are a prefix sum over all tasks: sums of partitions, then running sums inside each. A file takes
+    the lines that begin in one window of the sum; windows are narrower than the bound by the longest ordinary line, and a line
+    longer than half of the bound gets a file of its own, so files are at least about half full elsewhere. A line over the
+    bound fails the job, or with ``oversize="alone"`` is the one line of its file. The numbered lines are checkpointed."""
+    from tidemark.session import checkpoint_dir
+    if oversize not in ("error", "alone"):
+        raise ValueError("oversize is 'error' or 'alone'")
+    checkpoint_dir(lines.sparkSession)
+    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
+    if oversize == "error":
+        size = F.when(size > bound, F.raise_error(F.concat(F.lit(f"a line of more than {bound} bytes: "), size.cast("string")))).otherwise(size)
+    ordered = lines.orderBy(*order) if order else lines
+    d = ordered.withColumns({"pos": F.monotonically_increasing_id(), "__size": size}).checkpoint()
+    d = d.withColumn("__part", F.shiftright("pos", 33))  # the id's high bits are the partition
+    d = d.withColumn("__long", F.col("__size") * 2 > bound)
+    short = F.when(~F.col("__long"), F.col("__size")).otherwise(0)
+    own = Window.partitionBy("__part").orderBy("pos")
+    parts = d.groupBy("__part").agg(F.sum(short).alias("bytes"), F.sum(F.col("__long").cast("long")).alias("longs"))
+    ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    offsets = parts.select("__part", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"__{c}") for c in ("bytes", "longs")])
+    widest = F.lit(bound) - F.greatest(F.lit(0), d.agg(F.max(short)).scalar()) + 1
+    so_far = own.rowsBetween(Window.unboundedPreceding, -1)
+    began = F.col("__bytes") + F.coalesce(F.sum(short).over(so_far), F.lit(0))
+    longs = F.col("__longs") + F.coalesce(F.sum(F.col("__long").cast("long")).over(so_far), F.lit(0))
+    # files in order: lines after each long line begin a new one; (long lines before, window) tells ordinary ones apart
+    d = (d.join(F.broadcast(offsets), "__part").withColumns({"__longs": longs, "__window": F.floor(began / widest)})
+         .withColumn("file", F.concat(F.lpad(F.col("__longs").cast("string"), 12, "0"), F.lit("-"),
+                                      F.when(F.col("__long"), F.lit("x")).otherwise(F.lpad(F.col("__window").cast("string"), 12, "0")))))
+    return d.select(*[c for c in lines.columns], "file", "pos")
+
+
+def write_byte_bounded(lines: DataFrame, path: str, bound: int, text: str = "value", order: list[str] | None = None,
+                       oversize: str = "error") -> None:
+    """Text files ``path/file=<number>/part-*`` of at most ``bound`` bytes each, in order (see :func:`byte_bounded_files`)."""
+    d = byte_bounded_files(lines, bound, text, order, oversize)
+    (d.repartition("file").sortWithinPartitions("file", "pos").select(F.coalesce(F.col(text), F.lit("")).alias(text), "file")
+     .write.mode("overwrite").partitionBy("file").text(path))
+
+
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str, sort: bool = True) -> None:
     """A14 for repeated joins: a catalog table hash-bucketed (and sorted) on
     ``key``. Two tables bucketed the same way on their join keys join
