@@ -348,3 +348,44 @@ def test_language_id_held_out_accuracy(spark):
     out = language_id.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
     right = out.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0]
     assert right >= 0.97
+
+
+# ---------------------------------------------------------------- words of one polynomial's hash
+
+def _thue_morse(letters: str) -> str:
+    return "".join(letters[bin(i).count("1") % 2] for i in range(1024))
+
+
+def test_words_that_share_polynomial_hashes(spark):
+    """A Thue-Morse word and its complement are told apart, as single documents and inside a long window."""
+    from tidemark.llm import jaccard_join, substring_dedup
+    one, two = _thue_morse("ab"), _thue_morse("ba")
+    df = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(df).collect()} == {1: 1, 2: 2, 3: 1}
+    words = [f"w{i}" for i in range(18)]
+    texts = [" ".join([*words[:6], x, *words[6:]]) for x in (one, two, one)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in substring_dedup.substring_dedup(df, 13).collect()} == {0: 0, 1: 0, 2: 19}
+
+
+def test_long_words_and_pieces_of_hashes():
+    from tidemark.llm import textnp
+    import pyarrow as pa
+    texts = ["x" * 200_000 + " y " + "z" * 70_000, "", None, "y", " y\tz" * 50_000, "z" * 70_000]
+    w = textnp.Words(pa.array(texts))
+    each = {}
+    for i, t in enumerate(texts):
+        for k, word in enumerate(re.findall(r"[^\x20\x09-\x0D]+", t or "")):
+            h = int(w.hash[w.first[i] + k])
+            assert each.setdefault(word, h) == h
+    assert len(set(each.values())) == len(each) == 4
+
+
+def test_carried_text_goes_once(spark):
+    from tidemark.llm import substring_dedup
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(1, passage, "a"), (2, f"start  {passage}\tend", "b"), (3, None, "c"), (4, "kept  as is", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in substring_dedup.substring_dedup(df, 13, carry=["text", "lang"]).collect()}
+    assert {i: (r["text"], r["lang"]) for i, r in got.items()} == {i: (t, x) for i, t, x in rows}
+    assert got[2]["kept"] == "start end" and got[4]["kept"] == "kept as is"

@@ -241,6 +241,12 @@ class _Chunk:
         return at, np.stack([one, self.words.grams(self.k, at, seed=3)[1]], 1)
 
 
+def released(table_: pa.Table) -> pa.Table:
+    """``table_``; what Arrow holds back of earlier groups goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    return table_
+
+
 def substring_dedup(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str = "text",
                     carry: list[str] | None = None, chunk_bytes: int = CHUNK_BYTES,
                     bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -251,20 +257,20 @@ def substring_dedup(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_c
     text = F.col(text_col).cast("string")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks, buckets = 1 + total // chunk_bytes, 1 + total // bucket_bytes
-    extra = [f"c{i}" for i in range(len(carry))]
+    extra = ["text" if c == text_col else f"c{i}" for i, c in enumerate(carry)]  # the text goes once
     dealt = docs.select(F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(chunks)).cast("int").alias("chunk"),
                         F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
-                        *[F.col(c).alias(e) for c, e in zip(carry, extra)])
+                        *[F.col(c).alias(e) for c, e in zip(carry, extra) if e != "text"])
 
     def names(part: pa.Table) -> pa.Table:
         c = _Chunk(part, k)
         place, name = c.names()
-        return pack_names(part["chunk"][0].as_py(), name, c.doc[place], buckets)
+        return released(pack_names(part["chunk"][0].as_py(), name, c.doc[place], buckets))
 
     def windows(part: pa.Table, back: pa.Table) -> pa.Table:
         c = _Chunk(part, k)
         at, key = c.windows(back, buckets)
-        return pack_windows(part["chunk"][0].as_py(), key, c.doc[at], buckets)
+        return released(pack_windows(part["chunk"][0].as_py(), key, c.doc[at], buckets))
 
     def remove(part: pa.Table, back: pa.Table) -> pa.Table:
         c = _Chunk(part, k)
@@ -287,9 +293,9 @@ def substring_dedup(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_c
             np.add.at(gone, at + k, -1)
         keep = np.cumsum(gone[:n]) == 0
         removed = np.bincount(c.words.text[~keep], minlength=len(c.ids))
-        return pa.table({"doc_id": part["doc_id"], "n_words": c.words.counts.astype(np.int64),
-                         "n_removed": removed.astype(np.int64), "kept": c.words.joined(keep).cast(pa.string()),
-                         **{e: part[e] for e in extra}})
+        return released(pa.table({"doc_id": part["doc_id"], "n_words": c.words.counts.astype(np.int64),
+                                  "n_removed": removed.astype(np.int64), "kept": c.words.joined(keep).cast(pa.string()),
+                                  **{e: part[e] for e in extra}}))
 
     out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
                         T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()),

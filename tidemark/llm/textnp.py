@@ -1,8 +1,9 @@
 """Words of many texts at once, as numpy arrays over the bytes of an Arrow string column.
 
 A word is a maximal run of bytes outside the contracts' white space (all of it ASCII, so bytes and
-characters agree). Hashes are 64-bit: a polynomial over a random table of byte values, modulo 2**64,
-read off prefix sums, then mixed. They depend on the bytes alone, never on a process's hash seed.
+characters agree). A word's hash is the sum of 64-bit numbers mixed from each byte and its place, mixed again with
+the length; a gram's is a polynomial over its words' hashes modulo 2**64, mixed. (A polynomial over bytes would give long words of
+certain patterns one hash, whatever the base.) They depend on the bytes alone, never on a process's hash seed.
 """
 
 from __future__ import annotations
@@ -16,11 +17,9 @@ GOLDEN = 0x9E3779B97F4A7C15
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
-_RNG = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _RNG.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = 0x5851F42D4C957F2B  # odd, 3 modulo 8: differences of its powers have few factors of two
+_PIECE = 1 << 16  # bytes whose numbers are held at a time; a longer word is a piece of its own
 _GRAM = 0x9FB21C651E98DF2B
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -63,6 +62,26 @@ def _ranges(values: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) -
     return (total[end] - total[start]) * down[np.minimum(start, len(down) - 1)]
 
 
+def _word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each range of bytes (ascending, apart), by pieces of bounded bytes."""
+    out = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + _PIECE, "right")))
+        lo, hi = int(start[i]), int(end[j - 1])
+        begins, ends = start[i:j] - lo, end[i:j] - lo
+        place = np.zeros(hi - lo, np.int64)
+        place[begins] = begins
+        place = np.arange(hi - lo) - np.maximum.accumulate(place)
+        each = np.zeros(hi - lo + 1, np.uint64)
+        each[:-1] = mix((place << 8 | raw[lo:hi]).astype(np.uint64) * np.uint64(GOLDEN) + salt(3))
+        bounds = np.empty(2 * (j - i), np.int64)
+        bounds[::2], bounds[1::2] = begins, ends
+        out[i:j] = mix(np.add.reduceat(each, bounds)[::2] + salt(1) * (ends - begins).astype(np.uint64))
+        i = j
+    return out
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts end to end, and each text's offset (one more than texts). Nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -98,8 +117,7 @@ class Words:
         self.first = np.searchsorted(self.start, self.offsets)
         self.counts = np.diff(self.first)
         self.text = np.repeat(np.arange(texts), self.counts)
-        self.hash = mix(_ranges(_BYTE[raw], _BASE, self.start, self.end)
-                        + salt(1) * (self.end - self.start).astype(np.uint64))
+        self.hash = _word_hashes(raw, self.start, self.end)
 
     def __len__(self) -> int:
         return len(self.start)
