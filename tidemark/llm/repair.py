@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import shared_path, table
 from tidemark.llm.pieces import library_cache
 from tidemark.llm.registry import register
-from tidemark.llm.textnp import blocks
+from tidemark.llm.textnp import GOLDEN, blocks
 
 END = 0
 SHARD_IDS = 1 << 19
 LAST = (1 << 63) - 1
+CELL_BITS = 17
 SCHEMA = "part int, shard int, docs binary, counts binary, symbols binary, rules binary, lengths binary, first_rule long, ids long"
 
 
@@ -51,8 +52,11 @@ def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[n
             order = np.arange(len(same))
             begin = np.maximum.accumulate(np.where(np.r_[True, np.diff(same) > 1], order, 0))
             pair[same[(order - begin) % 2 == 1]] = -1
-        ordered = np.sort(pair)
-        ordered = ordered[np.searchsorted(ordered, 0):]
+        # a pair that stands often enough lies in a cell with as many pairs; only those cells are sorted
+        cell = ((pair.view(np.uint64) * np.uint64(GOLDEN)) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+        ordered = np.sort(pair[(np.bincount(cell, minlength=1 << CELL_BITS) >= least)[cell] & (pair >= 0)])
+        if not len(ordered):
+            break
         at = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         often = np.diff(np.r_[at, len(ordered)])
         some = np.flatnonzero(often >= least)
@@ -170,12 +174,13 @@ def write_ids(docs: DataFrame, out_path: str, path: str, end: int = END, id_col:
         if held:
             yield flush()
 
-    (docs.withColumn("part", part_of("doc_id")).repartition(parts, "part").sortWithinPartitions("part", "doc_id")
+    # part i is partition i
+    (docs.withColumn("part", part_of("doc_id")).repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id")
      .mapInArrow(shard, SCHEMA).write.parquet(out_path))
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 and ids of every document in the files at ``path``."""
+def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and, if asked for, ids of every document in the files at ``path``."""
     shards = spark.read.schema(SCHEMA).parquet(path)
     sums = shards.select("part", "shard", "ids")
     part = sums.groupBy("part").agg(F.sum("ids").alias("n"))  # one row for each of a fixed number of ranges
@@ -197,16 +202,17 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["part"]] * len(n), pa.int32()), pa.array([row["shard"]] * len(n), pa.int32()), known,
                      pa.array(cut[:-1]), pa.array(n), pa.array(crc, pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids.astype(np.int32)))],
-                    names=["part", "shard", "doc_id", "at", "n_tokens", "ids_crc32", "ids"])
+                     *([pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids.astype(np.int32)))] if with_ids else [])],
+                    names=["part", "shard", "doc_id", "at", "n_tokens", "ids_crc32", *own])
 
-    rows = shards.mapInArrow(run, "part int, shard int, doc_id long, at long, n_tokens long, ids_crc32 long, ids array<int>")
+    own = ["ids"] if with_ids else []
+    rows = shards.mapInArrow(run, "part int, shard int, doc_id long, at long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
     return rows.join(base, ["part", "shard"]).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens",
-                                                     "ids_crc32", "ids")
+                                                     "ids_crc32", *own)
 
 
 @register("op6_repair")
 def op6_repair(spark, sf_dir):
     path = shared_path(spark, "ids")
     write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return read_ids(spark, path).drop("ids")
+    return read_ids(spark, path, with_ids=False)
