@@ -36,9 +36,13 @@ def shared_path(spark: SparkSession, what: str) -> str:
 
 def stored(df: DataFrame, what: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, survives lost executors,
-    and fixes rows that a second evaluation could order otherwise. Nothing reads the job's shuffle files after that; Spark
-    deletes them when the driver collects its garbage, which is asked for here, as a chain of jobs would else keep all of theirs."""
+    and fixes rows that a second evaluation could order otherwise."""
     path = shared_path(df.sparkSession, what)
     df.write.parquet(path)
-    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def let_go(spark: SparkSession) -> None:
+    """After a large stored job, nothing reads its shuffle files. Spark deletes them when the driver collects its garbage, which is asked
+    for here, as a chain of jobs would else keep all of theirs."""
+    spark.sparkContext._jvm.System.gc()

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import let_go, stored
 
 
 def by_key(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -26,6 +26,7 @@ def components(links: DataFrame) -> DataFrame:
     it reaches; ids without a link to another are absent."""
     now = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                  .distinct(), "links")
+    let_go(links.sparkSession)  # of what made the links; the rounds are small beside it
     sign, before = _signature(now), None
     while sign != before:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import let_go, stored, table
 from tidemark.llm.components import by_key, components, in_blocks
 from tidemark.llm.registry import register
 from tidemark.llm.textnp import blocks, mix, salt, shingle_sets
@@ -320,6 +320,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     live = stored(by_key(by_key(groups.withColumnRenamed("id", "class"),
                                 full.groupBy("class").agg(F.min("doc_id").alias("rep")), "class"), sizes, "root"), "live")
 
+    let_go(spark)
+
     def sets_of(batches):
         for b in blocks(batches):
             value, cut = shingle_sets(b.column("text"), n)
