@@ -67,9 +67,9 @@ def test_runs_table_function(spark):
     df = spark.createDataFrame(rows, "k int, i int, v string").repartition(3)
     spark.udtf.register("runs_of", udtf_runs())
     df.createOrReplaceTempView("runs_input")
-    got = spark.sql("SELECT * FROM runs_of(TABLE(runs_input) PARTITION BY k ORDER BY (i), 'k', 'v', 'i')")
+    got = spark.sql("SELECT * FROM runs_of(TABLE(runs_input) PARTITION BY (k) ORDER BY (i), 'k', 'v', 'i')")
     assert got.columns == ["k", "v", "first_place", "last_place", "n"]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
         (1, "a", 1, 2, 2), (1, "b", 3, 3, 1), (1, "a", 4, 4, 1), (2, None, 1, 2, 2), (None, "z", 1, 1, 1)]))
     with pytest.raises(Exception, match="not in the table"):
-        spark.sql("SELECT * FROM runs_of(TABLE(runs_input) PARTITION BY k, 'k', 'w', 'i')").collect()
+        spark.sql("SELECT * FROM runs_of(TABLE(runs_input) PARTITION BY (k), 'k', 'w', 'i')").collect()
