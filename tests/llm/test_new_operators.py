@@ -389,3 +389,11 @@ def test_carried_text_goes_once(spark):
     got = {r["doc_id"]: r for r in substring_dedup.substring_dedup(df, 13, carry=["text", "lang"]).collect()}
     assert {i: (r["text"], r["lang"]) for i, r in got.items()} == {i: (t, x) for i, t, x in rows}
     assert got[2]["kept"] == "start end" and got[4]["kept"] == "kept as is"
+
+
+def test_listed_hosts_are_lowered_as_the_urls_are(spark):
+    from tidemark.llm import url_filter
+    pages = spark.createDataFrame([(1, "http://Éx.COM/a"), (2, "http://éx.com/")], "page_id long, url string")
+    listed = spark.createDataFrame([("Éx.Com",)], "key string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.url_filter(pages, listed).collect()}
+    assert got[1] == "block" and got[2] == "allow"

@@ -131,7 +131,7 @@ def url_filter(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, s
     rows = rows.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     # distinct hosts first: the suffixes of a hot host are looked up once
     seen = rows.select(F.col("host").alias("key")).distinct()
-    sites = listed.select(F.lower(F.col("key").cast("string")).alias("site")).where("site is not null")
+    sites = listed.select(F.translate(F.col("key").cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("site")).where("site is not null")
     under = (seen.select("key", F.explode(suffixes(F.col("key"))).alias("site"))
              .join(sites, "site", "left_semi").select("key"))
     universe = (seen.select("key", F.lit(False).alias("listed"))
