@@ -126,23 +126,48 @@ def _roots(n, links):
     return root
 
 
-def test_embedding_links(spark):
+def _component_ids(near):
+    """Smallest index that each row reaches."""
+    root = np.arange(len(near))
+    while True:
+        new = np.where(near, root[None, :], len(near)).min(1)
+        new = np.minimum(new, root)
+        if (new == root).all():
+            return root
+        root = new
+
+
+@pytest.mark.parametrize("window", [2000, 16])  # one block; many
+def test_embedding_links(spark, window):
     centre = RNG.standard_normal((20, 16))
     rows = [(i, [float(x) for x in centre[i % 20] + 0.03 * RNG.standard_normal(16)]) for i in range(200)]
     rows += [(200 + i, rows[0][1]) for i in range(30)]
-    rows += [(300, None), (301, [0.0] * 16), (302, [float("nan")] * 16), (303, [None] * 16), (304, []), (305, [1.0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("class", F.lit("x"))
-    good = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if i < 300}
-    want = {i: sum(1 for j in good if j != i and good[i] @ good[j] >= 0.95) for i in good}
-    got = {r["vec_id"]: r for r in embedding_dedup.near_vectors(df, block=16).collect()}
+    rows += [(300, None), (301, [0.0] * 16), (302, [float("nan")] * 16), (303, [None] * 16), (304, []), (305, [1.0]), ((1 << 63) - 1, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("class", F.lit("x")).withColumn("run", F.lit(1))
+    x = np.array([v for i, v in rows if i < 300])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.95
+    root = _component_ids(near)
+    got = {r["vec_id"]: r for r in embedding_dedup.near_vectors(df, block=16, window=window).collect()}
     assert len(got) == len(rows)
-    assert sum(got[i]["n_links"] for i in good) >= 0.9 * sum(want.values())
-    assert all(got[i]["n_links"] <= want[i] for i in good)
-    for i in range(300, 306):
+    for i in range(230):
+        assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (near[i].sum() - 1, root[i], root[i] == i)
+    for i in [*range(300, 306), (1 << 63) - 1]:
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
     assert embedding_dedup.near_vectors(df.where("false")).count() == 0
 
 
+def test_embedding_null_and_repeated_ids_and_ties(spark):
+    tie = [0.95, float(np.sqrt(1 - 0.95 ** 2))]
+    rows = [(7, [1.0, 0.0]), (7, [2.0, 0.0]), (None, [3.0, 0.0]), (None, [0.0, -1.0]), (8, [-1.0, 0.0]), (9, tie)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(embedding_dedup.near_vectors(df).collect(), key=lambda r: (r["vec_id"] is None, r["vec_id"] or 0, r["n_links"]))
+    near = int(np.dot(tie, [1.0, 0.0]) / np.linalg.norm(tie) >= 0.95)
+    seven = 2 + near
+    assert [tuple(r) for r in got] == [(7, seven, 7, True), (7, seven, 7, True), (8, 0, 8, True), (9, 3 * near, 7 if near else 9, not near),
+                                       (None, 0, None, True), (None, seven, 7, False)]
+
+
 def _model(name):
     return Tokenizer.from_file(P.path(name))
 
@@ -283,21 +308,44 @@ def _dense(n, dim, planted, rng):
     return np.r_[np.sqrt(0.85) * centre + np.sqrt(0.15) * off, unit(rng.standard_normal((n - n // 3, dim)))]
 
 
-def test_embedding_dense_cluster(spark, tmp_path):
+@pytest.mark.parametrize("n, window", [(3_000, 150), (12_000, 400)])
+def test_embedding_dense_cluster(spark, tmp_path, n, window):
     import pyarrow as pa
     import pyarrow.parquet as pq
-    x = _dense(12_000, 64, 300, np.random.default_rng(11))
+    x = _dense(n, 64, 300, np.random.default_rng(11))
     pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)}), tmp_path / "v.parquet")
-    df = spark.read.parquet(str(tmp_path / "v.parquet"))
-    for block, share in ((4000, 1), (100, 0.99)):  # all pairs; trees
-        links = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(df, block=block).collect()}
-        assert sum(links[i] > 0 and links[300 + i] > 0 for i in range(300)) >= share * 300
+    near = x @ x.T >= 0.95
+    links, root = near.sum(1) - 1, _component_ids(near)
+    got = embedding_dedup.near_vectors(spark.read.parquet(str(tmp_path / "v.parquet")), window=window).toPandas().sort_values("vec_id")
+    assert (got["n_links"].to_numpy() <= links).all()
+    assert got["n_links"].sum() >= 0.97 * links.sum() >= 0.97 * 600
+    assert (got["component_id"].to_numpy() == root).mean() >= 0.99
+
+
+def test_embedding_keys_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(3)
+    x = embedding_dedup._unit([v.tobytes() for v in rng.standard_normal((97, 24))], 24)
+    whole = embedding_dedup._hashes(x, 1, 0, 7)
+    assert (whole == np.concatenate([embedding_dedup._hashes(x[i:i + 1], 1, 0, 7) for i in range(97)])).all()
+
+
+def test_embedding_lone_neighbour_of_a_tight_cluster(spark):
+    """A vector linked to every member of a cluster that fills the table far beyond a window."""
+    rng = np.random.default_rng(5)
+    line = np.zeros(12)
+    line[0] = 1
+    rows = [(i, [float(v) for v in line + 1e-4 * rng.standard_normal(12)]) for i in range(1200)]
+    side = 0.96 * line
+    side[1] = np.sqrt(1 - 0.96 ** 2)
+    df = spark.createDataFrame(rows + [(5000, [float(v) for v in side])], "vec_id long, embedding array<double>")
+    got = embedding_dedup.near_vectors(df, window=60).where("vec_id in (3, 5000)").orderBy("vec_id").collect()
+    assert [tuple(r) for r in got] == [(3, 1200, 0, False), (5000, 1200, 0, False)]
 
 
 def test_embedding_many_lengths_of_one_direction(spark):
     line = RNG.standard_normal(8)
     df = spark.createDataFrame([(i, [float(v) for v in line * (1 + i / 7)]) for i in range(1500)], "vec_id long, embedding array<double>")
-    got = embedding_dedup.near_vectors(df, block=8).select("n_links", "component_id").distinct().collect()
+    got = embedding_dedup.near_vectors(df, block=8, window=8).select("n_links", "component_id").distinct().collect()
     assert [tuple(r) for r in got] == [(1499, 0)]
 
 
