@@ -4,10 +4,9 @@ A document's ids are cut into pieces of at most ``capacity``; pieces are packed
 method finds. All that packing depends on is how many pieces there are of each length, a table of at most
 ``capacity`` rows at any size of corpus. On it:
 
-1. dominance: a piece that fills a sequence, or that no other piece fits beside, is fixed alone; two pieces
-   that fill a sequence exactly are fixed together (whatever else stands beside one of them can change places
-   with the other); and the largest piece is fixed with the largest that fits beside it when no two pieces fit
-   (each other choice is no better);
+1. dominance: for each length, longest first, the set of at most three pieces that is at least as good as any other
+   set with such a piece is looked for by the tests in ``dominating`` and, if there is one, fixed as often as its
+   pieces are there. A length on which the tests fail is passed over and tried again when others were fixed;
 2. the rest goes best fit, longest first: each piece into the fullest sequence that takes it. Sequences of
    equal room and pieces of equal length are handled as one batch, with the outcome of the one-by-one order.
 
@@ -17,7 +16,8 @@ length that very many pieces share is not one task) and find their run by binary
 the tasks.
 
 Defined cases: a null text is empty; an empty text still has its end id, a piece of length 1. Rows that repeat
-a doc_id are packed each. Further input columns are ignored.
+a doc_id, or have none, are packed each. Very long texts are cut into pieces; an empty table gives no rows. Further input
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +41,68 @@ END = 1
 ROWS_PER_BUCKET = 100_000
 
 
+def dominating(left: dict[int, int], capacity: int):
+    """Sets of at most three lengths that dominate all other sets with their first length, one after the other; the
+    caller takes them from ``left`` as often as they are there, which keeps their dominance: fewer sets are left.
+
+    For a piece n let b be the longest piece that fits beside it, and y the longest that fits beside both. n alone
+    dominates if there is no b; n with b if b fills the sequence, or no three fit beside n and no two give more
+    than b; n with b and y if no three fit beside n, and any two that fit have the shorter one at most as long as y
+    or give no more than b together. Lengths on which all tests fail are tried again after others were fixed."""
+    order, again = sorted(left), True
+    while again:
+        again = False
+        for n in order[::-1]:
+            while n in left and (found := _dominating(n, order, left, capacity)):
+                again = True
+                yield found
+                for x in set(found) - left.keys():
+                    order.pop(bisect.bisect_left(order, x))
+
+
+def _dominating(n: int, order: list[int], left: dict[int, int], capacity: int) -> tuple[int, ...] | None:
+    room = capacity - n
+    end = bisect.bisect_right(order, room)
+    if end and order[end - 1] == n and left[n] == 1:
+        end -= 1
+    if not end:
+        return (n,)
+    b = order[end - 1]
+    least = [x for x in order[:min(end, 4)] for _ in range(min(left[x] - (x == n), 3))][:3]
+    if b == room or len(least) < 2 or least[0] + least[1] > room:
+        return n, b
+    if len(least) > 2 and sum(least) <= room:
+        return None
+    others = np.array([x for x in order[:end] if left[x] > (x == n)], np.int64)
+    many = np.array([left[x] - (x == n) for x in others.tolist()], np.int64)
+    # the longest p beside each shorter q, q <= p
+    at = np.searchsorted(others, room - others, "right") - 1
+    at = np.where(at == np.arange(len(others)), at - (many[np.maximum(at, 0)] < 2), at)
+    fits = at >= np.arange(len(others))
+    q, best = others[fits], others[fits] + others[at[fits]]
+    if not (best > b).any():
+        return n, b
+    beside = others[(others <= room - b) & (many > (others == b))]
+    if len(beside) and not (best[q > beside[-1]] > b).any():
+        return n, b, int(beside[-1])
+    return None
+
+
+def fixed(runs: list, room: dict, together: tuple[int, ...], left: dict[int, int], capacity: int, first: int) -> int:
+    """Places ``together`` in as many sequences as it can fill, from ``first`` on; gives their number."""
+    each = {n: together.count(n) for n in together}
+    times, offset = min(left[n] // k for n, k in each.items()), 0
+    for n, k in each.items():
+        runs.append((n, k * times, first, k, offset))
+        offset += k * n
+        left[n] -= k * times
+        if not left[n]:
+            del left[n]
+    if rest := capacity - offset:
+        room.setdefault(rest, []).append((first, times))
+    return times
+
+
 def plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
     """Runs (length, pieces, first sequence, pieces a sequence, offset) and the number of sequences."""
     left = {n: c for n, c in counts.items() if c}
@@ -50,52 +112,8 @@ def plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, in
     room: dict[int, list[tuple[int, int]]] = {}  # room left -> (first sequence, sequences)
     used = 0
 
-    def fix(first: int, second: int | None, times: int) -> None:
-        nonlocal used
-        runs.append((first, times, used, 1, 0))
-        if second is not None:
-            runs.append((second, times, used, 1, first))
-        if rest := capacity - first - (second or 0):
-            room.setdefault(rest, []).append((used, times))
-        used += times
-        for n in (first, second):
-            if n is not None:
-                left[n] -= times
-                if not left[n]:
-                    del left[n]
-
-    for n in sorted(left, reverse=True):  # exact pairs, and pieces that fill a sequence
-        if n == capacity:
-            fix(n, None, left[n])
-        elif n in left and capacity - n in left and 2 * n >= capacity:
-            other = capacity - n
-            times = left[n] // 2 if n == other else min(left[n], left[other])
-            if times and n == other:
-                runs.append((n, 2 * times, used, 2, 0))
-                used += times
-                left[n] -= 2 * times
-                if not left[n]:
-                    del left[n]
-            elif times:
-                fix(n, other, times)
-    order = sorted(left)
-    while order:  # the largest piece, while at most one more fits
-        n = order[-1]
-        if n not in left:
-            order.pop()
-            continue
-        two = 2 * order[0] if left[order[0]] > 1 else order[0] + (order[1] if len(order) > 1 else capacity)
-        if n + order[0] > capacity or (len(order) == 1 and left[n] == 1):
-            fix(n, None, left[n])
-        elif n + two > capacity:
-            at = bisect.bisect_right(order, capacity - n) - 1
-            other = order[at]
-            if other == n:
-                break
-            fix(n, other, min(left[n], left[other]))
-        else:
-            break
-        order = [x for x in order if x in left]
+    for together in dominating(left, capacity):
+        used += fixed(runs, room, together, left, capacity, used)
     rooms = sorted(room)
     for n in sorted(left, reverse=True):  # best fit, longest first
         todo = left[n]
