@@ -1,7 +1,9 @@
 """Token-ID output (operator 6): Re-Pair grammar compression of id shards, with random access.
 
 Ids are written in ascending doc_id order. Spark deals documents to ranges of doc_id, sorts each range, and a
-task turns it into shards of about ``shard_ids`` ids, so a range of any size needs the memory of one shard.
+task turns it into shards of about ``shard_ids`` ids, so a range of any size needs the memory of one shard. An id
+that fills several ranges by itself is dealt over them by the hash of its texts (up to 2**53, as quantiles are doubles,
+and the null id).
 Within a shard, rounds replace frequent neighbouring pairs of symbols by new symbols, each pair one rule, until
 no pair is frequent enough. In a round the most frequent pairs are taken such that no symbol is the left part of
 one and the right part of another, so replacements cannot overlap; a pair of equal symbols is counted and replaced
@@ -12,8 +14,9 @@ give where it begins, and rules expand from the top.
 The files are Parquet with one row a shard, written and read by Spark, so any shared store will do.
 
 Defined cases: a null text is empty; every document has an end id, so none is without ids. Rows that repeat a
-doc_id are documents of their own. A null doc_id comes last. Further input columns are ignored; an empty table
-gives files without rows.
+doc_id are documents of their own, in any order among themselves. A null doc_id comes last, after an id of
+2**63 - 1. A text longer than a shard makes a shard longer by itself. Further input columns are ignored; an empty
+table gives files without rows.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +39,7 @@ END = 0
 SHARD_IDS = 1 << 19
 LAST = (1 << 63) - 1
 CELL_BITS = 17
-SCHEMA = "part int, shard int, docs binary, counts binary, symbols binary, rules binary, lengths binary, first_rule long, ids long"
+SCHEMA = "part int, shard int, docs binary, nulls long, counts binary, symbols binary, rules binary, lengths binary, first_rule long, ids long"
 
 
 def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -128,30 +132,35 @@ def write_ids(docs: DataFrame, out_path: str, path: str, end: int = END, id_col:
               shard_ids: int = SHARD_IDS) -> None:
     """Encode, compress and write all documents to ``out_path``."""
     spark = docs.sparkSession
-    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"),
+    own = F.col(id_col).cast("long")
+    docs = docs.select(F.coalesce(own, F.lit(LAST)).alias("doc_id"), own.isNull().alias("no_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # range bounds from the ids alone, so that texts are read once
     bounds = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 100 * parts)).first()[0]
-    bounds = sorted(set(bounds or []))
+    bounds = np.array(sorted(bounds or []), np.int64)
 
     @F.pandas_udf("int")
-    def part_of(ids):
+    def part_of(ids, no_id, spread):
         import pandas as pd
-        return pd.Series(np.searchsorted(np.array(bounds, np.int64), ids.to_numpy(np.int64), "left").astype(np.int32))
+        key = ids.to_numpy(np.int64)
+        first = np.searchsorted(bounds, key, "left")
+        # an id that is a bound several times has as many ranges; 2**63 - 1 stays in the first, before the nulls
+        share = np.where((key == LAST) & ~no_id.to_numpy(bool), 1, np.maximum(np.searchsorted(bounds, key, "right") - first, 1))
+        return pd.Series((first + spread.to_numpy(np.int64) % share).astype(np.int32))
 
     def shard(batches):
-        part, number, held, docs_, counts, total = -1, 0, [], [], [], 0
+        part, number, held, docs_, counts, total, nulls = -1, 0, [], [], [], 0, 0
 
         def flush():
-            nonlocal number, held, docs_, counts, total
+            nonlocal number, held, docs_, counts, total, nulls
             ids = np.concatenate(held)
             symbols, rules, lengths, base = compress(ids)
-            row = [[part], [number], [np.concatenate(docs_).astype("<i8").tobytes()],
+            row = [[part], [number], [np.concatenate(docs_).astype("<i8").tobytes()], [nulls],
                    [np.concatenate(counts).astype("<u4").tobytes()], [symbols.astype("<u4").tobytes()],
                    [rules.astype("<u4").tobytes()], [lengths.astype("<u4").tobytes()], [base], [len(ids)]]
-            number, held, docs_, counts, total = number + 1, [], [], [], 0
-            kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5, pa.int64(), pa.int64()]
+            number, held, docs_, counts, total, nulls = number + 1, [], [], [], 0, 0
+            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.int64(), *[pa.binary()] * 4, pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(row, kinds)],
                                               names=[f.split()[0] for f in SCHEMA.split(", ")])
 
@@ -168,6 +177,7 @@ def write_ids(docs: DataFrame, out_path: str, path: str, end: int = END, id_col:
                 held.append(np.insert(ids, np.cumsum(n), end))
                 docs_.append(rows.column("doc_id").to_numpy())
                 counts.append(n + 1)
+                nulls += pc.sum(rows.column("no_id")).as_py()
                 total += len(held[-1])
                 if total >= shard_ids:
                     yield flush()
@@ -175,7 +185,8 @@ def write_ids(docs: DataFrame, out_path: str, path: str, end: int = END, id_col:
             yield flush()
 
     # part i is partition i
-    (docs.withColumn("part", part_of("doc_id")).repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id")
+    (docs.withColumn("part", part_of("doc_id", "no_id", F.xxhash64("text"))).repartitionById(parts, F.col("part"))
+     .sortWithinPartitions("part", "doc_id", "no_id")
      .mapInArrow(shard, SCHEMA).write.parquet(out_path))
 
 
@@ -198,7 +209,7 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
                 cut = np.r_[0, np.cumsum(n)]
                 raw = memoryview(ids.tobytes())
                 crc = [zlib.crc32(raw[4 * x:4 * y]) for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
-                known = pa.array(docs, pa.int64(), mask=docs == LAST)
+                known = pa.array(docs, pa.int64(), mask=np.arange(len(docs)) >= len(docs) - row["nulls"])  # nulls are sorted last
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["part"]] * len(n), pa.int32()), pa.array([row["shard"]] * len(n), pa.int32()), known,
                      pa.array(cut[:-1]), pa.array(n), pa.array(crc, pa.int64()),
