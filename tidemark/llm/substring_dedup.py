@@ -21,7 +21,8 @@ apart.
 
 Rule: remove each word covered by a window of ``k`` words that also starts in a document with a smaller
 doc_id, judged on the input. Defined cases: null text has no words; a text of fewer than ``k`` words keeps
-all; rows that repeat a doc_id do not remove from each other; a null doc_id counts as larger than any.
+all; rows that repeat a doc_id do not remove from each other; a null doc_id counts as larger than any (and as
+equal to 2**63 - 1). Texts are dealt whole, so the longest one must fit a task. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -127,8 +128,8 @@ def pack_names(chunk: int, name: np.ndarray, doc: np.ndarray, buckets: int) -> p
 
 
 def shared_names(blobs: pa.Table) -> pa.Table:
-    """For one bucket: to each chunk those of its names that two documents have. Rows of one document are in
-    one chunk, so a name of two chunks is one of two documents."""
+    """For one bucket: to each chunk those of its names that two documents or two chunks have. (Rows of one id may
+    lie in several chunks; their windows are then looked at and told apart by their ids.)"""
     keys = [_wide(k, 5) for k in blobs["keys"].to_pylist()]
     if not keys:
         return _table([], SHARED)
@@ -258,7 +259,8 @@ def substring_dedup(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_c
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks, buckets = 1 + total // chunk_bytes, 1 + total // bucket_bytes
     extra = ["text" if c == text_col else f"c{i}" for i, c in enumerate(carry)]  # the text goes once
-    dealt = docs.select(F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(chunks)).cast("int").alias("chunk"),
+    # by id and text, so that one id with very many rows is many chunks
+    dealt = docs.select(F.pmod(F.xxhash64(F.col(id_col).cast("long"), text), F.lit(chunks)).cast("int").alias("chunk"),
                         F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
                         *[F.col(c).alias(e) for c, e in zip(carry, extra) if e != "text"])
 
