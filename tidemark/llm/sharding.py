@@ -3,12 +3,12 @@
 The shard of a row is a function of its key and the shard count alone, so appending a shard moves only
 the rows that go to it, about one in ``shards + 1``. The walk of jumps runs on whole Arrow batches, all
 keys at once, and takes about log(shards) steps. Slots number a shard's rows from 0 without gaps: each
-shard is cut into buckets by the key's hash, rows are numbered inside (shard, bucket) and the buckets'
-offsets (shards x buckets rows, bounded by the bucket count) are added. Only ids, sizes and checksums are
-shuffled, never texts.
+shard is cut into buckets by the hash of id, size and checksum, so an id of very many rows fills many buckets; rows
+are numbered inside (shard, bucket) and the buckets' offsets (shards x buckets rows) are added. Texts are read once:
+ids, sizes, checksums and shards are written to the shared folder, and only those are shuffled.
 
 Defined cases: a null text has size 16 and checksum 0. A null doc_id is a key of its own. Rows that repeat
-a doc_id share a shard and get slots of their own. Further input columns are ignored; ``write_shards``
+a doc_id share a shard and get slots of their own; an empty table gives no rows. Further input columns are ignored; ``write_shards``
 keeps them.
 """
 
@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import stored, table
 from tidemark.llm.registry import register
 
 # fixed value: the multiplier of the 64-bit congruential generator in the published jump hash
@@ -59,19 +59,16 @@ def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row of ``docs``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long")).alias("key"),
                        F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "UTF-8").alias("raw"))
-    buckets = max(1, -(-docs.count() // (shards * rows_per_bucket)))
-    rows = rows.select("doc_id", (F.octet_length("raw") + 16).cast("long").alias("size"), F.crc32("raw").alias("text_crc32"),
-                       shard_of(F.col("key"), shards).alias("shard"), shard_of(F.col("key"), shards + 1).alias("grown_shard"),
-                       F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket"))
+    rows = stored(rows.select("doc_id", (F.octet_length("raw") + 16).cast("long").alias("size"), F.crc32("raw").alias("text_crc32"),
+                       shard_of(F.col("key"), shards).alias("shard"), shard_of(F.col("key"), shards + 1).alias("grown_shard")), "shards")
+    buckets = max(1, -(-rows.count() // (shards * rows_per_bucket)))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(buckets)).cast("int"))
     inside = Window.partitionBy("shard", "bucket").orderBy("doc_id", "size", "text_crc32")
-    rows = rows.withColumn("rank", F.row_number().over(inside) - 1)
-    keys = docs.select(F.xxhash64(F.col(id_col).cast("long")).alias("key"))
-    counts = (keys.select(shard_of(F.col("key"), shards).alias("shard"),
-                          F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket"))
-              .groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")))
+    ranked = rows.withColumn("rank", F.row_number().over(inside) - 1)
+    counts = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return rows.join(offsets, ["shard", "bucket"]).select(
+    return ranked.join(offsets, ["shard", "bucket"]).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
         (F.col("base") + F.col("rank")).cast("long").alias("slot"), "grown_shard")
 
