@@ -23,7 +23,8 @@ shingles of common passages come last, and any order gives the same links.
 Defined cases: words are maximal runs outside the six white-space characters, A-Z lower-cased; a text of
 fewer than ``n`` words has its whole sequence as its only shingle; without words (or null) the set is empty
 and linked with nothing. Rows that repeat a doc_id are documents of their own with equal ids. A null doc_id
-counts as larger than any and comes out null. Further input columns are ignored.
+counts as larger than any and comes out null. Texts of any length are read whole; an empty table gives no rows.
+Further input columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,7 +46,6 @@ COUNT_BITS = 22
 PARTS = 64
 BRANCHES = 32
 BLOCK = 2000
-LAST = (1 << 63) - 1
 
 
 # ---------------------------------------------------------------- order of shingles
@@ -275,7 +275,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     if not den <= 2 * num <= 2 * den:
         raise ValueError("the bound lies between 1/2 and 1")  # sketches of linked sets are at most one step apart
     spark = docs.sparkSession
-    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"),
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     counts = spark.sparkContext.broadcast(_bucket_counts(docs, n))  # 2**COUNT_BITS short integers
 
@@ -331,7 +331,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
                  pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, cut32.buffers()[1], pa.py_buffer(value.tobytes())])],
                 names=["class", "shingles"])
 
-    picked = docs.join(live.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    reps = live.select("rep").distinct()
+    picked = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")  # a class of null ids only has none else
     sets = by_key(picked.mapInArrow(sets_of, "class binary, shingles binary"), live, "class")
     def join(group: pa.Table) -> pa.Table:
         own = dict(zip(group["class"].to_pylist(), group["shingles"].to_pylist()))
@@ -348,8 +349,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     named = by_key(rooted, smallest, "root").select("class", "component_id")
     out = by_key(full.select("doc_id", "class", "n"), named, "class").select("doc_id", "n", "component_id").unionByName(
         rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
-    known = lambda c: F.when(F.col(c) < LAST, F.col(c)).alias(c)
-    return out.select(known("doc_id"), F.col("n").alias("n_shingles"), known("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 @register("op1_jaccard_trie", r"""
