@@ -13,7 +13,7 @@ Texts are cut by the tokenizer file's own pre-tokenizer, its added tokens cut ou
 piece of text is kept in a bounded cache. Decoding concatenates token bytes and reads them as UTF-8.
 
 Defined cases: a null text is empty and has no ids. Rows that repeat an id, empty and very long texts give a
-row each. Further input columns are ignored. Files with anything but byte-level BPE are refused.
+row each, and so does a null id; an empty table gives none. Further input columns are ignored. Files with anything but byte-level BPE are refused.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ form gives the join exchanges of its own, which AQE may split, unlike the aggreg
 Defined cases: a null text counts as empty, and all empty texts are one group. Every input row gives
 one row; rows that repeat a doc_id each count in ``group_size``, and all rows with the group's
 smallest id have ``kept``. A null doc_id is never the smallest unless its group has no other; then
-``keep_id`` is null and the rows are kept. Further input columns are ignored.
+``keep_id`` is null and the rows are kept. Texts of any length are compared whole; an empty table gives
+no rows. Further input columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ everything that grows stays in Spark. Labels, language, source and ids are never
 Defined cases: null text counts as empty; an empty text has the statistics of no words and gets the score the
 curve gives it. Labels without a text, null labels and labels of a held-out row are not learnt; of repeated
 labels the smallest counts. Without any label the score is the share 0.5. Rows that repeat a doc_id each get a
-row; a null doc_id is held in and not learnt.
+row; a null doc_id is held in and not learnt. Texts of any length are read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ starts with its path; the longest fitting rule decides, else the list does.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, fits no rule and is allowed.
 Repeated urls and rows each give a row. An empty list allows whatever no rule blocks. Further columns are
-ignored. Null list entries are ignored.
+ignored. Null list entries are ignored. Urls of any length are read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
