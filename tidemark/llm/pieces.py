@@ -120,8 +120,9 @@ def _library(path: str):
     return encode
 
 
-def library_cache(path: str) -> PieceCache:
+def library_cache(path: str, limit: int = 400_000) -> PieceCache:
     """This worker's cache over the tokenizers library's own encoding of a tokenizer file."""
     if path not in _CACHES:
         _CACHES[path] = PieceCache(_library(path))
+    _CACHES[path].limit = limit
     return _CACHES[path]

@@ -39,9 +39,14 @@ END = 0
 SHARD_IDS = 1 << 19
 LAST = (1 << 63) - 1
 CELL_BITS = 17
+CACHED = 800_000  # pieces of a task's cache
 SCHEMA = "part int, shard int, docs binary, nulls long, counts binary, symbols binary, rules binary, lengths binary, first_rule long, ids long"
 
 
+def _cell(pair: np.ndarray) -> np.ndarray:
+    return ((pair.view(np.uint64) * np.uint64(GOLDEN)) >> np.uint64(64 - CELL_BITS)).view(np.int64)
+
+
 def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Symbols, rules (left, right) in the order of their numbers, their expansion lengths, and the first rule's number."""
     symbols = ids.astype(np.int64)
@@ -49,6 +54,7 @@ def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[n
     rules: list[np.ndarray] = []
     size: list[np.ndarray] = []
     count = 0
+    number = np.full(1 << CELL_BITS, -1)
     while len(symbols) > 1:
         pair = symbols[:-1] << 32 | symbols[1:]
         same = np.flatnonzero(symbols[:-1] == symbols[1:])
@@ -57,8 +63,10 @@ def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[n
             begin = np.maximum.accumulate(np.where(np.r_[True, np.diff(same) > 1], order, 0))
             pair[same[(order - begin) % 2 == 1]] = -1
         # a pair that stands often enough lies in a cell with as many pairs; only those cells are sorted
-        cell = ((pair.view(np.uint64) * np.uint64(GOLDEN)) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-        ordered = np.sort(pair[(np.bincount(cell, minlength=1 << CELL_BITS) >= least)[cell] & (pair >= 0)])
+        cell = _cell(pair)
+        place = np.flatnonzero((np.bincount(cell, minlength=1 << CELL_BITS) >= least)[cell] & (pair >= 0))
+        pair, cell = pair[place], cell[place]
+        ordered = np.sort(pair)
         if not len(ordered):
             break
         at = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
@@ -77,13 +85,17 @@ def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[n
                 taken.append(key)
         if not taken:
             break
-        taken = np.sort(np.array(taken, np.int64))
-        is_left, is_right = np.zeros(base + count, bool), np.zeros(base + count, bool)
-        is_left[taken >> 32] = is_right[taken & 0xFFFFFFFF] = True
-        hit = np.flatnonzero(is_left[symbols[:-1]] & is_right[symbols[1:]])
-        near = np.minimum(np.searchsorted(taken, pair[hit]), len(taken) - 1)
-        found = taken[near] == pair[hit]
-        hit, near = hit[found], near[found]
+        taken = np.array(taken, np.int64)
+        own = _cell(taken)
+        number[own[::-1]] = np.arange(len(taken))[::-1]
+        taken = taken[number[own] == np.arange(len(taken))]  # of two in a cell the less frequent one waits for a later round
+        own = _cell(taken)
+        number[own] = np.arange(len(taken))
+        near = number[cell]
+        found = np.flatnonzero(near >= 0)
+        found = found[taken[near[found]] == pair[found]]
+        hit, near = place[found], near[found]
+        number[own] = -1
         new = base + count + near
         keep = np.ones(len(symbols), bool)
         keep[hit + 1] = False
@@ -173,7 +185,7 @@ def write_ids(docs: DataFrame, out_path: str, path: str, end: int = END, id_col:
                     if held:
                         yield flush()
                     part, number = p, 0
-                ids, n = library_cache(path).encode(rows.column("text").to_pylist())
+                ids, n = library_cache(path, CACHED).encode(rows.column("text").to_pylist())
                 held.append(np.insert(ids, np.cumsum(n), end))
                 docs_.append(rows.column("doc_id").to_numpy())
                 counts.append(n + 1)
