@@ -18,10 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ids_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id and the text (null: empty), so no further column of the input can clash."""
+def ids_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Only the id and the text (null: empty), so no further column of the input can clash, and columns the caller names."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *(carry or []))
 
 
 def one_space(text: Column) -> Column:

@@ -23,9 +23,10 @@ from tidemark.llm.common import ids_and_text, one_space, table
 from tidemark.llm.registry import register
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs``."""
-    norm = ids_and_text(docs, id_col, text_col).select("doc_id", one_space(F.col("text")).alias("norm"))
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs``, then the columns of ``carry``."""
+    carry = carry or []
+    norm = ids_and_text(docs, id_col, text_col, carry).select("doc_id", one_space(F.col("text")).alias("norm"), *carry)
     hashed = norm.withColumn("h", F.unhex(F.md5("norm")))
     texts = hashed.groupBy("h", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
     groups = (texts.select("h", F.sha2("norm", 256).alias("sha"), "keep_id", "n")
@@ -34,11 +35,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
               .withColumn("group_size", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(
                   F.raise_error(F.lit("two different texts share MD5 and SHA-256")).cast("long")))
               .drop("texts"))
-    rows = hashed.select("doc_id", "h", F.sha2("norm", 256).alias("sha"))
+    rows = hashed.select("doc_id", "h", F.sha2("norm", 256).alias("sha"), *carry)
     groups = groups.select(F.struct("h", "sha").alias("k"), "keep_id", "group_size")
     return rows.join(groups, F.struct(F.col("h"), F.col("sha")) == F.col("k")).select(
         "doc_id", "keep_id", "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"), *carry)
 
 
 @register("op10_exact_dedup", r"""

@@ -36,8 +36,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import let_go, stored, table
+from tidemark.llm.common import ids_and_text, let_go, stored, table
 from tidemark.llm.components import by_key, components, in_blocks
 from tidemark.llm.registry import register
 from tidemark.llm.textnp import blocks, mix, salt, shingle_sets
@@ -269,14 +270,14 @@ def trie_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
 # ---------------------------------------------------------------- the operator
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                       text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``: sets of ``n``-word shingles are linked when
+                       text_col: str = "text", block: int = BLOCK, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs`` and the columns of ``carry``: sets of ``n``-word shingles are linked when
     ``den * intersection >= num * union``; the component is named by its smallest doc_id."""
     if not den <= 2 * num <= 2 * den:
         raise ValueError("the bound lies between 1/2 and 1")  # sketches of linked sets are at most one step apart
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    carry = carry or []
+    docs = ids_and_text(docs, id_col, text_col, carry)
     counts = spark.sparkContext.broadcast(_bucket_counts(docs, n))  # 2**COUNT_BITS short integers
 
     def describe(batches):
@@ -292,10 +293,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(_class_of(value, cut), pa.binary()), pa.array(np.diff(cut).astype(np.int64)),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                 pa.array(_sketches(value, cut), pa.binary())],
-                names=["doc_id", "class", "n", "prefix", "sketch"])
+                 pa.array(_sketches(value, cut), pa.binary()), *[b.column(c) for c in carry]],
+                names=["doc_id", "class", "n", "prefix", "sketch", *carry])
 
-    rows = stored(docs.mapInArrow(describe, "doc_id long, class binary, n long, prefix array<long>, sketch binary"), "sets")
+    shape = spark.createDataFrame([], "doc_id long, class binary, n long, prefix array<long>, sketch binary").schema
+    rows = stored(docs.mapInArrow(describe, T.StructType([*shape, *[docs.schema[c] for c in carry]])), "sets")
     full = rows.where("n > 0")
     classes = full.groupBy("class").agg(F.min("doc_id").alias("rep"), F.any_value("prefix").alias("prefix"))
     tokens = classes.select("class", F.explode("prefix").alias("token"))
@@ -332,7 +334,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
                 names=["class", "shingles"])
 
     reps = live.select("rep").distinct()
-    picked = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")  # a class of null ids only has none else
+    picked = docs.select("doc_id", "text").join(reps, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")  # a class of null ids only has none else
     sets = by_key(picked.mapInArrow(sets_of, "class binary, shingles binary"), live, "class")
     def join(group: pa.Table) -> pa.Table:
         own = dict(zip(group["class"].to_pylist(), group["shingles"].to_pylist()))
@@ -347,9 +349,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     rooted = by_key(reps, linked, "class", "left").select("class", "rep", F.coalesce("root", "class").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = by_key(rooted, smallest, "root").select("class", "component_id")
-    out = by_key(full.select("doc_id", "class", "n"), named, "class").select("doc_id", "n", "component_id").unionByName(
-        rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    out = by_key(full.select("doc_id", "class", "n", *carry), named, "class").select("doc_id", "n", "component_id", *carry).unionByName(
+        rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), *carry))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", *carry)
 
 
 @register("op1_jaccard_trie", r"""

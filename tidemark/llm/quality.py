@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import ids_and_text, stored, table
 from tidemark.llm.registry import register
@@ -65,17 +66,19 @@ def size_max(w: Words, size: np.ndarray, texts: int) -> np.ndarray:
     return out
 
 
-def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and stats (array of double) of every whole text."""
+def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """doc_id and stats (array of double) of every whole text, then the columns of ``carry``."""
+    carry = carry or []
 
     def run(batches):
         for b in blocks(batches):
             x = statistics(b.column("text"))
             off = pa.array(np.arange(len(x) + 1, dtype=np.int32) * STATS)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(off, pa.array(x.reshape(-1)))],
-                                             names=["doc_id", "stats"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(off, pa.array(x.reshape(-1))),
+                                              *[b.column(c) for c in carry]], names=["doc_id", "stats", *carry])
 
-    return ids_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, stats array<double>")
+    rows = ids_and_text(docs, id_col, text_col, carry)
+    return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], T.StructField("stats", T.ArrayType(T.DoubleType())), *[rows.schema[c] for c in carry]]))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -163,19 +166,21 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
-                   text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``docs``."""
-    stats = stored(text_statistics(docs, id_col, text_col), "stats")
+                   text_col: str = "text", label_col: str = "quality", carry: list[str] | None = None) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row of ``docs``, then the columns of ``carry``."""
+    carry = carry or []
+    stats = stored(text_statistics(docs, id_col, text_col, carry), "stats")
     model = fit(stats, labels, id_col, label_col)
 
     def run(batches):
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.clip(model.score(_matrix(b)), 0, 1))],
-                                                 names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.clip(model.score(_matrix(b)), 0, 1)),
+                                                  *[b.column(c) for c in carry]], names=["doc_id", "score", *carry])
 
-    return stats.mapInArrow(run, "doc_id long, score double").select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    scored = stats.mapInArrow(run, T.StructType([stats.schema["doc_id"], T.StructField("score", T.DoubleType()), *[stats.schema[c] for c in carry]]))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"), *carry)
 
 
 @register("op7_fourier_ridge")
