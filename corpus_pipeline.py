@@ -5,15 +5,20 @@ next one's ``docs``. All but the last return the columns of ``docs``. Every stag
 predecessor kept, and its decisions take effect:
 
 1. quality: documents that the classifier rejects (score below 0.7; labels of the given table) go;
-2. exact_dedup: of equal texts the row with the smallest doc_id stays;
-3. near_dedup: of documents linked by 5-word shingle sets of Jaccard similarity 0.8 or more the smallest stays;
+2. exact_dedup: of equal texts (white space runs as one space) the row with the smallest doc_id stays;
+3. near_dedup: of documents linked by 5-word shingle sets of Jaccard similarity 0.8 or more the smallest id stays;
 4. substring_dedup: words covered by a window of 50 words that also starts in a document with a smaller doc_id
    go; a document that loses words gets the kept words joined by one space, others keep their text as it is, and
    a document without any word left goes;
 5. packing: the texts' token pieces with their places in sequences of 4096.
 
+Stages decide by row: a row is known by its doc_id (null equals null) and a 128-bit hash of its text.
+
 Defined cases: null texts count as empty; empty tables pass through; rows that repeat doc_id and text are one
-document for stage 2; a null doc_id takes part in every stage as an id larger than any.
+document for stage 2, and of rows that repeat an id with texts equal but for white space the one with the smallest hash stays;
+rows of one id that are near copies of each other all stay; a null doc_id takes part in every stage as an id larger
+than any, so near copies that all have none stay too. Very long texts pass whole. Further
+columns may have any names.
 """
 
 from __future__ import annotations
@@ -33,25 +38,46 @@ from tidemark.llm.substring_dedup import substring_dedup
 ORACLE_SQL = None
 
 
-def _keep(docs: DataFrame, decided: DataFrame, keep: Column) -> DataFrame:
-    """Rows of ``docs`` less the ids of which no row of ``decided`` is to be kept (null equals null). Only the ids
-    that go are written and joined; Spark reads their size off the files and sends them to the tasks when they are
-    below its broadcast threshold, so the texts are not shuffled, and joins by a shuffle beyond it."""
-    gone = decided.groupBy("doc_id").agg(F.bool_or(keep).alias("_keep")).where("not _keep")
-    gone = stored(gone.select(F.col("doc_id").alias("_id")), "gone")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+def _hash() -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``_row``, the hash that knows a row beside its id."""
+    return docs.select("doc_id", "text", _hash().alias("_row"))
+
+
+def _those(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` by whether ``keys`` (doc_id, _row) has them. Only keys are written and joined; Spark reads their
+    size off the files and sends them to the tasks when they are below its broadcast threshold, so the texts are not
+    shuffled, and joins by a shuffle beyond it."""
+    fresh = "_" * (1 + max(map(len, docs.columns)))  # longer than any name of the input
+    keys = stored(keys.select(F.col("doc_id").alias(fresh + "i"), F.col("_row").alias(fresh + "r")), "keys")
+    return docs.join(keys, F.col("doc_id").eqNullSafe(F.col(fresh + "i")) & (_hash() == F.col(fresh + "r")), how)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, quality_scores(docs, table(spark, sf_dir, "labels")), F.col("predicted") == 1)
+    scored = quality_scores(_rows(docs), table(spark, sf_dir, "labels"), carry=["_row"])
+    return _those(docs, scored.where("predicted = 0").select("doc_id", "_row").distinct(), "left_anti")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, exact_dedup(docs), F.col("kept")).dropDuplicates(["doc_id", "text"])
+    copies = exact_dedup(_rows(docs), carry=["_row"]).groupBy("doc_id", "_row", "text_sha256", "kept").agg(F.count(F.lit(1)).alias("n"))
+    copies = stored(copies, "copies")
+    # rows that share the smallest id of their group: one of them stays
+    stay = copies.where("kept")
+    several = stay.groupBy("text_sha256").agg(F.min("_row").alias("first"), F.sum("n").alias("rows")).where("rows > 1")
+    again = stored(stay.join(several, "text_sha256").select("doc_id", "_row", "first"), "again")
+    gone = copies.where("not kept").select("doc_id", "_row").unionByName(again.select("doc_id", "_row"))
+    fresh = "_" * (1 + max(map(len, docs.columns)))
+    once = _those(docs, again.where("_row = first"), "left_semi").withColumn(fresh, _hash()).dropDuplicates(["doc_id", fresh])
+    return _those(docs, gone, "left_anti").unionByName(once.drop(fresh))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, jaccard_components(docs), F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = jaccard_components(_rows(docs), carry=["_row"])
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return _those(docs, gone.select("doc_id", "_row").distinct(), "left_anti")
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
