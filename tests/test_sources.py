@@ -183,3 +183,56 @@ def test_a_line_over_the_bound(spark, tmpdir_path):
         sinks.write_byte_bounded(df, dest, 100, order=["i"])
     sinks.write_byte_bounded(df, dest, 100, order=["i"], oversize="alone")
     assert _files(dest) == [b"a\n", b"b" * 500 + b"\n", b"\nc\n"]
+
+
+def _lines(folder, name, numbers):
+    for i in numbers:
+        _write(os.path.join(folder, f"{name}.tbl.{i}"), [f"{i}|SUPPLIER {i}|street {i}|{i % 25}||{i * 1.5}|é {i}|", f"{i + 100}|x||1|p|-0.25||"])
+
+
+def test_file_parts_data_source(spark, tmpdir_path):
+    """A2: one split a file, numbers in natural order, the same rows as the reader that joins an index of files."""
+    root = os.path.join(tmpdir_path, "a folder")
+    os.makedirs(os.path.join(root, "deeper"))
+    _lines(root, "supplier", (1, 2, 10))
+    _lines(os.path.join(root, "deeper"), "supplier", (3,))
+    _lines(root, "customer", (1,))
+    df = files.table_parts(spark, root, "supplier", trailing_delimiter=True)
+    other = files.read_tbl_table(spark, root, "supplier", trailing_delimiter=True, with_part=True)
+    assert df.columns == other.columns and df.rdd.getNumPartitions() == 4
+    assert sorted(df.collect(), key=str) == sorted(other.collect(), key=str)
+    assert files.table_parts(spark, f"file://{root.replace(' ', '%20')}", "supplier", trailing_delimiter=True).count() == 8
+    for bad in ("x|two|three", "1|a|b|1"):
+        _write(os.path.join(root, "region.tbl"), ["0|NORTH|c", bad])
+        with pytest.raises(Exception, match="line 2"):
+            files.table_parts(spark, root, "region").collect()
+    with pytest.raises(Exception, match="no nation.tbl"):
+        files.table_parts(spark, root, "nation").collect()
+
+
+def test_file_parts_stream(spark, tmpdir_path):
+    """Numbers in order, kept over a restart and for files that come later; batch and stream agree."""
+    root, mark = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "checkpoint")
+    os.makedirs(root)
+    _lines(root, "supplier", (2, 10, 1))
+    seen = {}
+
+    def run():
+        df = files.table_parts_stream(spark, root, "supplier", trailing_delimiter=True)
+        keep = lambda b, i: seen.__setitem__(i, sorted((r.s_suppkey, r.part_idx) for r in b.collect()))
+        q = df.writeStream.foreachBatch(keep).option("checkpointLocation", mark).start()
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+
+    run()
+    assert seen == {0: [(1, 0), (2, 1), (10, 2), (101, 0), (102, 1), (110, 2)]}
+    batch = files.table_parts(spark, root, "supplier", trailing_delimiter=True)
+    assert sorted((r.s_suppkey, r.part_idx) for r in batch.collect()) == sorted(x for b in seen.values() for x in b)
+    seen.clear()
+    run()
+    assert not any(seen.values())
+    _lines(root, "supplier", (0, 5))  # before the others by name, after them by number
+    run()
+    assert sorted(x for b in seen.values() for x in b) == [(0, 3), (5, 4), (100, 3), (105, 4)]

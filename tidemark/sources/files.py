@@ -6,12 +6,15 @@ Schemas are always explicit (no inference). Column pruning comes from
 
 from __future__ import annotations
 
+import datetime
+import io
 import re
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 
 def _f(name, dtype, key=False):
@@ -164,3 +167,120 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def literal_table(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
     """An in-memory table (tests and tiny lookups only)."""
     return spark.createDataFrame(rows, schema)
+
+
+class TablePartsSource(DataSource):
+    """A2 as a data source ``table_parts``: the rows of ``{table}.tbl*`` with the number of their part, in batch and
+    stream. Options: ``path``, ``table``, ``trailing_delimiter``, ``first_part`` (the number of the first part).
+
+    Every file is one split, which carries its part number; numbers are the natural order of the whole paths. A batch of a
+    stream has the files that are new, numbered on from the ones before, so that a part's number never changes. A split reads its file line by line. Files are found and read by
+    Arrow's file systems (local paths and the stores that Arrow knows); others are read by ``read_tbl_table``. Fields follow
+    ``read_delimited``: empty is null, a value that does not parse, or a row with another number of fields, fails the read;
+    there is no quoting, as in the files that the benchmark's generator writes.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "table_parts"
+
+    def schema(self) -> T.StructType:
+        return T.StructType([*TPCH_SCHEMAS[self.options["table"]].fields, T.StructField("part_idx", L)])
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return _PartsReader(dict(self.options), schema)
+
+    def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
+        return _PartsStream(dict(self.options), schema)
+
+
+class _Part(InputPartition):
+    def __init__(self, path: str, number: int):
+        self.path, self.number = path, number
+
+
+def _found(options: dict) -> list[str]:
+    """Paths of the table's files below ``path`` in natural order."""
+    from pyarrow import fs
+    store, root = fs.FileSystem.from_uri(options["path"]) if "://" in options["path"] else (fs.LocalFileSystem(), options["path"])
+    infos = store.get_file_info(fs.FileSelector(root, recursive=True))
+    wanted = [i.path for i in infos if i.type == fs.FileType.File and i.base_name.startswith(f"{options['table']}.tbl")]
+    return sorted(wanted, key=natural_key)
+
+
+_PARSE = {I: int, L: int, D: float, S: str, DT: datetime.date.fromisoformat}
+
+
+def _rows_of(part: _Part, options: dict, schema: T.StructType):
+    from pyarrow import fs
+    store = fs.FileSystem.from_uri(options["path"])[0] if "://" in options["path"] else fs.LocalFileSystem()
+    parse = [_PARSE[f.dataType] for f in schema.fields[:-1]]
+    tail = options.get("trailing_delimiter", "false").lower() == "true"
+    with store.open_input_stream(part.path) as raw:
+        for number, line in enumerate(io.TextIOWrapper(raw, encoding="utf-8", newline="\n"), 1):
+            line = line.rstrip("\r\n")
+            if not line:
+                continue
+            own = line.split("|")
+            if tail and own[-1] == "":
+                own.pop()
+            if len(own) != len(parse):
+                raise ValueError(f"{part.path}, line {number}: {len(own)} fields instead of {len(parse)}")
+            try:
+                yield (*[p(x) if x else None for p, x in zip(parse, own)], part.number)
+            except ValueError as e:
+                raise ValueError(f"{part.path}, line {number}: {e}") from None
+
+
+class _PartsReader(DataSourceReader):
+    def __init__(self, options: dict, schema: T.StructType):
+        self.options, self.schema = options, schema
+
+    def partitions(self):
+        files = _found(self.options)
+        if not files:
+            raise FileNotFoundError(f"no {self.options['table']}.tbl* under {self.options['path']}")
+        first = int(self.options.get("first_part", "0"))
+        return [_Part(f, first + i) for i, f in enumerate(files)]
+
+    def read(self, partition: _Part):
+        return _rows_of(partition, self.options, self.schema)
+
+
+class _PartsStream(DataSourceStreamReader):
+    """An offset holds the paths of all files there; a batch's parts are those that its end has and its start has not, numbered
+    on from the start's count. So nothing is kept between calls, a batch that is run again has the same numbers, and a
+    restart goes on from its checkpoint. Files once given must stay."""
+
+    def __init__(self, options: dict, schema: T.StructType):
+        self.options, self.schema = options, schema
+
+    def initialOffset(self) -> dict:
+        return {"files": []}
+
+    def latestOffset(self) -> dict:
+        return {"files": _found(self.options)}
+
+    def partitions(self, start: dict, end: dict):
+        have, first = set(start["files"]), int(self.options.get("first_part", "0")) + len(start["files"])
+        return [_Part(f, first + i) for i, f in enumerate(f for f in end["files"] if f not in have)]
+
+    def read(self, partition: _Part):
+        return _rows_of(partition, self.options, self.schema)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
+def table_parts(spark: SparkSession, directory: str, table: str, trailing_delimiter: bool = False) -> DataFrame:
+    """A2: a table's rows with ``part_idx`` by the data source."""
+    spark.dataSource.register(TablePartsSource)
+    return (spark.read.format("table_parts").option("path", directory).option("table", table)
+            .option("trailing_delimiter", str(trailing_delimiter).lower()).load())
+
+
+def table_parts_stream(spark: SparkSession, directory: str, table: str, trailing_delimiter: bool = False) -> DataFrame:
+    """The same as a stream, each batch the files that are new."""
+    spark.dataSource.register(TablePartsSource)
+    return (spark.readStream.format("table_parts").option("path", directory).option("table", table)
+            .option("trailing_delimiter", str(trailing_delimiter).lower()).load())
