@@ -48,36 +48,45 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _those(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` by whether ``keys`` (doc_id, _row) has them. Only keys are written and joined; Spark reads their
-    size off the files and sends them to the tasks when they are below its broadcast threshold, so the texts are not
-    shuffled, and joins by a shuffle beyond it."""
+    """Rows of ``docs`` by whether ``keys`` (doc_id, and _row if given) has them, null equal to null. Only keys are written
+    and joined; Spark reads their size off the files and sends them to the tasks when they are below its broadcast
+    threshold, so the texts are not shuffled, and joins by a shuffle beyond it."""
     fresh = "_" * (1 + max(map(len, docs.columns)))  # longer than any name of the input
-    keys = stored(keys.select(F.col("doc_id").alias(fresh + "i"), F.col("_row").alias(fresh + "r")), "keys")
-    return docs.join(keys, F.col("doc_id").eqNullSafe(F.col(fresh + "i")) & (_hash() == F.col(fresh + "r")), how)
+    keys = stored(keys.toDF(*[fresh + c for c in keys.columns]), "keys")
+    on = F.col("doc_id").eqNullSafe(F.col(fresh + "doc_id"))
+    return docs.join(keys, on & (_hash() == F.col(fresh + "_row")) if len(keys.columns) > 1 else on, how)
+
+
+def _keep(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """``docs`` less the rows that ``decided`` (doc_id, _row, keep; stored) does not keep. An id of which no row is kept is
+    known by itself, which is shorter; hashes are only for rows of ids of which others stay."""
+    ids = stored(decided.groupBy("doc_id").agg(F.bool_or("keep").alias("some"), F.bool_and("keep").alias("every")).where("not every"), "ids")
+    left = _those(docs, ids.where("not some").select("doc_id"), "left_anti")
+    mixed = ids.where("some").select(F.col("doc_id").alias("_mixed"))
+    rows = decided.where("not keep").join(mixed, F.col("doc_id").eqNullSafe(F.col("_mixed")), "left_semi")
+    return _those(left, rows.select("doc_id", "_row").distinct(), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = quality_scores(_rows(docs), table(spark, sf_dir, "labels"), carry=["_row"])
-    return _those(docs, scored.where("predicted = 0").select("doc_id", "_row").distinct(), "left_anti")
+    return _keep(docs, stored(scored.select("doc_id", "_row", (F.col("predicted") == 1).alias("keep")), "decided"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    copies = exact_dedup(_rows(docs), carry=["_row"]).groupBy("doc_id", "_row", "text_sha256", "kept").agg(F.count(F.lit(1)).alias("n"))
-    copies = stored(copies, "copies")
+    copies = stored(exact_dedup(_rows(docs), carry=["_row"]).select("doc_id", "_row", "kept", F.unhex("text_sha256").alias("group")), "copies")
     # rows that share the smallest id of their group: one of them stays
-    stay = copies.where("kept")
-    several = stay.groupBy("text_sha256").agg(F.min("_row").alias("first"), F.sum("n").alias("rows")).where("rows > 1")
-    again = stored(stay.join(several, "text_sha256").select("doc_id", "_row", "first"), "again")
-    gone = copies.where("not kept").select("doc_id", "_row").unionByName(again.select("doc_id", "_row"))
+    several = copies.where("kept").groupBy("group").agg(F.min("_row").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    several = stored(several.select("group", "first"), "several")
+    decided = stored(copies.join(several, "group", "left").select("doc_id", "_row", "first", "kept", (F.col("kept") & F.col("first").isNull()).alias("keep")), "decided")
     fresh = "_" * (1 + max(map(len, docs.columns)))
-    once = _those(docs, again.where("_row = first"), "left_semi").withColumn(fresh, _hash()).dropDuplicates(["doc_id", fresh])
-    return _those(docs, gone, "left_anti").unionByName(once.drop(fresh))
+    first = decided.where("kept and _row = first").select("doc_id", "_row").distinct()
+    once = _those(docs, first, "left_semi").withColumn(fresh, _hash()).dropDuplicates(["doc_id", fresh])
+    return _keep(docs, decided).unionByName(once.drop(fresh))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard_components(_rows(docs), carry=["_row"])
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _those(docs, gone.select("doc_id", "_row").distinct(), "left_anti")
+    return _keep(docs, stored(found.select("doc_id", "_row", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("keep")), "decided"))
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
