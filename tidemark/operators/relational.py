@@ -117,25 +117,24 @@ def primary_key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def foreign_key_report(keys: list[tuple[str, DataFrame, list[str], DataFrame, list[str]]]) -> DataFrame:
-    """A11 for many keys (name, child, its columns, parent, its columns): one row ``(fk, orphans)`` each. Every child table is read
-    once: its rows become one row a foreign key, counted by key value before anything is joined, so a hot value is one row.
-    Null keys are not orphans."""
-    width = max(len(cols) for _, _, cols, _, _ in keys)
-
-    def entry(name, cols):
-        own = [F.col(c).cast("string") for c in cols] + [F.lit("")] * (width - len(cols))
-        return F.struct(F.lit(name).alias("fk"), *[x.alias(f"k{i}") for i, x in enumerate(own)])
-
-    tables = {id(child): child for _, child, _, _, _ in keys}
-    on = ["fk", *[f"k{i}" for i in range(width)]]
-    used = union_all(
-        child.select(F.explode(F.array(*[entry(name, cols) for name, ch, cols, _, _ in keys if id(ch) == i])).alias("x"))
-        .select("x.*").na.drop().groupBy(*on).agg(F.count(F.lit(1)).alias("n")) for i, child in tables.items())
-    there = union_all(parent.select(entry(name, cols).alias("x")).select("x.*").distinct() for name, _, _, parent, cols in keys)
-    orphans = used.join(there, on, "left_anti").groupBy("fk").agg(F.sum("n").alias("orphans"))
-    spark = used.sparkSession
-    named = spark.createDataFrame([(k[0],) for k in keys], "fk string")
-    return named.join(orphans, "fk", "left").select("fk", F.coalesce("orphans", F.lit(0)).cast("bigint").alias("orphans"))
+    """A11 for many keys (name, child, its columns, parent, its columns): one row ``(fk, orphans)`` each. Of a child only a key's own
+    columns are read, and its rows are counted by key value before they are joined, so a hot value is one row; keys over the same
+    columns share the count. Values are compared in their own types (as text if the two sides' types differ). Null keys are not
+    orphans."""
+    whole = ("tinyint", "smallint", "int", "bigint")
+
+    def report(name, child, cols, parent, parent_cols):
+        here, there = dict(child.dtypes), dict(parent.dtypes)
+        alike = [here[x] == there[y] or {here[x], there[y]} <= set(whole) for x, y in zip(cols, parent_cols)]
+        used = child.select(*[F.col(x).alias(f"k{i}") for i, x in enumerate(cols)]).na.drop()
+        used = used.groupBy(*used.columns).agg(F.count(F.lit(1)).alias("n"))
+        own = parent.select(*[F.col(x).alias(f"p{i}") for i, x in enumerate(parent_cols)])
+        on = [used[f"k{i}"] == own[f"p{i}"] if same else used[f"k{i}"].cast("string") == own[f"p{i}"].cast("string")
+              for i, same in enumerate(alike)]
+        orphans = used.join(own, on, "left_anti")
+        return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphans")).select(F.lit(name).alias("fk"), "orphans")
+
+    return union_all(report(*k) for k in keys)
 
 
 def foreign_key_orphans(child: DataFrame, child_cols: list[str], parent: DataFrame,

@@ -50,7 +50,7 @@ def _fk_sql(name, child, ccols, parent, pcols, where="true"):
 @register("inv_a11_fk_check", "\n UNION ALL ".join(_fk_sql(*f) for f in FKS))
 def inv_a11_fk_check(spark, sf_dir):
     """One row per foreign key with its orphan count (single and
-    composite keys); each child table is read once."""
+    composite keys), each key in its own types and columns."""
     t = tables(spark, sf_dir)
     return foreign_key_report([(name, t[ch], cc, t[pa].where(where[0]) if where else t[pa], pc) for name, ch, cc, pa, pc, *where in FKS])
 
