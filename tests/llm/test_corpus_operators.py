@@ -370,3 +370,17 @@ def test_repair_takes_runs():
         assert len(symbols) < len(own) / 4
         assert _often(symbols) < 2 * 16 + 1  # overlapping places of a run count twice here at most
     assert len(repair.compress(np.full(100_001, 7))[0]) < 32
+
+
+def test_repair_looks_again_only_where_pairs_may_be_frequent(monkeypatch):
+    looked, cell = [], repair._cell
+    monkeypatch.setattr(repair, "_cell", lambda pair: (looked.append(len(pair)), cell(pair))[1])
+    ids = np.random.default_rng(5).zipf(1.2, 200_000).clip(0, 50_000).astype(np.int32)
+    symbols, rules, lengths, base = repair.compress(ids)
+    assert (repair.expand(symbols, rules, lengths, base) == ids).all()
+    for lo in (len(symbols) // 2, len(symbols) - 20, len(symbols)):  # many symbols, few, none
+        own = repair.expand(symbols[lo:], rules, lengths, base)
+        assert (own == ids[len(ids) - len(own):]).all()
+    pair = symbols[:-1] << 32 | symbols[1:]
+    assert np.unique(pair[symbols[:-1] != symbols[1:]], return_counts=True)[1].max() < 16
+    assert sum(looked) < 4 * len(ids)

@@ -49,23 +49,30 @@ def _cell(pair: np.ndarray) -> np.ndarray:
 
 def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Symbols, rules (left, right) in the order of their numbers, their expansion lengths, and the first rule's number."""
-    symbols = ids.astype(np.int64)
-    base = int(symbols.max()) + 1 if len(symbols) else 0
+    base = int(ids.max()) + 1 if len(ids) else 0
+    symbols = np.append(ids.astype(np.int64), -1)  # -1: the end, in no pair
+    kind = np.int32 if len(symbols) < 1 << 31 else np.int64
+    after, before = np.arange(1, len(symbols) + 1, dtype=kind), np.arange(-1, len(symbols) - 1, dtype=kind)  # neighbours that are left
+    there = np.ones(len(symbols), bool)
+    look = np.zeros(len(symbols), bool)
     rules: list[np.ndarray] = []
     size: list[np.ndarray] = []
     count = 0
     number = np.full(1 << CELL_BITS, -1)
-    while len(symbols) > 1:
-        pair = symbols[:-1] << 32 | symbols[1:]
-        same = np.flatnonzero(symbols[:-1] == symbols[1:])
+    live = np.arange(len(ids))  # places whose pair may stand often enough
+    while len(live):
+        first, second = (symbols[live], symbols[after[live]]) if count else (symbols[:-1], symbols[1:])
+        pair = first << 32 | second
+        same = np.flatnonzero(first == second)
+        runs = live[same]
         if len(same):  # in a run only every second place from its start, so that none overlap
             order = np.arange(len(same))
-            begin = np.maximum.accumulate(np.where(np.r_[True, np.diff(same) > 1], order, 0))
+            begin = np.maximum.accumulate(np.where(np.r_[True, after[runs[:-1]] != runs[1:]], order, 0))
             pair[same[(order - begin) % 2 == 1]] = -1
         # a pair that stands often enough lies in a cell with as many pairs; only those cells are sorted
         cell = _cell(pair)
-        place = np.flatnonzero((np.bincount(cell, minlength=1 << CELL_BITS) >= least)[cell] & (pair >= 0))
-        pair, cell = pair[place], cell[place]
+        often = np.flatnonzero((np.bincount(cell, minlength=1 << CELL_BITS) >= least)[cell] & (pair >= 0))
+        place, pair, cell = live[often], pair[often], cell[often]
         ordered = np.sort(pair)
         if not len(ordered):
             break
@@ -97,10 +104,16 @@ def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[n
         hit, near = place[found], near[found]
         number[own] = -1
         new = base + count + near
-        keep = np.ones(len(symbols), bool)
-        keep[hit + 1] = False
         symbols[hit] = new
-        symbols = symbols[keep]
+        gone = after[hit]
+        there[gone] = False
+        after[hit] = after[gone]
+        before[after[gone]] = hit
+        # no pair of old symbols gains a place: the next round looks where this one found many, at runs and beside new symbols
+        look[place] = look[runs] = look[hit] = look[before[hit]] = True
+        look[gone] = False
+        live = np.flatnonzero(look[:-1])
+        look[live] = False
         left, right = taken >> 32, taken & 0xFFFFFFFF
         have = np.concatenate(size) if size else np.zeros(0, np.int64)
         long = lambda s: np.where(s < base, 1, have[np.maximum(s - base, 0)] if len(have) else 1)  # noqa: E731, B023
@@ -108,11 +121,26 @@ def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[n
         rules.append(np.stack([left, right], 1))
         count += len(taken)
     empty = np.zeros((0, 2), np.int64)
-    return symbols, np.concatenate(rules) if rules else empty, np.concatenate(size) if size else empty[:, 0], base
+    return symbols[:-1][there[:-1]], np.concatenate(rules) if rules else empty, np.concatenate(size) if size else empty[:, 0], base
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
-    """Ids of a stretch of symbols: ids go to their places, rules on to their two parts, until only ids are left."""
+    """Ids of a stretch of symbols. Of many symbols, each rule's ids are made once and copied to its places."""
+    if len(symbols) <= len(rules) or not len(rules):
+        return _expand(symbols, rules, lengths, base)
+    rule = symbols >= base
+    number = np.where(rule, symbols - base, 0)
+    size = np.where(rule, lengths[number], 1)
+    ends = np.cumsum(size)
+    if lengths.sum() > ends[-1]:  # rules longer than all that they stand for here
+        return _expand(symbols, rules, lengths, base)
+    parts = _expand(np.arange(base, base + len(rules)), rules, lengths, base)
+    begin = np.where(rule, (np.cumsum(lengths) - lengths)[number], len(parts) + np.arange(len(symbols)))
+    return np.concatenate([parts, symbols])[np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]))]
+
+
+def _expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    """Ids go to their places, rules on to their two parts, until only ids are left."""
     size = np.where(symbols < base, 1, lengths[np.maximum(symbols - base, 0)] if len(lengths) else 1)
     out = np.empty(int(size.sum()), np.int64)
     at = np.cumsum(size) - size
